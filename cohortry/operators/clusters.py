@@ -18,6 +18,7 @@ SCREENED_K = (4, 5, 6)
 SEED = 42
 # Cluster sums travel with the scoring function: clusters times dimensions, doubles.
 MAX_SUMMARY_NUMBERS = 5_000_000
+MAX_SUMMARY_ROWS = 20_000
 
 
 def kmeans(k: int, features: str = "features", seed: int = SEED) -> KMeans:
@@ -74,12 +75,11 @@ def silhouette(df: DataFrame, features: str, cluster: str) -> DataFrame:
     summary = points.groupBy("cluster").agg(metrics).select(
         "cluster", "m.count", vector_to_array("m.sum").alias("total"), vector_to_array("m.normL2").alias("norms")
     )
-    size = summary.agg(F.count("*").alias("k"), F.max(F.size("total")).alias("d")).first()
-    if size["k"] * (size["d"] or 0) > MAX_SUMMARY_NUMBERS:
-        raise ValueError(f"{size['k']} clusters of dimension {size['d']} are too many for a silhouette")
-    rows = sorted(summary.collect(), key=lambda r: r["cluster"])
+    rows = sorted(summary.limit(MAX_SUMMARY_ROWS + 1).collect(), key=lambda r: r["cluster"])
     if len(rows) < 2:
         raise ValueError("a silhouette needs at least two clusters")
+    if len(rows) > MAX_SUMMARY_ROWS or len(rows) * len(rows[0]["total"]) > MAX_SUMMARY_NUMBERS:
+        raise ValueError("too many clusters for a silhouette: is the column a cluster number?")
     names = pd.Index([r["cluster"] for r in rows])
     counts = np.array([r["count"] for r in rows], dtype=float)
     means = np.array([r["total"] for r in rows]) / counts[:, None]

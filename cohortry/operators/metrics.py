@@ -74,7 +74,7 @@ def auc(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; null when a class is absent."""
-    size = size or population(df, label)
+    size = size or population(df, label, score)
     negatives = size.rows - size.positives
     groups = score_groups(df, score, label, size, strategy, rows_per_task)
     neg = F.col("n") - F.col("pos")
@@ -128,7 +128,7 @@ def evaluate(
 
     The input is scanned a few times; hand in a stored table or a persisted one.
     """
-    size = population(df, label)
+    size = population(df, label, score)
     contacts = depth_contacts(size.rows, fraction, "ceil")
     goal = size.positives * target
     points = rank_points(df, score, key, label, [contacts], [goal], size.rows, strategy, rows_per_task)

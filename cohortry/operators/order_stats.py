@@ -27,6 +27,9 @@ def exact_quantiles(
     per column.
     """
     numbers = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
+    if numbers.count() <= values_per_task:
+        found = {row["column_name"]: row["value"] for row in _value_at_rank(numbers, columns, q).collect()}
+        return {c: found.get(c) for c in columns}
     sizes = numbers.agg(
         *[F.count(c).alias(f"{c}__n") for c in columns],
         *[F.approx_count_distinct(c).alias(f"{c}__d") for c in columns],
@@ -71,28 +74,27 @@ def exact_quantiles(
                 del wide[c]
 
     if brackets:
-        found = _value_at_rank(numbers, brackets, ranks)
+        inside = [F.when(F.col(c).between(low, high), F.col(c)).alias(c) for c, (low, high) in brackets.items()]
+        found = _value_at_rank(numbers.select(*inside), list(brackets), q, ranks)
         result.update({row["column_name"]: row["value"] for row in found.collect()})
     return result
 
 
 def _value_at_rank(
-    numbers: DataFrame, brackets: dict[str, tuple[float, float]], ranks: dict[str, int]
+    numbers: DataFrame, columns: list[str], q: float, ranks: dict[str, int] | None = None
 ) -> DataFrame:
-    """Per column the value at its rank among the values inside its bracket."""
-    inside = [F.when(F.col(c).between(low, high), F.col(c)).alias(c) for c, (low, high) in brackets.items()]
+    """Per column the value at rank ``ceil(q n)``, or at the given rank among the values left."""
     values = (
-        numbers.select(*inside)
-        .unpivot([], list(brackets), "column_name", "value")
+        numbers.unpivot([], columns, "column_name", "value")
         .where(F.col("value").isNotNull())
         .groupBy("column_name", "value")
         .agg(F.count("*").alias("n"))
     )
-    w = Window.partitionBy("column_name").orderBy("value")
-    wanted = F.lit(None).cast("bigint")
-    for c, rank in ranks.items():
+    column = Window.partitionBy("column_name")
+    wanted = F.greatest(F.ceil(F.sum("n").over(column) * q), F.lit(1))
+    for c, rank in (ranks or {}).items():
         wanted = F.when(F.col("column_name") == c, rank).otherwise(wanted)
-    counted = values.withColumn("upto", F.sum("n").over(w))
-    return counted.where((F.col("upto") >= wanted) & (F.col("upto") - F.col("n") < wanted)).select(
-        "column_name", "value"
-    )
+    counted = values.select("*", F.sum("n").over(column.orderBy("value")).alias("upto"), wanted.alias("wanted"))
+    return counted.where(
+        (F.col("upto") >= F.col("wanted")) & (F.col("upto") - F.col("n") < F.col("wanted"))
+    ).select("column_name", "value")

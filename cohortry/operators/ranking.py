@@ -27,7 +27,10 @@ from pyspark.sql import functions as F
 
 from cohortry.functions.expressions import is_positive, safe_ratio
 
-ROWS_PER_TASK = 5_000_000
+# Up to this many rows one window is as fast as the buckets (measured: level at 1 to 2 million).
+ROWS_PER_TASK = 1_000_000
+# Buckets are cut finer than that, so that tasks balance.
+BUCKETS_PER_TASK = 4
 MAX_CELLS = 65_536
 # A score is cut by key when it fills at least this many cells by itself.
 HEAVY_CELLS = 4
@@ -42,15 +45,21 @@ UP_TO_CURRENT = (Window.unboundedPreceding, Window.currentRow)
 
 @dataclass(frozen=True)
 class Population:
-    """Rows and positives of a table: the two numbers every depth is measured against."""
+    """Rows and positives of a table, the two numbers every depth is measured against.
+
+    ``scores`` is roughly the number of distinct scores, when that was asked for.
+    """
 
     rows: int
     positives: int
+    scores: int | None = None
 
 
-def population(df: DataFrame, label: str) -> Population:
-    row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(is_positive(label)), F.lit(0)).alias("p")).first()
-    return Population(int(row["n"]), int(row["p"]))
+def population(df: DataFrame, label: str, score: str | None = None) -> Population:
+    scores = F.approx_count_distinct(score) if score else F.lit(None)
+    positives = F.coalesce(F.sum(is_positive(label)), F.lit(0))
+    row = df.agg(F.count("*").alias("n"), positives.alias("p"), scores.alias("s")).first()
+    return Population(int(row["n"]), int(row["p"]), row["s"])
 
 
 def depth_contacts(rows: int, fraction: float, rounding: str) -> int:
@@ -78,7 +87,7 @@ def _number(column: str) -> Column:
 
 def plan_cells(df: DataFrame, score: str, key: str | None, rows: int, rows_per_task: int) -> Cells:
     """Split points from one quantile pass; the driver sees only those."""
-    wanted = min(MAX_CELLS, math.ceil(rows / rows_per_task))
+    wanted = min(MAX_CELLS, math.ceil(rows * BUCKETS_PER_TASK / rows_per_task))
     if wanted <= 1:
         return Cells()
     probs = [i / wanted for i in range(1, wanted)]
@@ -119,7 +128,7 @@ def with_bucket(df: DataFrame, cells: Cells, score: str, key: str | None, out: s
     work = cell_of(df, score, cells.score_cuts, "_score_cell")
     cell = F.when(number.isNull(), -1).when(F.isnan(number), top).otherwise(F.col("_score_cell"))
     if key is None:
-        return work.withColumn(out, top - cell).drop("_score_cell")
+        return work.withColumn(out, F.coalesce(top - cell, F.lit(0))).drop("_score_cell")
     work = cell_of(work, key, cells.key_cuts, "_key_cell")
     by_key = number.isNull() | F.isnan(number)
     if cells.heavy:
@@ -127,7 +136,9 @@ def with_bucket(df: DataFrame, cells: Cells, score: str, key: str | None, out: s
     width = len(cells.key_cuts) + 2
     # A heavy score is the lower end of its cell, so its rows come after the others there.
     piece = F.when(by_key, F.col("_key_cell") + 1).otherwise(0)
-    return work.withColumn(out, (top - cell) * width + piece).drop("_score_cell", "_key_cell")
+    # Never null; saying so keeps joins on the bucket from testing it once more per row.
+    bucket = F.coalesce((top - cell) * width + piece, F.lit(0))
+    return work.withColumn(out, bucket).drop("_score_cell", "_key_cell")
 
 
 def bucket_totals(bucketed: DataFrame, sums: dict[str, Column]) -> DataFrame:
@@ -195,7 +206,7 @@ def global_rank(
     ranked = with_bucket(df, cells, score, key).withColumn("_row", F.row_number().over(w).cast("bigint"))
     if label:
         ranked = ranked.withColumn("_pos", F.sum(is_positive(label)).over(w.rowsBetween(*UP_TO_CURRENT)))
-    joined = ranked.join(_bounded(totals, cells), F.col("bucket") == F.col("_bucket"))
+    joined = ranked.join(_bounded(totals, cells), F.col("bucket") == F.col("_bucket"), "left")
     columns = [*df.columns, (F.col("_row") + F.col("n_before")).alias("rank")]
     if label:
         columns.append((F.col("_pos") + F.col("pos_before")).alias("cum_positives"))
@@ -288,7 +299,7 @@ def top_fraction(
     ``ties="key"`` breaks equal scores by key. ``ties="expected"`` gives the mean over all
     orders of equal scores: the last, partly contacted score counts in proportion.
     """
-    size = population(df, label)
+    size = population(df, label, score if ties == "expected" else None)
     contacts = depth_contacts(size.rows, fraction, "ceil")
     if ties == "expected":
         groups = score_groups(df, score, label, size, strategy, rows_per_task)
@@ -390,10 +401,11 @@ def score_groups(
     Aggregating by score first makes ties harmless: a score shared by a third of the
     rows is one row here.
     """
-    groups = df.groupBy(_score_column(score)).agg(
+    groups = df.groupBy(F.col(score).alias("score")).agg(
         F.count("*").alias("n"), F.sum(is_positive(label)).alias("pos")
     )
-    single, _ = _choose(df, strategy, size.rows, rows_per_task)
+    distinct = size.rows if size.scores is None else min(size.rows, size.scores)
+    single, _ = _choose(df, strategy, distinct, rows_per_task)
     earlier = Window.orderBy(F.col("score").desc_nulls_last()).rowsBetween(*UP_TO_PREVIOUS)
     if single:
         return groups.select(
@@ -412,7 +424,7 @@ def score_groups(
         F.coalesce(F.sum("n").over(w), F.lit(0)).alias("_n_local"),
         F.coalesce(F.sum("pos").over(w), F.lit(0)).alias("_pos_local"),
     )
-    return local.join(_bounded(totals, cells), F.col("bucket") == F.col("_bucket")).select(
+    return local.join(_bounded(totals, cells), F.col("bucket") == F.col("_bucket"), "left").select(
         "score",
         "n",
         "pos",
@@ -420,6 +432,3 @@ def score_groups(
         (F.col("_pos_local") + F.col("_pos")).alias("pos_before"),
     )
 
-
-def _score_column(score: str) -> Column:
-    return F.col(score).alias("score")
