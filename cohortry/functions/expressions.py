@@ -107,6 +107,9 @@ def key_slot(key: str, slots: int = 10_000, seed: int | None = None) -> Column:
 
 
 def positive_score(probability: str = "probability", empty: float | None = None) -> Column:
-    """Positive-class probability out of a vector column, natively in the JVM."""
-    score = vector_to_array(F.col(probability))[1]
+    """Positive-class probability out of a vector column, natively in the JVM.
+
+    A null vector gives ``empty``; the conversion alone would raise on it.
+    """
+    score = F.when(F.col(probability).isNotNull(), vector_to_array(F.col(probability))[1])
     return score if empty is None else F.coalesce(score, F.lit(float(empty)))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -81,7 +83,8 @@ def range_join(
         return df.join(F.broadcast(ref), inside, "left").select(*df.columns, *renamed)
 
     probs = [i / RANGE_CELLS for i in range(1, RANGE_CELLS)]
-    cuts = sorted(set(ref.approxQuantile("ref_lower", probs, 0.5 / RANGE_CELLS)))
+    quantiles = ref.approxQuantile("ref_lower", probs, 0.5 / RANGE_CELLS)
+    cuts = sorted({q + 0.0 for q in quantiles if math.isfinite(q)})
     splits = [float("-inf"), *cuts, float("inf")]
 
     def with_cell(table: DataFrame, source: str, cell: str) -> DataFrame:

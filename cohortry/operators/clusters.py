@@ -18,7 +18,7 @@ SCREENED_K = (4, 5, 6)
 SEED = 42
 # Cluster sums travel with the scoring function: clusters times dimensions, doubles.
 MAX_SUMMARY_NUMBERS = 5_000_000
-MAX_SUMMARY_ROWS = 20_000
+MAX_SUMMARY_ROWS = 5_000
 
 
 def kmeans(k: int, features: str = "features", seed: int = SEED) -> KMeans:

@@ -17,6 +17,7 @@ Split points decide balance only, never a result.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from dataclasses import dataclass
 from functools import reduce
 from operator import or_
@@ -39,6 +40,7 @@ MAX_PIECES = 1_000_000
 # Offsets tables up to this many rows are broadcast (some 5 MB).
 MAX_BROADCAST_BUCKETS = 100_000
 
+BUCKET = "_rank_bucket"
 UP_TO_PREVIOUS = (Window.unboundedPreceding, -1)
 UP_TO_CURRENT = (Window.unboundedPreceding, Window.currentRow)
 
@@ -77,12 +79,17 @@ class Cells:
 
     @property
     def bucket_bound(self) -> int:
-        # NaN and null scores are always cut by key, hence the 2.
-        return len(self.score_cuts) + 1 + (len(self.heavy) + 2) * (len(self.key_cuts) + 1)
+        # Four more for NaN, both infinities and null, which are always cut by key.
+        return len(self.score_cuts) + 1 + (len(self.heavy) + 4) * (len(self.key_cuts) + 1)
 
 
 def _number(column: str) -> Column:
-    return F.col(column).cast("double")
+    """The column as double; adding zero folds -0.0 into 0.0, as the sort order does."""
+    return F.col(column).cast("double") + F.lit(0.0)
+
+
+def _cuts(quantiles: list[float]) -> list[float]:
+    return sorted({q + 0.0 for q in quantiles if math.isfinite(q)})
 
 
 def plan_cells(df: DataFrame, score: str, key: str | None, rows: int, rows_per_task: int) -> Cells:
@@ -97,24 +104,21 @@ def plan_cells(df: DataFrame, score: str, key: str | None, rows: int, rows_per_t
     heavy: tuple[float, ...] = ()
     key_cuts: tuple[float, ...] = ()
     if key:
-        seen: dict[float, int] = {}
-        for s in scores:
-            seen[s] = seen.get(s, 0) + 1
-        heavy = tuple(s for s, n in seen.items() if n >= HEAVY_CELLS)
-        keys = sorted(set(quantiles[1]))
-        stride = math.ceil(len(keys) * (len(heavy) + 2) / MAX_PIECES)
+        cells_of = Counter(s + 0.0 for s in scores)
+        heavy = tuple(s for s, n in cells_of.items() if n >= HEAVY_CELLS and math.isfinite(s))
+        keys = _cuts(quantiles[1])
+        stride = math.ceil(len(keys) * (len(heavy) + 4) / MAX_PIECES)
         key_cuts = tuple(keys[:: max(1, stride)])
-    return Cells(tuple(sorted(set(scores))), heavy, key_cuts)
+    return Cells(tuple(_cuts(scores)), heavy, key_cuts)
 
 
-def with_bucket(df: DataFrame, cells: Cells, score: str, key: str | None, out: str = "bucket") -> DataFrame:
+def with_bucket(df: DataFrame, cells: Cells, score: str, key: str | None, out: str = BUCKET) -> DataFrame:
     """Add the bucket number, increasing along the ranking."""
 
     def cell_of(table: DataFrame, column: str, cuts: tuple[float, ...], cell: str) -> DataFrame:
         if not cuts:
             return table.withColumn(cell, F.lit(0).cast("bigint"))
-        # Adding 0.0 folds negative zero into zero, as the sort order does.
-        known = F.coalesce(F.nanvl(_number(column), F.lit(0.0)), F.lit(0.0)) + F.lit(0.0)
+        known = F.coalesce(F.nanvl(_number(column), F.lit(0.0)), F.lit(0.0))
         splits = [float("-inf"), *cuts, float("inf")]
         return (
             Bucketizer(splits=splits, inputCol="_number", outputCol="_cell")
@@ -124,20 +128,28 @@ def with_bucket(df: DataFrame, cells: Cells, score: str, key: str | None, out: s
         )
 
     number = _number(score)
-    top = len(cells.score_cuts) + 1
+    last = len(cells.score_cuts)
     work = cell_of(df, score, cells.score_cuts, "_score_cell")
-    cell = F.when(number.isNull(), -1).when(F.isnan(number), top).otherwise(F.col("_score_cell"))
+    special = [
+        (F.isnan(number), last + 2),
+        (number == math.inf, last + 1),
+        (number == -math.inf, -1),
+        (number.isNull(), -2),
+    ]
+    cell, by_key = F.col("_score_cell"), F.lit(False)
+    for condition, place in special:
+        cell, by_key = F.when(condition, place).otherwise(cell), by_key | condition
+    place = last + 2 - cell
     if key is None:
-        return work.withColumn(out, F.coalesce(top - cell, F.lit(0))).drop("_score_cell")
+        return work.withColumn(out, F.coalesce(place, F.lit(0))).drop("_score_cell")
     work = cell_of(work, key, cells.key_cuts, "_key_cell")
-    by_key = number.isNull() | F.isnan(number)
     if cells.heavy:
         by_key = by_key | number.isin(*cells.heavy)
     width = len(cells.key_cuts) + 2
     # A heavy score is the lower end of its cell, so its rows come after the others there.
     piece = F.when(by_key, F.col("_key_cell") + 1).otherwise(0)
     # Never null; saying so keeps joins on the bucket from testing it once more per row.
-    bucket = F.coalesce((top - cell) * width + piece, F.lit(0))
+    bucket = F.coalesce(place * width + piece, F.lit(0))
     return work.withColumn(out, bucket).drop("_score_cell", "_key_cell")
 
 
@@ -146,8 +158,8 @@ def bucket_totals(bucketed: DataFrame, sums: dict[str, Column]) -> DataFrame:
 
     The running sums go over one row per bucket, a number bounded by the split points.
     """
-    totals = bucketed.groupBy("bucket").agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    earlier = Window.orderBy("bucket").rowsBetween(*UP_TO_PREVIOUS)
+    totals = bucketed.groupBy(BUCKET).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    earlier = Window.orderBy(BUCKET).rowsBetween(*UP_TO_PREVIOUS)
     return totals.select(
         "*",
         *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_before") for n in sums],
@@ -186,7 +198,7 @@ def global_rank(
 ) -> DataFrame:
     """Every row with its ``rank`` and, given a label, the running ``cum_positives``.
 
-    ``key`` is a unique numeric column. Pass ``rows`` when the row count is known already.
+    ``key`` is a unique numeric column without nulls. Pass ``rows`` when the row count is known already.
     """
     single, rows = _choose(df, strategy, rows, rows_per_task)
     order = _rank_order(score, key)
@@ -201,12 +213,12 @@ def global_rank(
     cells = plan_cells(narrow, score, key, rows, rows_per_task)
     sums = {"n": F.lit(1)} | ({"pos": is_positive(label)} if label else {})
     totals = bucket_totals(with_bucket(narrow, cells, score, key), sums)
-    totals = totals.select(F.col("bucket").alias("_bucket"), *[f"{n}_before" for n in sums])
-    w = Window.partitionBy("bucket").orderBy(*order)
+    totals = totals.select(F.col(BUCKET).alias("_bucket"), *[f"{n}_before" for n in sums])
+    w = Window.partitionBy(BUCKET).orderBy(*order)
     ranked = with_bucket(df, cells, score, key).withColumn("_row", F.row_number().over(w).cast("bigint"))
     if label:
         ranked = ranked.withColumn("_pos", F.sum(is_positive(label)).over(w.rowsBetween(*UP_TO_CURRENT)))
-    joined = ranked.join(_bounded(totals, cells), F.col("bucket") == F.col("_bucket"), "left")
+    joined = ranked.join(_bounded(totals, cells), F.col(BUCKET) == F.col("_bucket"), "left")
     columns = [*df.columns, (F.col("_row") + F.col("n_before")).alias("rank")]
     if label:
         columns.append((F.col("_pos") + F.col("pos_before")).alias("cum_positives"))
@@ -254,9 +266,9 @@ def rank_points(
         (F.col("pos_before") + F.col("pos")).alias("cum_positives"),
     )
     # One row per question at most, hence the broadcast.
-    asked = totals.where("asked").select(F.col("bucket").alias("_bucket"), "n_before", "pos_before")
-    w = Window.partitionBy("bucket").orderBy(*order)
-    rows_asked = bucketed.join(F.broadcast(asked), F.col("bucket") == F.col("_bucket")).select(
+    asked = totals.where("asked").select(F.col(BUCKET).alias("_bucket"), "n_before", "pos_before")
+    w = Window.partitionBy(BUCKET).orderBy(*order)
+    rows_asked = bucketed.join(F.broadcast(asked), F.col(BUCKET) == F.col("_bucket")).select(
         (F.col("n_before") + F.row_number().over(w)).alias("rank"),
         (F.col("pos_before") + F.sum("pos").over(w.rowsBetween(*UP_TO_CURRENT))).alias("cum_positives"),
     )
@@ -416,15 +428,15 @@ def score_groups(
     cells = plan_cells(df, score, None, size.rows, rows_per_task)
     bucketed = with_bucket(groups, cells, "score", None)
     totals = bucket_totals(bucketed, {"n": F.col("n"), "pos": F.col("pos")}).select(
-        F.col("bucket").alias("_bucket"), F.col("n_before").alias("_n"), F.col("pos_before").alias("_pos")
+        F.col(BUCKET).alias("_bucket"), F.col("n_before").alias("_n"), F.col("pos_before").alias("_pos")
     )
-    w = Window.partitionBy("bucket").orderBy(F.col("score").desc_nulls_last()).rowsBetween(*UP_TO_PREVIOUS)
+    w = Window.partitionBy(BUCKET).orderBy(F.col("score").desc_nulls_last()).rowsBetween(*UP_TO_PREVIOUS)
     local = bucketed.select(
         "*",
         F.coalesce(F.sum("n").over(w), F.lit(0)).alias("_n_local"),
         F.coalesce(F.sum("pos").over(w), F.lit(0)).alias("_pos_local"),
     )
-    return local.join(_bounded(totals, cells), F.col("bucket") == F.col("_bucket"), "left").select(
+    return local.join(_bounded(totals, cells), F.col(BUCKET) == F.col("_bucket"), "left").select(
         "score",
         "n",
         "pos",
