@@ -10,31 +10,34 @@ from pyspark.sql import functions as F
 from cohortry.functions.expressions import count_where, safe_ratio
 from cohortry.operators.ranking import (
     ROWS_PER_TASK,
+    Cells,
     Population,
     captured_at,
     contacts_to,
     depth_contacts,
+    plan_many,
     population,
+    populations,
     rank_points,
     score_groups,
     top_fraction,
     top_fraction_columns,
 )
 
+CELLS = ("n_rows", "tp", "tn", "fp", "fn")
+TOP = ("top_contacts", "top_captured", "top_capture", "top_lift", "top_contacts_per_case")
+
 
 def confusion_table(df: DataFrame, label: str, pred: str) -> DataFrame:
     return df.groupBy(label, pred).agg(F.count("*").alias("n_rows"))
 
 
 def _cells(label: str, pred: str) -> list[Column]:
+    """Rows, and rows by outcome, in the order of ``CELLS``."""
     y, p = F.col(label), F.col(pred)
-    return [
-        F.count("*").alias("n_rows"),
-        count_where((y == 1) & (p == 1)).alias("tp"),
-        count_where((y == 0) & (p == 0)).alias("tn"),
-        count_where((y == 0) & (p == 1)).alias("fp"),
-        count_where((y == 1) & (p == 0)).alias("fn"),
-    ]
+    outcomes = [(1, 1), (0, 0), (0, 1), (1, 0)]
+    cells = [F.count("*")] + [count_where((y == actual) & (p == said)) for actual, said in outcomes]
+    return [c.alias(n) for c, n in zip(cells, CELLS)]
 
 
 def _rates() -> list[Column]:
@@ -72,11 +75,12 @@ def auc(
     size: Population | None = None,
     strategy: str = "auto",
     rows_per_task: int = ROWS_PER_TASK,
+    cells: Cells | None = None,
 ) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; null when a class is absent."""
     size = size or population(df, label, score)
     negatives = size.rows - size.positives
-    groups = score_groups(df, score, label, size, strategy, rows_per_task)
+    groups = score_groups(df, score, label, size, strategy, rows_per_task, cells)
     neg = F.col("n") - F.col("pos")
     neg_above = F.col("n_before") - F.col("pos_before")
     beaten = F.col("pos") * (F.lit(float(negatives)) - neg_above - neg / 2)
@@ -108,57 +112,77 @@ def baseline_metrics(
 def _one_row(parts: list[DataFrame]) -> DataFrame:
     """Put one-row tables side by side: stack them, then keep the only value of each column."""
     columns = [c for part in parts for c in part.columns]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return stacked.agg(*[F.max(c).alias(c) for c in columns])
+    return metrics_frame(parts).agg(*[F.max(c).alias(c) for c in columns])
 
 
-def evaluate(
+def _confusions(df: DataFrame, label: str, predictions: dict[str, str]) -> DataFrame:
+    """Confusion metrics of several predictions from one pass; one row per model."""
+    sums, rows = [], []
+    for i, (model, pred) in enumerate(predictions.items()):
+        cells = _cells(label, pred)
+        sums += [c.alias(f"{n}{i}") for c, n in zip(cells, CELLS)]
+        rows.append(F.struct(F.lit(model).alias("model"), *[F.col(f"{n}{i}").alias(n) for n in CELLS]))
+    return df.agg(*sums).select(F.inline(F.array(*rows))).select("*", *_rates())
+
+
+def compare_models(
     df: DataFrame,
-    model: str,
+    models: dict[str, tuple[str, str]],
     label: str,
-    score: str,
-    pred: str,
     key: str,
     fraction: float = 0.20,
     target: float = 0.60,
     strategy: str = "auto",
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
-    """One evaluation record: AUC, confusion metrics, capture at a capacity, depth to a target.
+    """One evaluation record per model, best AUC first.
 
-    The input is scanned a few times; hand in a stored table or a persisted one.
+    ``models`` maps a name to its (score, prediction) columns. A record holds AUC, confusion
+    metrics, capture at a capacity and depth to a target. Sizes, split points and confusion
+    cells of all models come from one pass each. The table is scanned a few times per model
+    all the same: hand in a stored or a persisted one.
     """
-    size = population(df, label, score)
-    contacts = depth_contacts(size.rows, fraction, "ceil")
-    goal = size.positives * target
-    points = rank_points(df, score, key, label, [contacts], [goal], size.rows, strategy, rows_per_task)
-    ranked = points.agg(captured_at(contacts).alias("captured"), contacts_to(goal).alias("to_target"))
-    top = [c.alias(n) for c, n in zip(
-        top_fraction_columns(contacts, F.col("captured"), size.positives, fraction),
-        ("top_contacts", "top_captured", "top_capture", "top_lift", "top_contacts_per_case"),
-    )]
-    ranked = ranked.select(
-        *top,
-        F.col("to_target").alias("contacts_to_target"),
-        safe_ratio(F.col("to_target"), F.lit(size.rows)).alias("depth_to_target"),
-    )
-    parts = [auc(df, label, score, size, strategy, rows_per_task), confusion_metrics(df, label, pred), ranked]
-    return _one_row(parts).select(F.lit(model).alias("model"), "*")
+    scores = list(dict.fromkeys(score for score, _ in models.values()))
+    sizes = populations(df, label, scores)
+    rows, positives = next((s.rows, s.positives) for s in sizes.values())
+    contacts, goal = depth_contacts(rows, fraction, "ceil"), positives * target
+    cells = {}
+    if strategy == "buckets" or (strategy == "auto" and rows > rows_per_task):
+        cells = plan_many(df, scores, key, rows, rows_per_task)
+    records = [_confusions(df, label, {model: pred for model, (_, pred) in models.items()})]
+    for model, (score, _) in models.items():
+        points = rank_points(
+            df, score, key, label, [contacts], [goal], rows, strategy, rows_per_task, cells.get(score)
+        )
+        ranked = points.agg(captured_at(contacts).alias("captured"), contacts_to(goal).alias("to_target"))
+        top = top_fraction_columns(contacts, F.col("captured"), positives, fraction)
+        name = F.lit(model).alias("model")
+        records.append(
+            ranked.select(
+                name,
+                *[c.alias(n) for c, n in zip(top, TOP)],
+                F.col("to_target").alias("contacts_to_target"),
+                safe_ratio(F.col("to_target"), F.lit(rows)).alias("depth_to_target"),
+            )
+        )
+        area = auc(df, label, score, sizes[score], strategy, rows_per_task, cells.get(score))
+        records.append(area.select(name, "auc"))
+    stacked = metrics_frame(records)
+    columns = ["auc", *[c for c in stacked.columns if c not in ("auc", "model")]]
+    record = stacked.groupBy("model").agg(*[F.max(c).alias(c) for c in columns])
+    return record.orderBy(F.col("auc").desc_nulls_last(), "model")
+
+
+def evaluate(df: DataFrame, model: str, label: str, score: str, pred: str, key: str, **options) -> DataFrame:
+    """The evaluation record of one model; see ``compare_models``."""
+    return compare_models(df, {model: (score, pred)}, label, key, **options)
 
 
 def metrics_frame(records: list[DataFrame]) -> DataFrame:
-    """Stack evaluation records; columns one record lacks are null."""
+    """Stack records; columns one of them lacks are null."""
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), records)
 
 
-def compare_models(
-    df: DataFrame, models: dict[str, tuple[str, str]], label: str, key: str, **options
-) -> DataFrame:
-    """One record per model, best AUC first. ``models`` maps a name to (score, prediction) columns."""
-    records = [evaluate(df, name, label, score, pred, key, **options) for name, (score, pred) in models.items()]
-    return metrics_frame(records).orderBy(F.col("auc").desc_nulls_last(), "model")
-
-
 def subgroup_recall(
     df: DataFrame,
     group: str,

@@ -57,11 +57,19 @@ class Population:
     scores: int | None = None
 
 
-def population(df: DataFrame, label: str, score: str | None = None) -> Population:
-    scores = F.approx_count_distinct(score) if score else F.lit(None)
+def populations(df: DataFrame, label: str, scores: list[str]) -> dict[str, Population]:
+    """The population under each of several scores, from one pass."""
     positives = F.coalesce(F.sum(is_positive(label)), F.lit(0))
-    row = df.agg(F.count("*").alias("n"), positives.alias("p"), scores.alias("s")).first()
-    return Population(int(row["n"]), int(row["p"]), row["s"])
+    distinct = [F.approx_count_distinct(s).alias(f"s{i}") for i, s in enumerate(scores)]
+    row = df.agg(F.count("*").alias("n"), positives.alias("p"), *distinct).first()
+    return {s: Population(int(row["n"]), int(row["p"]), row[f"s{i}"]) for i, s in enumerate(scores)}
+
+
+def population(df: DataFrame, label: str, score: str | None = None) -> Population:
+    if score:
+        return populations(df, label, [score])[score]
+    row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(is_positive(label)), F.lit(0)).alias("p")).first()
+    return Population(int(row["n"]), int(row["p"]))
 
 
 def depth_contacts(rows: int, fraction: float, rounding: str) -> int:
@@ -92,24 +100,29 @@ def _cuts(quantiles: list[float]) -> list[float]:
     return sorted({q + 0.0 for q in quantiles if math.isfinite(q)})
 
 
-def plan_cells(df: DataFrame, score: str, key: str | None, rows: int, rows_per_task: int) -> Cells:
-    """Split points from one quantile pass; the driver sees only those."""
+def plan_many(
+    df: DataFrame, scores: list[str], key: str | None, rows: int, rows_per_task: int
+) -> dict[str, Cells]:
+    """Split points for several scores from one quantile pass; the driver sees only those."""
     wanted = min(MAX_CELLS, math.ceil(rows * BUCKETS_PER_TASK / rows_per_task))
     if wanted <= 1:
-        return Cells()
+        return {s: Cells() for s in scores}
     probs = [i / wanted for i in range(1, wanted)]
-    columns = [_number(score).alias("score")] + ([_number(key).alias("key")] if key else [])
-    quantiles = df.select(*columns).approxQuantile(["score", "key"][: len(columns)], probs, 0.5 / wanted)
-    scores = quantiles[0]
-    heavy: tuple[float, ...] = ()
-    key_cuts: tuple[float, ...] = ()
-    if key:
-        cells_of = Counter(s + 0.0 for s in scores)
-        heavy = tuple(s for s, n in cells_of.items() if n >= HEAVY_CELLS and math.isfinite(s))
-        keys = _cuts(quantiles[1])
+    columns = [_number(s).alias(f"_{i}") for i, s in enumerate(scores)] + ([_number(key).alias("_key")] if key else [])
+    numbers = df.select(*columns)
+    quantiles = numbers.approxQuantile(numbers.columns, probs, 0.5 / wanted)
+    keys = _cuts(quantiles[-1]) if key else []
+    planned = {}
+    for score, found in zip(scores, quantiles):
+        cells_of = Counter(q + 0.0 for q in found)
+        heavy = tuple(q for q, n in cells_of.items() if n >= HEAVY_CELLS and math.isfinite(q)) if key else ()
         stride = math.ceil(len(keys) * (len(heavy) + 4) / MAX_PIECES)
-        key_cuts = tuple(keys[:: max(1, stride)])
-    return Cells(tuple(_cuts(scores)), heavy, key_cuts)
+        planned[score] = Cells(tuple(_cuts(found)), heavy, tuple(keys[:: max(1, stride)]))
+    return planned
+
+
+def plan_cells(df: DataFrame, score: str, key: str | None, rows: int, rows_per_task: int) -> Cells:
+    return plan_many(df, [score], key, rows, rows_per_task)[score]
 
 
 def with_bucket(df: DataFrame, cells: Cells, score: str, key: str | None, out: str = BUCKET) -> DataFrame:
@@ -175,6 +188,7 @@ def _bounded(totals: DataFrame, cells: Cells) -> DataFrame:
 
 
 def _choose(df: DataFrame, strategy: str, rows: int | None, rows_per_task: int) -> tuple[bool, int]:
+    """Whether one window will do, and the row count (counted only where it decides)."""
     if strategy not in ("auto", "window", "buckets"):
         raise ValueError(f"unknown ranking strategy {strategy!r}")
     if strategy == "window":
@@ -235,6 +249,7 @@ def rank_points(
     rows: int,
     strategy: str = "auto",
     rows_per_task: int = ROWS_PER_TASK,
+    cells: Cells | None = None,
 ) -> DataFrame:
     """``rank, cum_positives`` at enough points of the ranking to answer the questions asked.
 
@@ -253,7 +268,7 @@ def rank_points(
             F.sum("pos").over(w.rowsBetween(*UP_TO_CURRENT)).alias("cum_positives"),
         )
 
-    cells = plan_cells(narrow, "score", "key", rows, rows_per_task)
+    cells = cells or plan_cells(narrow, "score", "key", rows, rows_per_task)
     bucketed = with_bucket(narrow, cells, "score", "key")
     totals = bucket_totals(bucketed, {"n": F.lit(1), "pos": F.col("pos")})
     if any(c <= 0 for c in captures):
@@ -407,6 +422,7 @@ def score_groups(
     size: Population,
     strategy: str = "auto",
     rows_per_task: int = ROWS_PER_TASK,
+    cells: Cells | None = None,
 ) -> DataFrame:
     """One row per distinct score: rows, positives, and both for all higher scores.
 
@@ -425,7 +441,7 @@ def score_groups(
             F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"),
             F.coalesce(F.sum("pos").over(earlier), F.lit(0)).alias("pos_before"),
         )
-    cells = plan_cells(df, score, None, size.rows, rows_per_task)
+    cells = cells or plan_cells(df, score, None, size.rows, rows_per_task)
     bucketed = with_bucket(groups, cells, "score", None)
     totals = bucket_totals(bucketed, {"n": F.col("n"), "pos": F.col("pos")}).select(
         F.col(BUCKET).alias("_bucket"), F.col("n_before").alias("_n"), F.col("pos_before").alias("_pos")
