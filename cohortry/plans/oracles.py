@@ -377,7 +377,7 @@ ORACLES: dict[str, str] = {
           ELSE (outer_d - inner_d) / greatest(inner_d, outer_d) END), 6) AS silhouette FROM ab""",
 }
 
-# The forms for large tables answer the same questions.
+# The forms for large tables, and a report read back, answer the same questions.
 for _twin, _of in {
     "global_rank_buckets": "global_rank",
     "top20_capture_buckets": "top20_capture",
@@ -385,5 +385,6 @@ for _twin, _of in {
     "gains_curve_buckets": "gains_curve",
     "evaluation_record_buckets": "evaluation_record",
     "auc_exact_buckets": "auc_exact",
+    "report_roundtrip": "risk_distribution",
 }.items():
     ORACLES[_twin] = ORACLES[_of]

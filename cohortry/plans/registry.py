@@ -14,7 +14,7 @@ from cohortry.plans import study
 from cohortry.plans.study import STAND_IN as C
 from cohortry.sources import reference, scratch
 from cohortry.sources.respondents import KEY, PREDICTORS, TARGET, respondents
-from cohortry.sources.tables import read_csv, read_table, write_csv, write_table
+from cohortry.sources.tables import read_csv, read_table, write_csv, write_report, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -97,6 +97,15 @@ def csv_inferred(spark, sf_dir):
     return read_csv(spark, path).select("variable", "code", F.col("n_rows").cast("bigint"))
 
 
+@query
+def report_roundtrip(spark, sf_dir):
+    """A small aggregate through a one-file CSV report."""
+    path = scratch.scratch_path(spark, "report")
+    report = risk_distribution(spark, sf_dir)
+    write_report(report, path)
+    return read_csv(spark, path, report.schema)
+
+
 @query
 def parquet_roundtrip(spark, sf_dir):
     path = scratch.scratch_path(spark, "respondents")
@@ -533,7 +542,7 @@ def scale_unit_std(spark, sf_dir):
 
 @query
 def selected_features(spark, sf_dir):
-    df = scratch.stored(imputed(spark, sf_dir), "imputed")
+    df = imputed(spark, sf_dir)
     return features.selection_report(training(df), study.predictors(df, C), TARGET, 12)
 
 
@@ -541,7 +550,7 @@ def selected_features(spark, sf_dir):
 
 
 def _transformed(spark: SparkSession, sf_dir: str) -> study.Transformed:
-    return study.transform(scratch.stored(imputed(spark, sf_dir), "imputed"), C, top=12)
+    return study.transform(imputed(spark, sf_dir), C, top=12)
 
 
 def scores_of(name: str) -> Query:

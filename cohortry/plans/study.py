@@ -163,7 +163,8 @@ def run_study(
     """Run every stage and write its table or report under ``out_dir``; returns name -> path.
 
     Stages meet in stored Parquet, so each later scan reads only the columns it needs and
-    nothing upstream is computed twice.
+    no shuffle upstream is repeated. Imputation and scaling are projections with fitted
+    literals over the prepared table; only their end result is written.
     """
     labels = labels if labels is not None else reference.code_labels(spark)
     bands = bands if bands is not None else reference.bmi_bands(spark)
@@ -192,7 +193,6 @@ def run_study(
         report(f"distribution_{column}", cleaning.distribution(prepared, column).orderBy(column))
 
     imputed, imputer = split_and_impute(prepared, c)
-    imputed = keep("imputed", imputed, splitting.SPLIT_COLUMN)
     report("medians", imputer.table(imputed))
     transformed = transform(imputed, c, top)
     train = keep("train", transformed.train)

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from cohortry.operators import clusters, metrics, models
 from cohortry.plans import registry, study
-from cohortry.sources import scratch
 
 SF = "/root/testdata/sf0.01"
 LABEL = study.STAND_IN.target
@@ -20,7 +19,7 @@ LABEL = study.STAND_IN.target
 
 @pytest.fixture(scope="module")
 def parts(spark):
-    return study.transform(scratch.stored(registry.imputed(spark, SF), "imputed"), study.STAND_IN, top=12)
+    return study.transform(registry.imputed(spark, SF), study.STAND_IN, top=12)
 
 
 def test_classifiers(parts):
