@@ -2,27 +2,27 @@
 
 ``BENCH_SF_DIR`` and ``BENCH_CPUS`` choose data and cores. Each query is built and run to
 the end (every row produced, none kept): once to warm up, then ``BENCH_RUNS`` times (once
-if it takes seconds), of which the best counts. ``plain_form`` holds, for comparison, the same questions asked the
-straightforward way: a global window, one job per count, one join per variable.
+if it takes seconds), of which the best counts. ``plain_form`` holds, for comparison, the
+same questions asked the straightforward way: a global window, a job per count, a join per
+variable, Spark ML's own.
 """
 
 from __future__ import annotations
 
 import json
-import math
 import os
 import sys
 import time
 from pathlib import Path
 
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.ml.feature import ChiSqSelector, VectorAssembler
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from cohortry.operators import features, ranking  # noqa: E402
 from cohortry.plans import registry, study  # noqa: E402
 from cohortry.plans.registry import QUERIES  # noqa: E402
 from cohortry.session import get_spark  # noqa: E402
@@ -42,68 +42,72 @@ def drain(df) -> None:
 
 
 def plain_code_violations(spark, sf_dir):
+    """A distinct and a join per variable."""
     df, labels = registry.known(spark, sf_dir), reference.code_labels(spark)
     for ours, theirs in study.STAND_IN.coded.items():
-        codes = df.where(F.col(ours).isNotNull()).select(F.col(ours).cast("double").alias("c")).distinct()
-        ref = labels.where(F.col("variable") == theirs).select(F.col("code").cast("double").alias("r"), "label")
-        codes.join(ref, F.col("c") == F.col("r"), "left").where(F.col("label").isNull()).count()
-        codes.orderBy("c").collect()
+        observed = df.select(F.col(ours).alias("code")).dropna().distinct()
+        observed.join(labels.where(F.col("variable") == theirs), "code", "left_anti").count()
+        observed.sort("code").toPandas()
 
 
 def plain_global_rank(spark, sf_dir):
+    """One window over everything, ties left open."""
     df = registry.scored_by_bmi(spark, sf_dir).select("id", "bmi")
-    drain(df.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("bmi")))))
+    drain(df.select("*", F.row_number().over(Window.orderBy(F.desc("bmi")))))
 
 
 def plain_gains_curve(spark, sf_dir):
-    df = registry.scored_by_points(spark, sf_dir).orderBy(F.desc("risk_points"))
-    total = df.where("target = 1").count()
-    rows = df.select("target", "risk_points").collect()
-    for depth in (0.05, 0.10, 0.15, 0.20, 0.25, 0.30, 0.40, 0.50):
-        sum(1 for r in rows[: int(len(rows) * depth)] if r["target"] == 1) / total
+    """All rows to the driver in score order, running sums there."""
+    df = registry.scored_by_points(spark, sf_dir).select("risk_points", "target")
+    local = df.sort(F.desc("risk_points")).toPandas()
+    share = local["target"].cumsum() / local["target"].sum()
+    [share.iloc[int(len(local) * depth) - 1] for depth in ranking.GAINS_DEPTHS]
 
 
-def plain_confusion(df, pred):
-    for y, p in ((1, 1), (0, 0), (0, 1), (1, 0)):
-        df.where((F.col("target") == y) & (F.col(pred) == p)).count()
+def count_outcomes(df, pred):
+    """A job per confusion cell."""
+    for cell in ("target = 1 and {} = 1", "target = 1 and {} = 0", "target = 0 and {} = 1", "target = 0 and {} = 0"):
+        df.where(cell.format(pred)).count()
+
+
+def plain_confusion_metrics(spark, sf_dir):
+    count_outcomes(registry.with_points(spark, sf_dir), "risk_flag")
 
 
 def plain_evaluation_record(spark, sf_dir):
+    """A job per figure, two of them over a global window."""
     df = registry._given_scores(spark, sf_dir)
-    n = df.count()
     BinaryClassificationEvaluator(labelCol="target", rawPredictionCol="weight_score").evaluate(df)
-    df.groupBy("target", "bmi_flag").count().orderBy("target", "bmi_flag").collect()
-    plain_confusion(df, "bmi_flag")
-    positives = df.where("target = 1").count()
-    by_score = Window.orderBy(F.desc("weight_score"))
-    ranked = df.withColumn("rank", F.row_number().over(by_score))
-    ranked.where((F.col("rank") <= math.ceil(n * 0.2)) & (F.col("target") == 1)).count()
-    running = ranked.withColumn("cum", F.sum("target").over(by_score.rowsBetween(Window.unboundedPreceding, 0)))
-    running.where(F.col("cum") >= positives * 0.6).orderBy("rank").first()
-
-
-def plain_confusion_metrics(spark, sf_dir):
-    plain_confusion(registry.with_points(spark, sf_dir), "risk_flag")
+    drain(df.groupBy("target", "bmi_flag").count())
+    count_outcomes(df, "bmi_flag")
+    rows, positives = df.count(), df.where("target = 1").count()
+    everything = Window.orderBy(F.desc("weight_score"))
+    df.select("target", F.row_number().over(everything).alias("r")).where(f"r <= {0.2 * rows} and target = 1").count()
+    running = F.sum("target").over(everything.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    ranked = df.select(F.row_number().over(everything).alias("r"), running.alias("c"))
+    ranked.where(f"c >= {0.6 * positives}").agg(F.min("r")).first()
 
 
 def plain_subgroup_recall(spark, sf_dir):
-    df = registry._with_rules(registry.testing(registry.imputed(spark, sf_dir)))
-    hit = lambda p: F.sum(F.when((F.col("target") == 1) & (F.col(p) == 1), 1).otherwise(0))
-    left = df.groupBy("income").agg(F.sum("target").alias("pos"), hit("risk_flag").alias("a"), hit("bmi_flag").alias("b"))
-    drain(left.join(df.groupBy("income").agg(hit("health_flag").alias("c")), "income", "left").orderBy("income"))
+    """A grouped table per scored table, joined on the group."""
+    df = registry._with_rules(registry.testing(registry.imputed(spark, sf_dir))).where("target = 1")
+    first = df.groupBy("income").agg(F.count("*"), F.sum("risk_flag"), F.sum("bmi_flag"))
+    drain(first.join(df.groupBy("income").agg(F.sum("health_flag")), "income", "left").sort("income"))
 
 
 def plain_chi_square_scores(spark, sf_dir):
+    """Spark ML's selector on the assembled vector."""
     df = registry.training(registry.imputed(spark, sf_dir))
-    columns = study.predictors(df, study.STAND_IN)
-    vectors = VectorAssembler(inputCols=columns, outputCol="v").transform(df)
-    ChiSqSelector(numTopFeatures=12, featuresCol="v", outputCol="s", labelCol="target").fit(vectors)
+    features.select_top(df, study.predictors(df, study.STAND_IN), "target", 12, mode="ml")
 
 
 def plain_silhouette(spark, sf_dir):
-    df = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
-    df = df.select(array_to_vector(F.col("embedding").cast("array<double>")).alias("v"), F.col("label").cast("double").alias("c"))
-    ClusteringEvaluator(featuresCol="v", predictionCol="c").evaluate(df)
+    """Spark ML's evaluator."""
+    df = registry.read_table(spark, f"{sf_dir}/embeddings.parquet")
+    vectors = df.select(
+        array_to_vector(F.col("embedding").cast("array<double>")).alias("v"), F.col("label").cast("double").alias("c")
+    )
+    ClusteringEvaluator(featuresCol="v", predictionCol="c").evaluate(vectors)
 
 
 PLAIN = {

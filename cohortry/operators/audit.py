@@ -31,11 +31,12 @@ def _rows_from_one(totals: DataFrame, entries: list[dict]) -> DataFrame:
 def profile(df: DataFrame, columns: list[str]) -> DataFrame:
     """Count, mean, sample standard deviation, minimum and maximum of each numeric column.
 
-    One aggregation for all columns; one output row per column.
+    One aggregation for all columns; one output row per column. Text that is no number
+    counts as known but has no mean or range.
     """
     aggregates = []
     for c in columns:
-        number = F.col(c).cast("double")
+        number = F.col(c).try_cast("double")
         aggregates += [
             F.count(c).alias(f"{c}__count"),
             F.avg(number).alias(f"{c}__mean"),

@@ -59,10 +59,11 @@ def assemble(df: DataFrame, columns: list[str], out: str = "features") -> DataFr
 def chi_square(df: DataFrame, columns: list[str], label: str) -> DataFrame:
     """Pearson statistic and degrees of freedom of each coded column against the label.
 
-    The contingency tables of all columns come from one scan with map-side combine. From
-    then on there is one row per (column, value, label): the statistic is
-    ``n * (sum of observed^2 / (row total * column total)) - n``, in which empty cells
-    contribute nothing.
+    The contingency tables of all columns come from one scan with map-side combine. With
+    observed counts o, row totals r and column totals c the statistic is
+    ``n * sum over labels of (sum of o^2 / r) / c - n``: empty cells contribute nothing and
+    the column totals fall out of the same sums. The only window spans the labels of one
+    value, so a column of many values never gathers in one task.
     """
     observed = (
         df.select(F.col(label).cast("double").alias("_y"), *[F.col(c).cast("double").alias(c) for c in columns])
@@ -70,20 +71,28 @@ def chi_square(df: DataFrame, columns: list[str], label: str) -> DataFrame:
         .groupBy("feature", "value", F.col("_y").alias("y"))
         .agg(F.count("*").cast("double").alias("o"))
     )
-    margins = observed.select(
-        "*",
-        F.sum("o").over(Window.partitionBy("feature", "value")).alias("r"),
-        F.sum("o").over(Window.partitionBy("feature", "y")).alias("c"),
+    value = Window.partitionBy("feature", "value")
+    rows = observed.select(
+        "feature",
+        "y",
+        "o",
+        F.sum("o").over(value).alias("r"),
+        (F.row_number().over(value.orderBy("y")) == 1).cast("bigint").alias("first"),
+    )
+    by_label = rows.groupBy("feature", "y").agg(
+        F.sum(F.col("o") * F.col("o") / F.col("r")).alias("s"),
+        F.sum("o").alias("c"),
+        F.sum("first").alias("values"),
     )
-    sums = margins.groupBy("feature").agg(
-        F.sum("o").alias("n"),
-        F.sum(F.col("o") * F.col("o") / (F.col("r") * F.col("c"))).alias("s"),
-        F.countDistinct("value").alias("values"),
-        F.countDistinct("y").alias("labels"),
+    sums = by_label.groupBy("feature").agg(
+        F.sum("c").alias("n"),
+        F.sum(F.col("s") / F.col("c")).alias("share"),
+        F.sum("values").alias("values"),
+        F.count("*").alias("labels"),
     )
     return sums.select(
         "feature",
-        (F.col("n") * F.col("s") - F.col("n")).alias("statistic"),
+        (F.col("n") * F.col("share") - F.col("n")).alias("statistic"),
         ((F.col("values") - 1) * (F.col("labels") - 1)).alias("dof"),
     )
 

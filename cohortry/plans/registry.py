@@ -57,6 +57,11 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return study.prepare(respondents(spark, sf_dir), C, reference.bmi_bands(spark))
 
 
+def stored_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written once to scratch storage by part, for queries that scan it several times."""
+    return scratch.stored(prepared(spark, sf_dir), "prepared", splitting.SPLIT_COLUMN)
+
+
 def training(df: DataFrame) -> DataFrame:
     return splitting.take_split(df, splitting.TRAINING)
 
@@ -66,9 +71,7 @@ def testing(df: DataFrame) -> DataFrame:
 
 
 def imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Prepared once into scratch storage, since the fit and every use scan it again."""
-    table = scratch.stored(prepared(spark, sf_dir), "prepared")
-    return study.split_and_impute(table, C)[0]
+    return study.split_and_impute(stored_prepared(spark, sf_dir), C)[0]
 
 
 def scored_by_bmi(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,7 +200,7 @@ def class_weights_ratio(spark, sf_dir):
 @query
 def weighted_rows(spark, sf_dir):
     """Training weights on the rows of both parts, summed per part and class."""
-    table = scratch.stored(prepared(spark, sf_dir), "prepared")
+    table = stored_prepared(spark, sf_dir)
     weighted = splitting.apply_weights(table, splitting.class_weights(training(table), TARGET), TARGET)
     sums = weighted.groupBy(splitting.SPLIT_COLUMN, TARGET).agg(
         F.count("*").alias("n_rows"), F.sum("class_weight").alias("total_weight")
@@ -357,7 +360,7 @@ def cluster_profile(spark, sf_dir):
 
 @query
 def train_medians(spark, sf_dir):
-    table = scratch.stored(prepared(spark, sf_dir), "prepared")
+    table = stored_prepared(spark, sf_dir)
     return study.split_and_impute(table, C)[1].table(table)
 
 
@@ -491,7 +494,7 @@ def best_by(spark, sf_dir):
 
 @query
 def trace_rows(spark, sf_dir):
-    table = scratch.stored(prepared(spark, sf_dir), "prepared")
+    table = stored_prepared(spark, sf_dir)
     test = testing(table)
     tables = {
         "flagged": points.threshold_flag(test, "risk_points", "flag"),

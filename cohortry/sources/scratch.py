@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cohortry.sources.tables import write_table
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder from ``spark.checkpoint.dir``.
@@ -29,12 +31,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """The table written once to the scratch folder and read back.
 
     It cuts the lineage: later scans read columns from shared storage, and an executor
-    lost afterwards costs nothing that has to be recomputed.
+    lost afterwards costs nothing that has to be recomputed. ``partition_by`` lets scans
+    of one part skip the files of the others.
     """
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    write_table(df, path, partition_by)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

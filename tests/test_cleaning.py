@@ -59,6 +59,13 @@ def test_audits_of_an_empty_table(spark):
     assert audit.profile(empty, ["bmi"]).first()["n_known"] == 0
 
 
+def test_profile_of_text_and_numbers(spark):
+    df = spark.createDataFrame([("a", 1), ("2", 3), (None, None)], "t string, n int")
+    rows_by = {r["column_name"]: r for r in audit.profile(df, ["t", "n"]).collect()}
+    assert (rows_by["t"]["n_known"], rows_by["t"]["min"], rows_by["t"]["stddev"]) == (2, 2.0, None)
+    assert (rows_by["n"]["n_rows"], rows_by["n"]["mean"]) == (3, 2.0)
+
+
 def test_require_columns(people):
     audit.require_columns(people, ["age"])
     with pytest.raises(ValueError, match="nope"):
