@@ -571,14 +571,35 @@ for _name in models.ESTIMATORS:
     query(scores_of(_name))
 
 
+def _scored(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> DataFrame:
+    """The test part scored by several classifiers in one pass, stored for evaluation."""
+    parts = _transformed(spark, sf_dir)
+    fitted = models.fit_classifiers(parts.train, TARGET, names, overrides=LIGHT)
+    return scratch.stored(models.score_models(parts.test, fitted).drop("features"), "scored")
+
+
 @query
 def classifier_comparison(spark, sf_dir):
-    """All four classifiers scored in one pass over the test part, then compared."""
-    parts = _transformed(spark, sf_dir)
-    fitted = models.fit_classifiers(parts.train, TARGET, overrides=LIGHT)
-    scored = models.score_models(parts.test, fitted).drop("features")
-    names = {m: (f"{m}_score", f"{m}_prediction") for m in fitted}
-    return metrics.compare_models(scratch.stored(scored, "scored"), names, TARGET, KEY)
+    names = tuple(models.ESTIMATORS)
+    columns = {m: (f"{m}_score", f"{m}_prediction") for m in names}
+    return metrics.compare_models(_scored(spark, sf_dir, names), columns, TARGET, KEY)
+
+
+@query
+def classifier_subgroup_recall(spark, sf_dir):
+    """Recall per income band of two classifiers against the rule's flag."""
+    rules = {"risk": "risk_flag", "lr": "lr_prediction", "gbt": "gbt_prediction"}
+    return metrics.subgroup_recall(_scored(spark, sf_dir, ("lr", "gbt")), C.group, TARGET, rules, "risk", overall=True)
+
+
+@query
+def classifier_gains(spark, sf_dir):
+    return ranking.gains_curve(_scored(spark, sf_dir, ("lr",)), "lr_score", KEY, TARGET)
+
+
+@query
+def classifier_thresholds(spark, sf_dir):
+    return ranking.threshold_sweep(_scored(spark, sf_dir, ("lr",)), TARGET, "lr_score")
 
 
 @query

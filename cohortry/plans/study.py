@@ -202,7 +202,12 @@ def run_study(
     fitted = models.fit_classifiers(train, c.target, overrides=overrides)
     scored = keep("scored", models.score_models(test, fitted).drop("features"))
     names = {m: (f"{m}_score", f"{m}_prediction") for m in fitted}
-    report("model_comparison", metrics.compare_models(scored, names, c.target, c.key))
+    comparison = metrics.compare_models(scored, names, c.target, c.key).persist()
+    report("model_comparison", comparison)
+    adrift = [r["model"] for r in comparison.where(~F.col("reconciles")).collect()]
+    comparison.unpersist()
+    if adrift:
+        raise ValueError(f"confusion cells do not add up to the test rows for {adrift}")
     report("baseline", metrics.baseline_metrics(scored, c.target, c.risk_flag, c.risk_points, c.key))
     rules = {"risk": c.risk_flag} | {m: p for m, (_, p) in names.items()}
     report("subgroup_recall", metrics.subgroup_recall(scored, c.group, c.target, rules, "risk", overall=True).orderBy(c.group))
@@ -216,8 +221,8 @@ def run_study(
     assigned = clusters.fit_clusters(train, best)
     report("cluster_profile", clusters.cluster_profile(assigned, "cluster", list(c.profiled), c.target).orderBy("cluster"))
 
-    expected = test.count()
-    report("trace_rows", trace_rows({"scored": scored, **{m: scored.where(F.col(p).isNotNull()) for m, (_, p) in names.items()}}, expected))
+    tables = {m: scored.where(F.col(p).isNotNull()) for m, (_, p) in names.items()}
+    report("trace_rows", trace_rows({"scored": scored} | tables, test.count()))
     return paths
 
 

@@ -18,7 +18,7 @@ def test_names():
     without = set(queries) - set(oracles)
     assert without == {
         "selected_features", "scores_lr", "scores_dt", "scores_rf", "scores_gbt", "classifier_comparison",
-        "rf_sensitivity", "kmeans_screening", "kmeans_profile",
+        "classifier_subgroup_recall", "classifier_gains", "classifier_thresholds", "rf_sensitivity", "kmeans_screening", "kmeans_profile",
     }
 
 

@@ -36,6 +36,16 @@ def test_classifiers(parts):
         assert record["top_capture"] > 0.3
 
 
+def test_classifier_reports(spark):
+    recall = registry.QUERIES["classifier_subgroup_recall"](spark, SF).collect()
+    overall = next(r for r in recall if r["is_overall"])
+    assert overall["lr_tp"] == sum(r["lr_tp"] for r in recall if not r["is_overall"])
+    gains = [r["capture"] for r in registry.QUERIES["classifier_gains"](spark, SF).orderBy("depth").collect()]
+    assert gains == sorted(gains) and gains[-1] > 0.8
+    sweep = registry.QUERIES["classifier_thresholds"](spark, SF).orderBy("threshold").collect()
+    assert [r["contacted"] for r in sweep] == sorted((r["contacted"] for r in sweep), reverse=True)
+
+
 def test_refit_is_the_same(parts):
     runs = []
     for _ in range(2):
