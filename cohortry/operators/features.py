@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Imputer, UnivariateFeatureSelector, VectorAssembler
-from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,32 +97,40 @@ def chi_square(df: DataFrame, columns: list[str], label: str) -> DataFrame:
     )
 
 
+def chi_square_p(statistic: float, dof: int) -> float:
+    """Upper tail of the chi-square distribution: a finite sum, since ``dof`` is whole."""
+    x, odd = statistic / 2, dof % 2
+    if dof <= 0 or x <= 0:
+        return 1.0
+    powers = [odd / 2 + i for i in range(dof // 2)]
+    tail = math.fsum(math.exp(a * math.log(x) - x - math.lgamma(a + 1)) for a in powers)
+    return min(1.0, tail + (math.erfc(math.sqrt(x)) if odd else 0.0))
+
+
 def rank_features(train: DataFrame, columns: list[str], label: str) -> DataFrame:
     """``rank, feature, statistic, dof, p_value``, strongest association first.
 
     On large tables many p-values underflow to zero, so ties go to the larger statistic
-    per degree of freedom, then to the name. Columns must be coded or binned: the test
-    takes each value as a category and refuses more than 10,000.
+    per degree of freedom, then to the name. Columns should be coded or binned: the test
+    takes each value as a category. The statistics, one row per column, are ordered on
+    the driver.
     """
-    vector = assemble(train.select(*columns, F.col(label).cast("double").alias("_y")), columns, "_v")
-    tests = ChiSquareTest.test(vector, "_v", "_y", flatten=True)
-    names = F.array(*[F.lit(c) for c in columns])
-    scored = tests.select(
-        F.element_at(names, F.col("featureIndex") + 1).alias("feature"),
-        "statistic",
-        F.col("degreesOfFreedom").cast("bigint").alias("dof"),
-        F.col("pValue").alias("p_value"),
+    tests = [
+        (r["feature"], r["statistic"], r["dof"], chi_square_p(r["statistic"], r["dof"]))
+        for r in chi_square(train, columns, label).collect()
+    ]
+    tests.sort(key=lambda t: (t[3], -(t[1] / t[2] if t[2] else 0.0), t[0]))
+    return train.sparkSession.createDataFrame(
+        [(rank, *test) for rank, test in enumerate(tests, start=1)],
+        "rank int, feature string, statistic double, dof bigint, p_value double",
     )
-    strength = F.when(F.col("dof") > 0, F.col("statistic") / F.col("dof")).otherwise(0.0)
-    # One row per feature: the window is as small as the column list.
-    order = Window.orderBy(F.col("p_value").asc(), strength.desc(), F.col("feature").asc())
-    return scored.select(F.row_number().over(order).alias("rank"), "*")
 
 
 def select_top(train: DataFrame, columns: list[str], label: str, n: int, mode: str = "strength") -> list[str]:
     """The ``n`` selected columns, in their original order.
 
-    ``ml`` is Spark ML's selector, in which tied p-values keep the column order.
+    ``ml`` is Spark ML's selector, in which tied p-values keep the column order and more
+    than 10,000 values of a column are an error.
     """
     if mode == "strength":
         kept = {r["feature"] for r in rank_features(train, columns, label).where(F.col("rank") <= n).collect()}

@@ -7,6 +7,7 @@ import random
 
 import pytest
 from pyspark.ml.feature import StandardScaler
+from pyspark.ml.stat import ChiSquareTest
 from pyspark.sql import functions as F
 
 from cohortry.operators import features
@@ -90,14 +91,34 @@ def coded(df):
 
 def test_chi_square_equals_spark_ml(df):
     columns = ["code", "noise", "strong", "same"]
-    ours = {r["feature"]: r for r in features.chi_square(coded(df), columns, "y").collect()}
     ranked = features.rank_features(coded(df), columns, "y").orderBy("rank").collect()
+    vectors = features.assemble(coded(df), columns, "v")
+    theirs = {columns[r["featureIndex"]]: r for r in ChiSquareTest.test(vectors, "v", "y", flatten=True).collect()}
     for r in ranked:
-        assert ours[r["feature"]]["statistic"] == pytest.approx(r["statistic"], abs=1e-6)
-        assert ours[r["feature"]]["dof"] == r["dof"]
+        ml = theirs[r["feature"]]
+        assert r["statistic"] == pytest.approx(ml["statistic"], abs=1e-6)
+        assert r["dof"] == ml["degreesOfFreedom"]
+        assert r["p_value"] == pytest.approx(ml["pValue"], abs=1e-9)
+    assert [r["rank"] for r in ranked] == [1, 2, 3, 4]
     assert ranked[0]["feature"] == "strong" and ranked[-1]["feature"] == "same"
 
 
+@pytest.mark.parametrize(
+    "statistic, dof, p",
+    [(3.841458820694124, 1, 0.05), (5.991464547107979, 2, 0.05), (18.307038053275146, 10, 0.05), (0.0, 5, 1.0), (9.0, 0, 1.0), (1e5, 3, 0.0)],
+)
+def test_chi_square_tail(statistic, dof, p):
+    """Critical values from the published tables."""
+    assert features.chi_square_p(statistic, dof) == pytest.approx(p, abs=1e-12)
+
+
+def test_chi_square_of_many_values(spark):
+    """More categories than Spark ML accepts; the expected counts are one half each."""
+    df = spark.range(24_000).select((F.col("id") % 12_000).alias("v"), F.floor(F.col("id") / 12_000).alias("y"))
+    row = features.chi_square(df, ["v"], "y").first()
+    assert (row["dof"], row["statistic"]) == (11_999, pytest.approx(0.0, abs=1e-6))
+
+
 def test_selection_breaks_ties_by_strength(spark):
     """All p-values underflow to zero; the stronger feature must win, not the earlier column."""
     df = spark.range(6_000).select(
