@@ -146,7 +146,7 @@ def main() -> None:
         "unit": "sec",
         "queries": queries,
         "plain_form": plain,
-        "sf": Path(sf_dir).name.removeprefix("sf"),
+        "sf": float(Path(sf_dir).name.removeprefix("sf")),
     }
     print(json.dumps(result), flush=True)
     spark.stop()

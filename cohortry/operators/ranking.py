@@ -25,6 +25,7 @@ from operator import or_
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from cohortry.functions.expressions import is_positive, safe_ratio
 
@@ -104,6 +105,9 @@ def plan_many(
     df: DataFrame, scores: list[str], key: str | None, rows: int, rows_per_task: int
 ) -> dict[str, Cells]:
     """Split points for several scores from one quantile pass; the driver sees only those."""
+    for column in [*scores, *([key] if key else [])]:
+        if not isinstance(df.schema[column].dataType, NumericType):
+            raise ValueError(f"ranking needs numbers, and {column!r} holds none")
     wanted = min(MAX_CELLS, math.ceil(rows * BUCKETS_PER_TASK / rows_per_task))
     if wanted <= 1:
         return {s: Cells() for s in scores}

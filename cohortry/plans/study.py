@@ -231,8 +231,23 @@ def _selection(train: DataFrame, c: StudyColumns, imputed: DataFrame, selected:
     return features.selection_report(train, candidates, c.target, len(selected)).orderBy("rank")
 
 
-def run_survey(spark: SparkSession, csv_path: str, out_dir: str, labels_csv: str | None = None, bands_csv: str | None = None, **options) -> dict[str, str]:
-    """``run_study`` on the survey's CSV extract, with the reference tables from CSV if given."""
+def run_survey(
+    spark: SparkSession,
+    csv_path: str,
+    out_dir: str,
+    labels_csv: str | None = None,
+    bands_csv: str | None = None,
+    schema: str | None = None,
+    **options,
+) -> dict[str, str]:
+    """``run_study`` on the survey's CSV extract, with the reference tables from CSV if given.
+
+    The extract is parsed once and stored as Parquet, which every later scan reads. Give
+    its schema on large inputs: inferring it reads the text once more.
+    """
     labels = read_csv(spark, labels_csv, reference.LABEL_SCHEMA) if labels_csv else None
     bands = reference.bands_of(read_csv(spark, bands_csv, reference.BAND_SCHEMA)) if bands_csv else None
-    return run_study(spark, read_csv(spark, csv_path), SURVEY, out_dir, labels, bands, **options)
+    stored = f"{out_dir.rstrip('/')}/source"
+    write_table(read_csv(spark, csv_path, schema), stored)
+    paths = run_study(spark, read_table(spark, stored), SURVEY, out_dir, labels, bands, **options)
+    return {"source": stored} | paths

@@ -6,6 +6,8 @@ import math
 import random
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from cohortry.operators import ranking
@@ -153,6 +155,25 @@ def test_ceil_and_floor_depths():
     assert ranking.depth_contacts(101, 0.20, "floor") == 20
 
 
+SCORES = st.one_of(st.none(), st.sampled_from([NAN, math.inf, -math.inf, 0.0, -0.0, 1.0]), st.floats(-5, 5), st.integers(0, 3).map(float))
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(SCORES, st.integers(0, 1)), min_size=1, max_size=120), st.integers(5, 60))
+def test_any_scores_rank_alike(spark, drawn, rows_per_task):
+    rows = [(7 * i % 1009, score, y) for i, (score, y) in enumerate(drawn)]
+    df = spark.createDataFrame(rows, SCHEMA).coalesce(2)
+    ranked = ranking.global_rank(df, "score", "id", "y", strategy="buckets", rows_per_task=rows_per_task)
+    got = [r["id"] for r in sorted(ranked.collect(), key=lambda r: r["rank"])]
+    assert got == [r[0] for r in ordered(rows)]
+
+
+def test_text_is_refused_by_the_buckets(spark):
+    df = spark.createDataFrame([("a", 0.5, 1)], "id string, score double, y int")
+    with pytest.raises(ValueError, match="'id'"):
+        ranking.global_rank(df, "score", "id", **BUCKETS)
+
+
 def test_unknown_choices_are_refused(spark):
     df = frame(spark, table("points", 10))
     with pytest.raises(ValueError, match="strategy"):
