@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortry.operators import bands as band_ops
 from cohortry.operators import cleaning, clusters, codes, features, metrics, models, points, ranking, splitting
@@ -237,7 +238,7 @@ def run_survey(
     out_dir: str,
     labels_csv: str | None = None,
     bands_csv: str | None = None,
-    schema: str | None = None,
+    schema: StructType | str | None = None,
     **options,
 ) -> dict[str, str]:
     """``run_study`` on the survey's CSV extract, with the reference tables from CSV if given.

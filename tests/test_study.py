@@ -65,7 +65,7 @@ def test_survey_csv(spark, tmp_path, with_id):
     reference._values_table(spark, reference.BMI_BANDS, reference.BAND_SCHEMA).write.option("header", True).csv(str(tmp_path / "bands"))
     paths = study.run_survey(
         spark, str(tmp_path / "survey"), str(tmp_path / "out"), str(tmp_path / "labels"), str(tmp_path / "bands"),
-        schema=df.schema.simpleString()[7:-1] if with_id else None, overrides=SMALL, ks=(2,),
+        schema=df.schema if with_id else None, overrides=SMALL, ks=(2,),
     )
     assert spark.read.parquet(paths["source"]).count() == df.count()
     prepared = spark.read.parquet(paths["prepared"])
