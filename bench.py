@@ -129,7 +129,7 @@ def best(run, runs: int) -> float:
         return time.perf_counter() - start
 
     warm = once()
-    return round(min(once() for _ in range(1 if warm > 4 else runs)), 3)
+    return round(min(once() for _ in range(1 if warm > 8 else runs)), 3)
 
 
 def main() -> None:
