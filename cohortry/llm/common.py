@@ -9,6 +9,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortry.sources.tables import read_table
 
@@ -43,7 +44,7 @@ def importable(spark: SparkSession) -> None:
 
 
 def map_batches(
-    df: DataFrame, work: Callable[[pa.RecordBatch], dict[str, object]], schema: str
+    df: DataFrame, work: Callable[[pa.RecordBatch], dict[str, object]], schema: str | StructType
 ) -> DataFrame:
     """Apply ``work`` to every Arrow batch; it returns columns in the order of ``schema``.
 
