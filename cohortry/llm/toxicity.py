@@ -10,15 +10,15 @@ Labels belong to documents, so examples come from them in two steps. Words that
 toxic documents far more often than chance allows (false discovery rate below
 ``FALSE_SHARE``) are the positive examples, also with a letter inserted or doubled; words of
 clean documents are the negative ones, the nearest to the positives among them. A document
-is judged by the two highest margins of its words, by a logistic function fitted on the
-labelled documents.
+is judged by the highest margins of its words (the first, second, third and fifth, words
+counting as often as they are written) and its number of different words, by a piecewise linear logistic function fitted on the labelled documents.
 
 Labels are learned from about ``SAMPLE_DOCS`` documents of each class, chosen by hash. Marks
 and digits inside words that stand for letters are read as letters, other marks are left
 out, and runs of one- or two-letter words are also read as one word.
 
-Defined results: null and empty texts have no words and get the score of a text with two
-words of margin ``FLOOR``; without labelled documents of both classes every score is 0; a
+Defined results: null and empty texts have no words and get the score of a text whose
+margins are all ``FLOOR``; without labelled documents of both classes every score is 0; a
 document with several labels is toxic if one says so; a null doc_id is never held out and
 never learned from; repeated rows give repeated rows; an empty table gives an empty one;
 other columns don't matter.
@@ -26,12 +26,13 @@ other columns don't matter.
 
 from __future__ import annotations
 
+import heapq
+import math
 import re
 from collections import defaultdict
 from dataclasses import dataclass
 from functools import cache
 from itertools import combinations
-from math import comb
 
 import numpy as np
 import pandas as pd
@@ -50,10 +51,14 @@ LONGEST = 24
 SAMPLE_DOCS = 5_000
 FALSE_SHARE = 0.05
 POSITIVES = 96
-NEGATIVE_LANDMARKS = 64
+NEGATIVE_LANDMARKS = 96
+MAX_WEIGHT = 20
 NEAR_NEGATIVES = 1_500
 OTHER_NEGATIVES = 3_000
-FLOOR = -3.0
+FLOOR = -2.0
+CEILING = 5.0
+KNEES = (0.0, 1.0, 1.8)
+RANKS = (0, 1, 2, 4)
 CACHED_WORDS = 400_000
 THRESHOLD = 0.7
 
@@ -78,10 +83,9 @@ def windows(letters: str) -> list[str]:
     return [letters[i : i + LONGEST] for i in range(0, len(letters) - LONGEST // 2, LONGEST // 2)]
 
 
-def words_of(text: str | None) -> set[str]:
+def words_of(text: str | None) -> list[str]:
     lower = (text or "").lower()
-    runs = {"".join(r.split()) for r in _RUN.findall(lower)}
-    return set(lower.split()) | runs
+    return lower.split() + ["".join(r.split()) for r in _RUN.findall(lower)]
 
 
 @cache
@@ -149,11 +153,11 @@ def kernel(left: list[str], right: list[str]) -> np.ndarray:
 
 @dataclass
 class Scorer:
-    """The folded machine and the logistic function over the two highest margins."""
+    """The folded machine and the logistic function over a text's evidence."""
 
     weights: np.ndarray
     bias: float
-    logistic: tuple[float, float, float]
+    logistic: tuple[float, ...] = (0.0,) * (len(RANKS) * (1 + len(KNEES)) + 2)
 
     def __post_init__(self) -> None:
         self._margins: dict[str, float] = {}
@@ -172,26 +176,28 @@ class Scorer:
         for w, margin in zip(owners, products(parts, self.weights) + self.bias):
             self._margins[w] = max(self._margins[w], float(margin))
 
-    def margins(self, texts: list[str | None]) -> list[tuple[float, float]]:
-        """The two highest margins of each text."""
+    def evidence(self, texts: list[str | None]) -> list[list[float]]:
+        """The margins of each text at ``RANKS``, bent at ``KNEES``, and the logarithm of its different words."""
         out = []
         for at in range(0, len(texts), 200):
-            sets = [words_of(t) for t in texts[at : at + 200]]
+            lists = [words_of(t) for t in texts[at : at + 200]]
+            sets = [set(words) for words in lists]
             if len(self._margins) > CACHED_WORDS:
                 self._margins.clear()
             self._learn(set().union(*sets) - self._margins.keys())
-            for words in sets:
-                top = [FLOOR, FLOOR]
-                for m in map(self._margins.__getitem__, words):
-                    if m > top[1]:
-                        top = [top[0], m] if m <= top[0] else [m, top[0]]
-                out.append((top[0], top[1]))
+            for every, words in zip(lists, sets):
+                top = heapq.nlargest(RANKS[-1] + 1, words, self._margins.__getitem__)
+                # A telling word counts as often as it is written.
+                top = [m for w in top for m in [self._margins[w]] * (every.count(w) if self._margins[w] > 0 else 1)]
+                top += [FLOOR] * (RANKS[-1] + 1 - len(top))
+                marks = [min(max(top[r], FLOOR), CEILING) for r in RANKS]
+                out.append([*marks, *(max(m - k, 0.0) for m in marks for k in KNEES), math.log1p(len(words))])
         return out
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        a, b, c = self.logistic
-        top = np.array(self.margins(texts)).reshape(-1, 2)
-        return 1 / (1 + np.exp(-np.clip(top @ np.array([a, b]) + c, -500, 500)))
+        *slopes, constant = self.logistic
+        rows = np.array(self.evidence(texts)).reshape(-1, len(slopes))
+        return 1 / (1 + np.exp(-np.clip(rows @ np.array(slopes) + constant, -500, 500)))
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, learnable: Column, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
@@ -214,7 +220,7 @@ def _word_counts(sample: DataFrame) -> pd.DataFrame:
     def count(batch: pa.RecordBatch) -> dict[str, object]:
         found: dict[tuple[str, int], int] = defaultdict(int)
         for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            for letters in {x for w in words_of(text) for x in windows(normalised(w))}:
+            for letters in {x for w in set(words_of(text)) for x in windows(normalised(w))}:
                 found[letters, label] += 1
         words, labels = zip(*found) if found else ((), ())
         return {"word": pa.array(words, pa.string()), "toxic": pa.array(labels, pa.int32()), "n": pa.array(found.values(), pa.int64())}
@@ -247,7 +253,7 @@ def telling_words(counts: pd.DataFrame, toxic_share: float) -> list[str]:
 
 
 def _log_comb(n: int, k: int) -> float:
-    return float(np.log(float(comb(n, k)))) if n < 900 else float(n * np.log(n) - k * np.log(max(k, 1)) - (n - k) * np.log(max(n - k, 1)))
+    return float(np.log(float(math.comb(n, k)))) if n < 900 else float(n * np.log(n) - k * np.log(max(k, 1)) - (n - k) * np.log(max(n - k, 1)))
 
 
 def variants(word: str) -> list[str]:
@@ -259,25 +265,30 @@ def variants(word: str) -> list[str]:
     return [w for v in out for w in windows(v)]
 
 
-def fit_machine(spark: SparkSession, positives: list[str], negatives: list[str]) -> tuple[np.ndarray, float]:
-    """Weights per subsequence and bias of the machine in Nystroem features."""
+def fit_machine(spark: SparkSession, positives: list[str], negatives: list[str], common: list[int]) -> tuple[np.ndarray, float]:
+    """Weights per subsequence and bias of the machine in Nystroem features.
+
+    ``common`` says in how many clean documents each negative example occurs, its weight up to ``MAX_WEIGHT``.
+    Half of the negative landmarks are the negatives nearest to the positives, where the border runs.
+    """
     near = products(negatives, spread(positives, np.ones(len(positives))))
     closeness = np.argsort(-near, kind="stable")
     step = max(1, len(closeness) // OTHER_NEGATIVES)
     chosen = list(dict.fromkeys([*closeness[:NEAR_NEGATIVES], *closeness[::step]]))
     negative = [negatives[i] for i in chosen]
-    landmarks = positives + [negative[i] for i in np.linspace(0, len(negative) - 1, min(NEGATIVE_LANDMARKS, len(negative))).astype(int)]
-    landmarks = list(dict.fromkeys(landmarks))
+    costs = [float(min(common[i], MAX_WEIGHT)) for i in chosen]
+    across = np.linspace(0, len(negative) - 1, min(NEGATIVE_LANDMARKS // 2, len(negative))).astype(int)
+    landmarks = list(dict.fromkeys([*positives, *negative[: NEGATIVE_LANDMARKS // 2], *(negative[i] for i in across)]))
     values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
     sound = values > 1e-8
     root = vectors[:, sound] / np.sqrt(values[sound])
     positive = [v for w in positives for v in variants(w)]
     examples = kernel(positive + negative, landmarks) @ root
-    weight = [len(negative) / len(positive)] * len(positive) + [1.0] * len(negative)
+    weight = [sum(costs) / len(positive)] * len(positive) + costs
     labels = [1.0] * len(positive) + [0.0] * len(negative)
     rows = [(Vectors.dense(x), y, w) for x, y, w in zip(examples, labels, weight)]
     data = spark.createDataFrame(rows, ["features", "label", "weight"]).coalesce(1).persist()
-    model = LinearSVC(weightCol="weight", regParam=1e-4, maxIter=50, standardization=False, aggregationDepth=2).fit(data)
+    model = LinearSVC(weightCol="weight", regParam=1e-5, maxIter=200, standardization=False, aggregationDepth=2).fit(data)
     data.unpersist()
     return spread(landmarks, root @ model.coefficients.toArray()), float(model.intercept)
 
@@ -289,22 +300,25 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column, sample_docs: in
     if len(sizes) < 2:
         return None
     counts = _word_counts(sample)
-    positives = telling_words(counts, sizes[1] / sum(sizes.values()))
-    known = set(positives)
-    negatives = [w for w, bad, clean in zip(counts["word"], counts["bad"], counts["clean"]) if w not in known and clean >= max(1, bad // 4)]
+    toxic_share = sizes[1] / sum(sizes.values())
+    positives = telling_words(counts, toxic_share)
+    # Words no more common in toxic documents than chance has it; what lies between tells nothing.
+    usual = counts["bad"] <= 2 * toxic_share * (counts["bad"] + counts["clean"])
+    others = counts[usual & ~counts["word"].isin(positives)]
+    negatives, common = list(others["word"]), list(others["clean"])
     if not positives or not negatives:
         return None
-    weights, bias = fit_machine(spark, positives, negatives)
-    machine = spark.sparkContext.broadcast(Scorer(weights, bias, (1.0, 0.0, 0.0)))
+    weights, bias = fit_machine(spark, positives, negatives, common)
+    machine = spark.sparkContext.broadcast(Scorer(weights, bias))
 
     def measure(batch: pa.RecordBatch) -> dict[str, object]:
-        top = machine.value.margins(batch.column("text").to_pylist())
-        return {"toxic": batch.column("toxic"), "first": pa.array([t[0] for t in top]), "second": pa.array([t[1] for t in top])}
+        found = machine.value.evidence(batch.column("text").to_pylist())
+        return {"toxic": batch.column("toxic"), "evidence": pa.array(found, pa.list_(pa.float64()))}
 
     kind = type_of(sample, "toxic")
-    rows = map_batches(sample.select("toxic", "text"), measure, f"toxic {kind}, first double, second double").collect()
-    data = spark.createDataFrame([(Vectors.dense(r["first"], r["second"]), float(r["toxic"])) for r in rows], ["features", "label"])
-    judge = LogisticRegression(regParam=1e-3, maxIter=100).fit(data.coalesce(1))
+    rows = map_batches(sample.select("toxic", "text"), measure, f"toxic {kind}, evidence array<double>").collect()
+    data = spark.createDataFrame([(Vectors.dense(r["evidence"]), float(r["toxic"])) for r in rows], ["features", "label"])
+    judge = LogisticRegression(regParam=1e-4, maxIter=200).fit(data.coalesce(1))
     return Scorer(weights, bias, (*map(float, judge.coefficients), float(judge.intercept)))
 
 
