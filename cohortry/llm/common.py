@@ -16,6 +16,7 @@ from cohortry.sources.tables import read_table
 # White space between words, and words, as the contracts define them.
 SPACE = r"\x20\x09-\x0D"
 WORD = rf"[^{SPACE}]+"
+SLICE_ROWS = 1_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -46,15 +47,16 @@ def importable(spark: SparkSession) -> None:
 def map_batches(
     df: DataFrame, work: Callable[[pa.RecordBatch], dict[str, object]], schema: str | StructType
 ) -> DataFrame:
-    """Apply ``work`` to every Arrow batch; it returns columns in the order of ``schema``.
+    """Apply ``work`` to slices of every Arrow batch; it returns columns in the order of ``schema``.
 
-    Arrow keeps nullable integers as they are, which pandas would turn into doubles.
+    A slice has at most ``SLICE_ROWS`` rows, which bounds what a worker holds as Python objects. Arrow keeps nullable integers as they are, which pandas would turn into doubles.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = work(batch)
-            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                columns = work(batch.slice(at, SLICE_ROWS))
+                yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     importable(df.sparkSession)
     return df.mapInArrow(run, schema)

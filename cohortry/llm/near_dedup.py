@@ -44,7 +44,8 @@ BANDS = BUCKETS // ROWS
 # Standard deviations by which an estimate may fall short before a pair is dropped.
 SLACK = 5.0
 BLOCK = 512
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
+REGISTERS_AT_ONCE = 64
 MAX_ROUNDS = 100
 
 _FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -112,8 +113,8 @@ _LOOK = _borrowing(BUCKETS)
 def band_keys(regs: np.ndarray) -> np.ndarray:
     """One key per band for rows of registers."""
     n = len(regs)
-    filled = regs[:, _LOOK] > 0
-    source = np.take_along_axis(_LOOK[None, :, :].repeat(n, axis=0), filled.argmax(axis=2)[:, :, None], axis=2)[:, :, 0]
+    step = (regs > 0)[:, _LOOK].argmax(axis=2)
+    source = _LOOK[np.arange(BUCKETS)[None, :], step]
     # A borrowed register also says from where, so that it differs from the lender's own place.
     dense = np.take_along_axis(regs, source, axis=1).astype(np.uint64) | (source.astype(np.uint64) << np.uint64(16))
     parts = dense.reshape(n, BANDS, ROWS)
@@ -172,7 +173,7 @@ def _bands(classes: DataFrame) -> DataFrame:
         reps = batch.column("rep").to_numpy(zero_copy_only=False)
         blob = b"".join(batch.column("registers").to_pylist())
         regs = np.frombuffer(blob, np.uint16).reshape(-1, BUCKETS)
-        keys = [band_keys(regs[i : i + 500]) for i in range(0, len(regs), 500)]
+        keys = [band_keys(regs[i : i + REGISTERS_AT_ONCE]) for i in range(0, len(regs), REGISTERS_AT_ONCE)]
         keys = np.concatenate(keys).ravel() if keys else np.empty(0, np.int64)
         return {"key": pa.array(keys), "rep": pa.array(np.repeat(reps, BANDS).astype(np.int64))}
 

@@ -14,7 +14,7 @@ import public_tokenizers
 from tokenizers import Tokenizer
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-CACHED_WORDS = 500_000
+CACHED_WORDS = 200_000
 CACHED_LETTERS = 64
 # Letters that normalisation leaves alone but for their case, and marks the tokenizer keeps together.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")

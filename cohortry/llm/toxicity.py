@@ -37,9 +37,7 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.ml.classification import LinearSVC, LogisticRegression
-from pyspark.ml.linalg import Vectors
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.llm.common import map_batches, type_of
@@ -53,13 +51,17 @@ FALSE_SHARE = 0.05
 POSITIVES = 96
 NEGATIVE_LANDMARKS = 96
 MAX_WEIGHT = 20
+MACHINE_RIDGE = 1e-5
+JUDGE_RIDGE = 1e-4
+NEWTON_STEPS = 60
 NEAR_NEGATIVES = 1_500
 OTHER_NEGATIVES = 3_000
 FLOOR = -2.0
 CEILING = 5.0
 KNEES = (0.0, 1.0, 1.8)
 RANKS = (0, 1, 2, 4)
-CACHED_WORDS = 400_000
+CACHED_WORDS = 200_000
+TRIPLES_AT_ONCE = 300_000
 THRESHOLD = 0.7
 
 # Marks and digits commonly written for a letter.
@@ -135,10 +137,11 @@ def spread(words: list[str], weights: np.ndarray) -> np.ndarray:
     return out
 
 
-def products(words: list[str], vector: np.ndarray, at_once: int = 2_000) -> np.ndarray:
+def products(words: list[str], vector: np.ndarray) -> np.ndarray:
     """Inner products of the words' feature vectors with a vector."""
     out = np.zeros(len(words))
-    for members in _by_length(words).values():
+    for length, members in _by_length(words).items():
+        at_once = max(1, TRIPLES_AT_ONCE // math.comb(length, 3))
         for k in range(0, len(members), at_once):
             part = members[k : k + at_once]
             codes, values = subsequences([words[i] for i in part])
@@ -147,8 +150,23 @@ def products(words: list[str], vector: np.ndarray, at_once: int = 2_000) -> np.n
 
 
 def kernel(left: list[str], right: list[str]) -> np.ndarray:
-    one = np.ones(1)
-    return np.stack([products(left, spread([r], one)) for r in right], axis=1)
+    """Kernel matrix of two lists of words, over the subsequences of the shorter list."""
+    parts = [(members, *subsequences([right[i] for i in members])) for members in _by_length(right).values()]
+    known = np.unique(np.concatenate([codes.ravel() for _, codes, _ in parts]))
+    columns = np.zeros((len(known) + 1, len(right)), np.float32)
+    for members, codes, values in parts:
+        owners = np.broadcast_to(np.array(members)[:, None], codes.shape)
+        np.add.at(columns, (np.searchsorted(known, codes), owners), values)
+    out = np.zeros((len(left), len(right)))
+    for length, members in _by_length(left).items():
+        at_once = max(1, TRIPLES_AT_ONCE // (50 * math.comb(length, 3)))
+        for k in range(0, len(members), at_once):
+            part = members[k : k + at_once]
+            codes, values = subsequences([left[i] for i in part])
+            place = np.minimum(np.searchsorted(known, codes), len(known) - 1)
+            place[known[place] != codes] = len(known)  # a row of zeros
+            out[part] = np.einsum("nt,ntm->nm", values, columns[place])
+    return out
 
 
 @dataclass
@@ -265,7 +283,43 @@ def variants(word: str) -> list[str]:
     return [w for v in out for w in windows(v)]
 
 
-def fit_machine(spark: SparkSession, positives: list[str], negatives: list[str], common: list[int]) -> tuple[np.ndarray, float]:
+def fit_linear(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float, hinge: bool) -> tuple[np.ndarray, float]:
+    """Slopes and constant of a linear machine (squared hinge loss) or a logistic one, by Newton steps.
+
+    The examples are a bounded sample in at most a few hundred dimensions, so the solve is a small one.
+    """
+    rows = np.hstack([x, np.ones((len(x), 1))])
+    sign, total = 2.0 * y - 1, cost.sum()
+    penalty = np.full(rows.shape[1], ridge)
+    penalty[-1] = 1e-9
+
+    def parts(w: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+        z = sign * (rows @ w)
+        if hinge:
+            short = np.maximum(0.0, 1 - z)
+            return (cost * short**2).sum() / total, -2 * cost * sign * short, 2 * cost * (short > 0)
+        p = 1 / (1 + np.exp(np.clip(z, -500, 500)))
+        return (cost * np.logaddexp(0, -z)).sum() / total, -cost * sign * p, cost * p * (1 - p)
+
+    w = np.zeros(rows.shape[1])
+    loss, slope, bend = parts(w)
+    for _ in range(NEWTON_STEPS):
+        gradient = rows.T @ slope / total + penalty * w
+        hessian = (rows.T * bend) @ rows / total + np.diag(penalty)
+        move = np.linalg.solve(hessian + 1e-10 * np.eye(len(w)), gradient)
+        value, step = loss + (penalty * w**2).sum() / 2, 1.0
+        while step > 1e-6:
+            loss, slope, bend = parts(w - step * move)
+            if loss + (penalty * (w - step * move) ** 2).sum() / 2 <= value:
+                break
+            step /= 2
+        w = w - step * move
+        if step <= 1e-6 or np.abs(step * move).max() < 1e-7:
+            break
+    return w[:-1], float(w[-1])
+
+
+def fit_machine(positives: list[str], negatives: list[str], common: list[int]) -> tuple[np.ndarray, float]:
     """Weights per subsequence and bias of the machine in Nystroem features.
 
     ``common`` says in how many clean documents each negative example occurs, its weight up to ``MAX_WEIGHT``.
@@ -280,17 +334,14 @@ def fit_machine(spark: SparkSession, positives: list[str], negatives: list[str],
     across = np.linspace(0, len(negative) - 1, min(NEGATIVE_LANDMARKS // 2, len(negative))).astype(int)
     landmarks = list(dict.fromkeys([*positives, *negative[: NEGATIVE_LANDMARKS // 2], *(negative[i] for i in across)]))
     values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
-    sound = values > 1e-8
+    sound = values > 1e-6
     root = vectors[:, sound] / np.sqrt(values[sound])
     positive = [v for w in positives for v in variants(w)]
     examples = kernel(positive + negative, landmarks) @ root
-    weight = [sum(costs) / len(positive)] * len(positive) + costs
-    labels = [1.0] * len(positive) + [0.0] * len(negative)
-    rows = [(Vectors.dense(x), y, w) for x, y, w in zip(examples, labels, weight)]
-    data = spark.createDataFrame(rows, ["features", "label", "weight"]).coalesce(1).persist()
-    model = LinearSVC(weightCol="weight", regParam=1e-5, maxIter=200, standardization=False, aggregationDepth=2).fit(data)
-    data.unpersist()
-    return spread(landmarks, root @ model.coefficients.toArray()), float(model.intercept)
+    weight = np.array([sum(costs) / len(positive)] * len(positive) + costs)
+    labels = np.array([1.0] * len(positive) + [0.0] * len(negative))
+    slopes, bias = fit_linear(examples, labels, weight, MACHINE_RIDGE, hinge=True)
+    return spread(landmarks, root @ slopes), bias
 
 
 def train(docs: DataFrame, labels: DataFrame, learnable: Column, sample_docs: int = SAMPLE_DOCS) -> Scorer | None:
@@ -308,7 +359,7 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column, sample_docs: in
     negatives, common = list(others["word"]), list(others["clean"])
     if not positives or not negatives:
         return None
-    weights, bias = fit_machine(spark, positives, negatives, common)
+    weights, bias = fit_machine(positives, negatives, common)
     machine = spark.sparkContext.broadcast(Scorer(weights, bias))
 
     def measure(batch: pa.RecordBatch) -> dict[str, object]:
@@ -317,9 +368,9 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column, sample_docs: in
 
     kind = type_of(sample, "toxic")
     rows = map_batches(sample.select("toxic", "text"), measure, f"toxic {kind}, evidence array<double>").collect()
-    data = spark.createDataFrame([(Vectors.dense(r["evidence"]), float(r["toxic"])) for r in rows], ["features", "label"])
-    judge = LogisticRegression(regParam=1e-4, maxIter=200).fit(data.coalesce(1))
-    return Scorer(weights, bias, (*map(float, judge.coefficients), float(judge.intercept)))
+    evidence, label = np.array([r["evidence"] for r in rows]), np.array([float(r["toxic"]) for r in rows])
+    slopes, constant = fit_linear(evidence, label, np.ones(len(rows)), JUDGE_RIDGE, hinge=False)
+    return Scorer(weights, bias, (*map(float, slopes), constant))
 
 
 def score_texts(docs: DataFrame, scorer: Scorer | None, held_out: Column, threshold: float = THRESHOLD) -> DataFrame:
