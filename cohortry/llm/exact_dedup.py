@@ -20,8 +20,11 @@ from cohortry.llm.common import text_or_empty
 from cohortry.sources.scratch import scratch_path, stored
 from cohortry.sources.tables import write_table
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# State on disk, and no space reserved ahead: a state partition would take megabytes for a few keys.
+STATE = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+}
 FILES_PER_BATCH = 1_000
 # Digests seen more than once are broadcast up to this many (some 30 MB); beyond it all
 # texts go through the comparison.
@@ -35,8 +38,9 @@ def run_state(spark: SparkSession, path: str, schema, files_per_batch: int = FIL
     Returns digest, keep_id, keep_locator, group_size.
     """
     checkpoint = scratch_path(spark, "dedup-state")
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+    before = {name: spark.conf.get(name, None) for name in STATE}
+    for name, value in STATE.items():
+        spark.conf.set(name, value)
     try:
         rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
         keyed = rows.groupBy("digest").agg(
@@ -48,7 +52,8 @@ def run_state(spark: SparkSession, path: str, schema, files_per_batch: int = FIL
         )
         query.awaitTermination()
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
     if query.lastProgress is None:  # no rows, hence no state
         return spark.createDataFrame([], f"digest string, keep_id {schema['doc_id'].dataType.simpleString()}, keep_locator bigint, group_size bigint")
     state = spark.read.format("statestore").load(checkpoint)

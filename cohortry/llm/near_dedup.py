@@ -10,9 +10,9 @@ pairs that may reach the threshold are confirmed on the full sets.
 No group of documents is expanded into its pairs. Equal sets are one class with one
 representative. In each band the most central class is the hub, and the others are
 compared with it. Confirmed links are contracted into components. Only where a band still
-holds several components are members of different components compared by their registers,
-in blocks inside a task, and only pairs that pass the estimate leave it. A pair that is
-never compared meets in no band or lies in one component already.
+holds several components are members of different components compared, in blocks inside
+a task, and only links that join components leave it. A pair that is never compared meets
+in no band or lies in one component already.
 
 Defined results: empty texts, and texts of white space, have no shingles and link with
 nothing; fewer than five words make one shingle; rows that repeat a doc_id are one document
@@ -42,8 +42,8 @@ MANTISSA_BITS = 10
 ROWS = 4
 BANDS = BUCKETS // ROWS
 # Standard deviations by which an estimate may fall short before a pair is dropped.
-SLACK = 5.0
-BLOCK = 512
+SLACK = 4.0
+BLOCK = 4_096
 CACHED_WORDS = 200_000
 REGISTERS_AT_ONCE = 64
 MAX_ROUNDS = 100
@@ -245,40 +245,60 @@ def _star(neighbours: DataFrame, moves: object) -> DataFrame:
     return stored(hung.unionByName(own).where("u <> v").distinct(), "near-edges")
 
 
-def _second_look(multi: DataFrame, classes: DataFrame, comps: DataFrame, tested: DataFrame, threshold: int) -> DataFrame:
-    """Pairs (a, b) of different components in one band that pass the estimate and were not tested."""
+def _second_look(multi: DataFrame, classes: DataFrame, comps: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
+    """Links (a, b) between different components that share a band, enough to join what belongs together.
+
+    Where a band holds several components, members outside its largest one are compared with all members,
+    in blocks: by registers first, then on full sets, best estimate first. A link joins two components, whose
+    other pairs need no test. Pairs stay inside the task; it returns at most one link per joined component.
+    """
     labelled = multi.join(comps, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     labelled = stored(labelled, "near-labelled")
     # Bands of two were settled by their one pair.
-    open_keys = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("component").alias("low"), F.max("component").alias("high"))
-    open_keys = stored(open_keys.where("members > 2 and low <> high").select("key", "members"), "near-open")
-    members = labelled.select("key", "rep", "component").join(open_keys, "key").join(classes, "rep")
-    blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    members = members.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("rep"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    members = members.withColumn("other", other).select(
-        "key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "component", "n", "registers"
-    )
+    parts = labelled.groupBy("key", "component").agg(F.count(F.lit(1)).alias("n"))
+    bands = parts.groupBy("key").agg(F.sum("n").alias("members"), F.max(F.struct("n", "component")).alias("major"))
+    bands = bands.where((F.col("members") > 2) & (F.col("major.n") < F.col("members")))
+    blocks = lambda n: F.ceil(n / BLOCK).cast("int")
+    bands = stored(bands.select(
+        "key", F.col("major.component").alias("major"), blocks(F.col("members")).alias("blocks"),
+        blocks(F.col("members") - F.col("major.n")).alias("outer_blocks"),
+    ), "near-open")
+    members = labelled.join(bands, "key").withColumn("outside", F.col("component") != F.col("major"))
+    texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").join(members.select("rep").distinct(), "rep", "left_semi")
+    members = members.join(classes, "rep").join(stored(texts.dropDuplicates(["rep"]), "near-texts"), "rep")
+    own = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    columns = ("rep", "component", "n", "registers", "text")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    inner = members.select("key", upto("outer_blocks").alias("o"), own(F.col("blocks")).alias("m"), F.lit(False).alias("outside"), *columns)
+    outer = members.where("outside").select("key", own(F.col("outer_blocks")).alias("o"), upto("blocks").alias("m"), "outside", *columns)
 
     def compare(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values("rep", ignore_index=True)
+        part = part.sort_values(["outside", "rep"], ignore_index=True)
         regs = np.frombuffer(b"".join(part["registers"]), np.uint16).reshape(-1, BUCKETS)
-        n, comp, block, rep = (part[c].to_numpy() for c in ("n", "component", "block", "rep"))
-        i, j = part["i"].iloc[0], part["j"].iloc[0]
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        a, b = [], []
-        for x in left:
-            ys = right[(comp[right] != comp[x]) & ((rep[right] > rep[x]) if i == j else True)]
+        n, rep, text = (part[c].to_numpy() for c in ("n", "rep", "text"))
+        root = part["component"].to_numpy().copy()
+        outside = part["outside"].to_numpy()
+        right, sets = np.flatnonzero(~outside), {}
+
+        def full(i: int) -> np.ndarray:
+            if rep[i] not in sets:
+                sets[rep[i]] = shingles(text[i])
+            return sets[rep[i]]
+
+        links = []
+        for x in np.flatnonzero(outside):
+            ys = right[root[right] != root[x]]
             equal = ((regs[ys] == regs[x]) & (regs[x] > 0)).sum(axis=1)
             used = ((regs[ys] > 0) | (regs[x] > 0)).sum(axis=1)
-            ys = ys[may_reach(equal, used, np.full(len(ys), n[x]), n[ys], threshold)]
-            a.append(np.maximum(rep[ys], rep[x]))
-            b.append(np.minimum(rep[ys], rep[x]))
-        return pd.DataFrame({"a": np.concatenate(a) if a else [], "b": np.concatenate(b) if b else []}).astype("int64")
+            passing = may_reach(equal, used, np.full(len(ys), n[x]), n[ys], threshold)
+            for y in ys[passing][np.argsort(-equal[passing], kind="stable")]:
+                if root[y] != root[x] and similar(full(x), full(y), threshold):
+                    links.append((max(rep[x], rep[y]), min(rep[x], rep[y])))
+                    root[root == root[y]] = root[x]
+        return pd.DataFrame(links, columns=["a", "b"]).astype("int64")
 
     importable(multi.sparkSession)
-    found = members.groupBy("key", "i", "j").applyInPandas(compare, "a bigint, b bigint").distinct()
-    return found.join(tested.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), ["a", "b"], "left_anti")
+    return inner.unionByName(outer).groupBy("key", "o", "m").applyInPandas(compare, "a bigint, b bigint").distinct()
 
 
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -302,10 +322,9 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     passing = stored(_candidates(tested, per_class, threshold), "near-candidates")
     links = stored(_confirmed(passing, docs, threshold), "near-links")
     comps = components(links)
-    more = stored(_second_look(multi.select("key", "rep"), per_class, comps, tested, threshold), "near-more")
+    more = stored(_second_look(multi.select("key", "rep"), per_class, comps, docs, threshold), "near-more")
     if not more.isEmpty():
-        found = stored(_confirmed(more, docs, threshold), "near-links")
-        comps = components(comps.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(found))
+        comps = components(comps.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(more))
 
     by_class = classes.select("set_key", "rep").join(comps, "rep", "left")
     by_class = stored(by_class.select("set_key", F.coalesce("component", "rep").alias("component")), "near-components")
