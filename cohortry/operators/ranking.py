@@ -6,9 +6,13 @@ it, split points taken from approximate quantiles cut the order into buckets:
 
 * the bucket of a row is a pure function of its score and key, so retried tasks and
   repeated scans agree;
+* split points are doubles, onto which scores and keys of any type map in order, if not
+  one to one: large integers and decimals are rounded, strings give the six bytes after
+  their common beginning. Within a bucket rows are sorted by the values themselves;
 * a score that fills several buckets by itself (a point score, a shallow tree) is cut
-  further by key. A piece lies within one range of the key over the whole table, so it
-  is never larger than that range, whatever the joint distribution;
+  further by key, if no other score has the same double. A piece lies within one range of
+  the key over the whole table, so it is never larger than that range, whatever the joint
+  distribution;
 * per-bucket totals (a small table) give every bucket its offset.
 
 Split points decide balance only, never a result.
@@ -17,6 +21,7 @@ Split points decide balance only, never a result.
 from __future__ import annotations
 
 import math
+import os
 from collections import Counter
 from dataclasses import dataclass
 from functools import reduce
@@ -25,7 +30,19 @@ from operator import or_
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import (
+    BooleanType,
+    ByteType,
+    DateType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    NumericType,
+    ShortType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from cohortry.functions.expressions import is_positive, safe_ratio
 
@@ -41,6 +58,10 @@ MAX_PIECES = 1_000_000
 # Offsets tables up to this many rows are broadcast (some 5 MB).
 MAX_BROADCAST_BUCKETS = 100_000
 
+# Types whose values are told apart by their doubles.
+EXACT_TYPES = (DoubleType, FloatType, IntegerType, ShortType, ByteType, BooleanType, DateType)
+STRING_BYTES = 6
+
 BUCKET = "_rank_bucket"
 UP_TO_PREVIOUS = (Window.unboundedPreceding, -1)
 UP_TO_CURRENT = (Window.unboundedPreceding, Window.currentRow)
@@ -85,6 +106,8 @@ class Cells:
     score_cuts: tuple[float, ...] = ()
     heavy: tuple[float, ...] = ()
     key_cuts: tuple[float, ...] = ()
+    score_skip: int = 0
+    key_skip: int = 0
 
     @property
     def bucket_bound(self) -> int:
@@ -92,9 +115,41 @@ class Cells:
         return len(self.score_cuts) + 1 + (len(self.heavy) + 4) * (len(self.key_cuts) + 1)
 
 
-def _number(column: str) -> Column:
-    """The column as double; adding zero folds -0.0 into 0.0, as the sort order does."""
-    return F.col(column).cast("double") + F.lit(0.0)
+def _number(df: DataFrame, column: str, skip: int = 0) -> Column:
+    """The column as double, never decreasing as it grows; adding zero folds -0.0 into 0.0, as the sort order does."""
+    kind = df.schema[column].dataType
+    value = F.col(column)
+    if isinstance(kind, (NumericType, BooleanType)):
+        number = value.cast("double")
+    elif isinstance(kind, StringType):
+        digits = F.hex(F.substring(F.encode(value, "UTF-8"), skip + 1, STRING_BYTES))
+        number = F.conv(F.rpad(digits, 2 * STRING_BYTES, "0"), 16, 10).cast("double")
+    elif isinstance(kind, DateType):
+        number = F.unix_date(value).cast("double")
+    elif isinstance(kind, (TimestampType, TimestampNTZType)):
+        number = F.unix_micros(value.cast("timestamp")).cast("double")
+    else:
+        raise ValueError(f"{column!r} can't be ranked: {kind.simpleString()}")
+    return number + F.lit(0.0)
+
+
+def _skips(df: DataFrame, columns: list[str]) -> dict[str, int]:
+    """Bytes that all values of a string column begin with, 0 for other columns."""
+    strings = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
+    if not strings:
+        return dict.fromkeys(columns, 0)
+    ends = df.agg(*[f(F.encode(F.col(c), "UTF-8")).alias(f"{n}{i}") for i, c in enumerate(strings) for n, f in (("low", F.min), ("high", F.max))]).first()
+    shared = {c: len(os.path.commonprefix([bytes(ends[f"low{i}"] or b""), bytes(ends[f"high{i}"] or b"")])) for i, c in enumerate(strings)}
+    return {c: shared.get(c, 0) for c in columns}
+
+
+def _single_valued(df: DataFrame, score: str, skip: int, heavy: list[float]) -> tuple[float, ...]:
+    """Those of the heavy doubles under which one score lies; the others must not be cut by key."""
+    if not heavy or isinstance(df.schema[score].dataType, EXACT_TYPES):
+        return tuple(heavy)
+    number = _number(df, score, skip).alias("number")
+    ends = df.select(number, F.col(score).alias("score")).where(F.col("number").isin(*heavy)).groupBy("number").agg(F.min("score").alias("low"), F.max("score").alias("high"))
+    return tuple(r["number"] for r in ends.where("low = high").collect())
 
 
 def _cuts(quantiles: list[float]) -> list[float]:
@@ -105,23 +160,24 @@ def plan_many(
     df: DataFrame, scores: list[str], key: str | None, rows: int, rows_per_task: int
 ) -> dict[str, Cells]:
     """Split points for several scores from one quantile pass; the driver sees only those."""
-    for column in [*scores, *([key] if key else [])]:
-        if not isinstance(df.schema[column].dataType, NumericType):
-            raise ValueError(f"ranking needs numbers, and {column!r} holds none")
     wanted = min(MAX_CELLS, math.ceil(rows * BUCKETS_PER_TASK / rows_per_task))
+    columns = [*scores, *([key] if key else [])]
+    for column in columns:
+        _number(df, column)  # the types must be known at any size
     if wanted <= 1:
         return {s: Cells() for s in scores}
     probs = [i / wanted for i in range(1, wanted)]
-    columns = [_number(s).alias(f"_{i}") for i, s in enumerate(scores)] + ([_number(key).alias("_key")] if key else [])
-    numbers = df.select(*columns)
+    skips = _skips(df, list(dict.fromkeys(columns)))
+    numbers = df.select(*[_number(df, c, skips[c]).alias(f"_{i}") for i, c in enumerate(columns)])
     quantiles = numbers.approxQuantile(numbers.columns, probs, 0.5 / wanted)
     keys = _cuts(quantiles[-1]) if key else []
     planned = {}
     for score, found in zip(scores, quantiles):
         cells_of = Counter(q + 0.0 for q in found)
-        heavy = tuple(q for q, n in cells_of.items() if n >= HEAVY_CELLS and math.isfinite(q)) if key else ()
-        stride = math.ceil(len(keys) * (len(heavy) + 4) / MAX_PIECES)
-        planned[score] = Cells(tuple(_cuts(found)), heavy, tuple(keys[:: max(1, stride)]))
+        heavy = [q for q, n in cells_of.items() if n >= HEAVY_CELLS and math.isfinite(q)] if key else []
+        single = _single_valued(df, score, skips[score], heavy)
+        stride = math.ceil(len(keys) * (len(single) + 4) / MAX_PIECES)
+        planned[score] = Cells(tuple(_cuts(found)), single, tuple(keys[:: max(1, stride)]), skips[score], skips[key] if key else 0)
     return planned
 
 
@@ -132,10 +188,10 @@ def plan_cells(df: DataFrame, score: str, key: str | None, rows: int, rows_per_t
 def with_bucket(df: DataFrame, cells: Cells, score: str, key: str | None, out: str = BUCKET) -> DataFrame:
     """Add the bucket number, increasing along the ranking."""
 
-    def cell_of(table: DataFrame, column: str, cuts: tuple[float, ...], cell: str) -> DataFrame:
+    def cell_of(table: DataFrame, column: str, cuts: tuple[float, ...], cell: str, skip: int) -> DataFrame:
         if not cuts:
             return table.withColumn(cell, F.lit(0).cast("bigint"))
-        known = F.coalesce(F.nanvl(_number(column), F.lit(0.0)), F.lit(0.0))
+        known = F.coalesce(F.nanvl(_number(table, column, skip), F.lit(0.0)), F.lit(0.0))
         splits = [float("-inf"), *cuts, float("inf")]
         return (
             Bucketizer(splits=splits, inputCol="_number", outputCol="_cell")
@@ -144,9 +200,9 @@ def with_bucket(df: DataFrame, cells: Cells, score: str, key: str | None, out: s
             .drop("_number", "_cell")
         )
 
-    number = _number(score)
+    number = _number(df, score, cells.score_skip)
     last = len(cells.score_cuts)
-    work = cell_of(df, score, cells.score_cuts, "_score_cell")
+    work = cell_of(df, score, cells.score_cuts, "_score_cell", cells.score_skip)
     special = [
         (F.isnan(number), last + 2),
         (number == math.inf, last + 1),
@@ -159,7 +215,7 @@ def with_bucket(df: DataFrame, cells: Cells, score: str, key: str | None, out: s
     place = last + 2 - cell
     if key is None:
         return work.withColumn(out, F.coalesce(place, F.lit(0))).drop("_score_cell")
-    work = cell_of(work, key, cells.key_cuts, "_key_cell")
+    work = cell_of(work, key, cells.key_cuts, "_key_cell", cells.key_skip)
     if cells.heavy:
         by_key = by_key | number.isin(*cells.heavy)
     width = len(cells.key_cuts) + 2
@@ -216,8 +272,10 @@ def global_rank(
 ) -> DataFrame:
     """Every row with its ``rank`` and, given a label, the running ``cum_positives``.
 
-    ``key`` is a unique numeric column without nulls. Pass ``rows`` when the row count is known already.
+    ``key`` is a unique column without nulls, of numbers, strings, dates or timestamps. Pass ``rows`` when the row count is known already.
     """
+    for column in (score, key):
+        _number(df, column)  # the same types at every size
     single, rows = _choose(df, strategy, rows, rows_per_task)
     order = _rank_order(score, key)
     if single:

@@ -377,6 +377,13 @@ ORACLES: dict[str, str] = {
           ELSE (outer_d - inner_d) / greatest(inner_d, outer_d) END), 6) AS silhouette FROM ab""",
 }
 
+ORACLES |= {
+    "rank_bigint_ties": """SELECT o_orderkey AS id,
+        row_number() OVER (ORDER BY 9007199254740992 + o_orderkey % 2 DESC, o_orderkey) AS rank FROM orders""",
+    "rank_decimal_ties": """SELECT o_orderkey AS id, row_number() OVER (ORDER BY o_orderkey % 2 DESC, o_orderkey) AS rank FROM orders""",
+    "rank_string_key": """SELECT o_orderkey AS id, row_number() OVER (ORDER BY o_orderkey % 3 DESC, o_orderkey) AS rank FROM orders""",
+}
+
 # The forms for large tables, and a report read back, answer the same questions.
 for _twin, _of in {
     "global_rank_buckets": "global_rank",

@@ -21,8 +21,6 @@ QUERIES: dict[str, Query] = {}
 
 # Small bucket size that makes the large-table ranking run at any scale factor.
 SMALL_BUCKETS = {"strategy": "buckets", "rows_per_task": 500}
-# Lighter model settings for the registered queries; ``run_study`` uses the full ones.
-LIGHT = {"rf": {"numTrees": 20}, "gbt": {"maxIter": 10}}
 
 
 def query(function: Query) -> Query:
@@ -559,7 +557,7 @@ def _transformed(spark: SparkSession, sf_dir: str) -> study.Transformed:
 def scores_of(name: str) -> Query:
     def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts = _transformed(spark, sf_dir)
-        fitted = models.fit_classifiers(parts.train, TARGET, (name,), overrides=LIGHT)
+        fitted = models.fit_classifiers(parts.train, TARGET, (name,))
         scored = models.score_models(parts.test, fitted)
         return scored.select(KEY, TARGET, f"{name}_score", f"{name}_prediction")
 
@@ -574,7 +572,7 @@ for _name in models.ESTIMATORS:
 def _scored(spark: SparkSession, sf_dir: str, names: tuple[str, ...]) -> DataFrame:
     """The test part scored by several classifiers in one pass, stored for evaluation."""
     parts = _transformed(spark, sf_dir)
-    fitted = models.fit_classifiers(parts.train, TARGET, names, overrides=LIGHT)
+    fitted = models.fit_classifiers(parts.train, TARGET, names)
     return scratch.stored(models.score_models(parts.test, fitted).drop("features"), "scored")
 
 
@@ -605,7 +603,35 @@ def classifier_thresholds(spark, sf_dir):
 @query
 def rf_sensitivity(spark, sf_dir):
     parts = _transformed(spark, sf_dir)
-    return models.forest_sensitivity(parts.train, parts.test, TARGET, trees=(5, 20))
+    return models.forest_sensitivity(parts.train, parts.test, TARGET)
+
+
+def _ranked(spark, sf_dir, score, key):
+    """Orders by a score and a key of any type, through the buckets."""
+    df = read_table(spark, f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("id"), score.alias("score"), key.alias("key"))
+    return ranking.global_rank(df, "score", "key", **SMALL_BUCKETS).select("id", "rank")
+
+
+@query
+def rank_bigint_ties(spark, sf_dir):
+    """Two scores that share a double: 2^53 and 2^53 + 1."""
+    score = F.lit(2**53).cast("bigint") + F.col("o_orderkey") % 2
+    return _ranked(spark, sf_dir, score, F.col("o_orderkey"))
+
+
+@query
+def rank_decimal_ties(spark, sf_dir):
+    """Decimal scores that differ in the twentieth place."""
+    low, high = (F.lit(f"1.{digits:020d}").cast("decimal(38,20)") for digits in (0, 1))
+    score = F.when(F.col("o_orderkey") % 2 == 1, high).otherwise(low)
+    return _ranked(spark, sf_dir, score, F.col("o_orderkey"))
+
+
+@query
+def rank_string_key(spark, sf_dir):
+    """Few scores, ties broken by a string key."""
+    key = F.concat(F.lit("order-"), F.lpad(F.col("o_orderkey").cast("string"), 12, "0"))
+    return _ranked(spark, sf_dir, F.col("o_orderkey") % 3, key)
 
 
 @query

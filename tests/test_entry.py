@@ -15,7 +15,9 @@ def test_entry(spark):
 def test_names():
     queries, oracles = contract.queries(), contract.oracle_sql()
     assert set(oracles) <= set(queries)
-    without = set(queries) - set(oracles)
+    # The training-data queries come and go with their folder and have tests of their own.
+    own = {q for q in queries if q != "pipeline" and not (q.startswith("op") and q[2:3].isdigit())}
+    without = own - set(oracles)
     assert without == {
         "selected_features", "scores_lr", "scores_dt", "scores_rf", "scores_gbt", "classifier_comparison",
         "classifier_subgroup_recall", "classifier_gains", "classifier_thresholds", "rf_sensitivity", "kmeans_screening", "kmeans_profile",

@@ -23,7 +23,7 @@ def parts(spark):
 
 
 def test_classifiers(parts):
-    fitted = models.fit_classifiers(parts.train, LABEL, overrides=registry.LIGHT)
+    fitted = models.fit_classifiers(parts.train, LABEL)
     scored = models.score_models(parts.test, fitted).cache()
     assert scored.count() == parts.test.count()
     names = {m: (f"{m}_score", f"{m}_prediction") for m in fitted}
@@ -49,7 +49,7 @@ def test_classifier_reports(spark):
 def test_refit_is_the_same(parts):
     runs = []
     for _ in range(2):
-        fitted = models.fit_classifiers(parts.train, LABEL, ("dt", "rf"), overrides=registry.LIGHT)
+        fitted = models.fit_classifiers(parts.train, LABEL, ("dt", "rf"))
         scored = models.score_models(parts.test, fitted)
         runs.append([metrics.auc(scored, LABEL, f"{m}_score").first()["auc"] for m in fitted])
     assert runs[0] == runs[1]

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 import random
+from datetime import date
+from decimal import Decimal
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -168,10 +170,9 @@ def test_any_scores_rank_alike(spark, drawn, rows_per_task):
     assert got == [r[0] for r in ordered(rows)]
 
 
-def test_text_is_refused_by_the_buckets(spark):
-    df = spark.createDataFrame([("a", 0.5, 1)], "id string, score double, y int")
-    with pytest.raises(ValueError, match="'id'"):
-        ranking.global_rank(df, "score", "id", **BUCKETS)
+def test_text_keys_rank_in_buckets(spark):
+    df = spark.createDataFrame([("b", 0.5, 1), ("a", 0.5, 1)], "id string, score double, y int")
+    assert {r["id"]: r["rank"] for r in ranking.global_rank(df, "score", "id", **BUCKETS).collect()} == {"a": 1, "b": 2}
 
 
 def test_unknown_choices_are_refused(spark):
@@ -180,3 +181,35 @@ def test_unknown_choices_are_refused(spark):
         ranking.global_rank(df, "score", "id", strategy="guess")
     with pytest.raises(ValueError, match="tie"):
         ranking.top_fraction(df, "score", "id", "y", ties="best")
+
+
+TYPED = {
+    "bigint": ("bigint", lambda rng: 2**53 + rng.randrange(3)),
+    "negative": ("bigint", lambda rng: -(2**62) + rng.choice([0, 1, 1, 1, 600])),
+    "decimal": ("decimal(38,20)", lambda rng: Decimal(1) + rng.choice([0, 1, 1, 7]) * Decimal("1e-20")),
+    "float": ("float", lambda rng: float(rng.randrange(3))),
+    "int": ("int", lambda rng: rng.choice([None, 1, 1, 2])),
+    "string": ("string", lambda rng: rng.choice(["score-a", "score-a1", "score-b", "score-b", "score-"])),
+    "date": ("date", lambda rng: date(2020, 1, 1 + rng.randrange(3))),
+}
+
+
+@pytest.mark.parametrize("kind", sorted(TYPED))
+@pytest.mark.parametrize("keys", ["bigint", "string"])
+def test_buckets_equal_one_window_for_any_type(spark, kind, keys):
+    name, draw = TYPED[kind]
+    rng = random.Random(kind)
+    rows = [(2**55 + i if keys == "bigint" else f"person-{i:05d}", draw(rng), int(rng.random() < 0.3)) for i in range(600)]
+    df = spark.createDataFrame(rows, f"id {keys}, score {name}, y int").repartition(3)
+    ranks = [
+        {r["id"]: (r["rank"], r["cum_positives"]) for r in ranking.global_rank(df, "score", "id", "y", **options).collect()}
+        for options in ({"strategy": "window"}, BUCKETS)
+    ]
+    assert ranks[0] == ranks[1]
+
+
+def test_unknown_types_are_rejected_at_every_size(spark):
+    df = spark.createDataFrame([([1], 1.0, 1)], "id array<int>, score double, y int")
+    for options in ({"strategy": "auto"}, BUCKETS):
+        with pytest.raises(ValueError, match="can't be ranked"):
+            ranking.global_rank(df, "score", "id", "y", **options)
