@@ -2,42 +2,68 @@
 
 from __future__ import annotations
 
+import math
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark import StorageLevel
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
+from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Candidate numbers of clusters and the seed.
 SCREENED_K = (4, 5, 6)
 SEED = 42
-# Cluster sums travel with the scoring function: clusters times dimensions, doubles.
-MAX_SUMMARY_NUMBERS = 5_000_000
-MAX_SUMMARY_ROWS = 5_000
+# Cluster means up to this many doubles (some 40 MB) travel with the scoring function;
+# more of them are dealt over tasks in blocks of this size.
+BLOCK_NUMBERS = 5_000_000
+SLICE_ROWS = 20_000
+# Distances a worker holds at a time.
+DISTANCES_AT_ONCE = 2_000_000
+
+
+@dataclass(frozen=True)
+class Screening:
+    """``k, silhouette`` per candidate, and the fitted models by k."""
+
+    table: DataFrame
+    models: dict[int, KMeansModel]
 
 
 def kmeans(k: int, features: str = "features", seed: int = SEED) -> KMeans:
     return KMeans(featuresCol=features, predictionCol="cluster", k=k, seed=seed)
 
 
-def screen_k(
-    df: DataFrame, ks: tuple[int, ...] = SCREENED_K, features: str = "features", seed: int = SEED
-) -> DataFrame:
-    """``k, silhouette`` per candidate; class weights play no part."""
+def screen(df: DataFrame, ks: tuple[int, ...] = SCREENED_K, features: str = "features", seed: int = SEED) -> Screening:
+    """Fit every candidate and score them all in one pass; class weights play no part."""
     vectors = df.select(features).persist(StorageLevel.MEMORY_AND_DISK)
-    evaluator = ClusteringEvaluator(
-        featuresCol=features, predictionCol="cluster", metricName="silhouette", distanceMeasure="squaredEuclidean"
-    )
     try:
-        rows = [(k, float(evaluator.evaluate(kmeans(k, features, seed).fit(vectors).transform(vectors)))) for k in ks]
+        models = {k: kmeans(k, features, seed).fit(vectors) for k in ks}
+        assigned = vectors
+        for k, model in models.items():
+            assigned = model.transform(assigned, {model.predictionCol: f"k{k}"})
+        names = {k: f"k{k}" for k in ks}
+        points = assigned.select(F.col(features).alias("x"), *[F.col(c).cast("string").alias(c) for c in names.values()])
+        summary = _summaries(points, list(names.values())).collect()  # one row per candidate and cluster
+        scores = [
+            F.avg(_score([r for r in summary if r["by"] == c])(vector_to_array("x"), F.col(c))).alias(c) for c in names.values()
+        ]
+        row = points.agg(*scores).first()
     finally:
         vectors.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
+    table = df.sparkSession.createDataFrame([(k, row[c]) for k, c in names.items()], "k int, silhouette double")
+    return Screening(table, models)
+
+
+def screen_k(
+    df: DataFrame, ks: tuple[int, ...] = SCREENED_K, features: str = "features", seed: int = SEED
+) -> DataFrame:
+    """``k, silhouette`` per candidate."""
+    return screen(df, ks, features, seed).table
 
 
 def fit_clusters(df: DataFrame, k: int, features: str = "features", seed: int = SEED) -> DataFrame:
@@ -59,46 +85,113 @@ def cluster_profile(df: DataFrame, cluster: str, columns: list[str], label: str)
     )
 
 
-def silhouette(df: DataFrame, features: str, cluster: str) -> DataFrame:
+def _summaries(points: DataFrame, columns: list[str]) -> DataFrame:
+    """``by, cluster, count, total, norms`` for every column of clusters, in one aggregation."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("by"), F.col(c).alias("cluster")) for c in columns])
+    metrics = Summarizer.metrics("count", "sum", "normL2").summary(F.col("x")).alias("m")
+    long = points.select("x", F.explode(pairs).alias("p")).select("x", "p.by", "p.cluster")
+    return long.groupBy("by", "cluster").agg(metrics).select(
+        "by", "cluster", "m.count", vector_to_array("m.sum").alias("total"), vector_to_array("m.normL2").alias("norms")
+    )
+
+
+class _Clusters:
+    """Sizes, means and mean squared norms of some clusters."""
+
+    def __init__(self, names, counts, totals, norms):
+        self.names = pd.Index(names)
+        self.counts = np.asarray(counts, dtype=float)
+        self.means = np.stack(list(totals)) / self.counts[:, None]
+        self.spread = np.array([np.square(n).sum() for n in norms]) / self.counts
+
+    def distances(self, x: np.ndarray, cluster) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Mean squared distance to the own cluster's others, its size, and the least to another.
+
+        A cluster that is not among these has size 0 and distance 0.
+        """
+        parts = []
+        own_of = self.names.get_indexer(cluster)
+        step = max(1, DISTANCES_AT_ONCE // len(self.counts))
+        for i in range(0, len(x), step):
+            rows, own = x[i : i + step], own_of[i : i + step]
+            distance = np.square(rows).sum(axis=1)[:, None] + self.spread - 2.0 * rows @ self.means.T
+            here = np.flatnonzero(own >= 0)
+            size, inner = np.zeros(len(rows)), np.zeros(len(rows))
+            size[here] = self.counts[own[here]]
+            inner[here] = distance[here, own[here]] * size[here] / np.maximum(size[here] - 1.0, 1.0)
+            distance[here, own[here]] = np.inf
+            parts.append((inner, size, distance.min(axis=1)))
+        return tuple(np.concatenate(p) for p in zip(*parts)) if parts else (np.empty(0),) * 3
+
+
+def _score(rows: list):
+    """The silhouette of a row, given the summaries of all clusters."""
+    known = _Clusters(*([r[c] for r in rows] for c in ("cluster", "count", "total", "norms")))
+
+    @F.pandas_udf("double")
+    def score(x: pd.Series, cluster: pd.Series) -> pd.Series:
+        if x.empty:
+            return pd.Series([], dtype=float)
+        inner, size, outer = known.distances(np.stack(x.to_numpy()), cluster)
+        larger = np.maximum(inner, outer)
+        value = np.divide(outer - inner, larger, out=np.zeros_like(larger), where=larger > 0)
+        return pd.Series(np.where(size > 1, value, 0.0))
+
+    return score
+
+
+def silhouette(df: DataFrame, features: str, cluster: str, block_numbers: int = BLOCK_NUMBERS) -> DataFrame:
     """Mean silhouette under squared Euclidean distance; a singleton cluster scores 0.
 
     The mean squared distance of x to a cluster follows from the cluster's count, vector
     sum and sum of squared norms, so the work is one aggregation and one pass: no pair of
-    rows is ever formed.
+    rows is ever formed. Rows without a cluster or a whole vector take no part;
+    ``n_rows`` counts those that do.
     """
     if isinstance(df.schema[features].dataType, T.ArrayType):
+        whole = F.col(features).isNotNull() & ~F.exists(features, F.isnull)
         vector = array_to_vector(F.col(features).cast("array<double>"))
     else:
-        vector = F.col(features)
-    points = df.select(vector.alias("x"), F.col(cluster).cast("string").alias("cluster"))
-    metrics = Summarizer.metrics("count", "sum", "normL2").summary(F.col("x")).alias("m")
-    summary = points.groupBy("cluster").agg(metrics).select(
-        "cluster", "m.count", vector_to_array("m.sum").alias("total"), vector_to_array("m.normL2").alias("norms")
+        whole, vector = F.col(features).isNotNull(), F.col(features)
+    known = df.where(whole & F.col(cluster).isNotNull())
+    points = known.select(vector.alias("x"), F.col(cluster).cast("string").alias("cluster"))
+    summary = _summaries(points, ["cluster"]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n, width = summary.agg(F.count("*"), F.max(F.size("total"))).first()
+        if n < 2:
+            raise ValueError("a silhouette needs at least two clusters")
+        if n * width > block_numbers:
+            return _silhouette_by_blocks(points, summary, math.ceil(n * width / block_numbers))
+        score = _score(summary.collect())
+    finally:
+        summary.unpersist()
+    return points.select(score(vector_to_array("x"), F.col("cluster")).alias("s")).agg(
+        F.count("*").alias("n_rows"), F.avg("s").alias("silhouette")
     )
-    rows = sorted(summary.limit(MAX_SUMMARY_ROWS + 1).collect(), key=lambda r: r["cluster"])
-    if len(rows) < 2:
-        raise ValueError("a silhouette needs at least two clusters")
-    if len(rows) > MAX_SUMMARY_ROWS or len(rows) * len(rows[0]["total"]) > MAX_SUMMARY_NUMBERS:
-        raise ValueError("too many clusters for a silhouette: is the column a cluster number?")
-    names = pd.Index([r["cluster"] for r in rows])
-    counts = np.array([r["count"] for r in rows], dtype=float)
-    means = np.array([r["total"] for r in rows]) / counts[:, None]
-    spread = np.array([np.square(r["norms"]).sum() for r in rows]) / counts
 
-    @F.pandas_udf("double")
-    def score(x: pd.Series, c: pd.Series) -> pd.Series:
-        rows_x = np.stack(x.to_numpy())
-        own = names.get_indexer(c)
-        at = np.arange(len(own))
-        distance = np.square(rows_x).sum(axis=1)[:, None] + spread - 2.0 * rows_x @ means.T
-        n = counts[own]
-        inner = distance[at, own] * n / np.maximum(n - 1.0, 1.0)
-        distance[at, own] = np.inf
-        outer = distance.min(axis=1)
-        larger = np.maximum(inner, outer)
-        value = np.divide(outer - inner, larger, out=np.zeros_like(larger), where=larger > 0)
-        return pd.Series(np.where(n > 1, value, 0.0))
 
-    return points.select(score(vector_to_array("x"), F.col("cluster")).alias("s")).agg(
-        F.count("*").alias("n_rows"), F.avg("s").alias("silhouette")
+def _silhouette_by_blocks(points: DataFrame, summary: DataFrame, blocks: int, slice_rows: int = SLICE_ROWS) -> DataFrame:
+    """The same for more clusters than travel at once: slices of distinct rows meet blocks of clusters in tasks."""
+    distinct = points.select("cluster", vector_to_array("x").alias("x")).groupBy("cluster", "x").agg(F.count("*").alias("n"))
+    slices = max(1, math.ceil(points.count() / slice_rows))
+    upto: Column = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = distinct.withColumn("slice", F.pmod(F.xxhash64("cluster", "x"), F.lit(slices)).cast("int")).withColumn("block", upto(blocks))
+    right = summary.withColumn("block", F.pmod(F.xxhash64("cluster"), F.lit(blocks)).cast("int")).withColumn("slice", upto(slices))
+
+    def compare(rows: pd.DataFrame, some: pd.DataFrame) -> pd.DataFrame:
+        out = rows[["cluster", "x", "n"]]
+        if rows.empty or some.empty:
+            return out.iloc[:0].assign(inner=0.0, size=0.0, outer=0.0)
+        near = _Clusters(some["cluster"], some["count"], some["total"], some["norms"])
+        inner, size, outer = near.distances(np.stack(rows["x"].to_numpy()), rows["cluster"])
+        return out.assign(inner=inner, size=size, outer=outer)
+
+    met = left.groupBy("slice", "block").cogroup(right.groupBy("slice", "block")).applyInPandas(
+        compare, "cluster string, x array<double>, n bigint, inner double, size double, outer double"
+    )
+    found = met.groupBy("cluster", "x").agg(
+        F.any_value("n").alias("n"), F.max("size").alias("size"), F.max_by("inner", "size").alias("inner"), F.min("outer").alias("outer")
     )
+    larger = F.greatest("inner", "outer")
+    value = F.when((F.col("size") > 1) & (larger > 0), (F.col("outer") - F.col("inner")) / larger).otherwise(0.0)
+    return found.agg(F.sum("n").alias("n_rows"), (F.sum(value * F.col("n")) / F.sum("n")).alias("silhouette"))

@@ -56,17 +56,19 @@ def assemble(df: DataFrame, columns: list[str], out: str = "features") -> DataFr
     return VectorAssembler(inputCols=columns, outputCol=out, handleInvalid="error").transform(df)
 
 
-def chi_square(df: DataFrame, columns: list[str], label: str) -> DataFrame:
+def chi_square(df: DataFrame, columns: list[str], label: str, widths: dict[str, float] | None = None) -> DataFrame:
     """Pearson statistic and degrees of freedom of each coded column against the label.
 
-    The contingency tables of all columns come from one scan with map-side combine. With
+    Continuous columns are named in ``widths`` and counted in bins of that width. The contingency tables of all columns come from one scan with map-side combine. With
     observed counts o, row totals r and column totals c the statistic is
     ``n * sum over labels of (sum of o^2 / r) / c - n``: empty cells contribute nothing and
     the column totals fall out of the same sums. The only window spans the labels of one
     value, so a column of many values never gathers in one task.
     """
+    widths = widths or {}
+    values = [(F.floor(F.col(c) / widths[c]) if c in widths else F.col(c)).cast("double").alias(c) for c in columns]
     observed = (
-        df.select(F.col(label).cast("double").alias("_y"), *[F.col(c).cast("double").alias(c) for c in columns])
+        df.select(F.col(label).cast("double").alias("_y"), *values)
         .unpivot(["_y"], columns, "feature", "value")
         .groupBy("feature", "value", F.col("_y").alias("y"))
         .agg(F.count("*").cast("double").alias("o"))
@@ -107,17 +109,17 @@ def chi_square_p(statistic: float, dof: int) -> float:
     return min(1.0, tail + (math.erfc(math.sqrt(x)) if odd else 0.0))
 
 
-def rank_features(train: DataFrame, columns: list[str], label: str) -> DataFrame:
+def rank_features(train: DataFrame, columns: list[str], label: str, widths: dict[str, float] | None = None) -> DataFrame:
     """``rank, feature, statistic, dof, p_value``, strongest association first.
 
     On large tables many p-values underflow to zero, so ties go to the larger statistic
-    per degree of freedom, then to the name. Columns should be coded or binned: the test
-    takes each value as a category. The statistics, one row per column, are ordered on
-    the driver.
+    per degree of freedom, then to the name. Columns should be coded or have a width of
+    their bins: the test takes each value as a category. The statistics, one row per
+    column, are ordered on the driver.
     """
     tests = [
         (r["feature"], r["statistic"], r["dof"], chi_square_p(r["statistic"], r["dof"]))
-        for r in chi_square(train, columns, label).collect()
+        for r in chi_square(train, columns, label, widths).collect()
     ]
     tests.sort(key=lambda t: (t[3], -(t[1] / t[2] if t[2] else 0.0), t[0]))
     return train.sparkSession.createDataFrame(
@@ -126,14 +128,17 @@ def rank_features(train: DataFrame, columns: list[str], label: str) -> DataFrame
     )
 
 
-def select_top(train: DataFrame, columns: list[str], label: str, n: int, mode: str = "strength") -> list[str]:
-    """The ``n`` selected columns, in their original order.
+def select_top(
+    train: DataFrame, columns: list[str], label: str, n: int, mode: str = "strength", ranked: DataFrame | None = None
+) -> list[str]:
+    """The ``n`` selected columns, in their original order; ``ranked`` saves ranking them again.
 
     ``ml`` is Spark ML's selector, in which tied p-values keep the column order and more
     than 10,000 values of a column are an error.
     """
     if mode == "strength":
-        kept = {r["feature"] for r in rank_features(train, columns, label).where(F.col("rank") <= n).collect()}
+        ranked = ranked if ranked is not None else rank_features(train, columns, label)
+        kept = {r["feature"] for r in ranked.where(F.col("rank") <= n).collect()}
         return [c for c in columns if c in kept]
     if mode != "ml":
         raise ValueError(f"unknown selection mode {mode!r}")
@@ -144,9 +149,11 @@ def select_top(train: DataFrame, columns: list[str], label: str, n: int, mode: s
     return [columns[i] for i in sorted(selector.fit(vector).selectedFeatures)]
 
 
-def selection_report(train: DataFrame, columns: list[str], label: str, n: int) -> DataFrame:
+def selection_report(
+    train: DataFrame, columns: list[str], label: str, n: int, ranked: DataFrame | None = None
+) -> DataFrame:
     """The kept features with their rank and test, and the candidate count."""
-    ranked = rank_features(train, columns, label)
+    ranked = ranked if ranked is not None else rank_features(train, columns, label)
     return ranked.where(F.col("rank") <= n).withColumn("n_candidates", F.lit(len(columns)))
 
 

@@ -29,6 +29,8 @@ SETTINGS = {
     "gbt": {"maxIter": 50, "maxDepth": 4, "stepSize": 0.1, "seed": 42},
 }
 
+SENSITIVITY_TREES = (50, 200)
+
 ESTIMATORS = {
     "lr": LogisticRegression,
     "dt": DecisionTreeClassifier,
@@ -89,15 +91,23 @@ def forest_sensitivity(
     train: DataFrame,
     test: DataFrame,
     label: str,
-    trees: tuple[int, ...] = (50, 200),
+    trees: tuple[int, ...] = SENSITIVITY_TREES,
     max_depth: int = 8,
     features: str = "features",
 ) -> DataFrame:
-    """Test AUC by number of trees, with ratio weights; one row per forest."""
+    """Test AUC by number of trees, with ratio weights; one row per forest.
+
+    All forests share the weights and the persisted training rows.
+    """
     records = []
-    for n in trees:
-        settings = {"numTrees": n, "maxDepth": max_depth, "minInstancesPerNode": 1, "featureSubsetStrategy": "auto"}
-        model = fit_classifiers(train, label, ("rf",), features, "ratio", {"rf": settings})
-        scored = score_models(test.select(features, label), model)
-        records.append(auc(scored, label, "rf_score").select(F.lit(n).alias("n_trees"), "auc"))
+    weights = class_weights(train, label, "ratio")
+    narrow = apply_weights(train.select(features, label), weights, label).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        for n in trees:
+            settings = {"numTrees": n, "maxDepth": max_depth, "minInstancesPerNode": 1, "featureSubsetStrategy": "auto"}
+            model = {"rf": classifier("rf", label, features, **settings).fit(narrow)}
+            scored = score_models(test.select(features, label), model)
+            records.append(auc(scored, label, "rf_score").select(F.lit(n).alias("n_trees"), "auc"))
+    finally:
+        narrow.unpersist()
     return reduce(DataFrame.unionByName, records)

@@ -2,7 +2,19 @@
 
 from __future__ import annotations
 
-from cohortry.sources.reference import BMI_BANDS, CODE_LABELS
+# Fixed values, written here again so that a wrong limit or code of the package shows:
+# code, lower limit (inclusive), upper limit (exclusive), label; first and last code of each variable.
+_LIMITS = {
+    "WHO_International": [
+        (1, 0.0, 18.5, "Underweight"), (2, 18.5, 25.0, "Normal weight"), (3, 25.0, 30.0, "Overweight"), (4, 30.0, 999.0, "Obese"),
+    ],
+    "WHO_AsiaPacific": [
+        (1, 0.0, 18.5, "Underweight"), (2, 18.5, 23.0, "Normal weight"), (3, 23.0, 25.0, "Overweight"), (4, 25.0, 999.0, "Obese"),
+    ],
+}
+_LABELLED_CODES = {
+    "GenHlth": (1, 5), "Age": (1, 13), "Education": (1, 6), "Income": (1, 11), "Sex": (0, 1), "Diabetes_binary": (0, 1),
+}
 
 _P = ["age", "bmi", "sex", "high_bp", "phys_activity", "gen_hlth", "income", "ment_hlth", "stroke", "heart_disease", "diff_walk"]
 _PREDICTORS = ", ".join(_P)
@@ -47,29 +59,18 @@ WITH base AS (
 
 def _band(standard: str) -> str:
     """CASE over the fixed limits of one standard."""
-    arms = []
-    for line in BMI_BANDS.strip().splitlines():
-        name, code, _, lower, upper = line.split(",")
-        if name == standard:
-            arms.append(f"WHEN bmi >= {lower} AND bmi < {upper} THEN {code}")
+    arms = [f"WHEN bmi >= {lower} AND bmi < {upper} THEN {code}" for code, lower, upper, _ in _LIMITS[standard]]
     return f"CAST(CASE {' '.join(arms)} END AS INT)"
 
 
 def _bands_cte(standard: str) -> str:
-    rows = []
-    for line in BMI_BANDS.strip().splitlines():
-        name, code, label, lower, upper = line.split(",")
-        if name == standard:
-            rows.append(f"({code}::INT, {lower}::DOUBLE, {upper}::DOUBLE, '{label}')")
+    rows = [f"({code}::INT, {lower}::DOUBLE, {upper}::DOUBLE, '{label}')" for code, lower, upper, label in _LIMITS[standard]]
     return f"bands(band_code, lower, upper, band_label) AS (VALUES {', '.join(rows)})"
 
 
 def _labels_cte() -> str:
-    rows = []
-    for line in CODE_LABELS.strip().splitlines():
-        variable, code, label, rank = line.split(",")
-        rows.append(f"('{variable}', {code}::INT, '{label}', {rank}::INT)")
-    return f"labels_ref(variable, code, label, ordinal_rank) AS (VALUES {', '.join(rows)})"
+    rows = [f"('{v}', {code}::INT)" for v, (first, last) in _LABELLED_CODES.items() for code in range(first, last + 1)]
+    return f"labels_ref(variable, code) AS (VALUES {', '.join(rows)})"
 
 
 _MENT_BAND = "CAST(CASE WHEN ment_hlth IS NULL THEN NULL WHEN ment_hlth = 0 THEN 0 WHEN ment_hlth <= 14 THEN 1 ELSE 2 END AS INT)"
@@ -216,8 +217,9 @@ def _recalls(source: str, group: str, rules: dict[str, str], extra: str, by: str
 _RULES = {"risk": "risk_flag", "weight": "bmi_flag", "health": "health_flag"}
 
 
-def _chi_square() -> str:
-    tables = " UNION ALL ".join(f"SELECT '{c}' AS feature, {c}::DOUBLE AS value, target AS y FROM train" for c in _FEATURES)
+def _chi_square(bmi: str = "bmi") -> str:
+    values = {c: bmi if c == "bmi" else c for c in _FEATURES}
+    tables = " UNION ALL ".join(f"SELECT '{c}' AS feature, ({v})::DOUBLE AS value, target AS y FROM train" for c, v in values.items())
     return f"""{_IMPUTED}, long AS ({tables}),
     cells AS (SELECT feature, value, y, count(*)::DOUBLE AS o FROM long GROUP BY ALL),
     vals AS (SELECT feature, value, sum(o) AS r FROM cells GROUP BY ALL),
@@ -272,7 +274,7 @@ ORACLES: dict[str, str] = {
         FROM prepared JOIN k ON y = target GROUP BY "Partition", target""",
     "observed_codes": f"{_RESPONDENTS} {_codes('known')}",
     "code_violations": _violations("NOT (variable = 'Age' AND code = 13) AND NOT (variable = 'Income' AND code = 3)"),
-    "code_violations_clean": _violations("label IS NOT NULL"),
+    "code_violations_clean": _violations("true"),
     "bmi_range_join": f"""{_RESPONDENTS}, {_bands_cte('WHO_International')}
         SELECT id, bmi, band_code, lower, upper, band_label FROM capped LEFT JOIN bands ON bmi >= lower AND bmi < upper""",
     "bmi_range_join_cells": f"""{_RESPONDENTS}, steps AS (
@@ -364,6 +366,7 @@ ORACLES: dict[str, str] = {
     "recompute_after_impute": f"""{_IMPUTED} SELECT id, {_band('WHO_International')} AS bmi_band, {_MENT_BAND} AS ment_hlth_band,
           {_POINTS} AS risk_points, ({_POINTS} >= 5)::INT AS risk_flag, {_CONDITIONS} AS condition_count FROM imputed""",
     "chi_square_scores": _chi_square(),
+    "chi_square_binned": _chi_square("floor(bmi / 5.0::DOUBLE)"),
     "scale_unit_std": f"""{_IMPUTED}, sd AS (SELECT {", ".join(f"stddev_samp({c}::DOUBLE) AS {c}" for c in _FEATURES)} FROM train)
         SELECT i.id, i."Partition", {", ".join(f"round(CASE WHEN sd.{c} > 0 THEN i.{c} / sd.{c} ELSE 0.0 END, 6) AS {c}" for c in _FEATURES)}
         FROM imputed i CROSS JOIN sd""",

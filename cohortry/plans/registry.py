@@ -55,9 +55,18 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return study.prepare(respondents(spark, sf_dir), C, reference.bmi_bands(spark))
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+
+
 def stored_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written once to scratch storage by part, for queries that scan it several times."""
-    return scratch.stored(prepared(spark, sf_dir), "prepared", splitting.SPLIT_COLUMN)
+    """Written by part to scratch storage, once per application and source; later queries read it."""
+    key = (spark.sparkContext.applicationId, scratch.scratch_root(spark), sf_dir)
+    table = prepared(spark, sf_dir)
+    if key not in _STORED or not scratch.is_stored(spark, _STORED[key]):
+        path = scratch.scratch_path(spark, "prepared")
+        write_table(table, path, splitting.SPLIT_COLUMN)
+        _STORED[key] = path
+    return spark.read.schema(table.schema).parquet(_STORED[key]).select(*table.columns)
 
 
 def training(df: DataFrame) -> DataFrame:
@@ -68,8 +77,9 @@ def testing(df: DataFrame) -> DataFrame:
     return splitting.take_split(df, splitting.TESTING)
 
 
-def imputed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return study.split_and_impute(stored_prepared(spark, sf_dir), C)[0]
+def imputed(spark: SparkSession, sf_dir: str, columns: list[str] | None = None) -> DataFrame:
+    """The prepared table with all predictors imputed, or only the named ones."""
+    return study.split_and_impute(stored_prepared(spark, sf_dir), C, columns=columns)[0]
 
 
 def scored_by_bmi(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,7 +338,7 @@ def _with_rules(df: DataFrame) -> DataFrame:
 @query
 def subgroup_recall(spark, sf_dir):
     """On imputed answers, as the models see them: unknown incomes sit in the median band."""
-    df = _with_rules(testing(imputed(spark, sf_dir)))
+    df = _with_rules(testing(imputed(spark, sf_dir, ["bmi", "gen_hlth", "risk_flag", C.group])))
     return doubles(metrics.subgroup_recall(df, C.group, TARGET, RULES, "risk"))
 
 
@@ -341,18 +351,18 @@ def subgroup_recall_raw(spark, sf_dir):
 
 @query
 def baseline_metrics(spark, sf_dir):
-    return doubles(metrics.baseline_metrics(testing(imputed(spark, sf_dir)), TARGET, "risk_flag"))
+    return doubles(metrics.baseline_metrics(testing(imputed(spark, sf_dir, ["risk_flag"])), TARGET, "risk_flag"))
 
 
 @query
 def baseline_summary(spark, sf_dir):
-    df = testing(imputed(spark, sf_dir))
+    df = testing(imputed(spark, sf_dir, ["risk_flag", "risk_points"]))
     return doubles(metrics.baseline_metrics(df, TARGET, "risk_flag", "risk_points", KEY))
 
 
 @query
 def cluster_profile(spark, sf_dir):
-    df = training(imputed(spark, sf_dir))
+    df = training(imputed(spark, sf_dir, list(C.profiled)))
     return doubles(clusters.cluster_profile(df, "gen_hlth", [c for c in C.profiled if c != "gen_hlth"], TARGET))
 
 
@@ -445,7 +455,7 @@ def threshold_sweep(spark, sf_dir):
 
 def _given_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three given scores with a prediction each, stored narrow, on the imputed test part."""
-    df = _with_rules(testing(imputed(spark, sf_dir)))
+    df = _with_rules(testing(imputed(spark, sf_dir, ["bmi", "gen_hlth", "risk_points", "risk_flag"])))
     given: list[Column] = [
         (F.col("bmi") / 64.0).alias("weight_score"),
         (F.col("risk_points") / 9.0).alias("risk_score"),
@@ -494,12 +504,14 @@ def best_by(spark, sf_dir):
 def trace_rows(spark, sf_dir):
     table = stored_prepared(spark, sf_dir)
     test = testing(table)
+    n = test.count()
+    ranks = ranking.global_rank(test.select(KEY, "bmi"), "bmi", KEY).select("rank").distinct()
     tables = {
         "flagged": points.threshold_flag(test, "risk_points", "flag"),
-        "ranked": ranking.global_rank(test.select(KEY, "bmi"), "bmi", KEY),
+        "ranked": ranks.where(F.col("rank").between(1, n)),  # every rank once
         "known_bmi": test.where(F.col("bmi").isNotNull()),
     }
-    return audit.trace_rows(tables, test.count())
+    return audit.trace_rows(tables, n)
 
 
 @query
@@ -533,6 +545,13 @@ def chi_square_scores(spark, sf_dir):
     return rounded(features.chi_square(training(df), study.predictors(df, C), TARGET), "statistic")
 
 
+@query
+def chi_square_binned(spark, sf_dir):
+    """As the study ranks its features: BMI in bins."""
+    df = imputed(spark, sf_dir)
+    return rounded(features.chi_square(training(df), study.predictors(df, C), TARGET, {C.bmi: study.BMI_BIN}), "statistic")
+
+
 @query
 def scale_unit_std(spark, sf_dir):
     df = imputed(spark, sf_dir)
@@ -543,8 +562,10 @@ def scale_unit_std(spark, sf_dir):
 
 @query
 def selected_features(spark, sf_dir):
-    df = imputed(spark, sf_dir)
-    return features.selection_report(training(df), study.predictors(df, C), TARGET, 12)
+    train = training(imputed(spark, sf_dir))
+    candidates = study.predictors(train, C)
+    ranked = features.rank_features(train, candidates, TARGET, {C.bmi: study.BMI_BIN})
+    return features.selection_report(train, candidates, TARGET, 12, ranked)
 
 
 # --- models and clusters (no SQL counterpart) -----------------------------------------
@@ -642,8 +663,9 @@ def kmeans_screening(spark, sf_dir):
 @query
 def kmeans_profile(spark, sf_dir):
     train = _transformed(spark, sf_dir).train
-    best = audit.best_by(clusters.screen_k(train), "silhouette", "k").first()["k"]
-    return clusters.cluster_profile(clusters.fit_clusters(train, best), "cluster", list(C.profiled), TARGET)
+    screened = clusters.screen(train)
+    best = audit.best_by(screened.table, "silhouette", "k").first()["k"]
+    return clusters.cluster_profile(screened.models[best].transform(train), "cluster", list(C.profiled), TARGET)
 
 
 @query

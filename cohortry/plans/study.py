@@ -19,6 +19,8 @@ BMI_CAP = 60.0
 TRAINING_SHARE = 0.7
 TOP_FEATURES = 24
 EXPECTED_BANDS = 4
+# BMI is continuous: the association tests count it in bins of this width.
+BMI_BIN = 5.0
 
 
 @dataclass(frozen=True)
@@ -92,11 +94,12 @@ def predictors(df: DataFrame, c: StudyColumns) -> list[str]:
 
 
 def with_key(df: DataFrame, c: StudyColumns) -> DataFrame:
-    """Distinct profiles with a key: the smallest of theirs, or a hash of the profile."""
+    """Distinct profiles with a key: the smallest of theirs, or the md5 of the profile."""
     if c.key in df.columns:
         return cleaning.dedup_profiles(df, c.key)
     distinct = cleaning.dedup_profiles(df)
-    return distinct.select(F.xxhash64(*distinct.columns).alias(c.key), "*")
+    profile = F.to_json(F.struct(*distinct.columns), {"ignoreNullFields": "false"})
+    return distinct.select(F.md5(profile).alias(c.key), "*")
 
 
 def construct(df: DataFrame, c: StudyColumns, bands: DataFrame, expected_bands: int | None = EXPECTED_BANDS) -> DataFrame:
@@ -121,10 +124,15 @@ def prepare(df: DataFrame, c: StudyColumns, bands: DataFrame) -> DataFrame:
     return splitting.stable_split(construct(df, c, bands), c.key, TRAINING_SHARE)
 
 
-def split_and_impute(prepared: DataFrame, c: StudyColumns, mode: str = "exact") -> tuple[DataFrame, features.FittedImputer]:
-    """The whole table filled with medians of its training part, and the fitted medians."""
+def split_and_impute(
+    prepared: DataFrame, c: StudyColumns, mode: str = "exact", columns: list[str] | None = None
+) -> tuple[DataFrame, features.FittedImputer]:
+    """The whole table filled with medians of its training part, and the fitted medians.
+
+    ``columns`` names those to fill; the others stay as they are. All predictors by default.
+    """
     train = splitting.take_split(prepared, splitting.TRAINING)
-    imputer = features.fit_imputer(train, predictors(prepared, c), mode)
+    imputer = features.fit_imputer(train, columns or predictors(prepared, c), mode)
     return imputer.apply(prepared), imputer
 
 
@@ -138,6 +146,7 @@ class Transformed:
     train: DataFrame
     test: DataFrame
     selected: list[str]
+    ranked: DataFrame
 
 
 def transform(imputed: DataFrame, c: StudyColumns, top: int = TOP_FEATURES, mode: str = "strength") -> Transformed:
@@ -145,9 +154,10 @@ def transform(imputed: DataFrame, c: StudyColumns, top: int = TOP_FEATURES, mode
     train = splitting.take_split(imputed, splitting.TRAINING)
     test = splitting.take_split(imputed, splitting.TESTING)
     candidates = predictors(imputed, c)
-    selected = features.select_top(train, candidates, c.target, min(top, len(candidates)), mode)
+    ranked = features.rank_features(train, candidates, c.target, {c.bmi: BMI_BIN})
+    selected = features.select_top(train, candidates, c.target, min(top, len(candidates)), mode, ranked)
     scaler = features.fit_scaler(train, selected)
-    return Transformed(features.scaled_vector(train, scaler), features.scaled_vector(test, scaler), selected)
+    return Transformed(features.scaled_vector(train, scaler), features.scaled_vector(test, scaler), selected, ranked)
 
 
 def run_study(
@@ -160,6 +170,7 @@ def run_study(
     overrides: dict[str, dict] | None = None,
     ks: tuple[int, ...] = clusters.SCREENED_K,
     top: int = TOP_FEATURES,
+    trees: tuple[int, ...] = models.SENSITIVITY_TREES,
 ) -> dict[str, str]:
     """Run every stage and write its table or report under ``out_dir``; returns name -> path.
 
@@ -188,6 +199,7 @@ def run_study(
     report("stage_audit", stage_audit(source, c.key, c.target, c.bmi, BMI_CAP, list(c.indicators)))
 
     prepared = keep("prepared", prepare(source, c, bands), splitting.SPLIT_COLUMN)
+    report("observed_codes", codes.observed_codes(prepared, list(c.coded)).orderBy("variable", "code"))
     codes.validate_codes(prepared, labels, list(c.coded), c.coded, strict=True)
     band_ops.require_clean_bands(band_ops.audit_bands(prepared, bands, c.bmi, c.bmi_band))
     for column in (c.risk_points, c.bmi_band, c.condition_count, c.target, splitting.SPLIT_COLUMN):
@@ -198,7 +210,10 @@ def run_study(
     transformed = transform(imputed, c, top)
     train = keep("train", transformed.train)
     test = keep("test", transformed.test)
-    report("selected_features", _selection(train, c, imputed, transformed.selected))
+    n_kept, candidates = len(transformed.selected), predictors(imputed, c)
+    kept = features.selection_report(train, candidates, c.target, n_kept, transformed.ranked)
+    report("selected_features", kept.orderBy("rank"))
+    report("class_weights", splitting.class_weights(train, c.target).orderBy("label"))
 
     fitted = models.fit_classifiers(train, c.target, overrides=overrides)
     scored = keep("scored", models.score_models(test, fitted).drop("features"))
@@ -210,16 +225,21 @@ def run_study(
     if adrift:
         raise ValueError(f"confusion cells do not add up to the test rows for {adrift}")
     report("baseline", metrics.baseline_metrics(scored, c.target, c.risk_flag, c.risk_points, c.key))
+    pointed = scored.where(F.col(c.risk_points).isNotNull())
+    report("baseline_expected_ties", ranking.top_fraction(pointed, c.risk_points, c.key, c.target, ties="expected"))
     rules = {"risk": c.risk_flag} | {m: p for m, (_, p) in names.items()}
     report("subgroup_recall", metrics.subgroup_recall(scored, c.group, c.target, rules, "risk", overall=True).orderBy(c.group))
-    for m, (score, _) in names.items():
+    for m, (score, prediction) in names.items():
+        report(f"confusion_{m}", metrics.confusion_table(scored, c.target, prediction).orderBy(c.target, prediction))
         report(f"gains_{m}", ranking.gains_curve(scored, score, c.key, c.target))
         report(f"thresholds_{m}", ranking.threshold_sweep(scored, c.target, score))
 
-    screened = clusters.screen_k(train, ks)
-    report("cluster_screening", screened)
-    best = best_by(screened, "silhouette", "k").first()["k"]
-    assigned = clusters.fit_clusters(train, best)
+    report("forest_sensitivity", models.forest_sensitivity(train, test, c.target, trees).orderBy("n_trees"))
+
+    screened = clusters.screen(train, ks)
+    report("cluster_screening", screened.table)
+    best = best_by(screened.table, "silhouette", "k").first()["k"]
+    assigned = screened.models[best].transform(train)
     report("cluster_profile", clusters.cluster_profile(assigned, "cluster", list(c.profiled), c.target).orderBy("cluster"))
 
     tables = {m: scored.where(F.col(p).isNotNull()) for m, (_, p) in names.items()}
@@ -227,11 +247,6 @@ def run_study(
     return paths
 
 
-def _selection(train: DataFrame, c: StudyColumns, imputed: DataFrame, selected: list[str]) -> DataFrame:
-    candidates = predictors(imputed, c)
-    return features.selection_report(train, candidates, c.target, len(selected)).orderBy("rank")
-
-
 def run_survey(
     spark: SparkSession,
     csv_path: str,
