@@ -109,3 +109,30 @@ def test_cluster_screening_and_profile(spark):
     profile = clusters.cluster_profile(assigned, "cluster", ["x"], "y").collect()
     assert sum(r["n_rows"] for r in profile) == 200 and len(profile) == 3
     assert all(0 <= r["prevalence"] <= 1 for r in profile)
+
+
+def test_screening_agrees_with_the_evaluator(spark):
+    df = cloud(spark).withColumnRenamed("v", "features").select("features")
+    screened = clusters.screen(df, (2, 4))
+    for row in screened.table.collect():
+        assigned = screened.models[row["k"]].transform(df)
+        evaluated = ClusteringEvaluator(featuresCol="features", predictionCol="cluster").evaluate(assigned)
+        assert row["silhouette"] == pytest.approx(evaluated, abs=1e-9)
+
+
+def test_silhouette_by_blocks(spark):
+    """Blocks of one cluster, copies, a singleton, and rows that take no part."""
+    df = cloud(spark).select("v", F.col("c").cast("int").alias("c"))
+    extra = spark.createDataFrame([(Vectors.dense(9.0, 9.0), 99), (Vectors.dense(0.0, 0.0), None), (None, 1)], df.schema)
+    df = df.unionByName(df.limit(7)).unionByName(extra).persist()
+    one = clusters.silhouette(df, "v", "c").first()
+    many = clusters.silhouette(df, "v", "c", block_numbers=2).first()
+    assert one["n_rows"] == many["n_rows"] == df.count() - 2
+    assert one["silhouette"] == pytest.approx(many["silhouette"], abs=1e-9)
+
+
+def test_silhouette_of_many_clusters(spark):
+    """6,000 pairs of near points: each is far nearer to its partner than to any other cluster."""
+    rows = spark.range(12_000).select((F.floor(F.col("id") / 2)).alias("c"), F.array(F.floor(F.col("id") / 2) + (F.col("id") % 2) / 1000).alias("v"))
+    found = clusters.silhouette(rows, "v", "c").first()
+    assert found["n_rows"] == 12_000 and found["silhouette"] > 0.99

@@ -21,7 +21,7 @@ def report(spark, path):
 
 def test_stand_in(spark, tmp_path):
     paths = study.run_study(
-        spark, respondents(spark, SF), study.STAND_IN, str(tmp_path), overrides=SMALL, ks=(2, 3), top=12
+        spark, respondents(spark, SF), study.STAND_IN, str(tmp_path), overrides=SMALL, ks=(2, 3), top=12, trees=(2, 5)
     )
     comparison = report(spark, paths["model_comparison"]).collect()
     assert {r["model"] for r in comparison} == {"lr", "dt", "rf", "gbt"}
@@ -32,6 +32,9 @@ def test_stand_in(spark, tmp_path):
     assert report(spark, paths["cluster_screening"]).count() == 2
     assert report(spark, paths["gains_lr"]).count() == 8
     assert report(spark, paths["thresholds_gbt"]).count() == 4
+    assert [r["n_trees"] for r in report(spark, paths["forest_sensitivity"]).collect()] == [2, 5]
+    assert report(spark, paths["confusion_lr"]).agg(F.sum("n_rows")).first()[0] == spark.read.parquet(paths["test"]).count()
+    assert {"observed_codes", "class_weights", "baseline_expected_ties"} <= set(paths)
     prepared = spark.read.parquet(paths["prepared"])
     assert prepared.count() == registry.prepared(spark, SF).count()
     scored = spark.read.parquet(paths["scored"])
@@ -65,7 +68,7 @@ def test_survey_csv(spark, tmp_path, with_id):
     reference._values_table(spark, reference.BMI_BANDS, reference.BAND_SCHEMA).write.option("header", True).csv(str(tmp_path / "bands"))
     paths = study.run_survey(
         spark, str(tmp_path / "survey"), str(tmp_path / "out"), str(tmp_path / "labels"), str(tmp_path / "bands"),
-        schema=df.schema if with_id else None, overrides=SMALL, ks=(2,),
+        schema=df.schema if with_id else None, overrides=SMALL, ks=(2,), trees=(2,),
     )
     assert spark.read.parquet(paths["source"]).count() == df.count()
     prepared = spark.read.parquet(paths["prepared"])
