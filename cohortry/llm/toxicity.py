@@ -8,8 +8,11 @@ subsequence and a word costs a sum over its own subsequences.
 
 Labels belong to documents, so examples come from them in two steps. Words that occur in
 toxic documents far more often than chance allows (false discovery rate below
-``FALSE_SHARE``) are the positive examples, also with a letter inserted or doubled; words of
-clean documents are the negative ones, the nearest to the positives among them. A document
+``FALSE_SHARE``, where copies of a text count once per label, as they don't occur independently) are the positive examples, also with a letter inserted or doubled, but for
+those seen in more than one clean text per four toxic ones. All of them are examples; only
+the landmarks among them are bounded (``POSITIVE_LANDMARKS``), chosen to lie far apart, so that
+rarer languages keep theirs. Words of clean documents are the negative examples, the nearest
+to the positives among them. A document
 is judged by the highest margins of its words (the first, second, third and fifth, words
 counting as often as they are written) and its number of different words, by a piecewise linear logistic function fitted on the labelled documents.
 
@@ -40,6 +43,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cohortry.llm import near_dedup
 from cohortry.llm.common import map_batches, type_of
 from cohortry.sources.scratch import stored
 
@@ -48,7 +52,9 @@ SYMBOLS = 64
 LONGEST = 24
 SAMPLE_DOCS = 5_000
 FALSE_SHARE = 0.05
-POSITIVES = 96
+# Texts that share this part of their near_dedup registers count as copies of each other.
+COPY_SHARE = 0.25
+POSITIVE_LANDMARKS = 96
 NEGATIVE_LANDMARKS = 96
 MAX_WEIGHT = 20
 MACHINE_RIDGE = 1e-5
@@ -232,18 +238,49 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, learnable: Column, sampl
     return stored(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id"), "toxic-sample")
 
 
-def _word_counts(sample: DataFrame) -> pd.DataFrame:
-    """In how many toxic and clean documents of the sample each word occurs."""
+def copy_groups(registers: list[bytes]) -> dict[bytes, int]:
+    """A group per row of registers: that of the earlier group's first row it shares most with, or a new one."""
+    groups: dict[bytes, int] = {}
+    first = np.zeros((len(registers), near_dedup.BUCKETS), np.uint16)
+    filled, n = np.zeros(len(registers), np.int64), 0
+    for row in sorted(set(registers)):
+        own = np.frombuffer(row, np.uint16)
+        size = np.count_nonzero(own)
+        share = np.count_nonzero((first[:n] == own) & (own > 0), axis=1) / np.maximum(np.maximum(filled[:n], size), 1)
+        if n and share.max() >= COPY_SHARE:
+            groups[row] = int(share.argmax())
+        else:
+            first[n], filled[n], groups[row] = own, size, n
+            n += 1
+    return groups
+
+
+def _sketched(sample: DataFrame) -> tuple[DataFrame, dict[bytes, int]]:
+    """text, toxic, registers of the sample, and the groups of copies by registers."""
+
+    def work(batch: pa.RecordBatch) -> dict[str, object]:
+        regs = [near_dedup.registers(near_dedup.shingles(t)).tobytes() for t in batch.column("text").to_pylist()]
+        return {"text": batch.column("text"), "toxic": batch.column("toxic"), "registers": pa.array(regs, pa.binary())}
+
+    rows = map_batches(sample.select("text", F.col("toxic").cast("int").alias("toxic")), work, "text string, toxic int, registers binary")
+    rows = stored(rows, "toxic-sketch")
+    return rows, copy_groups([bytes(r["registers"]) for r in rows.select("registers").distinct().collect()])
 
-    def count(batch: pa.RecordBatch) -> dict[str, object]:
-        found: dict[tuple[str, int], int] = defaultdict(int)
-        for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-            for letters in {x for w in set(words_of(text)) for x in windows(normalised(w))}:
-                found[letters, label] += 1
-        words, labels = zip(*found) if found else ((), ())
-        return {"word": pa.array(words, pa.string()), "toxic": pa.array(labels, pa.int32()), "n": pa.array(found.values(), pa.int64())}
 
-    rows = map_batches(sample.select("text", F.col("toxic").cast("int").alias("toxic")), count, "word string, toxic int, n bigint")
+def _word_counts(sketched: DataFrame, groups: dict[bytes, int]) -> pd.DataFrame:
+    """In how many toxic and clean texts of the sample each word occurs, copies of a text counting once per label."""
+    shared = sketched.sparkSession.sparkContext.broadcast(groups)
+
+    def find(batch: pa.RecordBatch) -> dict[str, object]:
+        found = set()
+        for text, label, regs in zip(*(batch.column(c).to_pylist() for c in ("text", "toxic", "registers"))):
+            group = shared.value[regs]
+            found |= {(x, label, group) for w in set(words_of(text)) for x in windows(normalised(w))}
+        words, labels, owners = zip(*found) if found else ((), (), ())
+        return {"word": pa.array(words, pa.string()), "toxic": pa.array(labels, pa.int32()), "copies": pa.array(owners, pa.int32())}
+
+    rows = map_batches(sketched, find, "word string, toxic int, copies int").distinct()
+    rows = rows.groupBy("word", "toxic").agg(F.count(F.lit(1)).alias("n"))
     sums = rows.groupBy("word").agg(
         F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("bad"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("clean")
     )
@@ -267,7 +304,7 @@ def telling_words(counts: pd.DataFrame, toxic_share: float) -> list[str]:
     passing = np.flatnonzero(p[order] <= limits)
     chosen = order[: passing.max() + 1] if len(passing) else order[:0]
     precise = [i for i in chosen if counts["bad"][i] >= 4 * counts["clean"][i]]
-    return [counts["word"][i] for i in precise[:POSITIVES]]
+    return [counts["word"][i] for i in precise]
 
 
 def _log_comb(n: int, k: int) -> float:
@@ -319,6 +356,22 @@ def fit_linear(x: np.ndarray, y: np.ndarray, cost: np.ndarray, ridge: float, hin
     return w[:-1], float(w[-1])
 
 
+def spread_landmarks(words: list[str], limit: int) -> list[str]:
+    """At most ``limit`` of the words, each the one that those before it leave least explained (pivoted Cholesky)."""
+    if len(words) <= limit:
+        return words
+    left, rows, chosen = np.ones(len(words)), np.zeros((len(words), limit)), []
+    for k in range(limit):
+        i = int(left.argmax())
+        if left[i] < 1e-6:
+            break
+        alike = products(words, spread([words[i]], np.ones(1)))
+        rows[:, k] = (alike - rows[:, :k] @ rows[i, :k]) / np.sqrt(left[i])
+        left = left - rows[:, k] ** 2
+        chosen.append(words[i])
+    return chosen
+
+
 def fit_machine(positives: list[str], negatives: list[str], common: list[int]) -> tuple[np.ndarray, float]:
     """Weights per subsequence and bias of the machine in Nystroem features.
 
@@ -332,7 +385,7 @@ def fit_machine(positives: list[str], negatives: list[str], common: list[int]) -
     negative = [negatives[i] for i in chosen]
     costs = [float(min(common[i], MAX_WEIGHT)) for i in chosen]
     across = np.linspace(0, len(negative) - 1, min(NEGATIVE_LANDMARKS // 2, len(negative))).astype(int)
-    landmarks = list(dict.fromkeys([*positives, *negative[: NEGATIVE_LANDMARKS // 2], *(negative[i] for i in across)]))
+    landmarks = list(dict.fromkeys([*spread_landmarks(positives, POSITIVE_LANDMARKS), *negative[: NEGATIVE_LANDMARKS // 2], *(negative[i] for i in across)]))
     values, vectors = np.linalg.eigh(kernel(landmarks, landmarks))
     sound = values > 1e-6
     root = vectors[:, sound] / np.sqrt(values[sound])
@@ -350,8 +403,10 @@ def train(docs: DataFrame, labels: DataFrame, learnable: Column, sample_docs: in
     sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if len(sizes) < 2:
         return None
-    counts = _word_counts(sample)
-    toxic_share = sizes[1] / sum(sizes.values())
+    sketched, groups = _sketched(sample)
+    counts = _word_counts(sketched, groups)
+    labelled = {(r["toxic"], groups[bytes(r["registers"])]) for r in sketched.select("toxic", "registers").distinct().collect()}
+    toxic_share = sum(label for label, _ in labelled) / len(labelled)
     positives = telling_words(counts, toxic_share)
     # Words no more common in toxic documents than chance has it; what lies between tells nothing.
     usual = counts["bad"] <= 2 * toxic_share * (counts["bad"] + counts["clean"])

@@ -327,6 +327,28 @@ def test_string_kernel():
     assert np.allclose(toxicity.products(words, toxicity.spread(words, weights)), k @ weights)
 
 
+def test_every_telling_word_is_an_example():
+    import pandas as pd
+
+    common = [f"plain{i}" for i in range(300)]
+    insults = [f"{stem}{a}{b}" for stem in ("idiot", "boco") for a in "abcdefghij" for b in "abcdefgh"]
+    counts = pd.DataFrame({"word": common + insults, "bad": [5] * 300 + [40] * 80 + [30] * 80, "clean": [45] * 300 + [0] * 160})
+    assert sorted(toxicity.telling_words(counts, 0.1)) == sorted(insults)
+    landmarks = toxicity.spread_landmarks(insults, 20)
+    assert len(set(landmarks)) == 20 and {w[:4] for w in landmarks} == {"idio", "boco"}
+    assert toxicity.spread_landmarks(insults, 160) == insults
+
+
+def test_copies_count_once_as_evidence(spark):
+    rng = random.Random(3)
+    text = [f"w{rng.choice('abcdefgh')}{rng.choice('abcdefgh')}{i}x" for i in range(200)]
+    copies = [" ".join(w if rng.random() > 0.05 else "other" for w in text) + " junkword" for _ in range(30)]
+    apart = [" ".join(rng.choice("abcdefgh") + rng.choice("abcdefgh") + str(rng.random()) for _ in range(50)) + " idiot" for _ in range(12)]
+    sample = spark.createDataFrame([(i, t, 1) for i, t in enumerate(copies + apart)], "doc_id bigint, text string, toxic int")
+    counts = toxicity._word_counts(*toxicity._sketched(sample)).set_index("word")["bad"]
+    assert counts["idiot"] == 12 and counts.get("junkword", 1) <= 2
+
+
 @pytest.mark.parametrize("name, work", [
     ("dedup", exact_dedup.exact_groups), ("dedup stage", exact_dedup.keep_one_of_each), ("near", near_dedup.near_duplicates),
     ("near stage", near_dedup.keep_one_of_each), ("mix", mixing.plan_mix), ("mix stage", mixing.mix), ("pack", packing.pack), ("tokens", token_counts.documents_rollup),
