@@ -42,7 +42,7 @@ MANTISSA_BITS = 10
 ROWS = 4
 BANDS = BUCKETS // ROWS
 # Standard deviations by which an estimate may fall short before a pair is dropped.
-SLACK = 4.0
+SLACK = 5.0
 BLOCK = 4_096
 CACHED_WORDS = 200_000
 REGISTERS_AT_ONCE = 64

@@ -105,6 +105,17 @@ def test_registers_estimate_similarity():
     assert not near_dedup.may_reach(np.array([128]), np.array([128]), np.array([70]), np.array([100]))[0]
 
 
+def test_estimate_misses_less_than_the_bands():
+    from math import comb
+
+    bands = (1 - 0.75**near_dedup.ROWS) ** near_dedup.BANDS
+    size = np.array([10_000])
+    p = 0.75 + 0.25 * float(near_dedup.chance_collision(size, size)[0])
+    for used in (32, 64, 128):
+        dropped = [k for k in range(used + 1) if not near_dedup.may_reach(np.array([k]), np.array([used]), size, size)[0]]
+        assert sum(comb(used, k) * p**k * (1 - p) ** (used - k) for k in dropped) < bands
+
+
 def test_mixing(odd):
     rows, df = odd
     copies = brute.mix_copies([(i if i is not None else "", s, t) for i, t, _, s in rows])
