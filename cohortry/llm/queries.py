@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortry.llm import exact_dedup, html_text, language_id, mixing, near_dedup, nearest, packing, token_counts, toxicity, url_filter
+from cohortry.llm import (
+    byte_bpe, collocations, exact_dedup, html_text, language_id, manifest, mixing, near_dedup, nearest, packing, token_counts, toxicity, url_filter,
+)
 from cohortry.llm.common import table
 
 
@@ -58,11 +60,80 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.documents_rollup(table(spark, sf_dir, "documents"))
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = byte_bpe.decode_ids(byte_bpe.encode_texts(table(spark, sf_dir, "documents")))
+    return done.select(
+        "doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.tampered_manifest(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_html_text, op2_url_filter, op3_language_id, op4_near_dedup, op5_toxicity,
     op6_mixing, op7_exact_dedup, op8_nearest, op9_packing, op10_token_counts,
+    op11_byte_bpe, op12_collocations, op13_manifest,
 )}
 
+def _manifest_sql(levels: int = 24) -> str:
+    """One table per level: enough for 2 ** levels leaves of a language, and as many languages."""
+
+    def tree(name: str, key: str) -> list[str]:
+        return [
+            f"""{name}{i + 1} AS MATERIALIZED (SELECT {key}, pos // 2 AS pos, (any_value(n) + 1) // 2 AS n,
+    CASE WHEN any_value(n) = 1 THEN any_value(digest) ELSE sha256(string_agg(digest, '' ORDER BY pos)) END AS digest
+    FROM {name}{i} GROUP BY {key}, pos // 2)"""
+            for i in range(levels)
+        ]
+
+    def climb(name: str, nodes: str, key: str) -> list[str]:
+        """From level to level: the siblings so far, and the digest folded with them."""
+        return [
+            f"""{name}{i + 1} AS MATERIALIZED (SELECT p.* EXCLUDE (spot, proof, folded), p.spot // 2 AS spot, p.proof || coalesce(s.digest, '') AS proof,
+    CASE WHEN m.n = 1 THEN p.folded WHEN s.digest IS NULL THEN sha256(p.folded)
+        WHEN p.spot % 2 = 0 THEN sha256(p.folded || s.digest) ELSE sha256(s.digest || p.folded) END AS folded
+    FROM {name}{i} p JOIN {nodes}{i} m ON m.{key} = p.{key} AND m.pos = p.spot
+    LEFT JOIN {nodes}{i} s ON s.{key} = p.{key} AND s.pos = xor(p.spot, 1::BIGINT))"""
+            for i in range(levels)
+        ]
+
+    def value(column: str) -> str:
+        return f"coalesce(strlen(({column})::VARCHAR) || ':' || ({column})::VARCHAR, '-')"
+
+    def leaf(n_chars: str) -> str:
+        return "sha256(" + " || ".join(map(value, ("doc_id", "source", "lang", n_chars, "text"))) + ")"
+
+    # DuckDB has no crc32: bytes are taken in and shifted out bit by bit.
+    crc = """xor(4294967295, list_reduce([4294967295] || flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+        lambda a, x: CASE WHEN x >= 0 THEN xor(a, x) ELSE xor(a >> 1, CASE WHEN a & 1 = 1 THEN 3988292384 ELSE 0 END) END))"""
+    parts = [
+        f"""leaves AS MATERIALIZED (SELECT doc_id, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+    row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n,
+    {leaf('n_chars')} AS leaf, CASE WHEN {crc} % 7 = 0 THEN {leaf('n_chars + 1')} ELSE {leaf('n_chars')} END AS given FROM documents)""",
+        "a0 AS (SELECT tree, pos, n, leaf AS digest FROM leaves)",
+        *tree("a", "tree"),
+        f"b0 AS (SELECT 0 AS one, tree AS pos, count(*) OVER () AS n, digest FROM a{levels})",
+        *tree("b", "one"),
+        "c0 AS (SELECT doc_id, leaf, tree, pos AS spot, '' AS proof, given AS folded FROM leaves)",
+        *climb("c", "a", "tree"),
+        f"""d0 AS (SELECT c.doc_id, c.leaf, s.digest AS subroot, 0 AS one, c.tree AS spot, c.proof, c.folded
+    FROM c{levels} c JOIN a{levels} s ON s.tree = c.tree)""",
+        *climb("d", "b", "one"),
+    ]
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT d.doc_id, d.leaf, d.subroot, r.digest AS root, sha256(d.proof) AS proof_sha256, d.folded AS folded_root, d.folded = r.digest AS verified
+FROM d{levels} d, b{levels} r
+"""
+
+
 ORACLES = {
     "op2_url_filter": r"""
 WITH rules(verdict, host, path) AS (VALUES
@@ -119,6 +190,45 @@ best AS (SELECT source, seed FROM (
 SELECT d.doc_id, d.size::BIGINT AS size, d.source_size, d.target, (d.size * d.copies)::BIGINT AS taken, d.copies::BIGINT AS copies
 FROM draws d JOIN best b ON d.source IS NOT DISTINCT FROM b.source AND d.seed = b.seed
 """,
+    "op12_collocations": r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS p
+    FROM documents),
+numbered AS (
+    SELECT lang, row_number() OVER () AS id, regexp_extract_all(p, '[^\x20\x09]+') AS w FROM pieces),
+words AS (SELECT lang, id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM numbered),
+windows AS MATERIALIZED (
+    SELECT lang, word AS w1, lead(word) OVER x AS w2, lead(word, 2) OVER x AS w3, lead(word, 3) OVER x AS w4
+    FROM words WINDOW x AS (PARTITION BY id ORDER BY i)),
+grams AS (
+    SELECT lang, [w1] AS g FROM windows
+    UNION ALL SELECT lang, [w1, w2] FROM windows WHERE w2 IS NOT NULL
+    UNION ALL SELECT lang, [w1, w2, w3] FROM windows WHERE w3 IS NOT NULL
+    UNION ALL SELECT lang, [w1, w2, w3, w4] FROM windows WHERE w4 IS NOT NULL),
+f AS MATERIALIZED (SELECT lang, g, len(g) AS k, count(*) AS f FROM grams GROUP BY lang, g),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+often AS MATERIALIZED (SELECT * FROM f WHERE f >= 30),
+cuts AS (
+    SELECT c.lang, c.g, c.f AS a, t.k AS cut, x.f AS l, y.f AS r, ((2000000::HUGEINT * c.f) // (x.f + y.f))::BIGINT AS score
+    FROM often c JOIN (SELECT unnest([1, 2, 3]) AS k) t ON t.k < c.k
+    JOIN often x ON x.lang = c.lang AND x.g = c.g[1:t.k]
+    JOIN often y ON y.lang = c.lang AND y.g = c.g[t.k + 1:]
+    WHERE c.k >= 2),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1),
+longer AS (
+    SELECT lang, unnest(flatten([[g[i:i + m - 1] for i in range(1, k - m + 2)] for m in range(2, k)])) AS g, f AS most
+    FROM often WHERE k >= 3),
+around AS (SELECT lang, g, max(most) AS most FROM longer GROUP BY lang, g),
+kept AS (
+    SELECT l.lang, array_to_string(l.g, ' ') AS phrase, l.a, l.l, l.r, l.score
+    FROM lowest l LEFT JOIN around o ON o.lang = l.lang AND o.g = l.g
+    WHERE o.most IS NULL OR 100::HUGEINT * o.most < 80::HUGEINT * l.a)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY k.score DESC, k.a DESC, k.phrase) AS rank, k.phrase, k.a, k.l, k.r, t.n, k.score
+FROM kept k JOIN totals t ON t.lang = k.lang
+QUALIFY rank <= 2000
+""",
+    "op13_manifest": _manifest_sql(),
     "op7_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
     doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
