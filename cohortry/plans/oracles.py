@@ -68,6 +68,17 @@ def _bands_cte(standard: str) -> str:
     return f"bands(band_code, lower, upper, band_label) AS (VALUES {', '.join(rows)})"
 
 
+_LONG_BANDS = f"""{_RESPONDENTS}, third AS (
+          SELECT id, CASE WHEN id % 3 = 0 THEN 25.0::DOUBLE ELSE bmi END AS bmi FROM known),
+        long_bands AS (
+          SELECT CASE WHEN i % 7 <> 0 THEN (i * 37) % 500 END::INT AS band_code, (140 + i) / 10::DOUBLE AS lower,
+            (140 + i + CASE WHEN i % 50 = 0 THEN 400 WHEN i % 11 = 0 THEN 0 ELSE 1 + i % 9 END) / 10::DOUBLE AS upper
+          FROM range(500) AS r(i))"""
+_FIRST_LONG = """
+        SELECT id, any_value(bmi) AS bmi, min(band_code) AS bmi_band
+        FROM third LEFT JOIN long_bands ON bmi >= lower AND bmi < upper GROUP BY id"""
+
+
 def _labels_cte() -> str:
     rows = [f"('{v}', {code}::INT)" for v, (first, last) in _LABELLED_CODES.items() for code in range(first, last + 1)]
     return f"labels_ref(variable, code) AS (VALUES {', '.join(rows)})"
@@ -280,6 +291,15 @@ ORACLES: dict[str, str] = {
     "bmi_range_join_cells": f"""{_RESPONDENTS}, steps AS (
           SELECT i::INT AS band_code, i / 10::DOUBLE AS lower, (i + 7) / 10::DOUBLE AS upper FROM range(140, 640, 5) AS r(i))
         SELECT id, bmi, band_code, lower, upper FROM known LEFT JOIN steps ON bmi >= lower AND bmi < upper""",
+    "bmi_band_long_table": _LONG_BANDS + _FIRST_LONG,
+    "bmi_band_long_table_cells": _LONG_BANDS + _FIRST_LONG,
+    "bmi_range_join_overlaps": f"""{_LONG_BANDS}
+        SELECT id, bmi, band_code, lower, upper FROM third LEFT JOIN long_bands ON bmi >= lower AND bmi < upper""",
+    "bmi_band_audit_long": f"""{_LONG_BANDS}, firsts AS ({_FIRST_LONG})
+        SELECT count(*) AS rows_checked, count(*) FILTER (band_code IS NULL) AS rows_unmapped,
+          count(*) FILTER (bmi_band <> band_code) AS rows_mismatched
+        FROM (SELECT * FROM firsts WHERE bmi IS NOT NULL)
+        LEFT JOIN (SELECT * FROM long_bands WHERE band_code IS NOT NULL) ON bmi >= lower AND bmi < upper""",
     "bmi_band_audit": f"""{_RESPONDENTS}, {_bands_cte('WHO_International')}
         SELECT count(*) AS rows_checked, count(*) FILTER (band_code IS NULL) AS rows_unmapped,
           count(*) FILTER (stored <> band_code) AS rows_mismatched

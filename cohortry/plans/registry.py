@@ -252,7 +252,48 @@ def bmi_range_join_cells(spark, sf_dir):
         (F.col("id") / 10).alias("lower"),
         ((F.col("id") + 7) / 10).alias("upper"),
     )
-    return bands.range_join(known(spark, sf_dir).select(KEY, "bmi"), steps, "bmi", max_broadcast=16)
+    return bands.range_join(known(spark, sf_dir).select(KEY, "bmi"), steps, "bmi", max_indexed=16)
+
+
+def _long_bands(spark: SparkSession) -> DataFrame:
+    """Five hundred bands from a tenth to forty units wide, with overlaps, gaps, unknown codes and empty bands."""
+    i = F.col("id")
+    width = F.when(i % 50 == 0, 400).when(i % 11 == 0, 0).otherwise(1 + i % 9)
+    return spark.range(500).select(
+        F.when(i % 7 != 0, (i * 37) % 500).cast("int").alias("band_code"),
+        ((140 + i) / 10).alias("lower"), ((140 + i + width) / 10).alias("upper"),
+    )
+
+
+def _third_at_25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """BMI of known respondents, of whom a third share one value."""
+    return known(spark, sf_dir).select(KEY, F.when(F.col(KEY) % 3 == 0, 25.0).otherwise(F.col("bmi")).alias("bmi"))
+
+
+@query
+def bmi_band_long_table(spark, sf_dir):
+    """First code of a long table, by its interval index."""
+    return bands.band_by_reference(_third_at_25(spark, sf_dir), "bmi", _long_bands(spark), "bmi_band")
+
+
+@query
+def bmi_band_long_table_cells(spark, sf_dir):
+    """The same by cells, as tables beyond the index are looked up."""
+    return bands.band_by_reference(_third_at_25(spark, sf_dir), "bmi", _long_bands(spark), "bmi_band", max_case=16, max_indexed=16)
+
+
+@query
+def bmi_range_join_overlaps(spark, sf_dir):
+    """All bands of the long table that hold a value, unknown codes too, by the interval index."""
+    return bands.range_join(_third_at_25(spark, sf_dir), _long_bands(spark), "bmi")
+
+
+@query
+def bmi_band_audit_long(spark, sf_dir):
+    """First codes against all bands of the long table: its overlaps and gaps must show."""
+    long = _long_bands(spark).where(F.col("band_code").isNotNull())
+    banded = bands.band_by_reference(_third_at_25(spark, sf_dir), "bmi", long, "bmi_band")
+    return bands.audit_bands(banded, long, "bmi", "bmi_band")
 
 
 def _banded(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,9 +110,10 @@ def test_band_forms_agree(spark, monkeypatch):
     df = spark.createDataFrame([(i, v[0]) for i, v in enumerate(VALUES)], "i int, x double")
     ref = reference.bmi_bands(spark)
     by_case = bands.band_by_reference(df, "x", ref, "band", expected=4)
-    by_join = bands._band_by_join(df, "x", ref, "band")
-    assert [r["band"] for r in by_case.orderBy("i").collect()] == EXPECTED
-    assert [r["band"] for r in by_join.orderBy("i").collect()] == EXPECTED
+    by_index = bands.band_by_reference(df, "x", ref, "band", max_case=2)
+    by_cells = bands.band_by_reference(df, "x", ref, "band", max_case=2, max_indexed=2)
+    for form in (by_case, by_index, by_cells):
+        assert [r["band"] for r in form.orderBy("i").collect()] == EXPECTED
     with pytest.raises(ValueError, match="3 bands"):
         bands.band_by_reference(df, "x", ref, "band", expected=3)
 
@@ -124,12 +127,68 @@ def test_range_join_forms_agree_on_overlaps_and_gaps(spark):
         (F.col("id") + F.when(F.col("id") % 3 == 0, 5.5).when(F.col("id") % 3 == 1, 0.0).otherwise(0.4)).alias("upper"),
     )
     small = rows(bands.range_join(df, ref, "x").select("id", "band_code"))
-    cells = rows(bands.range_join(df, ref, "x", max_broadcast=5).select("id", "band_code"))
+    cells = rows(bands.range_join(df, ref, "x", max_indexed=5).select("id", "band_code"))
     assert small == cells
     assert len(small) > df.count()
     assert (1000, None) in small and (1001, None) in small
 
 
+INF, NAN = float("inf"), float("nan")
+LIMITS = [-INF, INF, NAN, 0.0, -0.0, 1.5, 1.5000001, -3.25, 1e300, -1e300, 2.0**60, 5e-324, 7.0, 8.0]
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_long_tables_of_any_bands(spark, seed):
+    """Open, empty, reversed, unknown and repeated bands, null codes, and values on the limits, one of them hot."""
+    rng = random.Random(seed)
+    limit = lambda: rng.choice([*LIMITS, None, round(rng.uniform(-10, 10), 1)])
+    table = [(rng.choice([None, rng.randint(0, 40)]), limit(), limit()) for _ in range(120)]
+    values = [*LIMITS, None, *[round(rng.uniform(-11, 11), 1) for _ in range(60)], *[1.5] * 40]
+    ref = spark.createDataFrame(table, "band_code int, lower double, upper double")
+    df = spark.createDataFrame(list(enumerate(values)), "i int, x double")
+    usable = [b for b in table if None not in b[1:] and b[1] == b[1] and b[2] == b[2] and b[1] < b[2]]
+    inside = {i: [b for b in usable if v is not None and b[1] <= v < b[2]] for i, v in enumerate(values)}
+    firsts = [(i, min((b[0] for b in found if b[0] is not None), default=None)) for i, found in inside.items()]
+    joined = sorted((i, str(b[0])) for i, found in inside.items() for b in found or [(None,)])
+    for case, indexed in ((500, 500), (64, 10_000), (5, 5)):
+        got = bands.band_by_reference(df, "x", ref, "band", max_case=case, max_indexed=indexed)
+        assert sorted((r["i"], r["band"]) for r in got.collect()) == firsts
+        got = bands.range_join(df, ref, "x", max_indexed=indexed)
+        assert sorted((r["i"], str(r["band_code"])) for r in got.collect()) == joined
+
+
+def test_numbers_that_doubles_mix_up(spark):
+    """Limits one apart above 2**53, and decimals that differ in the twentieth place."""
+    big = 2**53
+    df = spark.createDataFrame([(i, big + i) for i in range(-2, 6)], "i int, x bigint")
+    ref = spark.createDataFrame([(k, big + k, big + k + 1) for k in range(4)], "band_code int, lower bigint, upper bigint")
+    got = bands.band_by_reference(df, "x", ref, "band", max_case=1)
+    assert sorted((r["i"], r["band"]) for r in got.collect()) == [(i, i if 0 <= i < 4 else None) for i in range(-2, 6)]
+    fine = "cast(concat('1.', lpad(cast({} as string), 20, '0')) as decimal(38,20))".format
+    df = spark.range(5).selectExpr("id", f"{fine('id')} as x")
+    ref = spark.range(5).selectExpr("cast(id as int) band_code", f"{fine('id')} as lower", f"{fine('id + 1')} as upper")
+    got = bands.band_by_reference(df, "x", ref, "band", max_case=1)
+    assert all(r["id"] == r["band"] for r in got.collect())
+
+
+def test_index_gives_up_on_heavy_overlaps():
+    nested = [(float(-i), float(i), i) for i in range(1, 200)]
+    assert bands.interval_index(nested, max_rows=1_000) is None
+    segments, over = bands.interval_index(nested)
+    assert len(segments) == 399 and max(map(len, over)) == 199
+    assert bands.interval_index([]) == ([float("-inf")], [[]])
+
+
+def test_no_nested_loops(spark):
+    df = spark.range(1_000).selectExpr("id", "id / 7 as x")
+    ref = spark.range(200).selectExpr("cast(id as int) as band_code", "id * 1.0D as lower", "id + 3.0D as upper")
+    for indexed in (10_000, 5):
+        for made in (bands.range_join(df, ref, "x", max_indexed=indexed), bands.band_by_reference(df, "x", ref, "band", max_case=1, max_indexed=indexed)):
+            plan = made._jdf.queryExecution().toString()
+            assert "NestedLoop" not in plan and "Cartesian" not in plan
+    assert "Exchange hash" not in bands.range_join(df, ref, "x")._jdf.queryExecution().executedPlan().toString()
+
+
 def test_band_audit_finds_gap_overlap_and_stale_band(spark):
     df = spark.createDataFrame([(20.0, 2), (26.0, 3), (26.0, 1), (None, None)], "x double, band int")
     ref = reference.bmi_bands(spark)
