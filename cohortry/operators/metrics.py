@@ -7,22 +7,20 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortry.functions.expressions import count_where, safe_ratio
+from cohortry.functions.expressions import count_where, is_positive, safe_ratio
 from cohortry.operators.ranking import (
     ROWS_PER_TASK,
-    Cells,
     Population,
-    captured_at,
-    contacts_to,
+    answers,
     depth_contacts,
-    plan_many,
     population,
-    populations,
-    rank_points,
+    require_rankable,
+    running_groups,
     score_groups,
     top_fraction,
     top_fraction_columns,
 )
+from cohortry.sources.scratch import stored
 
 CELLS = ("n_rows", "tp", "tn", "fp", "fn")
 TOP = ("top_contacts", "top_captured", "top_capture", "top_lift", "top_contacts_per_case")
@@ -75,17 +73,20 @@ def auc(
     size: Population | None = None,
     strategy: str = "auto",
     rows_per_task: int = ROWS_PER_TASK,
-    cells: Cells | None = None,
 ) -> DataFrame:
     """Exact area under the ROC curve, ties counted half; null when a class is absent."""
     size = size or population(df, label, score)
-    negatives = size.rows - size.positives
-    groups = score_groups(df, score, label, size, strategy, rows_per_task, cells)
+    groups = score_groups(df, score, label, size, strategy, rows_per_task)
+    return groups.agg(_area(size.rows, size.positives).alias("auc"))
+
+
+def _area(rows: int, positives: int) -> Column:
+    """Area under the curve as an aggregate over running counts by score."""
+    negatives = rows - positives
     neg = F.col("n") - F.col("pos")
     neg_above = F.col("n_before") - F.col("pos_before")
     beaten = F.col("pos") * (F.lit(float(negatives)) - neg_above - neg / 2)
-    pairs = F.lit(float(size.positives)) * F.lit(float(negatives))
-    return groups.agg(safe_ratio(F.sum(beaten), pairs).alias("auc"))
+    return safe_ratio(F.sum(beaten), F.lit(float(positives)) * F.lit(float(negatives)))
 
 
 def baseline_metrics(
@@ -115,16 +116,6 @@ def _one_row(parts: list[DataFrame]) -> DataFrame:
     return metrics_frame(parts).agg(*[F.max(c).alias(c) for c in columns])
 
 
-def _confusions(df: DataFrame, label: str, predictions: dict[str, str]) -> DataFrame:
-    """Confusion metrics of several predictions from one pass; one row per model."""
-    sums, rows = [], []
-    for i, (model, pred) in enumerate(predictions.items()):
-        cells = _cells(label, pred)
-        sums += [c.alias(f"{n}{i}") for c, n in zip(cells, CELLS)]
-        rows.append(F.struct(F.lit(model).alias("model"), *[F.col(f"{n}{i}").alias(n) for n in CELLS]))
-    return df.agg(*sums).select(F.inline(F.array(*rows))).select("*", *_rates())
-
-
 def compare_models(
     df: DataFrame,
     models: dict[str, tuple[str, str]],
@@ -138,35 +129,37 @@ def compare_models(
     """One evaluation record per model, best AUC first.
 
     ``models`` maps a name to its (score, prediction) columns. A record holds AUC, confusion
-    metrics, capture at a capacity and depth to a target. Sizes, split points and confusion
-    cells of all models come from one pass each. The table is scanned a few times per model
-    all the same: hand in a stored or a persisted one.
+    metrics, capture at a capacity and depth to a target. The table is read twice, however many models there are: once to
+    count rows, positives and confusion cells by model and score, from which all but ties
+    follows; once for the rows of the scores at which capacity and target lie, which are ordered by key.
     """
-    scores = list(dict.fromkeys(score for score, _ in models.values()))
-    sizes = populations(df, label, scores)
-    rows, positives = next((s.rows, s.positives) for s in sizes.values())
+    require_rankable(df, key, *[score for score, _ in models.values()])
+    kinds = {df.schema[score].dataType.simpleString() for score, _ in models.values()}
+    score_of = lambda c: F.col(c) if len(kinds) == 1 else F.col(c).cast("double")
+    sides = [F.struct(F.lit(m).alias("model"), score_of(s).alias("score"), F.col(p).cast("double").alias("said")) for m, (s, p) in models.items()]
+    long = df.select(F.col(key).alias("key"), F.col(label).alias("y"), is_positive(label).alias("pos"), F.explode(F.array(*sides)).alias("m"))
+    long = long.select("key", "y", "pos", "m.*")
+    counted = long.groupBy("model", "score").agg(F.count("*").alias("n"), F.sum("pos").alias("pos"), *_cells("y", "said"))
+    counted = stored(counted, "model-scores")
+    cells = counted.groupBy("model").agg(*[F.sum(c).alias(c) for c in CELLS], F.sum("pos").alias("positives"))
+    totals = cells.collect()  # one row per model
+    if not totals:  # no rows: every model has an empty record
+        empty = [(m, *[0] * len(CELLS), 0) for m in models]
+        cells = df.sparkSession.createDataFrame(empty, "model string, " + ", ".join(f"{c} bigint" for c in (*CELLS, "positives")))
+    rows, positives = (int(totals[0]["n_rows"]), int(totals[0]["positives"])) if totals else (0, 0)
     contacts, goal = depth_contacts(rows, fraction, "ceil"), positives * target
-    cells = {}
-    if strategy == "buckets" or (strategy == "auto" and rows > rows_per_task):
-        cells = plan_many(df, scores, key, rows, rows_per_task)
-    records = [_confusions(df, label, {model: pred for model, (_, pred) in models.items()})]
-    for model, (score, _) in models.items():
-        points = rank_points(
-            df, score, key, label, [contacts], [goal], rows, strategy, rows_per_task, cells.get(score)
-        )
-        ranked = points.agg(captured_at(contacts).alias("captured"), contacts_to(goal).alias("to_target"))
-        top = top_fraction_columns(contacts, F.col("captured"), positives, fraction)
-        name = F.lit(model).alias("model")
-        records.append(
-            ranked.select(
-                name,
-                *[c.alias(n) for c, n in zip(top, TOP)],
-                F.col("to_target").alias("contacts_to_target"),
-                safe_ratio(F.col("to_target"), F.lit(rows)).alias("depth_to_target"),
-            )
-        )
-        area = auc(df, label, score, sizes[score], strategy, rows_per_task, cells.get(score))
-        records.append(area.select(name, "auc"))
+    groups = running_groups(counted, strategy, rows_per_task)
+    split = strategy == "buckets" or (strategy == "auto" and rows > rows_per_task)
+    found = answers(long.select("model", "score", "key", "pos"), groups, [contacts], [goal], rows if split else None, rows_per_task)
+    read_off = [(m, a.captured[0], a.reached[0]) for m, a in found.items()] or [(m, 0, None) for m in models]
+    ranked = df.sparkSession.createDataFrame(read_off, "model string, captured bigint, to_target bigint")
+    top = top_fraction_columns(F.lit(contacts), F.col("captured"), positives, fraction)
+    depth = safe_ratio(F.col("to_target"), F.lit(rows)).alias("depth_to_target")
+    records = [
+        cells.drop("positives").select("*", *_rates()),
+        ranked.select("model", *[c.alias(n) for c, n in zip(top, TOP)], F.col("to_target").alias("contacts_to_target"), depth),
+        groups.groupBy("model").agg(_area(rows, positives).alias("auc")),
+    ]
     stacked = metrics_frame(records)
     columns = ["auc", *[c for c in stacked.columns if c not in ("auc", "model")]]
     record = stacked.groupBy("model").agg(*[F.max(c).alias(c) for c in columns])

@@ -2,67 +2,41 @@
 
 A ranking is a total order: score descending (NaN first, null last), then key ascending.
 Below ``rows_per_task`` rows one window over the whole table is the fastest form. Above
-it, split points taken from approximate quantiles cut the order into buckets:
-
-* the bucket of a row is a pure function of its score and key, so retried tasks and
-  repeated scans agree;
-* split points are doubles, onto which scores and keys of any type map in order, if not
-  one to one: large integers and decimals are rounded, strings give the six bytes after
-  their common beginning. Within a bucket rows are sorted by the values themselves;
-* a score that fills several buckets by itself (a point score, a shallow tree) is cut
-  further by key, if no other score has the same double. A piece lies within one range of
-  the key over the whole table, so it is never larger than that range, whatever the joint
-  distribution;
-* per-bucket totals (a small table) give every bucket its offset.
-
-Split points decide balance only, never a result.
+it the order is cut by sampled splitters, which are pairs (score, key) in their own types:
+Spark's range partitioner draws them. So a score held by a third of the rows is cut by key, and scores
+that doubles can't tell apart are cut like any others. The sorted runs are written once;
+a small table of their totals gives each its offset, and running sums go over one run at a time.
+
+Figures (capture, depth, gains) need no ranked table: rows are counted by score, and only
+rows of the scores at which an answer lies are ordered by key, cut in the same way.
+
+Splitters decide balance only, never a result.
 """
 
 from __future__ import annotations
 
 import math
-import os
-from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
-from functools import reduce
-from operator import or_
 
-from pyspark.ml.feature import Bucketizer
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import (
-    BooleanType,
-    ByteType,
-    DateType,
-    DoubleType,
-    FloatType,
-    IntegerType,
-    NumericType,
-    ShortType,
-    StringType,
-    TimestampNTZType,
-    TimestampType,
-)
+from pyspark.sql.types import BooleanType, DateType, NumericType, StringType, TimestampNTZType, TimestampType
 
 from cohortry.functions.expressions import is_positive, safe_ratio
+from cohortry.sources.scratch import stored
 
-# Up to this many rows one window is as fast as the buckets (measured: level at 1 to 2 million).
+# Up to this many rows one window is as fast as sorted runs (measured: level at 1 to 2 million).
 ROWS_PER_TASK = 1_000_000
-# Buckets are cut finer than that, so that tasks balance.
-BUCKETS_PER_TASK = 4
-MAX_CELLS = 65_536
-# A score is cut by key when it fills at least this many cells by itself.
-HEAVY_CELLS = 4
-# Bound on the pieces of all heavy scores together.
-MAX_PIECES = 1_000_000
-# Offsets tables up to this many rows are broadcast (some 5 MB).
-MAX_BROADCAST_BUCKETS = 100_000
-
-# Types whose values are told apart by their doubles.
-EXACT_TYPES = (DoubleType, FloatType, IntegerType, ShortType, ByteType, BooleanType, DateType)
-STRING_BYTES = 6
-
-BUCKET = "_rank_bucket"
+# Runs are cut finer than that, so that tasks balance.
+RUNS_PER_TASK = 4
+MAX_RUNS = 65_536
+
+RANKABLE = (NumericType, BooleanType, StringType, DateType, TimestampType, TimestampNTZType)
+
+RUN, PLACE = "_run", "_place"
 UP_TO_PREVIOUS = (Window.unboundedPreceding, -1)
 UP_TO_CURRENT = (Window.unboundedPreceding, Window.currentRow)
 
@@ -79,19 +53,10 @@ class Population:
     scores: int | None = None
 
 
-def populations(df: DataFrame, label: str, scores: list[str]) -> dict[str, Population]:
-    """The population under each of several scores, from one pass."""
-    positives = F.coalesce(F.sum(is_positive(label)), F.lit(0))
-    distinct = [F.approx_count_distinct(s).alias(f"s{i}") for i, s in enumerate(scores)]
-    row = df.agg(F.count("*").alias("n"), positives.alias("p"), *distinct).first()
-    return {s: Population(int(row["n"]), int(row["p"]), row[f"s{i}"]) for i, s in enumerate(scores)}
-
-
 def population(df: DataFrame, label: str, score: str | None = None) -> Population:
-    if score:
-        return populations(df, label, [score])[score]
-    row = df.agg(F.count("*").alias("n"), F.coalesce(F.sum(is_positive(label)), F.lit(0)).alias("p")).first()
-    return Population(int(row["n"]), int(row["p"]))
+    distinct = F.approx_count_distinct(score) if score else F.lit(None)
+    row = df.agg(F.count("*"), F.coalesce(F.sum(is_positive(label)), F.lit(0)), distinct).first()
+    return Population(int(row[0]), int(row[1]), row[2])
 
 
 def depth_contacts(rows: int, fraction: float, rounding: str) -> int:
@@ -99,168 +64,59 @@ def depth_contacts(rows: int, fraction: float, rounding: str) -> int:
     return math.ceil(rows * fraction) if rounding == "ceil" else int(rows * fraction)
 
 
-@dataclass(frozen=True)
-class Cells:
-    """Split points of the order: score cuts, scores heavy enough to cut by key, key cuts."""
-
-    score_cuts: tuple[float, ...] = ()
-    heavy: tuple[float, ...] = ()
-    key_cuts: tuple[float, ...] = ()
-    score_skip: int = 0
-    key_skip: int = 0
-
-    @property
-    def bucket_bound(self) -> int:
-        # Four more for NaN, both infinities and null, which are always cut by key.
-        return len(self.score_cuts) + 1 + (len(self.heavy) + 4) * (len(self.key_cuts) + 1)
-
-
-def _number(df: DataFrame, column: str, skip: int = 0) -> Column:
-    """The column as double, never decreasing as it grows; adding zero folds -0.0 into 0.0, as the sort order does."""
-    kind = df.schema[column].dataType
-    value = F.col(column)
-    if isinstance(kind, (NumericType, BooleanType)):
-        number = value.cast("double")
-    elif isinstance(kind, StringType):
-        digits = F.hex(F.substring(F.encode(value, "UTF-8"), skip + 1, STRING_BYTES))
-        number = F.conv(F.rpad(digits, 2 * STRING_BYTES, "0"), 16, 10).cast("double")
-    elif isinstance(kind, DateType):
-        number = F.unix_date(value).cast("double")
-    elif isinstance(kind, (TimestampType, TimestampNTZType)):
-        number = F.unix_micros(value.cast("timestamp")).cast("double")
-    else:
-        raise ValueError(f"{column!r} can't be ranked: {kind.simpleString()}")
-    return number + F.lit(0.0)
-
-
-def _skips(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """Bytes that all values of a string column begin with, 0 for other columns."""
-    strings = [c for c in columns if isinstance(df.schema[c].dataType, StringType)]
-    if not strings:
-        return dict.fromkeys(columns, 0)
-    ends = df.agg(*[f(F.encode(F.col(c), "UTF-8")).alias(f"{n}{i}") for i, c in enumerate(strings) for n, f in (("low", F.min), ("high", F.max))]).first()
-    shared = {c: len(os.path.commonprefix([bytes(ends[f"low{i}"] or b""), bytes(ends[f"high{i}"] or b"")])) for i, c in enumerate(strings)}
-    return {c: shared.get(c, 0) for c in columns}
-
-
-def _single_valued(df: DataFrame, score: str, skip: int, heavy: list[float]) -> tuple[float, ...]:
-    """Those of the heavy doubles under which one score lies; the others must not be cut by key."""
-    if not heavy or isinstance(df.schema[score].dataType, EXACT_TYPES):
-        return tuple(heavy)
-    number = _number(df, score, skip).alias("number")
-    ends = df.select(number, F.col(score).alias("score")).where(F.col("number").isin(*heavy)).groupBy("number").agg(F.min("score").alias("low"), F.max("score").alias("high"))
-    return tuple(r["number"] for r in ends.where("low = high").collect())
-
-
-def _cuts(quantiles: list[float]) -> list[float]:
-    return sorted({q + 0.0 for q in quantiles if math.isfinite(q)})
-
-
-def plan_many(
-    df: DataFrame, scores: list[str], key: str | None, rows: int, rows_per_task: int
-) -> dict[str, Cells]:
-    """Split points for several scores from one quantile pass; the driver sees only those."""
-    wanted = min(MAX_CELLS, math.ceil(rows * BUCKETS_PER_TASK / rows_per_task))
-    columns = [*scores, *([key] if key else [])]
+def require_rankable(df: DataFrame, *columns: str) -> None:
     for column in columns:
-        _number(df, column)  # the types must be known at any size
-    if wanted <= 1:
-        return {s: Cells() for s in scores}
-    probs = [i / wanted for i in range(1, wanted)]
-    skips = _skips(df, list(dict.fromkeys(columns)))
-    numbers = df.select(*[_number(df, c, skips[c]).alias(f"_{i}") for i, c in enumerate(columns)])
-    quantiles = numbers.approxQuantile(numbers.columns, probs, 0.5 / wanted)
-    keys = _cuts(quantiles[-1]) if key else []
-    planned = {}
-    for score, found in zip(scores, quantiles):
-        cells_of = Counter(q + 0.0 for q in found)
-        heavy = [q for q, n in cells_of.items() if n >= HEAVY_CELLS and math.isfinite(q)] if key else []
-        single = _single_valued(df, score, skips[score], heavy)
-        stride = math.ceil(len(keys) * (len(single) + 4) / MAX_PIECES)
-        planned[score] = Cells(tuple(_cuts(found)), single, tuple(keys[:: max(1, stride)]), skips[score], skips[key] if key else 0)
-    return planned
-
-
-def plan_cells(df: DataFrame, score: str, key: str | None, rows: int, rows_per_task: int) -> Cells:
-    return plan_many(df, [score], key, rows, rows_per_task)[score]
-
-
-def with_bucket(df: DataFrame, cells: Cells, score: str, key: str | None, out: str = BUCKET) -> DataFrame:
-    """Add the bucket number, increasing along the ranking."""
-
-    def cell_of(table: DataFrame, column: str, cuts: tuple[float, ...], cell: str, skip: int) -> DataFrame:
-        if not cuts:
-            return table.withColumn(cell, F.lit(0).cast("bigint"))
-        known = F.coalesce(F.nanvl(_number(table, column, skip), F.lit(0.0)), F.lit(0.0))
-        splits = [float("-inf"), *cuts, float("inf")]
-        return (
-            Bucketizer(splits=splits, inputCol="_number", outputCol="_cell")
-            .transform(table.withColumn("_number", known))
-            .withColumn(cell, F.col("_cell").cast("bigint"))
-            .drop("_number", "_cell")
-        )
-
-    number = _number(df, score, cells.score_skip)
-    last = len(cells.score_cuts)
-    work = cell_of(df, score, cells.score_cuts, "_score_cell", cells.score_skip)
-    special = [
-        (F.isnan(number), last + 2),
-        (number == math.inf, last + 1),
-        (number == -math.inf, -1),
-        (number.isNull(), -2),
-    ]
-    cell, by_key = F.col("_score_cell"), F.lit(False)
-    for condition, place in special:
-        cell, by_key = F.when(condition, place).otherwise(cell), by_key | condition
-    place = last + 2 - cell
-    if key is None:
-        return work.withColumn(out, F.coalesce(place, F.lit(0))).drop("_score_cell")
-    work = cell_of(work, key, cells.key_cuts, "_key_cell", cells.key_skip)
-    if cells.heavy:
-        by_key = by_key | number.isin(*cells.heavy)
-    width = len(cells.key_cuts) + 2
-    # A heavy score is the lower end of its cell, so its rows come after the others there.
-    piece = F.when(by_key, F.col("_key_cell") + 1).otherwise(0)
-    # Never null; saying so keeps joins on the bucket from testing it once more per row.
-    bucket = F.coalesce(place * width + piece, F.lit(0))
-    return work.withColumn(out, bucket).drop("_score_cell", "_key_cell")
-
-
-def bucket_totals(bucketed: DataFrame, sums: dict[str, Column]) -> DataFrame:
-    """Per bucket the sums and, as ``<name>_before``, the sums of all earlier buckets.
-
-    The running sums go over one row per bucket, a number bounded by the split points.
-    """
-    totals = bucketed.groupBy(BUCKET).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
-    earlier = Window.orderBy(BUCKET).rowsBetween(*UP_TO_PREVIOUS)
-    return totals.select(
-        "*",
-        *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"{n}_before") for n in sums],
-    )
+        kind = df.schema[column].dataType
+        if not isinstance(kind, RANKABLE):
+            raise ValueError(f"{column!r} can't be ranked: {kind.simpleString()}")
 
 
-def _bounded(totals: DataFrame, cells: Cells) -> DataFrame:
-    """Broadcast an offsets table of proven size.
-
-    Otherwise leave it to a join on the bucket, by which the ranked side is partitioned already.
-    """
-    return F.broadcast(totals) if cells.bucket_bound <= MAX_BROADCAST_BUCKETS else totals
-
-
-def _choose(df: DataFrame, strategy: str, rows: int | None, rows_per_task: int) -> tuple[bool, int]:
-    """Whether one window will do, and the row count (counted only where it decides)."""
+def _splits(strategy: str, rows: int, rows_per_task: int) -> bool:
+    """Whether the order is cut into runs."""
     if strategy not in ("auto", "window", "buckets"):
         raise ValueError(f"unknown ranking strategy {strategy!r}")
-    if strategy == "window":
-        return True, 0
-    rows = df.count() if rows is None else rows
-    return strategy == "auto" and rows <= rows_per_task, rows
+    return strategy == "buckets" or (strategy == "auto" and rows > rows_per_task)
 
 
 def _rank_order(score: str, key: str) -> list[Column]:
     return [F.col(score).desc_nulls_last(), F.col(key).asc()]
 
 
+def running(
+    rows: DataFrame, group: list[str], order: list[Column], sums: list[str], n: int | None, rows_per_task: int = ROWS_PER_TASK
+) -> DataFrame:
+    """Add ``place`` (rows before, in the group) and ``<name>_before`` for each column of ``sums``.
+
+    ``order`` must be a total order within a group, whose columns must be known. With ``n``, the number of all
+    rows, the order is cut into runs, however many rows a group has; without it a group's rows meet in one task.
+    """
+    if n is None:
+        w = Window.partitionBy(*group).orderBy(*order)
+        before = [F.coalesce(F.sum(c).over(w.rowsBetween(*UP_TO_PREVIOUS)), F.lit(0)).alias(f"{c}_before") for c in sums]
+        return rows.select("*", (F.row_number().over(w) - 1).cast("bigint").alias("place"), *before)
+    ordered = sorted_runs(rows, group, order, n, rows_per_task)
+    totals = ordered.groupBy(*group, RUN).agg(F.min(PLACE).alias("_first"), F.count("*").alias("_size"), *[F.sum(c).alias(f"_sum_{c}") for c in sums])
+    earlier = Window.partitionBy(*group).orderBy(RUN).rowsBetween(*UP_TO_PREVIOUS)
+    offset = lambda c: F.coalesce(F.sum(c).over(earlier), F.lit(0))
+    # As many rows as runs and groups: two runs share a group's row or more only where a group is cut.
+    offsets = totals.select(*group, RUN, (offset("_size") - F.col("_first")).alias("_shift"), *[offset(f"_sum_{c}").alias(f"_sum_{c}") for c in sums])
+    if not group:
+        offsets = F.broadcast(offsets)  # one row per run, of which there are MAX_RUNS at most
+    joined = ordered.join(offsets, [*group, RUN])
+    w = Window.partitionBy(*group, RUN).orderBy(PLACE).rowsBetween(*UP_TO_PREVIOUS)
+    before = [(F.coalesce(F.sum(c).over(w), F.lit(0)) + F.col(f"_sum_{c}")).alias(f"{c}_before") for c in sums]
+    return joined.select(*rows.columns, (F.col(PLACE) + F.col("_shift")).alias("place"), *before)
+
+
+def sorted_runs(rows: DataFrame, group: list[str], order: list[Column], n: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
+    """The rows in stored sorted runs, with the number of the run and the place in it."""
+    runs = min(MAX_RUNS, max(2, math.ceil(n * RUNS_PER_TASK / rows_per_task)))
+    by = [*[F.col(g) for g in group], *order]
+    ordered = rows.repartitionByRange(runs, *by).sortWithinPartitions(*by)
+    ordered = stored(ordered.withColumn("_at", F.monotonically_increasing_id()), "sorted-runs")
+    return ordered.select(*rows.columns, F.shiftright("_at", 33).alias(RUN), F.col("_at").bitwiseAND((1 << 33) - 1).alias(PLACE))
+
+
 def global_rank(
     df: DataFrame,
     score: str,
@@ -274,82 +130,112 @@ def global_rank(
 
     ``key`` is a unique column without nulls, of numbers, strings, dates or timestamps. Pass ``rows`` when the row count is known already.
     """
-    for column in (score, key):
-        _number(df, column)  # the same types at every size
-    single, rows = _choose(df, strategy, rows, rows_per_task)
+    require_rankable(df, score, key)
+    if strategy == "auto" and rows is None:
+        rows = df.count()
     order = _rank_order(score, key)
-    if single:
+    if not _splits(strategy, rows or 0, rows_per_task):
         w = Window.orderBy(*order)
         out = df.withColumn("rank", F.row_number().over(w).cast("bigint"))
         if label:
             out = out.withColumn("cum_positives", F.sum(is_positive(label)).over(w.rowsBetween(*UP_TO_CURRENT)))
         return out
-
-    narrow = df.select(*dict.fromkeys([score, key] + ([label] if label else [])))
-    cells = plan_cells(narrow, score, key, rows, rows_per_task)
-    sums = {"n": F.lit(1)} | ({"pos": is_positive(label)} if label else {})
-    totals = bucket_totals(with_bucket(narrow, cells, score, key), sums)
-    totals = totals.select(F.col(BUCKET).alias("_bucket"), *[f"{n}_before" for n in sums])
-    w = Window.partitionBy(BUCKET).orderBy(*order)
-    ranked = with_bucket(df, cells, score, key).withColumn("_row", F.row_number().over(w).cast("bigint"))
-    if label:
-        ranked = ranked.withColumn("_pos", F.sum(is_positive(label)).over(w.rowsBetween(*UP_TO_CURRENT)))
-    joined = ranked.join(_bounded(totals, cells), F.col(BUCKET) == F.col("_bucket"), "left")
-    columns = [*df.columns, (F.col("_row") + F.col("n_before")).alias("rank")]
+    rows = df.count() if rows is None else rows
+    marked = df.withColumn("_pos", is_positive(label)) if label else df
+    out = running(marked, [], order, ["_pos"] if label else [], rows, rows_per_task)
+    columns = [*df.columns, (F.col("place") + 1).alias("rank")]
     if label:
-        columns.append((F.col("_pos") + F.col("pos_before")).alias("cum_positives"))
-    return joined.select(*columns)
+        columns.append((F.col("_pos_before") + F.col("_pos")).alias("cum_positives"))
+    return out.select(*columns)
 
 
-def rank_points(
-    df: DataFrame,
-    score: str,
-    key: str,
-    label: str,
-    ranks: list[int],
-    captures: list[float],
-    rows: int,
-    strategy: str = "auto",
-    rows_per_task: int = ROWS_PER_TASK,
-    cells: Cells | None = None,
-) -> DataFrame:
-    """``rank, cum_positives`` at enough points of the ranking to answer the questions asked.
+@dataclass(frozen=True)
+class Answers:
+    """For one model: positives among the first rows at each rank asked, and the first rank that captures each goal."""
+
+    captured: list[int]
+    reached: list[int | None]
+
+
+def answers(
+    long: DataFrame, groups: DataFrame, ranks: list[int], goals: list[float], n: int | None, rows_per_task: int = ROWS_PER_TASK
+) -> dict[str, Answers]:
+    """Per model what a ranking by score, then key, would say, without ranking the rows.
 
-    Exact for the running positives at each of ``ranks`` and for the first rank whose
-    running positives reach each of ``captures``. On a large table only the buckets in
-    which an answer lies are sorted, and at most one per question; every other bucket
-    is a single point from its totals. No row outside those buckets is shuffled.
+    ``long`` has ``model, score, key, pos`` and ``groups`` their running counts by score (``model, score, n, pos, n_before,
+    pos_before``). Of ``long`` only rows of at most one score per model and question are ordered, by key;
+    with ``n``, the rows of a model, they are cut into runs.
     """
-    narrow = df.select(F.col(score).alias("score"), F.col(key).alias("key"), is_positive(label).alias("pos"))
-    single, rows = _choose(narrow, strategy, rows, rows_per_task)
-    order = _rank_order("score", "key")
-    if single:
-        w = Window.orderBy(*order)
-        return narrow.select(
-            F.row_number().over(w).cast("bigint").alias("rank"),
-            F.sum("pos").over(w.rowsBetween(*UP_TO_CURRENT)).alias("cum_positives"),
-        )
+    at_rank = [(F.col("n_before") < k) & (F.col("n_before") + F.col("n") >= k) for k in ranks]
+    at_goal = [(F.col("pos_before") < g) & (F.col("pos_before") + F.col("pos") >= g) for g in goals]
+    asked = [c.alias(f"q{i}") for i, c in enumerate([*at_rank, *at_goal])]
+    ends = groups.select("*", *asked).groupBy("model").agg(
+        *[F.max_by(F.struct("score", "n_before", "pos_before"), f"q{i}").alias(f"b{i}") for i in range(len(asked))],
+        *[F.max(f"q{i}").alias(f"q{i}") for i in range(len(asked))],
+        F.sum("n").alias("n"), F.sum("pos").alias("pos"),
+    )
+    ends = {r["model"]: r for r in ends.collect()}
+    # One boundary per model and question at most: its score's rows are numbered by key.
+    bounds = [(f"{m}", i, *r[f"b{i}"]) for m, r in ends.items() for i in range(len(asked)) if r[f"q{i}"]]
+    found: dict[tuple[str, int], int] = {}
+    if bounds:
+        kind = long.schema["score"].dataType.simpleString()
+        table = long.sparkSession.createDataFrame(bounds, f"_model string, _question int, _score {kind}, _n bigint, _pos bigint")
+        met = (F.col("model") == F.col("_model")) & F.col("score").eqNullSafe(F.col("_score"))
+        rows = long.join(F.broadcast(table), met).select("_model", "_question", "_n", "_pos", "key", "pos")
+        rows = running(rows, ["_model", "_question"], [F.col("key").asc()], ["pos"], None if n is None else n * len(bounds), rows_per_task)
+        rank, cumulated = F.col("_n") + F.col("place") + 1, F.col("_pos") + F.col("pos_before") + F.col("pos")
+        question = F.col("_question")
+        each = [F.max(F.when((question == i) & (rank <= k), cumulated)) for i, k in enumerate(ranks)]
+        each += [F.min(F.when((question == i) & (cumulated >= g), rank)) for i, g in enumerate(goals, len(ranks))]
+        for r in rows.groupBy("_model").agg(*[c.alias(f"a{i}") for i, c in enumerate(each)]).collect():
+            found |= {(r["_model"], i): r[f"a{i}"] for i in range(len(each)) if r[f"a{i}"] is not None}
+    out = {}
+    for m, r in ends.items():
+        # A rank beyond the last row captures all, one before the first nothing; a goal of nothing is reached at once.
+        captured = [found.get((m, i), r["pos"] if k > 0 else 0) for i, k in enumerate(ranks)]
+        reached = [found.get((m, i), 1 if g <= 0 and r["n"] else None) for i, g in enumerate(goals, len(ranks))]
+        out[m] = Answers([int(c) for c in captured], reached)
+    return out
+
+
+@contextmanager
+def _kept(df: DataFrame) -> Iterator[DataFrame]:
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield df
+    finally:
+        df.unpersist()
+
+
+def _read_off(df: DataFrame, score: str, key: str, label: str, ask, strategy: str, rows_per_task: int) -> tuple[Population, Answers]:
+    """The population, and the answers at the ranks and goals that ``ask`` derives from it.
+
+    The narrow table is computed once and kept while it is read.
+    """
+    require_rankable(df, score, key)
+    with _kept(df.select(F.col(score).alias("score"), F.col(key).alias("key"), is_positive(label).alias("pos"))) as narrow:
+        row = narrow.agg(F.count("*"), F.coalesce(F.sum("pos"), F.lit(0))).first()
+        size = Population(int(row[0]), int(row[1]))
+        ranks, goals = ask(size)
+        if not _splits(strategy, size.rows, rows_per_task):
+            w = Window.orderBy(*_rank_order("score", "key"))
+            ranked = narrow.select(
+                F.row_number().over(w).cast("bigint").alias("rank"), F.sum("pos").over(w.rowsBetween(*UP_TO_CURRENT)).alias("cum_positives")
+            )
+            row = ranked.agg(F.count("*"), *[captured_at(k) for k in ranks], *[contacts_to(g) for g in goals]).first()
+            return size, Answers([int(x) for x in row[1 : 1 + len(ranks)]], list(row[1 + len(ranks) :]))
+        long = narrow.select(F.lit("").alias("model"), "*")
+        counted = stored(long.groupBy("model", "score").agg(F.count("*").alias("n"), F.sum("pos").alias("pos")), "score-groups")
+        groups = running_groups(counted, strategy, rows_per_task)
+        return size, answers(long, groups, ranks, goals, size.rows, rows_per_task).get("", Answers([0] * len(ranks), [None] * len(goals)))
 
-    cells = cells or plan_cells(narrow, "score", "key", rows, rows_per_task)
-    bucketed = with_bucket(narrow, cells, "score", "key")
-    totals = bucket_totals(bucketed, {"n": F.lit(1), "pos": F.col("pos")})
-    if any(c <= 0 for c in captures):
-        ranks = [*ranks, 1]  # a capture of nothing is reached by the first row
-    inside = [(F.col("n_before") < k) & (F.col("n_before") + F.col("n") >= k) for k in ranks]
-    inside += [(F.col("pos_before") < c) & (F.col("pos_before") + F.col("pos") >= c) for c in captures]
-    totals = totals.withColumn("asked", reduce(or_, inside, F.lit(False)))
-    ends = totals.where(~F.col("asked")).select(
-        (F.col("n_before") + F.col("n")).alias("rank"),
-        (F.col("pos_before") + F.col("pos")).alias("cum_positives"),
-    )
-    # One row per question at most, hence the broadcast.
-    asked = totals.where("asked").select(F.col(BUCKET).alias("_bucket"), "n_before", "pos_before")
-    w = Window.partitionBy(BUCKET).orderBy(*order)
-    rows_asked = bucketed.join(F.broadcast(asked), F.col(BUCKET) == F.col("_bucket")).select(
-        (F.col("n_before") + F.row_number().over(w)).alias("rank"),
-        (F.col("pos_before") + F.sum("pos").over(w.rowsBetween(*UP_TO_CURRENT))).alias("cum_positives"),
-    )
-    return ends.unionByName(rows_asked)
+
+def running_groups(counted: DataFrame, strategy: str, rows_per_task: int) -> DataFrame:
+    """Stored counts by model and score with the counts of all higher scores."""
+    n = counted.count()
+    split = n if _splits(strategy, n, rows_per_task) else None
+    return running(counted, ["model"], [F.col("score").desc_nulls_last()], ["n", "pos"], split, rows_per_task)
 
 
 def captured_at(contacts: int) -> Column:
@@ -362,14 +248,14 @@ def contacts_to(captured: float) -> Column:
     return F.min(F.when(F.col("cum_positives") >= captured, F.col("rank")))
 
 
-def top_fraction_columns(contacts: int, captured: Column, positives: int, fraction: float) -> list[Column]:
+def top_fraction_columns(contacts: Column, captured: Column, positives: int, fraction: float) -> list[Column]:
     rate = safe_ratio(captured, F.lit(positives), 0.0)
     return [
-        F.lit(contacts).cast("bigint").alias("contacts"),
+        contacts.cast("bigint").alias("contacts"),
         captured.alias("captured"),
         rate.alias("capture_rate"),
         (rate / F.lit(fraction)).alias("lift"),
-        safe_ratio(F.lit(contacts), captured).alias("contacts_per_case"),
+        safe_ratio(contacts, captured).alias("contacts_per_case"),
     ]
 
 
@@ -388,18 +274,19 @@ def top_fraction(
     ``ties="key"`` breaks equal scores by key. ``ties="expected"`` gives the mean over all
     orders of equal scores: the last, partly contacted score counts in proportion.
     """
-    size = population(df, label, score if ties == "expected" else None)
-    contacts = depth_contacts(size.rows, fraction, "ceil")
     if ties == "expected":
+        size = population(df, label, score)
+        contacts = depth_contacts(size.rows, fraction, "ceil")
         groups = score_groups(df, score, label, size, strategy, rows_per_task)
         share = F.least(F.greatest((F.lit(contacts) - F.col("n_before")) / F.col("n"), F.lit(0.0)), F.lit(1.0))
         totals = groups.agg(F.coalesce(F.sum(F.col("pos") * share), F.lit(0.0)).alias("captured"))
     elif ties == "key":
-        points = rank_points(df, score, key, label, [contacts], [], size.rows, strategy, rows_per_task)
-        totals = points.agg(captured_at(contacts).alias("captured"))
+        size, found = _read_off(df, score, key, label, lambda p: ([depth_contacts(p.rows, fraction, "ceil")], []), strategy, rows_per_task)
+        contacts = depth_contacts(size.rows, fraction, "ceil")
+        totals = df.sparkSession.createDataFrame([(found.captured[0],)], "captured bigint")
     else:
         raise ValueError(f"unknown tie rule {ties!r}")
-    return totals.select(*top_fraction_columns(contacts, F.col("captured"), size.positives, fraction))
+    return totals.select(*top_fraction_columns(F.lit(contacts), F.col("captured"), size.positives, fraction))
 
 
 def depth_to_capture(
@@ -412,12 +299,9 @@ def depth_to_capture(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Contacts, and their share of all rows, until ``target`` of the positives are reached."""
-    size = population(df, label)
-    goal = size.positives * target
-    points = rank_points(df, score, key, label, [], [goal], size.rows, strategy, rows_per_task)
-    return points.agg(contacts_to(goal).alias("contacts")).select(
-        "contacts", safe_ratio(F.col("contacts"), F.lit(size.rows)).alias("depth")
-    )
+    size, found = _read_off(df, score, key, label, lambda p: ([], [p.positives * target]), strategy, rows_per_task)
+    one = df.sparkSession.createDataFrame([(found.reached[0],)], "contacts bigint")
+    return one.select("contacts", safe_ratio(F.col("contacts"), F.lit(size.rows)).alias("depth"))
 
 
 # Depths of the gains curve and cut-offs of the threshold sweep.
@@ -435,20 +319,11 @@ def gains_curve(
     rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Capture at each depth, with ``floor(rows * depth)`` contacts; one row per depth."""
-    size = population(df, label)
-    contacts = [depth_contacts(size.rows, d, "floor") for d in depths]
-    points = rank_points(df, score, key, label, contacts, [], size.rows, strategy, rows_per_task)
-    totals = points.agg(*[captured_at(k).alias(f"c{i}") for i, k in enumerate(contacts)])
-    rows = [
-        F.struct(
-            F.lit(float(d)).alias("depth"),
-            F.lit(k).cast("bigint").alias("contacts"),
-            F.col(f"c{i}").alias("captured"),
-            safe_ratio(F.col(f"c{i}"), F.lit(size.positives)).alias("capture"),
-        )
-        for i, (d, k) in enumerate(zip(depths, contacts))
-    ]
-    return totals.select(F.inline(F.array(*rows)))
+    ranks = lambda p: [depth_contacts(p.rows, d, "floor") for d in depths]
+    size, found = _read_off(df, score, key, label, lambda p: (ranks(p), []), strategy, rows_per_task)
+    rows = [(float(d), k, c) for d, k, c in zip(depths, ranks(size), found.captured)]
+    curve = df.sparkSession.createDataFrame(rows, "depth double, contacts bigint, captured bigint")
+    return curve.select("*", safe_ratio(F.col("captured"), F.lit(size.positives)).alias("capture"))
 
 
 def threshold_sweep(
@@ -484,7 +359,6 @@ def score_groups(
     size: Population,
     strategy: str = "auto",
     rows_per_task: int = ROWS_PER_TASK,
-    cells: Cells | None = None,
 ) -> DataFrame:
     """One row per distinct score: rows, positives, and both for all higher scores.
 
@@ -495,30 +369,8 @@ def score_groups(
         F.count("*").alias("n"), F.sum(is_positive(label)).alias("pos")
     )
     distinct = size.rows if size.scores is None else min(size.rows, size.scores)
-    single, _ = _choose(df, strategy, distinct, rows_per_task)
-    earlier = Window.orderBy(F.col("score").desc_nulls_last()).rowsBetween(*UP_TO_PREVIOUS)
-    if single:
-        return groups.select(
-            "*",
-            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("n_before"),
-            F.coalesce(F.sum("pos").over(earlier), F.lit(0)).alias("pos_before"),
-        )
-    cells = cells or plan_cells(df, score, None, size.rows, rows_per_task)
-    bucketed = with_bucket(groups, cells, "score", None)
-    totals = bucket_totals(bucketed, {"n": F.col("n"), "pos": F.col("pos")}).select(
-        F.col(BUCKET).alias("_bucket"), F.col("n_before").alias("_n"), F.col("pos_before").alias("_pos")
-    )
-    w = Window.partitionBy(BUCKET).orderBy(F.col("score").desc_nulls_last()).rowsBetween(*UP_TO_PREVIOUS)
-    local = bucketed.select(
-        "*",
-        F.coalesce(F.sum("n").over(w), F.lit(0)).alias("_n_local"),
-        F.coalesce(F.sum("pos").over(w), F.lit(0)).alias("_pos_local"),
-    )
-    return local.join(_bounded(totals, cells), F.col(BUCKET) == F.col("_bucket"), "left").select(
-        "score",
-        "n",
-        "pos",
-        (F.col("_n_local") + F.col("_n")).alias("n_before"),
-        (F.col("_pos_local") + F.col("_pos")).alias("pos_before"),
-    )
-
+    n = None
+    if _splits(strategy, distinct, rows_per_task):
+        groups = stored(groups, "score-groups")
+        n = groups.count()
+    return running(groups, [], [F.col("score").desc_nulls_last()], ["n", "pos"], n, rows_per_task).drop("place")

@@ -64,11 +64,20 @@ def test_rank_and_running_positives(spark, kind, options):
 
 @pytest.mark.parametrize("kind", KINDS)
 def test_every_heavy_score_is_cut(spark, kind):
-    """No bucket holds more than a few shares, even when one score has every row."""
+    """No run holds more than a few shares, even when one score has every row."""
     df = frame(spark, table(kind, 2_000))
-    cells = ranking.plan_cells(df, "score", "id", 2_000, 400)
-    largest = ranking.with_bucket(df, cells, "score", "id").groupBy(ranking.BUCKET).count().agg(F.max("count")).first()[0]
-    assert largest <= 2_000 * 6 / 20
+    runs = ranking.sorted_runs(df, [], ranking._rank_order("score", "id"), 2_000, 400)
+    assert runs.groupBy(ranking.RUN).count().agg(F.max("count")).first()[0] <= 2_000 * 6 / 20
+
+
+def test_scores_that_share_a_double_are_cut(spark):
+    """A third of the rows on two integers that are one double."""
+    df = spark.range(3_000).selectExpr("id", "if(id % 3 = 0, 9007199254740992 + (id div 3) % 2, id) as score")
+    runs = ranking.sorted_runs(df, [], ranking._rank_order("score", "id"), 3_000, 600)
+    spread = runs.where("score >= 9007199254740992").groupBy(ranking.RUN).count().collect()
+    assert len(spread) >= 5 and max(r["count"] for r in spread) <= 400
+    ranks = [{r["id"]: r["rank"] for r in ranking.global_rank(df, "score", "id", **o).collect()} for o in ({"strategy": "window"}, BUCKETS)]
+    assert ranks[0] == ranks[1]
 
 
 def test_rank_ignores_partitioning(spark):
