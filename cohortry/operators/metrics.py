@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from cohortry.functions.expressions import count_where, is_positive, safe_ratio
 from cohortry.operators.ranking import (
     ROWS_PER_TASK,
+    Answers,
     Population,
     answers,
     depth_contacts,
@@ -141,28 +142,30 @@ def compare_models(
     long = long.select("key", "y", "pos", "m.*")
     counted = long.groupBy("model", "score").agg(F.count("*").alias("n"), F.sum("pos").alias("pos"), *_cells("y", "said"))
     counted = stored(counted, "model-scores")
-    cells = counted.groupBy("model").agg(*[F.sum(c).alias(c) for c in CELLS], F.sum("pos").alias("positives"))
-    totals = cells.collect()  # one row per model
-    if not totals:  # no rows: every model has an empty record
-        empty = [(m, *[0] * len(CELLS), 0) for m in models]
-        cells = df.sparkSession.createDataFrame(empty, "model string, " + ", ".join(f"{c} bigint" for c in (*CELLS, "positives")))
-    rows, positives = (int(totals[0]["n_rows"]), int(totals[0]["positives"])) if totals else (0, 0)
+    totals = {
+        r["model"]: r.asDict()
+        for r in counted.groupBy("model").agg(*[F.sum(c).alias(c) for c in CELLS], F.sum("pos").alias("positives"), F.count("*").alias("scores")).collect()
+    }
+    none = dict.fromkeys([*CELLS, "positives", "scores"], 0)
+    one = next(iter(totals.values()), none)
+    rows, positives = int(one["n_rows"]), int(one["positives"])
     contacts, goal = depth_contacts(rows, fraction, "ceil"), positives * target
-    groups = running_groups(counted, strategy, rows_per_task)
+    groups = running_groups(counted, sum(t["scores"] for t in totals.values()), strategy, rows_per_task)
     split = strategy == "buckets" or (strategy == "auto" and rows > rows_per_task)
-    found = answers(long.select("model", "score", "key", "pos"), groups, [contacts], [goal], rows if split else None, rows_per_task)
-    read_off = [(m, a.captured[0], a.reached[0]) for m, a in found.items()] or [(m, 0, None) for m in models]
-    ranked = df.sparkSession.createDataFrame(read_off, "model string, captured bigint, to_target bigint")
-    top = top_fraction_columns(F.lit(contacts), F.col("captured"), positives, fraction)
-    depth = safe_ratio(F.col("to_target"), F.lit(rows)).alias("depth_to_target")
-    records = [
-        cells.drop("positives").select("*", *_rates()),
-        ranked.select("model", *[c.alias(n) for c, n in zip(top, TOP)], F.col("to_target").alias("contacts_to_target"), depth),
-        groups.groupBy("model").agg(_area(rows, positives).alias("auc")),
+    found = answers(
+        long.select("model", "score", "key", "pos"), groups, [contacts], [goal], rows if split else None, rows_per_task, {"auc": _area(rows, positives)}
+    )
+    nothing = Answers([0], [None], {"auc": None})
+    record = [
+        (m, found.get(m, nothing).sums["auc"], *[totals.get(m, none)[c] for c in CELLS], found.get(m, nothing).captured[0], found.get(m, nothing).reached[0])
+        for m in models
     ]
-    stacked = metrics_frame(records)
-    columns = ["auc", *[c for c in stacked.columns if c not in ("auc", "model")]]
-    record = stacked.groupBy("model").agg(*[F.max(c).alias(c) for c in columns])
+    schema = f"model string, auc double, {', '.join(f'{c} bigint' for c in CELLS)}, captured bigint, contacts_to_target bigint"
+    top = top_fraction_columns(F.lit(contacts), F.col("captured"), positives, fraction)
+    depth = safe_ratio(F.col("contacts_to_target"), F.lit(rows)).alias("depth_to_target")
+    record = df.sparkSession.createDataFrame(record, schema).select(
+        "model", "auc", *CELLS, *_rates(), *[c.alias(n) for c, n in zip(top, TOP)], "contacts_to_target", depth
+    )
     return record.orderBy(F.col("auc").desc_nulls_last(), "model")
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from contextlib import contextmanager
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -155,24 +155,27 @@ class Answers:
 
     captured: list[int]
     reached: list[int | None]
+    sums: dict[str, object] = field(default_factory=dict)
 
 
 def answers(
-    long: DataFrame, groups: DataFrame, ranks: list[int], goals: list[float], n: int | None, rows_per_task: int = ROWS_PER_TASK
+    long: DataFrame, groups: DataFrame, ranks: list[int], goals: list[float], n: int | None,
+    rows_per_task: int = ROWS_PER_TASK, sums: dict[str, Column] | None = None,
 ) -> dict[str, Answers]:
     """Per model what a ranking by score, then key, would say, without ranking the rows.
 
     ``long`` has ``model, score, key, pos`` and ``groups`` their running counts by score (``model, score, n, pos, n_before,
     pos_before``). Of ``long`` only rows of at most one score per model and question are ordered, by key;
-    with ``n``, the rows of a model, they are cut into runs.
+    with ``n``, the rows of a model, they are cut into runs. ``sums`` are aggregates over ``groups`` to return as well.
     """
+    sums = sums or {}
     at_rank = [(F.col("n_before") < k) & (F.col("n_before") + F.col("n") >= k) for k in ranks]
     at_goal = [(F.col("pos_before") < g) & (F.col("pos_before") + F.col("pos") >= g) for g in goals]
     asked = [c.alias(f"q{i}") for i, c in enumerate([*at_rank, *at_goal])]
     ends = groups.select("*", *asked).groupBy("model").agg(
         *[F.max_by(F.struct("score", "n_before", "pos_before"), f"q{i}").alias(f"b{i}") for i in range(len(asked))],
         *[F.max(f"q{i}").alias(f"q{i}") for i in range(len(asked))],
-        F.sum("n").alias("n"), F.sum("pos").alias("pos"),
+        F.sum("n").alias("n"), F.sum("pos").alias("pos"), *[c.alias(f"sum_{name}") for name, c in sums.items()],
     )
     ends = {r["model"]: r for r in ends.collect()}
     # One boundary per model and question at most: its score's rows are numbered by key.
@@ -195,7 +198,7 @@ def answers(
         # A rank beyond the last row captures all, one before the first nothing; a goal of nothing is reached at once.
         captured = [found.get((m, i), r["pos"] if k > 0 else 0) for i, k in enumerate(ranks)]
         reached = [found.get((m, i), 1 if g <= 0 and r["n"] else None) for i, g in enumerate(goals, len(ranks))]
-        out[m] = Answers([int(c) for c in captured], reached)
+        out[m] = Answers([int(c) for c in captured], reached, {name: r[f"sum_{name}"] for name in sums})
     return out
 
 
@@ -227,13 +230,12 @@ def _read_off(df: DataFrame, score: str, key: str, label: str, ask, strategy: st
             return size, Answers([int(x) for x in row[1 : 1 + len(ranks)]], list(row[1 + len(ranks) :]))
         long = narrow.select(F.lit("").alias("model"), "*")
         counted = stored(long.groupBy("model", "score").agg(F.count("*").alias("n"), F.sum("pos").alias("pos")), "score-groups")
-        groups = running_groups(counted, strategy, rows_per_task)
+        groups = running_groups(counted, counted.count(), strategy, rows_per_task)
         return size, answers(long, groups, ranks, goals, size.rows, rows_per_task).get("", Answers([0] * len(ranks), [None] * len(goals)))
 
 
-def running_groups(counted: DataFrame, strategy: str, rows_per_task: int) -> DataFrame:
-    """Stored counts by model and score with the counts of all higher scores."""
-    n = counted.count()
+def running_groups(counted: DataFrame, n: int, strategy: str, rows_per_task: int) -> DataFrame:
+    """Stored counts by model and score, ``n`` rows, with the counts of all higher scores."""
     split = n if _splits(strategy, n, rows_per_task) else None
     return running(counted, ["model"], [F.col("score").desc_nulls_last()], ["n", "pos"], split, rows_per_task)
 

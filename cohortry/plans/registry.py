@@ -19,8 +19,8 @@ from cohortry.sources.tables import read_csv, read_table, write_csv, write_repor
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
-# Small bucket size that makes the large-table ranking run at any scale factor.
-SMALL_BUCKETS = {"strategy": "buckets", "rows_per_task": 500}
+# Small runs that make the large-table ranking run at any scale factor.
+SMALL_BUCKETS = {"strategy": "buckets", "rows_per_task": 5_000}
 
 
 def query(function: Query) -> Query:
