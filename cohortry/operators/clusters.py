@@ -15,6 +15,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortry.sources.scratch import stored
+
 # Candidate numbers of clusters and the seed.
 SCREENED_K = (4, 5, 6)
 SEED = 42
@@ -48,11 +50,7 @@ def screen(df: DataFrame, ks: tuple[int, ...] = SCREENED_K, features: str = "fea
             assigned = model.transform(assigned, {model.predictionCol: f"k{k}"})
         names = {k: f"k{k}" for k in ks}
         points = assigned.select(F.col(features).alias("x"), *[F.col(c).cast("string").alias(c) for c in names.values()])
-        summary = _summaries(points, list(names.values())).collect()  # one row per candidate and cluster
-        scores = [
-            F.avg(_score([r for r in summary if r["by"] == c])(vector_to_array("x"), F.col(c))).alias(c) for c in names.values()
-        ]
-        row = points.agg(*scores).first()
+        row = {r["by"]: r["silhouette"] for r in _scores(points, _summaries(points, list(names.values())), list(names.values())).collect()}
     finally:
         vectors.unpersist()
     table = df.sparkSession.createDataFrame([(k, row[c]) for k, c in names.items()], "k int, silhouette double")
@@ -95,8 +93,33 @@ def _summaries(points: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
+def _scores(points: DataFrame, summary: DataFrame, columns: list[str]) -> DataFrame:
+    """``by, n_rows, silhouette`` of every column of clusters. The summaries, of checked size, are broadcast as one row each."""
+    add = lambda s, v: s + v
+    mean = F.transform("total", lambda t: t / F.col("count"))
+    spread = F.aggregate(F.transform("norms", lambda n: n * n), F.lit(0.0), add) / F.col("count")
+    packed = summary.select("by", F.struct("cluster", F.col("count").cast("double").alias("count"), mean.alias("mean"), spread.alias("spread")).alias("c"))
+    packed = packed.groupBy("by").agg(F.collect_list("c").alias("clusters"))
+    pairs = F.array(*[F.struct(F.lit(c).alias("by"), F.col(c).alias("own")) for c in columns])
+    long = points.select(vector_to_array("x").alias("x"), F.explode(pairs).alias("p")).select("x", "p.by", "p.own")
+    long = long.withColumn("square", F.aggregate(F.transform("x", lambda v: v * v), F.lit(0.0), add)).join(F.broadcast(packed), "by")
+
+    def distance(c: Column) -> Column:
+        product = F.aggregate(F.zip_with("x", c["mean"], lambda a, b: a * b), F.lit(0.0), add)
+        return F.struct(c["cluster"].alias("cluster"), c["count"].alias("count"), (F.col("square") + c["spread"] - 2.0 * product).alias("d"))
+
+    met = long.select("by", "own", F.transform("clusters", distance).alias("ds"))
+    own = F.filter("ds", lambda c: c["cluster"] == F.col("own"))[0]
+    others = F.filter("ds", lambda c: c["cluster"] != F.col("own"))
+    parts = met.select("by", own["count"].alias("size"), own["d"].alias("d"), F.array_min(F.transform(others, lambda c: c["d"])).alias("outer"))
+    inner = F.col("d") * F.col("size") / F.greatest(F.col("size") - 1.0, F.lit(1.0))
+    larger = F.greatest(inner, F.col("outer"))
+    value = F.when((F.col("size") > 1) & (larger > 0), (F.col("outer") - inner) / larger).otherwise(0.0)
+    return parts.groupBy("by").agg(F.count("*").alias("n_rows"), F.avg(value).alias("silhouette"))
+
+
 class _Clusters:
-    """Sizes, means and mean squared norms of some clusters."""
+    """Sizes, means and mean squared norms of some clusters, for tables of clusters too long to broadcast."""
 
     def __init__(self, names, counts, totals, norms):
         self.names = pd.Index(names)
@@ -124,22 +147,6 @@ class _Clusters:
         return tuple(np.concatenate(p) for p in zip(*parts)) if parts else (np.empty(0),) * 3
 
 
-def _score(rows: list):
-    """The silhouette of a row, given the summaries of all clusters."""
-    known = _Clusters(*([r[c] for r in rows] for c in ("cluster", "count", "total", "norms")))
-
-    @F.pandas_udf("double")
-    def score(x: pd.Series, cluster: pd.Series) -> pd.Series:
-        if x.empty:
-            return pd.Series([], dtype=float)
-        inner, size, outer = known.distances(np.stack(x.to_numpy()), cluster)
-        larger = np.maximum(inner, outer)
-        value = np.divide(outer - inner, larger, out=np.zeros_like(larger), where=larger > 0)
-        return pd.Series(np.where(size > 1, value, 0.0))
-
-    return score
-
-
 def silhouette(df: DataFrame, features: str, cluster: str, block_numbers: int = BLOCK_NUMBERS) -> DataFrame:
     """Mean silhouette under squared Euclidean distance; a singleton cluster scores 0.
 
@@ -161,13 +168,12 @@ def silhouette(df: DataFrame, features: str, cluster: str, block_numbers: int =
         if n < 2:
             raise ValueError("a silhouette needs at least two clusters")
         if n * width > block_numbers:
-            return _silhouette_by_blocks(points, summary, math.ceil(n * width / block_numbers))
-        score = _score(summary.collect())
+            return _silhouette_by_blocks(points, stored(summary, "clusters"), math.ceil(n * width / block_numbers))
+        # The result is one row: it is computed while the summary is held.
+        row = _scores(points, summary, ["cluster"]).first()
     finally:
         summary.unpersist()
-    return points.select(score(vector_to_array("x"), F.col("cluster")).alias("s")).agg(
-        F.count("*").alias("n_rows"), F.avg("s").alias("silhouette")
-    )
+    return df.sparkSession.createDataFrame([(row["n_rows"], row["silhouette"])], "n_rows bigint, silhouette double")
 
 
 def _silhouette_by_blocks(points: DataFrame, summary: DataFrame, blocks: int, slice_rows: int = SLICE_ROWS) -> DataFrame:

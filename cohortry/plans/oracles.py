@@ -68,6 +68,8 @@ def _bands_cte(standard: str) -> str:
     return f"bands(band_code, lower, upper, band_label) AS (VALUES {', '.join(rows)})"
 
 
+_LINEAR = "1 / (1 + exp(-(0.21 * age + 0.08 * bmi + 0.9 * high_bp + 0.45 * gen_hlth - 6.0)::DOUBLE))"
+
 _LONG_BANDS = f"""{_RESPONDENTS}, third AS (
           SELECT id, CASE WHEN id % 3 = 0 THEN 25.0::DOUBLE ELSE bmi END AS bmi FROM known),
         long_bands AS (
@@ -300,6 +302,25 @@ ORACLES: dict[str, str] = {
           count(*) FILTER (bmi_band <> band_code) AS rows_mismatched
         FROM (SELECT * FROM firsts WHERE bmi IS NOT NULL)
         LEFT JOIN (SELECT * FROM long_bands WHERE band_code IS NOT NULL) ON bmi >= lower AND bmi < upper""",
+    "tree_table_scores": f"""{_RESPONDENTS}, margins AS (
+          SELECT id, 0.1 * (CASE WHEN age <= 5 THEN -2 ELSE 2 END + CASE WHEN age <= 8 THEN -1 ELSE 1 END + CASE WHEN bmi <= 24.9 THEN -1 ELSE 1 END
+            + CASE WHEN bmi <= 29.9 THEN -2 ELSE 2 END + CASE WHEN high_bp <= 0 THEN -1 ELSE 1 END)::DOUBLE AS m FROM known)
+        SELECT id, round(1 / (1 + exp(-2 * m)), 9) AS score FROM margins""",
+    "linear_table_scores": f"""{_RESPONDENTS}
+        SELECT id, round({_LINEAR}, 9) AS score FROM known""",
+    "linear_table_comparison": f"""{_POINTED}, given AS (
+          SELECT *, CASE WHEN linear >= 0.5 THEN 1 ELSE 0 END AS said FROM (
+            SELECT id, target, round({_LINEAR}, 9) AS linear, risk_points / 9.0::DOUBLE AS points, risk_flag FROM pointed
+            WHERE age IS NOT NULL AND bmi IS NOT NULL AND high_bp IS NOT NULL AND gen_hlth IS NOT NULL))
+        ({_evaluation('linear', 'given', 'linear', 'said')}) UNION ALL ({_evaluation('risk', 'given', 'points', 'risk_flag')})""",
+    "centre_table_profile": f"""{_RESPONDENTS}, answered AS (
+          SELECT * FROM known WHERE age IS NOT NULL AND bmi IS NOT NULL AND high_bp IS NOT NULL AND gen_hlth IS NOT NULL),
+        means AS (SELECT gen_hlth AS cluster, round(avg(age), 6) AS a, round(avg(bmi), 6) AS b, round(avg(gen_hlth), 6) AS g FROM answered GROUP BY gen_hlth),
+        placed AS (
+          SELECT id, age, bmi, target, arg_min(cluster, {{'d': (age - a) ** 2 + (bmi - b) ** 2 + (gen_hlth - g) ** 2, 'c': cluster}}) AS cluster
+          FROM answered, means GROUP BY id, age, bmi, target)
+        SELECT cluster, count(*) AS n_rows, round(avg(age), 6) AS age_mean, round(avg(bmi), 6) AS bmi_mean, round(avg(target), 6) AS prevalence
+        FROM placed GROUP BY cluster""",
     "bmi_band_audit": f"""{_RESPONDENTS}, {_bands_cte('WHO_International')}
         SELECT count(*) AS rows_checked, count(*) FILTER (band_code IS NULL) AS rows_unmapped,
           count(*) FILTER (stored <> band_code) AS rows_mismatched

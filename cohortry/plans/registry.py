@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cohortry.operators import (
-    audit, bands, cleaning, clusters, codes, features, metrics, models, points, ranking, splitting,
+    audit, bands, cleaning, clusters, codes, features, metrics, model_tables, models, points, ranking, splitting,
 )
 from cohortry.plans import study
 from cohortry.plans.study import STAND_IN as C
@@ -668,6 +668,56 @@ def rf_sensitivity(spark, sf_dir):
     return models.forest_sensitivity(parts.train, parts.test, TARGET)
 
 
+# Two models of our own: stumps as (column, limit, value), and coefficients.
+STUMPS = (("age", 5.0, 2.0), ("age", 8.0, 1.0), ("bmi", 24.9, 1.0), ("bmi", 29.9, 2.0), ("high_bp", 0.0, 1.0))
+WEIGHTS = {"age": 0.21, "bmi": 0.08, "high_bp": 0.9, "gen_hlth": 0.45, model_tables.INTERCEPT: -6.0}
+
+
+def _answered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Known respondents whose answers the stated models need are known."""
+    return known(spark, sf_dir).dropna(subset=["age", "bmi", "high_bp", "gen_hlth"])
+
+
+@query
+def tree_table_scores(spark, sf_dir):
+    """Boosted stumps, stated as a node table, over the answers; unknown answers go right."""
+    columns = sorted({c for c, *_ in STUMPS})
+    nodes = [
+        (tree, node, columns.index(column) if node == 0 else -1, limit if node == 0 else None, *((1, 2) if node == 0 else (-1, -1)),
+         value if node == 2 else -value, 0.1, "logistic2")
+        for tree, (column, limit, value) in enumerate(STUMPS) for node in range(3)
+    ]
+    table = spark.createDataFrame(nodes, model_tables.NODES)
+    df = known(spark, sf_dir)
+    return rounded(model_tables.score_nodes(df, table, columns, "score").select(KEY, "score"), "score", places=9)
+
+
+@query
+def linear_table_scores(spark, sf_dir):
+    """A stated coefficient table over the answers; an unknown answer gives no score."""
+    table = spark.createDataFrame(list(WEIGHTS.items()), "feature string, coefficient double")
+    return rounded(model_tables.score_linear(known(spark, sf_dir), table, "score").select(KEY, "score"), "score", places=9)
+
+
+@query
+def linear_table_comparison(spark, sf_dir):
+    """The stated linear model against the flag's points, as records."""
+    table = spark.createDataFrame(list(WEIGHTS.items()), "feature string, coefficient double")
+    df = model_tables.score_linear(with_points(spark, sf_dir).dropna(subset=["age", "bmi", "high_bp", "gen_hlth", "risk_points"]), table, "linear")
+    df = df.withColumns({"linear": F.round("linear", 9), "said": (F.col("linear") >= 0.5).cast("int"), "points": F.col("risk_points") / 9.0})
+    named = {"linear": ("linear", "said"), "risk": ("points", "risk_flag")}
+    return doubles(metrics.compare_models(df.select(KEY, TARGET, "linear", "said", "points", "risk_flag"), named, TARGET, KEY))
+
+
+@query
+def centre_table_profile(spark, sf_dir):
+    """Respondents by the nearest of the mean answers per general health, and a profile of these clusters."""
+    df, columns = _answered(spark, sf_dir), ["age", "bmi", "gen_hlth"]
+    means = df.groupBy("gen_hlth").agg(F.array(*[F.round(F.avg(c), 6) for c in columns]).alias("centre"))
+    assigned = model_tables.assign_clusters(df, means.select(F.col("gen_hlth").alias("cluster"), "centre"), columns)
+    return doubles(clusters.cluster_profile(assigned, "cluster", ["age", "bmi"], TARGET))
+
+
 def _ranked(spark, sf_dir, score, key):
     """Orders by a score and a key of any type, through the buckets."""
     df = read_table(spark, f"{sf_dir}/orders.parquet").select(F.col("o_orderkey").alias("id"), score.alias("score"), key.alias("key"))
