@@ -113,3 +113,42 @@ def positive_score(probability: str = "probability", empty: float | None = None)
     """
     score = F.when(F.col(probability).isNotNull(), vector_to_array(F.col(probability))[1])
     return score if empty is None else F.coalesce(score, F.lit(float(empty)))
+
+
+# Where the error function's series gives way to its continued fraction, and terms of each for full precision.
+ERROR_TURN, SERIES_TERMS, FRACTION_TERMS = 3.0, 60, 200
+
+
+def upper_error(z: Column) -> Column:
+    """The complementary error function of a number that is not negative."""
+    x = z * z
+    terms = F.sequence(F.lit(1), F.lit(SERIES_TERMS))
+    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("sum"))
+
+    def add_term(state: Column, n: Column) -> Column:
+        term = state["term"] * 2.0 * x / (2 * n + 1)
+        return F.struct(term.alias("term"), (state["sum"] + term).alias("sum"))
+
+    series = F.aggregate(terms, start, add_term, lambda state: state["sum"])
+    steps = F.sequence(F.lit(FRACTION_TERMS), F.lit(1), F.lit(-1))
+    fraction = F.aggregate(steps, z, lambda below, k: z + k / 2.0 / below)
+    scale = F.exp(-x) / F.sqrt(F.pi())
+    return F.when(x < ERROR_TURN, 1.0 - 2.0 * scale * z * series).otherwise(scale / fraction)
+
+
+def chi_square_tail(statistic: Column, dof: Column) -> Column:
+    """Upper tail of the chi-square distribution: a finite sum, since ``dof`` is whole; 1 where it is not positive."""
+    x = statistic.cast("double") / 2.0
+    dof = dof.cast("int")
+    odd = dof % 2
+    # Logarithms of the first term (power 0, or 1/2), then of each next one by the ratio of neighbours.
+    first = F.when(odd == 1, F.log(x) / 2.0 - x - F.log(F.sqrt(F.pi()) / 2.0)).otherwise(-x)
+    start = F.struct(first.alias("log"), F.lit(0.0).alias("sum"))
+
+    def add_term(state: Column, i: Column) -> Column:
+        return F.struct((state["log"] + F.log(x) - F.log(i + 1.0 + odd / 2.0)).alias("log"), (state["sum"] + F.exp(state["log"])).alias("sum"))
+
+    powers = F.filter(F.sequence(F.lit(0), F.greatest(F.floor(dof / 2).cast("int") - 1, F.lit(0))), lambda i: i < F.floor(dof / 2))
+    finite = F.aggregate(powers, start, add_term, lambda state: state["sum"])
+    rest = F.when(odd == 1, upper_error(F.sqrt(x))).otherwise(0.0)
+    return F.when((dof > 0) & (x > 0), F.least(finite + rest, F.lit(1.0))).otherwise(1.0)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Imputer, UnivariateFeatureSelector, VectorAssembler
@@ -10,6 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from cohortry.functions.expressions import chi_square_tail
 from cohortry.operators.order_stats import exact_quantiles
 
 
@@ -99,33 +99,17 @@ def chi_square(df: DataFrame, columns: list[str], label: str, widths: dict[str,
     )
 
 
-def chi_square_p(statistic: float, dof: int) -> float:
-    """Upper tail of the chi-square distribution: a finite sum, since ``dof`` is whole."""
-    x, odd = statistic / 2, dof % 2
-    if dof <= 0 or x <= 0:
-        return 1.0
-    powers = [odd / 2 + i for i in range(dof // 2)]
-    tail = math.fsum(math.exp(a * math.log(x) - x - math.lgamma(a + 1)) for a in powers)
-    return min(1.0, tail + (math.erfc(math.sqrt(x)) if odd else 0.0))
-
-
 def rank_features(train: DataFrame, columns: list[str], label: str, widths: dict[str, float] | None = None) -> DataFrame:
     """``rank, feature, statistic, dof, p_value``, strongest association first.
 
     On large tables many p-values underflow to zero, so ties go to the larger statistic
     per degree of freedom, then to the name. Columns should be coded or have a width of
-    their bins: the test takes each value as a category. The statistics, one row per
-    column, are ordered on the driver.
+    their bins: the test takes each value as a category. The window orders one row per column.
     """
-    tests = [
-        (r["feature"], r["statistic"], r["dof"], chi_square_p(r["statistic"], r["dof"]))
-        for r in chi_square(train, columns, label, widths).collect()
-    ]
-    tests.sort(key=lambda t: (t[3], -(t[1] / t[2] if t[2] else 0.0), t[0]))
-    return train.sparkSession.createDataFrame(
-        [(rank, *test) for rank, test in enumerate(tests, start=1)],
-        "rank int, feature string, statistic double, dof bigint, p_value double",
-    )
+    tests = chi_square(train, columns, label, widths).withColumn("p_value", chi_square_tail(F.col("statistic"), F.col("dof")))
+    strength = F.coalesce(F.col("statistic") / F.when(F.col("dof") > 0, F.col("dof")), F.lit(0.0))
+    order = Window.orderBy(F.asc("p_value"), strength.desc(), F.asc("feature"))
+    return tests.select(F.row_number().over(order).alias("rank"), "feature", "statistic", "dof", "p_value")
 
 
 def select_top(

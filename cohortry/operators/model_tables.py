@@ -75,15 +75,15 @@ def _depth(rows: list) -> int:
 def score_nodes(df: DataFrame, nodes: DataFrame, features: str | list[str], out: str) -> DataFrame:
     """Add the score of a node table. ``features`` is a vector or array column, or the columns in order.
 
-    The table is packed into one row of arrays, which every task gets; a row walks down each tree inside an expression, so
-    nothing is shuffled. A null or NaN feature goes right, as Spark ML sends NaN. Node numbers of a tree run from 0 (the root).
+    The table is packed into one value of arrays, which every task gets; a row walks down each tree inside an expression, so
+    nothing is shuffled or joined. A null or NaN feature goes right, as Spark ML sends NaN. Node numbers of a tree run from 0 (the root).
     """
     rows = _checked(nodes)
     if not rows:
         raise ValueError("a node table needs a tree")
     node = F.struct("node", "feature", "threshold", "left", "right", "value")
     trees = nodes.groupBy("tree").agg(F.array_sort(F.collect_list(node)).alias("nodes"), F.first("weight").alias("weight"))
-    packed = trees.agg(F.array_sort(F.collect_list(F.struct("tree", "weight", "nodes"))).alias("__trees")).select(F.lit(0).alias("__model"), "__trees")
+    packed = trees.agg(F.array_sort(F.collect_list(F.struct("tree", "weight", "nodes")))).scalar()
     if isinstance(features, list):
         x = F.array(*[F.col(c).cast("double") for c in features])
     else:
@@ -98,10 +98,9 @@ def score_nodes(df: DataFrame, nodes: DataFrame, features: str | list[str], out:
 
         return F.aggregate(steps, F.lit(0), step, lambda leaf: tree["nodes"][leaf]["value"] * tree["weight"])
 
-    total = F.aggregate("__trees", F.lit(0.0), lambda sum_, tree: sum_ + value(tree))
+    total = F.aggregate("__model", F.lit(0.0), lambda sum_, tree: sum_ + value(tree))
     score = logistic(2.0 * total) if rows[0]["link"] == "logistic2" else total
-    met = df.withColumns({"__x": x, "__key": F.lit(0)}).join(F.broadcast(packed), F.col("__key") == F.col("__model"))
-    return met.withColumn(out, score).select(*df.columns, out)
+    return df.withColumns({"__x": x, "__model": packed}).withColumn(out, score).select(*df.columns, out)
 
 
 # --- linear models ----------------------------------------------------------------------
@@ -143,11 +142,11 @@ def nearest_centre(x: Column, centres: Column) -> Column:
 def assign_clusters(df: DataFrame, centres: DataFrame, features: str | list[str], out: str = "cluster") -> DataFrame:
     """Add the nearest centre's cluster; null for a row with an unknown feature."""
     _checked(centres)
-    packed = centres.agg(F.array_sort(F.collect_list(F.struct("cluster", "centre"))).alias("__centres")).select(F.lit(0).alias("__model"), "__centres")
+    packed = centres.agg(F.array_sort(F.collect_list(F.struct("cluster", "centre")))).scalar()
     if isinstance(features, list):
         x = F.array(*[F.col(c).cast("double") for c in features])
     else:
         x = F.col(features) if isinstance(df.schema[features].dataType, T.ArrayType) else vector_to_array(features)
-    met = df.withColumns({"__x": x, "__key": F.lit(0)}).join(F.broadcast(packed), F.col("__key") == F.col("__model"))
     known = F.col("__x").isNotNull() & ~F.exists("__x", lambda v: v.isNull() | F.isnan(v))
-    return met.withColumn(out, F.when(known, nearest_centre(F.col("__x"), F.col("__centres")))).select(*df.columns, out)
+    placed = df.withColumns({"__x": x, "__model": packed})
+    return placed.withColumn(out, F.when(known, nearest_centre(F.col("__x"), F.col("__model")))).select(*df.columns, out)

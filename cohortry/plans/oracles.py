@@ -230,7 +230,7 @@ def _recalls(source: str, group: str, rules: dict[str, str], extra: str, by: str
 _RULES = {"risk": "risk_flag", "weight": "bmi_flag", "health": "health_flag"}
 
 
-def _chi_square(bmi: str = "bmi") -> str:
+def _chi_square(bmi: str = "bmi", places: int = 6) -> str:
     values = {c: bmi if c == "bmi" else c for c in _FEATURES}
     tables = " UNION ALL ".join(f"SELECT '{c}' AS feature, ({v})::DOUBLE AS value, target AS y FROM train" for c, v in values.items())
     return f"""{_IMPUTED}, long AS ({tables}),
@@ -242,11 +242,22 @@ def _chi_square(bmi: str = "bmi") -> str:
       SELECT v.feature, v.value, ys.y, r * c / n AS e, coalesce(o, 0) AS o
       FROM vals v JOIN ys USING (feature) JOIN totals USING (feature)
       LEFT JOIN cells k ON k.feature = v.feature AND k.value = v.value AND k.y = ys.y)
-    SELECT feature, round(sum((o - e) * (o - e) / e), 6) AS statistic,
+    SELECT feature, round(sum((o - e) * (o - e) / e), {places}) AS statistic,
       CAST((count(DISTINCT value) - 1) * (count(DISTINCT y) - 1) AS BIGINT) AS dof
     FROM grid GROUP BY feature"""
 
 
+_HALF, _ODD = "(statistic / 2)", "(dof % 2)"
+# The tail of the chi-square distribution: a finite sum by the logarithm of the gamma function, and for odd
+# degrees of freedom the complementary error function by its series or its continued fraction.
+_TAIL = f"""CASE WHEN dof <= 0 OR statistic <= 0 THEN 1.0 ELSE least(1.0,
+    coalesce(list_sum(list_transform(range(0, dof // 2), lambda i: exp((i + {_ODD} / 2) * ln({_HALF}) - {_HALF} - lgamma(i + 1 + {_ODD} / 2)))), 0)
+    + CASE WHEN {_ODD} = 0 THEN 0.0 WHEN {_HALF} < 3 THEN 1 - 2 / sqrt(pi()) * exp(-{_HALF}) * sqrt({_HALF}) * list_sum(list_transform(range(0, 60),
+        lambda n: exp(2 * n * ln(2) + n * ln({_HALF}) + lgamma(n + 1) - lgamma(2 * n + 2))))
+      ELSE exp(-{_HALF}) / sqrt(pi()) / list_reduce([sqrt({_HALF})] || list_transform(range(200, 0, -1), lambda k: k::DOUBLE),
+        lambda f, k: sqrt({_HALF}) + k / 2 / f) END) END"""
+
+
 def _weights(ratio: bool) -> str:
     weight = (
         "CASE WHEN label = 1 THEN greatest(neg, pos)::DOUBLE / least(neg, pos) ELSE 1.0::DOUBLE END"
@@ -407,6 +418,10 @@ ORACLES: dict[str, str] = {
     "recompute_after_impute": f"""{_IMPUTED} SELECT id, {_band('WHO_International')} AS bmi_band, {_MENT_BAND} AS ment_hlth_band,
           {_POINTS} AS risk_points, ({_POINTS} >= 5)::INT AS risk_flag, {_CONDITIONS} AS condition_count FROM imputed""",
     "chi_square_scores": _chi_square(),
+    "selected_features": f"""WITH tests AS ({_chi_square("floor(bmi / 5.0::DOUBLE)", places=15)}),
+        p AS (SELECT *, {_TAIL} AS p FROM tests),
+        ranked AS (SELECT row_number() OVER (ORDER BY p, CASE WHEN dof > 0 THEN statistic / dof ELSE 0 END DESC, feature)::INT AS rank, * FROM p)
+        SELECT rank, feature, round(statistic, 6) AS statistic, dof, round(p, 12) AS p_value, {len(_FEATURES)}::INT AS n_candidates FROM ranked WHERE rank <= 12""",
     "chi_square_binned": _chi_square("floor(bmi / 5.0::DOUBLE)"),
     "scale_unit_std": f"""{_IMPUTED}, sd AS (SELECT {", ".join(f"stddev_samp({c}::DOUBLE) AS {c}" for c in _FEATURES)} FROM train)
         SELECT i.id, i."Partition", {", ".join(f"round(CASE WHEN sd.{c} > 0 THEN i.{c} / sd.{c} ELSE 0.0 END, 6) AS {c}" for c in _FEATURES)}

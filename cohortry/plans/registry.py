@@ -606,7 +606,8 @@ def selected_features(spark, sf_dir):
     train = training(imputed(spark, sf_dir))
     candidates = study.predictors(train, C)
     ranked = features.rank_features(train, candidates, TARGET, {C.bmi: study.BMI_BIN})
-    return features.selection_report(train, candidates, TARGET, 12, ranked)
+    report = features.selection_report(train, candidates, TARGET, 12, ranked)
+    return rounded(rounded(report, "statistic"), "p_value", places=12)
 
 
 # --- models and clusters (no SQL counterpart) -----------------------------------------

@@ -19,7 +19,7 @@ def test_names():
     own = {q for q in queries if q != "pipeline" and not (q.startswith("op") and q[2:3].isdigit())}
     without = own - set(oracles)
     assert without == {
-        "selected_features", "scores_lr", "scores_dt", "scores_rf", "scores_gbt", "classifier_comparison",
+        "scores_lr", "scores_dt", "scores_rf", "scores_gbt", "classifier_comparison",
         "classifier_subgroup_recall", "classifier_gains", "classifier_thresholds", "rf_sensitivity", "kmeans_screening", "kmeans_profile",
     }
 

@@ -100,4 +100,4 @@ def test_odd_features_and_tables(spark):
     centres = spark.createDataFrame([(1, [0.0, 2.0]), (0, [0.0, 2.0]), (2, [9.0, 9.0])], "cluster int, centre array<double>")
     assert [r["cluster"] for r in model_tables.assign_clusters(df, centres, ["a", "b"]).orderBy("tree").collect()] == [0, 0, None, None]
     plan = model_tables.score_nodes(df, nodes, ["a", "b"], "s")._jdf.queryExecution().toString()
-    assert "Python" not in plan and "NestedLoop" not in plan
+    assert "EvalPython" not in plan and "MapIn" not in plan and "NestedLoop" not in plan
