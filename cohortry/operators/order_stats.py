@@ -23,8 +23,8 @@ def exact_quantiles(
     Values are counted before they are ordered, so repeated values cost nothing. A column
     with more distinct values than one task should order is narrowed first: approximate
     quantiles bracket the wanted rank, the rows below the bracket are counted, and only
-    values inside it remain. Each round keeps a few percent; the driver holds two numbers
-    per column.
+    values inside it remain. Each round keeps a few percent and takes two jobs, however many columns are wide;
+    the driver holds two numbers per column and wide column.
     """
     numbers = df.select(*[F.nanvl(F.col(c).cast("double"), F.lit(None)).alias(c) for c in columns])
     if numbers.count() <= values_per_task:
@@ -50,13 +50,14 @@ def exact_quantiles(
 
     while wide:
         aggregates = []
-        for c, rows in wide.items():
+        # All columns take one quantile job: values outside a column's bracket are masked, and each picks its own two answers.
+        masked = numbers.select(*[F.when(F.col(c).between(*brackets[c]), F.col(c)).alias(c) for c in wide])
+        at = [(ranks[c] - 0.5) / rows for c, rows in wide.items()]
+        probs = [p for a in at for p in (max(0.0, a - BRACKET), min(1.0, a + BRACKET))]
+        answers = masked.approxQuantile(list(wide), probs, BRACKET / 2)
+        for i, c in enumerate(wide):
             low, high = brackets[c]
-            inside = numbers.where(F.col(c).between(low, high)).select(c)
-            at = (ranks[c] - 0.5) / rows
-            probs = [max(0.0, at - BRACKET), min(1.0, at + BRACKET)]
-            new_low, new_high = inside.approxQuantile(c, probs, BRACKET / 2)
-            brackets[c] = (new_low, new_high)
+            new_low, new_high = brackets[c] = tuple(answers[i][2 * i : 2 * i + 2])
             within = F.col(c).between(new_low, new_high)
             aggregates += [
                 count_where((F.col(c) >= low) & (F.col(c) < new_low)).alias(f"{c}__below"),

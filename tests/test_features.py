@@ -161,3 +161,20 @@ def test_unknown_modes(df):
         features.fit_imputer(df, ["wide"], mode="guess")
     with pytest.raises(ValueError, match="mode"):
         features.select_top(df, ["same"], "y", 1, mode="guess")
+
+
+def test_wide_columns_share_their_jobs(spark):
+    """As many jobs for nine wide columns as for one."""
+    columns = [f"c{i}" for i in range(9)]
+    df = spark.range(4_000).select(*[((F.col("id") * (2 * i + 7) * 31) % 4_001 + F.lit(0.5)).alias(c) for i, c in enumerate(columns)]).cache()
+    tracker, context = spark.sparkContext.statusTracker(), spark.sparkContext
+
+    def jobs(names):
+        context.setJobGroup(f"quantiles-{len(names)}", "")
+        found = exact_quantiles(df, names, 0.5, values_per_task=50)
+        context.setLocalProperty("spark.jobGroup.id", None)
+        assert all(found[c] == sorted(r[0] for r in df.select(c).collect())[1_999] for c in names)
+        return len(tracker.getJobIdsForGroup(f"quantiles-{len(names)}"))
+
+    df.count()
+    assert jobs(columns) <= jobs(columns[:1]) + 2
