@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions.expressions import count_where
+from cohortry.operators.cleaning import COPIES, count_profiles
 
 
 def require_columns(df: DataFrame, columns: list[str]) -> None:
@@ -65,21 +66,20 @@ def profile(df: DataFrame, columns: list[str]) -> DataFrame:
 def stage_audit(
     df: DataFrame, key: str, target: str, cap_column: str, cap_limit: float, indicators: list[str]
 ) -> DataFrame:
-    """Rows before, after and touched for each cleaning step, from one pass over the table.
+    """Rows before, after and touched for each cleaning step, from one pass over the table."""
+    return audit_profiles(count_profiles(df, key if key in df.columns else None), target, cap_column, cap_limit, indicators)
 
-    The table is first reduced to profiles with their number of copies; every figure is
-    then a conditional sum over profiles.
-    """
-    profile_columns = [c for c in df.columns if c != key]
-    copies = df.groupBy(*profile_columns).agg(F.count("*").alias("copies"))
+
+def audit_profiles(profiles: DataFrame, target: str, cap_column: str, cap_limit: float, indicators: list[str]) -> DataFrame:
+    """The same from a table of profiles with their number of rows: every figure is a conditional sum over profiles."""
     known = F.col(target).isNotNull()
-    totals = copies.agg(
-        F.coalesce(F.sum("copies"), F.lit(0)).alias("source"),
-        F.coalesce(F.sum(F.when(known, F.col("copies"))), F.lit(0)).alias("known"),
+    totals = profiles.agg(
+        F.coalesce(F.sum(COPIES), F.lit(0)).alias("source"),
+        F.coalesce(F.sum(F.when(known, F.col(COPIES))), F.lit(0)).alias("known"),
         count_where(known).alias("distinct"),
         count_where(known & (F.col(cap_column) > cap_limit)).alias("capped"),
     )
-    marked = sorted(f"{c}_missing" for c in indicators if c in df.columns)
+    marked = sorted(f"{c}_missing" for c in indicators if c in profiles.columns)
     steps = [
         ("1 target", "source", "known", F.col("source") - F.col("known"), ""),
         ("2 duplicates", "known", "distinct", F.col("known") - F.col("distinct"), ""),

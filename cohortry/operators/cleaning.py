@@ -25,18 +25,30 @@ def target_report(df: DataFrame, target: str) -> DataFrame:
     )
 
 
-def dedup_profiles(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Distinct profiles over every column but the key; the smallest key of each is kept.
+#: Rows of a profile, in a table of profiles.
+COPIES = "__copies"
+
+
+def count_profiles(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Distinct profiles over every column but the key, with their rows in ``COPIES`` and the smallest key.
 
     It runs as an aggregation with map-side combine, so a profile that makes up a third
-    of the rows reaches the shuffle as one row per task. Keeping a key lets the split be
-    a function of the row, and copies can never straddle the two parts.
+    of the rows reaches the shuffle as one row per task. Duplicates and the audit of stages both follow from it.
     """
     profile = [c for c in df.columns if c != key]
+    kept = [F.min(key).alias(key)] if key else []
+    counted = df.groupBy(*profile).agg(F.count("*").alias(COPIES), *kept)
+    return counted.select(*([key] if key else []), *profile, COPIES)
+
+
+def dedup_profiles(df: DataFrame, key: str | None = None) -> DataFrame:
+    """Distinct profiles over every column but the key; the smallest key of each is kept.
+
+    Keeping a key lets the split be a function of the row, and copies can never straddle the two parts.
+    """
     if key is None:
-        return df.dropDuplicates(profile)
-    kept = df.groupBy(*profile).agg(F.min(key).alias(key))
-    return kept.select(key, *profile)
+        return df.dropDuplicates(df.columns)
+    return count_profiles(df, key).drop(COPIES)
 
 
 def missing_indicators(df: DataFrame, columns: list[str]) -> DataFrame:

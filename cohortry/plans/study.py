@@ -10,7 +10,7 @@ from pyspark.sql.types import StructType
 
 from cohortry.operators import bands as band_ops
 from cohortry.operators import cleaning, clusters, codes, features, metrics, models, points, ranking, splitting
-from cohortry.operators.audit import best_by, profile, require_columns, schema_table, stage_audit, trace_rows
+from cohortry.operators.audit import audit_profiles, best_by, profile, require_columns, schema_table, trace_rows
 from cohortry.sources import reference, respondents
 from cohortry.sources.tables import read_csv, read_table, write_report, write_table
 
@@ -93,15 +93,19 @@ def predictors(df: DataFrame, c: StudyColumns) -> list[str]:
     return [x for x in df.columns if x not in (c.key, c.target, splitting.SPLIT_COLUMN)]
 
 
-def with_key(df: DataFrame, c: StudyColumns) -> DataFrame:
+def with_key(profiles: DataFrame, c: StudyColumns) -> DataFrame:
     """Distinct profiles with a key: the smallest of theirs, or the md5 of the profile."""
-    if c.key in df.columns:
-        return cleaning.dedup_profiles(df, c.key)
-    distinct = cleaning.dedup_profiles(df)
+    distinct = profiles.drop(cleaning.COPIES)
+    if c.key in distinct.columns:
+        return distinct
     profile = F.to_json(F.struct(*distinct.columns), {"ignoreNullFields": "false"})
     return distinct.select(F.md5(profile).alias(c.key), "*")
 
 
+def profiles_of(df: DataFrame, c: StudyColumns) -> DataFrame:
+    return cleaning.count_profiles(df, c.key if c.key in df.columns else None)
+
+
 def construct(df: DataFrame, c: StudyColumns, bands: DataFrame, expected_bands: int | None = EXPECTED_BANDS) -> DataFrame:
     """Bands, point score, flag and condition count on a cleaned table."""
     df = band_ops.band_by_reference(df, c.bmi, bands, c.bmi_band, expected_bands)
@@ -116,7 +120,13 @@ def construct(df: DataFrame, c: StudyColumns, bands: DataFrame, expected_bands:
 def prepare(df: DataFrame, c: StudyColumns, bands: DataFrame) -> DataFrame:
     """Cleaning, construction and split: one shuffle (the duplicates), the rest projections."""
     require_columns(df, [c.target, c.bmi, *c.coded])
-    df = with_key(cleaning.require_target(df, c.target), c)
+    return prepare_profiles(profiles_of(cleaning.require_target(df, c.target), c), c, bands)
+
+
+def prepare_profiles(profiles: DataFrame, c: StudyColumns, bands: DataFrame) -> DataFrame:
+    """The same from a table of profiles with their number of rows: projections only."""
+    require_columns(profiles, [c.target, c.bmi, *c.coded])
+    df = with_key(cleaning.require_target(profiles, c.target), c)
     base = predictors(df, c)
     df = cleaning.missing_indicators(df, list(c.indicators))
     df = cleaning.missing_count(df, base, c.missing_count)
@@ -196,9 +206,11 @@ def run_study(
     numeric = [x for x in source.columns if x != c.key]
     report("source_schema", schema_table(source))
     report("source_profile", profile(source, numeric))
-    report("stage_audit", stage_audit(source, c.key, c.target, c.bmi, BMI_CAP, list(c.indicators)))
+    # The only shuffle of the profile columns: duplicates and the audit are read off it.
+    profiles = keep("profiles", profiles_of(source, c))
+    report("stage_audit", audit_profiles(profiles, c.target, c.bmi, BMI_CAP, list(c.indicators)))
 
-    prepared = keep("prepared", prepare(source, c, bands), splitting.SPLIT_COLUMN)
+    prepared = keep("prepared", prepare_profiles(profiles, c, bands), splitting.SPLIT_COLUMN)
     report("observed_codes", codes.observed_codes(prepared, list(c.coded)).orderBy("variable", "code"))
     codes.validate_codes(prepared, labels, list(c.coded), c.coded, strict=True)
     band_ops.require_clean_bands(band_ops.audit_bands(prepared, bands, c.bmi, c.bmi_band))
