@@ -107,71 +107,89 @@ def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
     yield text[at:]
 
 
+class PairTable:
+    """Pairs of token ids and the ids that they merge into; the least id merges first."""
+
+    def __init__(self, codes: dict[int, int]):
+        self.codes = np.array(sorted(codes), np.int64)
+        self.made = np.array([codes[c] for c in self.codes.tolist()], np.int64)
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The id that each pair makes, or -1."""
+        code = (left << 32) | right
+        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+        return np.where(self.codes[at] == code, self.made[at], -1)
+
+
+def merge_rows(ids: np.ndarray, sizes: np.ndarray, pairs: PairTable) -> list[bytes]:
+    """Packed ids of pieces given as rows of first ids, of which ``sizes`` count: row by row what ``merge`` does to one.
+
+    Rows are as wide as a power of two of 2 at least; ids are merged in place.
+    """
+    rows, width = ids.shape
+    levels, place = width.bit_length() - 1, np.arange(width)
+    live = place < sizes[:, None]
+    rank = pairs.of(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(rows, width - 1)
+    rank[place[1:] >= sizes[:, None]] = -1
+    tree = np.full((rows, 2 * width), _NEVER, np.int64)
+    tree[:, width:-1] = np.where(rank < 0, _NEVER, rank * width + place[:-1])
+    for level in range(levels - 1, -1, -1):
+        below = tree[:, 2 << level : 4 << level]
+        tree[:, 1 << level : 2 << level] = np.minimum(below[:, ::2], below[:, 1::2])
+    after = np.tile(np.arange(1, width + 2), (rows, 1))
+    before = np.tile(np.arange(-1, width), (rows, 1))
+    active = np.flatnonzero(tree[:, 1] != _NEVER)
+    while len(active):
+        least = tree[active, 1]
+        i = least & (width - 1)
+        j = after[active, i]
+        k = after[active, j]
+        h = before[active, i]
+        after[active, i], before[active, k] = k, i
+        ids[active, i] = made = least >> levels
+        live[active, j] = False
+        inner, first = k < sizes[active], h >= 0
+        right = np.where(inner, pairs.of(made, ids[active, np.minimum(k, width - 1)]), -1)
+        left = np.where(first, pairs.of(ids[active, np.maximum(h, 0)], made), -1)
+        # The leaf swallowed, the merged one, and the one before it (again the merged one where there is none).
+        h = np.where(first, h, i)
+        left = np.where(first, left, right)
+        for position, rank in ((j, None), (i, right), (h, left)):
+            node = position + width
+            tree[active, node] = _NEVER if rank is None else np.where(rank < 0, _NEVER, rank * width + position)
+            for _ in range(levels):
+                node = node >> 1
+                tree[active, node] = np.minimum(tree[active, 2 * node], tree[active, 2 * node + 1])
+        active = active[tree[active, 1] != _NEVER]
+    packed = ids[live].astype("<u4").tobytes()
+    ends = (4 * live.sum(axis=1).cumsum()).tolist()
+    return [packed[a:b] for a, b in zip([0, *ends], ends)]
+
+
+def as_rows(pieces: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of pieces as rows of that width, and their sizes."""
+    data = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(len(pieces), width)
+    return data, np.array([len(p) for p in pieces])
+
+
 class Vocabulary:
-    """Ranks of tokens, and of pairs of tokens that make one."""
+    """Ranks of tokens, which are their ids, and pairs of tokens that make one."""
 
     def __init__(self, path: str = VOCABULARY):
         self.ranks = ranks = read_ranks(path)
         self.tokens = {rank: token for token, rank in ranks.items()}
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
-        codes = {
+        self.pairs = PairTable({
             (ranks[token[:cut]] << 32) | ranks[token[cut:]]: rank
             for token, rank in ranks.items()
             for cut in range(1, len(token))
             if token[:cut] in ranks and token[cut:] in ranks
-        }
-        self.codes = np.array(sorted(codes), np.int64)
-        self.made = np.array([codes[c] for c in self.codes.tolist()], np.int64)
-
-    def pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        """The rank of the token that each pair makes, or -1."""
-        code = (left << 32) | right
-        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        return np.where(self.codes[at] == code, self.made[at], -1)
+        })
 
     def merge_rows(self, pieces: list[bytes], width: int) -> list[bytes]:
-        """Packed ids of pieces of 2 to ``width`` bytes, a power of two; row by row what ``merge`` does to one."""
-        rows, levels = len(pieces), width.bit_length() - 1
-        sizes = np.array([len(p) for p in pieces])
-        data = np.frombuffer(b"".join(p.ljust(width, b"\0") for p in pieces), np.uint8).reshape(rows, width)
-        ids = self.byte_ids[data]
-        place = np.arange(width)
-        live = place < sizes[:, None]
-        rank = self.pair_ranks(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(rows, width - 1)
-        rank[place[1:] >= sizes[:, None]] = -1
-        tree = np.full((rows, 2 * width), _NEVER, np.int64)
-        tree[:, width:-1] = np.where(rank < 0, _NEVER, rank * width + place[:-1])
-        for level in range(levels - 1, -1, -1):
-            below = tree[:, 2 << level : 4 << level]
-            tree[:, 1 << level : 2 << level] = np.minimum(below[:, ::2], below[:, 1::2])
-        after = np.tile(np.arange(1, width + 2), (rows, 1))
-        before = np.tile(np.arange(-1, width), (rows, 1))
-        active = np.flatnonzero(tree[:, 1] != _NEVER)
-        while len(active):
-            least = tree[active, 1]
-            i = least & (width - 1)
-            j = after[active, i]
-            k = after[active, j]
-            h = before[active, i]
-            after[active, i], before[active, k] = k, i
-            ids[active, i] = made = least >> levels
-            live[active, j] = False
-            inner, first = k < sizes[active], h >= 0
-            right = np.where(inner, self.pair_ranks(made, ids[active, np.minimum(k, width - 1)]), -1)
-            left = np.where(first, self.pair_ranks(ids[active, np.maximum(h, 0)], made), -1)
-            # The leaf swallowed, the merged one, and the one before it (again the merged one where there is none).
-            h = np.where(first, h, i)
-            left = np.where(first, left, right)
-            for position, rank in ((j, None), (i, right), (h, left)):
-                node = position + width
-                tree[active, node] = _NEVER if rank is None else np.where(rank < 0, _NEVER, rank * width + position)
-                for _ in range(levels):
-                    node = node >> 1
-                    tree[active, node] = np.minimum(tree[active, 2 * node], tree[active, 2 * node + 1])
-            active = active[tree[active, 1] != _NEVER]
-        packed = ids[live].astype("<u4").tobytes()
-        ends = (4 * live.sum(axis=1).cumsum()).tolist()
-        return [packed[a:b] for a, b in zip([0, *ends], ends)]
+        """Packed ids of pieces of 2 to ``width`` bytes, a power of two."""
+        data, sizes = as_rows(pieces, width)
+        return merge_rows(self.byte_ids[data], sizes, self.pairs)
 
     def encode_pieces(self, pieces: Iterable[str]) -> dict[str, bytes]:
         """Packed ids of pieces."""

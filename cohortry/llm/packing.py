@@ -40,8 +40,8 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, vocabulary: str = VOCABULA
     def cut(batch: pa.RecordBatch) -> dict[str, object]:
         words = word_ids(vocabulary)
         row, piece, start, length, crc = [], [], [], [], []
-        for i, text in enumerate(batch.column("text").to_pylist()):
-            ids = words.ids(text) + CLOSING
+        for i, ids in enumerate(words.ids_of(batch.column("text").to_pylist())):
+            ids += CLOSING
             for k, at in enumerate(range(0, len(ids), 4 * capacity)):
                 part = ids[at : at + 4 * capacity]
                 row.append(i)

@@ -1,21 +1,29 @@
-"""Token ids of whole texts by a public tokenizer, with a cache of words.
+"""Token ids of whole texts by a public tokenizer, with a table of words already met.
 
 The ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``. The vocabulary
 drops white space and never joins characters across it, so a text's ids are its words' ids
-in a row. Words repeat, hence the cache; it is emptied when full, so memory is bounded.
+in a row. A slice's distinct words that are new are taken first: their runs of letters and marks are
+merged side by side in numpy, by the vocabulary's own merges; words with other characters go through the tokenizer
+itself. The table is emptied when full, so memory is bounded.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import struct
 
+import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from cohortry.llm.byte_bpe import PairTable, as_rows, merge_rows
+
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
-CACHED_WORDS = 200_000
+CACHED_WORDS = 400_000
 CACHED_LETTERS = 64
+# Words are looked up for about so many bytes of text at a time.
+AT_ONCE = 1 << 22
 # Letters that normalisation leaves alone but for their case, and marks the tokenizer keeps together.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
 
@@ -27,44 +35,84 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class WordIds(dict):
-    """UTF-8 word -> its ids as packed little-endian unsigned 32-bit numbers."""
+class WordIds:
+    """UTF-8 words -> their ids as packed little-endian unsigned 32-bit numbers."""
 
     def __init__(self, path: str = VOCABULARY, limit: int = CACHED_WORDS):
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
-        self._letters = _byte_letters()
+        self.known: dict[bytes, bytes] = {}
         self._parts: dict[str, bytes] = {}
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-            self._parts.clear()
-        text = word.decode("utf-8", "replace")
-        plain = _PLAIN.fullmatch(text) if len(text) <= CACHED_LETTERS else None
-        ids = b"".join(self._part(p) for p in plain.groups() if p) if plain else self._encode(text)
-        if len(word) <= 4 * CACHED_LETTERS:
-            self[word] = ids
-        return ids
-
-    def _encode(self, text: str) -> bytes:
-        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
-    def _part(self, text: str) -> bytes:
-        """A run of letters or of marks: one piece before the merges."""
-        text = text.lower()
-        if text not in self._parts:
-            written = "".join(map(self._letters.__getitem__, text.encode()))
-            self._parts[text] = self._pack([t.id for t in self.tokenizer.model.tokenize(written)])
-        return self._parts[text]
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        ids, suffix, letters = model["vocab"], model["end_of_word_suffix"], _byte_letters()
+        self._inner = np.array([ids[letters[b]] for b in range(256)], np.int64)
+        self._last = np.array([ids[letters[b] + suffix] for b in range(256)], np.int64)
+        merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+        made = [ids[a + b] for a, b in merges]
+        if made != sorted(made):
+            raise ValueError("the vocabulary's ids must grow with the order of its merges")
+        self._pairs = PairTable({(ids[a] << 32) | ids[b]: i for (a, b), i in zip(merges, made)})
+
+    def _merge(self, parts: list[str]) -> None:
+        """Look up runs of letters or of marks: each is one piece before the merges."""
+        by_width: dict[int, list[str]] = {}
+        for part in parts:
+            by_width.setdefault(max(2, 1 << (len(part.encode()) - 1).bit_length()), []).append(part)
+        for width, some in by_width.items():
+            data, sizes = as_rows([p.encode() for p in some], width)
+            first = self._inner[data]
+            rows = np.arange(len(some))
+            first[rows, sizes - 1] = self._last[data[rows, sizes - 1]]
+            self._parts.update(zip(some, merge_rows(first, sizes, self._pairs)))
+
+    def _look_up(self, words: set[bytes]) -> None:
+        plain: dict[bytes, list[str]] = {}
+        for word in words:
+            text = word.decode("utf-8", "replace")
+            found = _PLAIN.fullmatch(text) if len(text) <= CACHED_LETTERS else None
+            if found:  # in lower case these letters stay one for one
+                text, end = text.lower(), found.end(1)
+                plain[word] = [text] if end in (0, len(text)) else [text[:end], text[end:]]
+            else:
+                self.known[word] = self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        self._merge(list(set().union(*plain.values()) - self._parts.keys()))
+        find = self._parts.__getitem__
+        for word, parts in plain.items():
+            self.known[word] = find(parts[0]) if len(parts) == 1 else b"".join(map(find, parts))
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
         return struct.pack(f"<{len(ids)}I", *ids)
 
+    def ids_of(self, texts: list[str | None]) -> list[bytes]:
+        """Packed ids of each text; a null text has none."""
+        out: list[bytes] = []
+        waiting: list[list[bytes]] = []
+        size = 0
+        for text in texts:
+            data = (text or "").encode("utf-8", "replace")
+            waiting.append(data.split())
+            size += len(data)
+            if size >= AT_ONCE:
+                out += self._flush(waiting)
+                waiting, size = [], 0
+        return out + self._flush(waiting)
+
+    def _flush(self, waiting: list[list[bytes]]) -> list[bytes]:
+        if len(self.known) >= self.limit:
+            self.known.clear()
+            self._parts.clear()
+        new = set().union(*waiting) - self.known.keys()
+        self._look_up(new)
+        found = [b"".join(map(self.known.__getitem__, words)) for words in waiting]
+        for word in new:
+            if len(word) > 4 * CACHED_LETTERS:
+                del self.known[word]
+        return found
+
     def ids(self, text: str | None) -> bytes:
-        return b"".join(map(self.__getitem__, (text or "").encode("utf-8", "replace").split()))
+        return self.ids_of([text])[0]
 
 
 _loaded: dict[str, WordIds] = {}
