@@ -2,7 +2,7 @@
 
 The ids are those of ``Tokenizer.encode(text, add_special_tokens=False)``. The vocabulary
 drops white space and never joins characters across it, so a text's ids are its words' ids
-in a row. A slice's distinct words that are new are taken first: their runs of letters and marks are
+in a row. A slice's distinct words that are new are taken first: those of plain letters and marks are
 merged side by side in numpy, by the vocabulary's own merges; words with other characters go through the tokenizer
 itself. The table is emptied when full, so memory is bounded.
 """
@@ -17,15 +17,19 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
-from cohortry.llm.byte_bpe import PairTable, as_rows, merge_rows
+from cohortry.llm.byte_bpe import SHORT, PairTable, merge_rows
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 CACHED_WORDS = 400_000
-CACHED_LETTERS = 64
-# Words are looked up for about so many bytes of text at a time.
+LONGEST_CACHED = 256
+# Words are looked up for about so many bytes of text at a time, and merged in so many rows.
 AT_ONCE = 1 << 22
+ROWS_AT_ONCE = 20_000
 # Letters that normalisation leaves alone but for their case, and marks the tokenizer keeps together.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]*)([!-&(-/:-@\[-`{-~]*)")
+LETTER, MARK = 1, 2
+_KIND = np.zeros(256, np.uint8)
+_KIND[[*range(97, 123), 0xC3]] = LETTER
+_KIND[[b for b in range(33, 127) if re.match(r"[!-&(-/:-@\[-`{-~]", chr(b))]] = MARK
 
 
 def _byte_letters() -> dict[int, str]:
@@ -42,7 +46,6 @@ class WordIds:
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = limit
         self.known: dict[bytes, bytes] = {}
-        self._parts: dict[str, bytes] = {}
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         ids, suffix, letters = model["vocab"], model["end_of_word_suffix"], _byte_letters()
@@ -54,32 +57,38 @@ class WordIds:
             raise ValueError("the vocabulary's ids must grow with the order of its merges")
         self._pairs = PairTable({(ids[a] << 32) | ids[b]: i for (a, b), i in zip(merges, made)})
 
-    def _merge(self, parts: list[str]) -> None:
-        """Look up runs of letters or of marks: each is one piece before the merges."""
-        by_width: dict[int, list[str]] = {}
-        for part in parts:
-            by_width.setdefault(max(2, 1 << (len(part.encode()) - 1).bit_length()), []).append(part)
-        for width, some in by_width.items():
-            data, sizes = as_rows([p.encode() for p in some], width)
-            first = self._inner[data]
-            rows = np.arange(len(some))
-            first[rows, sizes - 1] = self._last[data[rows, sizes - 1]]
-            self._parts.update(zip(some, merge_rows(first, sizes, self._pairs)))
-
-    def _look_up(self, words: set[bytes]) -> None:
-        plain: dict[bytes, list[str]] = {}
-        for word in words:
-            text = word.decode("utf-8", "replace")
-            found = _PLAIN.fullmatch(text) if len(text) <= CACHED_LETTERS else None
-            if found:  # in lower case these letters stay one for one
-                text, end = text.lower(), found.end(1)
-                plain[word] = [text] if end in (0, len(text)) else [text[:end], text[end:]]
-            else:
-                self.known[word] = self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        self._merge(list(set().union(*plain.values()) - self._parts.keys()))
-        find = self._parts.__getitem__
-        for word, parts in plain.items():
-            self.known[word] = find(parts[0]) if len(parts) == 1 else b"".join(map(find, parts))
+    def _look_up(self, new: set[bytes]) -> None:
+        """Merge plain words side by side; the others go through the tokenizer."""
+        words = list(new)
+        if not words:
+            return
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        starts = sizes.cumsum() - sizes
+        data = np.frombuffer(b"".join(words), np.uint8).copy()
+        data[(data >= 65) & (data <= 90)] += 32
+        accent = np.append(False, data[:-1] == 0xC3)  # second bytes of the letters from À to ÿ, × and ÷
+        data[accent & (data >= 0x80) & (data <= 0x9E) & (data != 0x97)] += 32
+        kind = _KIND[data]
+        kind[accent & (data >= 0x80) & (data != 0x97) & (data != 0xB7)] = LETTER
+        opens = np.zeros(len(data), bool)
+        opens[starts] = True
+        closes = np.append(opens[1:], True)
+        turned = (kind == LETTER) & ~opens & (np.append(0, kind[:-1]) == MARK)
+        # A run of letters, then one of marks: each is a piece, and no merge goes beyond a piece's end.
+        ends = closes | ((kind == LETTER) & (np.append(kind[1:], 0) == MARK))
+        plain = (sizes <= SHORT) & (np.minimum.reduceat(kind, starts) > 0) & ~np.logical_or.reduceat(turned, starts)
+        first = np.where(ends, self._last[data], self._inner[data])
+        width = 2
+        while width <= SHORT:
+            chosen = np.flatnonzero(plain & (sizes <= width) & (sizes > (width // 2 if width > 2 else 0)))
+            for some in np.split(chosen, range(ROWS_AT_ONCE, len(chosen), ROWS_AT_ONCE)):
+                if len(some):
+                    rows = first[np.minimum(starts[some, None] + np.arange(width), len(data) - 1)]
+                    self.known.update(zip((words[i] for i in some.tolist()), merge_rows(rows, sizes[some], self._pairs)))
+            width *= 2
+        for i in np.flatnonzero(~plain).tolist():
+            text = words[i].decode("utf-8", "replace")
+            self.known[words[i]] = self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
@@ -102,12 +111,11 @@ class WordIds:
     def _flush(self, waiting: list[list[bytes]]) -> list[bytes]:
         if len(self.known) >= self.limit:
             self.known.clear()
-            self._parts.clear()
         new = set().union(*waiting) - self.known.keys()
         self._look_up(new)
         found = [b"".join(map(self.known.__getitem__, words)) for words in waiting]
         for word in new:
-            if len(word) > 4 * CACHED_LETTERS:
+            if len(word) > LONGEST_CACHED:
                 del self.known[word]
         return found
 
