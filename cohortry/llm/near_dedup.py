@@ -16,8 +16,9 @@ in no band or lies in one component already.
 
 Defined results: empty texts, and texts of white space, have no shingles and link with
 nothing; fewer than five words make one shingle; rows that repeat a doc_id are one document
-with any of their texts' links; a null doc_id links with nothing and is its own component;
-an empty table gives an empty one; other columns don't matter.
+with all of their texts' links, of which one row stays in ``keep_one_of_each``; a null doc_id links with
+nothing, is its own component and stays; an empty table gives an empty one; other columns don't matter.
+An error is raised if components don't settle within ``MAX_ROUNDS`` rounds; each round at least halves paths.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortry.llm.common import importable, map_batches
@@ -148,7 +149,7 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: int = THRESHOLD) -> bool:
 
 
 def sketch(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key, registers of every row."""
+    """doc_id, text_key, n_shingles, set_key, registers of every row."""
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
         sizes, keys, regs = [], [], []
@@ -158,12 +159,23 @@ def sketch(docs: DataFrame) -> DataFrame:
             keys.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None)
             regs.append(registers(found).tobytes() if len(found) else None)
         return {
-            "doc_id": batch.column("doc_id"), "n_shingles": pa.array(sizes, pa.int64()),
+            "doc_id": batch.column("doc_id"), "text_key": batch.column("text_key"), "n_shingles": pa.array(sizes, pa.int64()),
             "set_key": pa.array(keys, pa.binary()), "registers": pa.array(regs, pa.binary()),
         }
 
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return map_batches(rows, work, "doc_id bigint, n_shingles bigint, set_key binary, registers binary")
+    return map_batches(_texts(docs), work, "doc_id bigint, text_key bigint, n_shingles bigint, set_key binary, registers binary")
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, text: the key tells the texts of one doc_id apart."""
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
+
+
+def _class_texts(reps: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool) -> DataFrame:
+    """rep, text of the classes ``reps``: the text of each class's own row."""
+    own = reps.join(classes.select("rep", "doc_id", "text_key"), "rep")
+    found = _texts(docs).join(own, ["doc_id", "text_key"]).select("rep", "text")
+    return found.groupBy("rep").agg(F.any_value("text").alias("text")) if repeated else found
 
 
 def _bands(classes: DataFrame) -> DataFrame:
@@ -197,13 +209,12 @@ def _candidates(pairs: DataFrame, classes: DataFrame, threshold: int) -> DataFra
     return map_batches(pairs.select("a", "b", "n_a", "n_b", "r_a", "r_b"), work, "a bigint, b bigint")
 
 
-def _confirmed(pairs: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, repeated: bool, threshold: int) -> DataFrame:
     """The stored pairs (a, b) whose full sets reach the threshold."""
-    involved = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-    mine = docs.select(F.col("doc_id").cast("bigint").alias("id"), "text")
-    texts = stored(mine.join(involved, "id", "left_semi"), "near-texts")
-    joined = pairs.join(texts.select(F.col("id").alias("a"), F.col("text").alias("t_a")), "a")
-    joined = joined.join(texts.select(F.col("id").alias("b"), F.col("text").alias("t_b")), "b")
+    involved = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+    texts = stored(_class_texts(involved, classes, docs, repeated), "near-texts")
+    joined = pairs.join(texts.select(F.col("rep").alias("a"), F.col("text").alias("t_a")), "a")
+    joined = joined.join(texts.select(F.col("rep").alias("b"), F.col("text").alias("t_b")), "b")
 
     def work(batch: pa.RecordBatch) -> dict[str, object]:
         last: tuple[str | None, np.ndarray] = (None, shingles(None))
@@ -245,7 +256,7 @@ def _star(neighbours: DataFrame, moves: object) -> DataFrame:
     return stored(hung.unionByName(own).where("u <> v").distinct(), "near-edges")
 
 
-def _second_look(multi: DataFrame, classes: DataFrame, comps: DataFrame, docs: DataFrame, threshold: int) -> DataFrame:
+def _second_look(multi: DataFrame, classes: DataFrame, comps: DataFrame, docs: DataFrame, repeated: bool, threshold: int) -> DataFrame:
     """Links (a, b) between different components that share a band, enough to join what belongs together.
 
     Where a band holds several components, members outside its largest one are compared with all members,
@@ -264,8 +275,8 @@ def _second_look(multi: DataFrame, classes: DataFrame, comps: DataFrame, docs: D
         blocks(F.col("members") - F.col("major.n")).alias("outer_blocks"),
     ), "near-open")
     members = labelled.join(bands, "key").withColumn("outside", F.col("component") != F.col("major"))
-    texts = docs.select(F.col("doc_id").cast("bigint").alias("rep"), "text").join(members.select("rep").distinct(), "rep", "left_semi")
-    members = members.join(classes, "rep").join(stored(texts.dropDuplicates(["rep"]), "near-texts"), "rep")
+    texts = stored(_class_texts(members.select("rep").distinct(), classes, docs, repeated), "near-texts")
+    members = members.join(classes.select("rep", "n", "registers"), "rep").join(texts, "rep")
     own = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
     columns = ("rep", "component", "n", "registers", "text")
     upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
@@ -304,10 +315,14 @@ def _second_look(multi: DataFrame, classes: DataFrame, comps: DataFrame, docs: D
 def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id, kept."""
     sketches = stored(sketch(docs), "near-sketch")
-    classes = sketches.where("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(
-        F.min("doc_id").alias("rep"), F.any_value("n_shingles").alias("n"), F.any_value("registers").alias("registers")
+    filled = sketches.where("n_shingles > 0 and doc_id is not null")
+    classes = filled.groupBy("set_key").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("own"), F.any_value("n_shingles").alias("n"), F.any_value("registers").alias("registers")
     )
+    # A class has a number of its own, as one doc_id may be the smallest of several.
+    classes = classes.select("set_key", "own.*", "n", "registers", F.monotonically_increasing_id().alias("rep"))
     classes = stored(classes, "near-classes")
+    repeated = not filled.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").isEmpty()
     rows = stored(_bands(classes), "near-bands")
     sizes = stored(rows.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1"), "near-sizes")
     multi = stored(rows.join(sizes, "key"), "near-multi")
@@ -318,16 +333,25 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     hubs = multi.join(degree, "rep").groupBy("key").agg((-central["negative"]).alias("hub"))
     met = multi.join(stored(hubs, "near-hubs"), "key").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")).distinct()
     tested = stored(met, "near-met")
-    per_class = classes.select("rep", "n", "registers").dropDuplicates(["rep"])
-    passing = stored(_candidates(tested, per_class, threshold), "near-candidates")
-    links = stored(_confirmed(passing, docs, threshold), "near-links")
+    passing = stored(_candidates(tested, classes.select("rep", "n", "registers"), threshold), "near-candidates")
+    links = _confirmed(passing, classes, docs, repeated, threshold)
+    if repeated:  # the texts of one document belong together
+        own = filled.select("doc_id", "set_key").distinct().join(classes.select("set_key", "rep"), "set_key")
+        first = own.groupBy("doc_id").agg(F.min("rep").alias("b"))
+        links = links.unionByName(own.select("doc_id", F.col("rep").alias("a")).join(first, "doc_id").where("a <> b").select("a", "b"))
+    links = stored(links, "near-links")
     comps = components(links)
-    more = stored(_second_look(multi.select("key", "rep"), per_class, comps, docs, threshold), "near-more")
+    more = stored(_second_look(multi.select("key", "rep"), classes, comps, docs, repeated, threshold), "near-more")
     if not more.isEmpty():
         comps = components(comps.select(F.col("rep").alias("a"), F.col("component").alias("b")).unionByName(more))
 
-    by_class = classes.select("set_key", "rep").join(comps, "rep", "left")
-    by_class = stored(by_class.select("set_key", F.coalesce("component", "rep").alias("component")), "near-components")
+    roots = comps.join(classes.select("rep", "doc_id"), "rep")
+    roots = roots.unionByName(roots.select("component").distinct().join(classes.select(F.col("rep").alias("component"), "doc_id"), "component").select(F.col("component").alias("rep"), "component", "doc_id"))
+    roots = stored(roots, "near-roots")
+    least = roots.groupBy("component").agg(F.min("doc_id").alias("root"))
+    root_of = roots.select("rep", "component").join(least, "component").select("rep", "root")
+    by_class = classes.select("set_key", "rep", "doc_id").join(root_of, "rep", "left")
+    by_class = stored(by_class.select("set_key", F.coalesce("root", "doc_id").alias("component")), "near-components")
     linked = F.col("n_shingles") > 0
     out = sketches.select("doc_id", "n_shingles", "set_key").join(by_class, "set_key", "left")
     component = F.when(linked & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id"))
@@ -335,6 +359,16 @@ def near_duplicates(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
 
 
 def keep_one_of_each(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """The rows of ``docs`` that represent their group, with all their columns."""
+    """The rows of ``docs`` that represent their group, with all their columns; one of those that repeat a doc_id."""
     dropped = near_duplicates(docs, threshold).where("not kept").select(F.col("doc_id").alias("__doc")).distinct()
-    return docs.join(dropped, F.col("doc_id") == F.col("__doc"), "left_anti")
+    kept = docs.join(dropped, F.col("doc_id") == F.col("__doc"), "left_anti")
+    repeats = docs.where("doc_id is not null").groupBy(F.col("doc_id").alias("__doc")).agg(F.count(F.lit(1)).alias("__rows")).where("__rows > 1").select("__doc")
+    repeats = stored(repeats, "near-repeats")
+    if repeats.isEmpty():
+        return kept
+    match = F.col("doc_id") == F.col("__doc")
+    first = Window.partitionBy("doc_id", "__share").orderBy("text", "__key")
+    again = kept.join(repeats, match, "left_semi").withColumn("__key", F.to_json(F.struct(*docs.columns))).withColumn("__share", F.pmod(F.xxhash64("__key"), F.lit(64)))
+    again = again.withColumn("__row", F.row_number().over(first)).where("__row = 1")
+    again = again.withColumn("__row", F.row_number().over(Window.partitionBy("doc_id").orderBy("text", "__key"))).where("__row = 1")
+    return kept.join(repeats, match, "left_anti").unionByName(again.select(*docs.columns))

@@ -44,6 +44,21 @@ def odd(spark):
     return rows, documents(spark, rows).cache()
 
 
+def test_near_dedup_of_repeated_ids(spark):
+    """One id with two texts joins what each is near to, and 300 repeats of two ids make no product."""
+    words = lambda seed: [f"{seed}{i}" for i in range(100)]
+    near = lambda ws: " ".join(ws[:50] + ["changed"] + ws[51:])
+    one, two, three = words("a"), words("b"), words("c")
+    rows = [(1, " ".join(one), "en", "s"), (1, " ".join(two), "en", "s"), (2, near(one), "en", "s"), (3, near(two), "en", "s"), (0, "alone " * 9, "en", "s")]
+    rows += [(8, " ".join(three), "en", "s"), (9, near(three), "en", "s")] * 300 + [(None, " ".join(one), "en", "s")]
+    docs = documents(spark, rows)
+    got = near_dedup.near_duplicates(docs)
+    found = {(r.doc_id, r.component_id) for r in got.collect()}
+    assert found == {(1, 1), (2, 1), (3, 1), (0, 0), (8, 8), (9, 8), (None, None)} and got.count() == len(rows)
+    kept = near_dedup.keep_one_of_each(docs).collect()
+    assert sorted(str(r.doc_id) for r in kept) == ["0", "1", "8", "None"] and kept[0].asDict().keys() == set(docs.columns)
+
+
 def test_exact_dedup(odd):
     rows, df = odd
     for letters, files in ((64, 1_000), (1, 1)):
