@@ -36,8 +36,7 @@ def count_tokens(docs: DataFrame, version: str = VERSION, vocabulary: str = VOCA
     """source, lang, tokenizer, n_tokens and ``share`` (by doc_id) of every row."""
 
     def count(batch: pa.RecordBatch) -> dict[str, object]:
-        words = word_ids(vocabulary)
-        counts = [len(words.ids(text)) // 4 for text in batch.column("text").to_pylist()]
+        counts = [len(ids) // 4 for ids in word_ids(vocabulary).ids_of(batch.column("text").to_pylist())]
         return {name: batch.column(name) for name in ("source", "lang", "share")} | {"n_tokens": pa.array(counts, pa.int64())}
 
     narrow = docs.select("source", "lang", split_key(1 << 20, "doc_id").alias("share"), "text")
@@ -68,7 +67,7 @@ class Rollup:
         self.spark.createDataFrame([], _MARKERS).write.mode("append").parquet(f"{self.root}/commits")
 
     def commits(self) -> DataFrame:
-        """The marker that counts of each batch, without those folded into a compaction."""
+        """The marker that counts of each batch, folded ones too: they tell replays."""
         markers = self.spark.read.schema(_MARKERS).parquet(f"{self.root}/commits")
         first = Window.partitionBy("batch").orderBy("marked_at", "folder")
         return markers.withColumn("n", F.row_number().over(first)).where("n = 1").drop("n")
@@ -102,9 +101,11 @@ class Rollup:
 
     def totals(self) -> DataFrame:
         """source, lang, tokenizer, n_docs, n_tokens over committed batches."""
-        rows = self.commits().collect()  # one small row per batch since the last compaction
-        folded = max((r["upto"] for r in rows if r["batch"] < 0), default=None)
-        live = [r["folder"] for r in rows if (r["batch"] >= 0 and (folded is None or r["batch"] > folded)) or (r["batch"] < 0 and r["upto"] == folded)]
+        commits = self.commits()
+        folded = commits.where("batch < 0").agg(F.max("upto")).first()[0]
+        if folded is not None:
+            commits = commits.where((F.col("batch") > folded) | (F.col("batch") == -1 - folded))
+        live = [r["folder"] for r in commits.select("folder").collect()]  # one small row per batch since the last compaction
         if not live:
             return self.spark.createDataFrame([], _DELTAS)
         deltas = self.spark.read.schema(_DELTAS).parquet(*[f"{self.root}/{f}" for f in live])
@@ -112,15 +113,27 @@ class Rollup:
 
 
 def documents_rollup(docs: DataFrame, batches: int = BATCHES, root: str | None = None) -> DataFrame:
-    """Totals after inserting a whole document table in batches, the last one handed in twice."""
+    """Totals of a whole document table after signed changes of hashed shares.
+
+    All documents are inserted in batches, the last one handed in twice. Then a third is deleted and another third revised,
+    the batches are compacted, and the same shares are inserted and revised back; a folded batch handed in again has no effect.
+    """
     spark = docs.sparkSession
     rollup = Rollup(spark, root or scratch_path(spark, "token-rollup"))
     counted = count_tokens(docs).withColumn("op", F.lit("insert")).withColumn("old_tokens", F.lit(0).cast("bigint"))
     # One pass over the texts: sums per batch first, then each batch's rows as changes.
     path = scratch_path(spark, "token-changes")
-    counted.withColumn("batch", F.col("share") % batches).drop("share").write.partitionBy("batch").parquet(path)
-    schema = "op string, source string, lang string, tokenizer string, n_tokens bigint, old_tokens bigint, batch int"
+    counted.withColumn("batch", F.col("share") % batches).write.partitionBy("batch").parquet(path)
+    schema = "op string, share int, source string, lang string, tokenizer string, n_tokens bigint, old_tokens bigint, batch int"
     changes = spark.read.schema(schema).parquet(path) if not docs.isEmpty() else spark.createDataFrame([], schema)
     for batch in [*range(batches), batches - 1]:
         rollup.commit(batch, changes.where(F.col("batch") == batch))
+    gone, revised = changes.where(F.col("share") % 3 == 1), changes.where(F.col("share") % 3 == 2).withColumn("op", F.lit("revise"))
+    more = 2 * F.col("n_tokens") + 1
+    rollup.commit(batches, gone.withColumn("op", F.lit("delete")))
+    rollup.commit(batches + 1, revised.withColumns({"n_tokens": more, "old_tokens": F.col("n_tokens")}))
+    rollup.compact()
+    rollup.commit(0, changes.where(F.col("batch") == 0))
+    rollup.commit(batches + 2, gone)
+    rollup.commit(batches + 3, revised.withColumn("old_tokens", more))
     return rollup.totals()

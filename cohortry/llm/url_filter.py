@@ -54,9 +54,10 @@ def path_of(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, r"^(?s).*?://[^/?#]*([^?#]*)", 1), F.lit(""))
 
 
-def keys_of(host: str, path: str, lengths: list[int]) -> list[str]:
-    """The keys under which a rule may list this URL, the longest first."""
-    at = [0, *(i + 1 for i, c in enumerate(host) if c == ".")]
+def keys_of(host: str, path: str, lengths: list[int], longest: int) -> list[str]:
+    """The keys under which a rule may list this URL, the longest first; no rule's host has more than ``longest`` characters."""
+    near = max(0, len(host) - longest)
+    at = [*([0] if not near else []), *(near + i for i, c in enumerate(host[max(0, near - 1) :], 0 if near else 1) if c == ".")]
     suffixes = list(dict.fromkeys(host[i:] for i in at if i < len(host) or not host))
     keys = [(len(s) + n, len(s), f"{s}{path[:n]}") for s in suffixes for n in lengths if n <= len(path)]
     return [key for *_, key in sorted(keys, reverse=True)]
@@ -135,12 +136,12 @@ def cascade(listed: DataFrame, others: DataFrame) -> list[Level]:
 def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, default: str = DEFAULT) -> DataFrame:
     """page_id, host, path, rule, verdict of every row."""
     spark = pages.sparkSession
-    lengths = sorted({len(path) for *_, path in rules})
+    lengths, longest = sorted({len(path) for *_, path in rules}), max((len(host) for _, host, _ in rules), default=0)
     urls = pages.select("page_id", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"))
 
     def spread(batch: pa.RecordBatch) -> dict[str, object]:
         pairs = set(zip(batch.column("host").to_pylist(), batch.column("path").to_pylist()))
-        return {"key": pa.array(list({k for h, p in pairs for k in keys_of(h, p, lengths)}), pa.string())}
+        return {"key": pa.array(list({k for h, p in pairs for k in keys_of(h, p, lengths, longest)}), pa.string())}
 
     universe = stored(map_batches(urls.select("host", "path"), spread, "key string").distinct(), "url-universe")
     cascades: dict[str, list[Level]] = {}
@@ -153,7 +154,7 @@ def judge_urls(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES
         found, verdicts, known = [], [], {}
         for host, path in zip(batch.column("host").to_pylist(), batch.column("path").to_pylist()):
             hit = (None, default)
-            for key in keys_of(host, path, lengths):
+            for key in keys_of(host, path, lengths, longest):
                 if key not in known:
                     known[key] = next((v for v, levels in shared.value.items() if in_cascade(levels, key)), None)
                 if known[key]:

@@ -14,7 +14,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cohortry.llm import byte_bpe, collocations, manifest
+from cohortry.llm import byte_bpe, collocations, manifest, token_counts, url_filter
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 CLASH = ("ids", "decoded", "h", "f", "words", "prefix", "place", "size", "tree", "digest", "key", "group", "part", "path", "given")
@@ -248,3 +248,22 @@ def test_octopus_is_least_and_enough(size, chosen):
     assert not {c for c in proof if c[0] and any((c[0] - 1, 2 * c[1] + k) in derivable for k in (0, 1))}
     for i in chosen:
         assert manifest.fold(level[i], manifest.siblings(derivable, i, size)) == every[at, 0]
+
+
+# --- mended operators ------------------------------------------------------------------
+
+
+def test_keys_of_long_hosts_are_bounded_by_the_rules():
+    host = "a." * 8_000 + "example.org"
+    keys = url_filter.keys_of(host, "/es/1", [1, 4], 11)
+    assert keys == ["example.org/es/", "example.org/", "org/es/", "org/"]
+    assert url_filter.keys_of("", "", [1], 11) == [] and url_filter.keys_of("org", "/", [1], 11) == ["org/"]
+
+
+def test_rollup_returns_to_a_fresh_count(spark):
+    """Shares deleted, revised, compacted and put back: the totals of the whole table, from few folders."""
+    docs = documents(spark, [(i, f"some words {i} " * (i % 7), ["en", None, "de"][i % 3], "s", None) for i in range(200)])
+    fresh = token_counts.count_tokens(docs).groupBy("source", "lang", "tokenizer").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+    got = token_counts.documents_rollup(docs)
+    rows = lambda df: sorted(str(tuple(r[c] for c in ("source", "lang", "tokenizer", "n_docs", "n_tokens"))) for r in df.collect())
+    assert rows(got) == rows(fresh) and len(got.inputFiles()) >= 1
