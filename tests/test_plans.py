@@ -46,16 +46,19 @@ def test_the_check_sees_a_global_window(spark):
     assert raw_window_in_one_task(plan(ranking.global_rank(df, "bmi", "id", strategy="window")))
 
 
-def test_buckets_come_without_a_hint_beyond_the_bound(spark, monkeypatch):
-    monkeypatch.setattr(ranking, "MAX_BROADCAST_BUCKETS", 1)
+def test_runs_are_bounded(spark, monkeypatch):
+    """The table of offsets, one row per run, is broadcast: runs have a bound."""
+    monkeypatch.setattr(ranking, "MAX_RUNS", 3)
     df = known(spark, SF).select("id", "bmi")
-    hinted = ranking.global_rank(df, "bmi", "id", strategy="buckets", rows_per_task=100)
-    assert sorted(r["rank"] for r in hinted.collect()) == list(range(1, df.count() + 1))
+    ranked = ranking.global_rank(df, "bmi", "id", strategy="buckets", rows_per_task=100)
+    assert sorted(r["rank"] for r in ranked.collect()) == list(range(1, df.count() + 1))
+    runs = ranking.sorted_runs(df, [], ranking._rank_order("bmi", "id"), df.count(), 100)
+    assert runs.select(ranking.RUN).distinct().count() <= 3
 
 
 def test_range_join_broadcasts_the_small_side_only(spark):
     text = plan(bands.range_join(known(spark, SF).select("id", "bmi"), reference.bmi_bands(spark), "bmi"))
-    assert "BroadcastNestedLoopJoin BuildRight, LeftOuter" in text and "Cartesian" not in text
+    assert "LeftOuter, BuildRight" in text and "BroadcastHashJoin" in text and "NestedLoop" not in text and "Cartesian" not in text
 
 
 def test_long_band_tables_join_on_a_cell(spark):
