@@ -1,12 +1,20 @@
 """Exact nearest neighbours by a block matrix join on int8 products.
 
 Vectors are scaled to int8 one by one. A block holds the vectors of one dimension and one
-hashed share; query blocks meet candidate blocks as pairs of matrices. A tile's integer
+hashed share, in their own type (floats stay four bytes wide); blocks are sized by bytes,
+whatever the dimension. Query blocks meet candidate blocks as pairs of matrices. A query
+block is eight times as large as a candidate block, and all query blocks that fit one
+meet every candidate once: what is shuffled grows in proportion to the table until the
+queries pass ``QUERY_BYTES``, and from there by one copy of it per ``QUERY_BYTES`` of queries.
+A tile's integer
 products (exact in single precision) give every inner product up to a bound known from the
 quantisation errors: |x.y - sx sy qx.qy| <= |ex| |y| + |sx qx| |ey|. A pair survives when
 its upper bound reaches the k-th best lower bound of its query so far; survivors are
-recomputed in double precision and kept in a heap of k per query. Each task merges its
-tiles' heaps and hands on at most k rows per query; a last step merges those.
+recomputed in double precision and kept in a heap of k per query. They are recomputed
+where they survive, not joined to the vectors later: of many equal or nearly equal vectors
+all survive their tile, and only heaps bound what leaves it. Queries whose norm times the
+largest of the candidate block can't reach their k-th score skip the tile. Each task merges
+its tiles' heaps and hands on at most k rows per query; a last step merges those.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite components
 take no part; vectors of different dimensions aren't compared; rows that repeat a vec_id
@@ -25,34 +33,44 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortry.llm.common import importable
+from cohortry.llm.common import importable, type_of
 from cohortry.sources.scratch import stored
 
 K = 20
 EVERY = 20
-QUERY_ROWS = 1_024
-CANDIDATE_ROWS = 4_096
-# Candidate blocks are spread over about this many tasks per query block; each hands on k rows a query.
+# A candidate block is one record of the shuffle; a query block stays in a worker with k heap entries per row.
+CANDIDATE_BYTES = 1 << 20
+QUERY_BYTES = 8 << 20
+# Candidate blocks of a query block are spread over at least this many tasks, if there are as many, and a task
+# takes at most GROUP_BLOCKS of them. Each task hands on k rows a query.
 MERGE_GROUPS = 32
+GROUP_BLOCKS = 1_024
+# Queries whose products with a candidate block are held at once.
+TILE_ROWS = 512
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """vec_id, v (array of double), dim of the vectors that take part."""
+    """vec_id, v (array of float, or of double for other types), dim of the vectors that take part."""
     v = F.col("v")
+    kind = "float" if type_of(vectors, "embedding") == "array<float>" else "double"
     sound = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     nonzero = F.exists(v, lambda x: x != 0)
-    cast = vectors.select("vec_id", F.col("embedding").cast("array<double>").alias("v"))
+    cast = vectors.select("vec_id", F.col("embedding").cast(f"array<{kind}>").alias("v"))
     one = cast.where(F.col("vec_id").isNotNull() & v.isNotNull() & sound & nonzero)
     return one.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
 
 
-def blocks(vectors: DataFrame, rows: int, n: int, name: str) -> DataFrame:
+def value_type(vectors: DataFrame) -> type:
+    return np.float32 if type_of(vectors, "v") == "array<float>" else np.float64
+
+
+def blocks(vectors: DataFrame, shares: int, name: str) -> DataFrame:
     """One row per block: dim, share, ids and matrix as bytes."""
-    shares = max(1, -(-n // rows))
+    kind = value_type(vectors)
 
     def gather(part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values("vec_id")
-        matrix = np.stack(part["v"].to_numpy()).astype(np.float64)
+        matrix = np.stack(part["v"].to_numpy()).astype(kind)
         return pd.DataFrame({
             "dim": [matrix.shape[1]], "share": [int(part["share"].iloc[0])],
             "ids": [part["vec_id"].to_numpy(np.int64).tobytes()], "matrix": [matrix.tobytes()],
@@ -66,9 +84,9 @@ def blocks(vectors: DataFrame, rows: int, n: int, name: str) -> DataFrame:
 class Quantised:
     """A block as integers in single precision, with scales and error norms."""
 
-    def __init__(self, ids: bytes, matrix: bytes, dim: int):
-        self.ids = np.frombuffer(ids, np.int64)
-        self.exact = np.frombuffer(matrix, np.float64).reshape(-1, dim)
+    def __init__(self, ids: np.ndarray, exact: np.ndarray):
+        self.ids = ids
+        self.exact = exact.astype(np.float64)
         # Scaled by the largest component first, so that norms neither overflow nor vanish.
         self.unit = np.abs(self.exact).max(axis=1)
         scaled = self.exact / self.unit[:, None]
@@ -79,6 +97,14 @@ class Quantised:
         self.rounded = np.linalg.norm(whole / 127, axis=1)
 
 
+def slices(ids: bytes, matrix: bytes, dim: int, kind: type, rows: int | None = None) -> Iterator[Quantised]:
+    """A block's rows, quantised in slices."""
+    every, exact = np.frombuffer(ids, np.int64), np.frombuffer(matrix, kind).reshape(-1, dim)
+    rows = rows or max(1, len(every))
+    for at in range(0, len(every), rows):
+        yield Quantised(every[at : at + rows], exact[at : at + rows])
+
+
 def exact_products(x: np.ndarray, ys: np.ndarray) -> np.ndarray:
     """Inner products in double precision, summed from the first component to the last."""
     return np.cumsum(x * ys, axis=1)[:, -1]
@@ -86,6 +112,13 @@ def exact_products(x: np.ndarray, ys: np.ndarray) -> np.ndarray:
 
 def tile(queries: Quantised, candidates: Quantised, heaps: dict[int, list[tuple[float, int]]], k: int) -> None:
     """Push the tile's pairs that may be among the k nearest into the heaps."""
+    reach = queries.norm * queries.unit * (candidates.norm * candidates.unit).max() * (1 + 1e-9)
+    floors = np.array([heap[0][0] if len(heap := heaps.get(int(q), ())) == k else -np.inf for q in queries.ids])
+    near = np.flatnonzero(reach >= floors)
+    if not len(near):
+        return
+    if len(near) < len(queries.ids):
+        queries = Quantised(queries.ids[near], queries.exact[near])
     approx = (queries.whole @ candidates.whole.T).astype(np.float64) / 127**2
     bound = np.outer(queries.error, candidates.norm) + np.outer(queries.rounded, candidates.error)
     bound += 1e-12 * (1 + np.outer(queries.norm, candidates.norm))
@@ -111,25 +144,33 @@ def tile(queries: Quantised, candidates: Quantised, heaps: dict[int, list[tuple[
                 heapq.heapreplace(heap, entry)
 
 
-def nearest(vectors: DataFrame, every: int = EVERY, k: int = K, query_rows: int = QUERY_ROWS, candidate_rows: int = CANDIDATE_ROWS) -> DataFrame:
+def nearest(
+    vectors: DataFrame, every: int = EVERY, k: int = K, query_bytes: int = QUERY_BYTES, candidate_bytes: int = CANDIDATE_BYTES
+) -> DataFrame:
     """The k nearest of every query (vec_id divisible by ``every``): query_id, rank, vec_id, score."""
     good = stored(usable(vectors), "nearest-vectors")
-    is_query = F.col("vec_id") % every == 0
-    n, n_queries = good.agg(F.count(F.lit(1)), F.count(F.when(is_query, 1))).first()
-    left = blocks(good.where(is_query), query_rows, n_queries, "nearest-queries")
-    right = blocks(good, candidate_rows, n, "nearest-candidates")
-    groups = min(MERGE_GROUPS, max(1, -(-n // candidate_rows)))
-    shares = max(1, -(-n_queries // query_rows))
+    kind, is_query = value_type(good), F.col("vec_id") % every == 0
+    width = np.dtype(kind).itemsize * F.col("dim").cast("bigint")
+    size, query_size = good.agg(F.sum(width), F.sum(F.when(is_query, width))).first()
+    shares = max(1, -(-(query_size or 0) // query_bytes))
+    candidate_blocks = max(1, -(-(size or 0) // candidate_bytes))
+    left = blocks(good.where(is_query), shares, "nearest-queries")
+    right = blocks(good, candidate_blocks, "nearest-candidates")
+    groups = max(min(MERGE_GROUPS, candidate_blocks), -(-candidate_blocks // GROUP_BLOCKS))
     # A query block meets each group of candidate blocks once; its heaps live through the group.
-    left = left.withColumnRenamed("share", "q").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
-    right = right.withColumn("group", F.pmod("share", F.lit(groups))).withColumn("q", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
-    key = ["dim", "q", "group"]
-    pairs = left.select(*key, F.col("ids").alias("q_ids"), F.col("matrix").alias("q_matrix")).join(
-        right.select(*key, F.col("ids").alias("c_ids"), F.col("matrix").alias("c_matrix")), key
+    # It comes first in the group's records, so that it reaches the worker once, not with every candidate block.
+    left = left.select(
+        "dim", F.col("share").alias("q"), F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"), F.lit(0).alias("side"), "ids", "matrix"
     )
+    right = right.select(
+        "dim", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("q"), F.pmod("share", F.lit(groups)).alias("group"),
+        F.lit(1).alias("side"), "ids", "matrix",
+    )
+    key = ["dim", "q", "group"]
+    met = left.unionByName(right).repartition(*key).sortWithinPartitions(*key, "side")
 
     def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, queries = None, None
+        block, queries = None, []
         heaps: dict[int, list[tuple[float, int]]] = {}
 
         def emit() -> pa.RecordBatch:
@@ -142,17 +183,21 @@ def nearest(vectors: DataFrame, every: int = EVERY, k: int = K, query_rows: int
         for batch in batches:
             for i in range(batch.num_rows):
                 row = {name: batch.column(name)[i].as_py() for name in batch.schema.names}
-                if block != (row["dim"], row["q"]):
+                if block != (row["dim"], row["q"], row["group"]):
                     if heaps:
                         yield emit()
                         heaps.clear()
-                    block = (row["dim"], row["q"])
-                    queries = Quantised(row["q_ids"], row["q_matrix"], row["dim"])
-                tile(queries, Quantised(row["c_ids"], row["c_matrix"], row["dim"]), heaps, k)
+                    block, queries = (row["dim"], row["q"], row["group"]), []
+                if row["side"] == 0:
+                    queries = list(slices(row["ids"], row["matrix"], row["dim"], kind, TILE_ROWS))
+                elif queries:  # a dimension may have candidates and no queries
+                    for candidates in slices(row["ids"], row["matrix"], row["dim"], kind):
+                        for some in queries:
+                            tile(some, candidates, heaps, k)
         yield emit()
 
     importable(vectors.sparkSession)
-    found = pairs.mapInArrow(best, "query_id bigint, vec_id bigint, score double")
+    found = met.mapInArrow(best, "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -229,6 +229,41 @@ FROM kept k JOIN totals t ON t.lang = k.lang
 QUALIFY rank <= 2000
 """,
     "op13_manifest": _manifest_sql(),
+    "op4_near_dedup": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS w
+    FROM documents),
+shingles AS MATERIALIZED (
+    SELECT doc_id, unnest(list_distinct([array_to_string(w[i:i + 4], ' ') FOR i IN range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)])) AS s
+    FROM words),
+sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS MATERIALIZED (
+    SELECT c.x, c.y FROM common c JOIN sizes a ON a.doc_id = c.x JOIN sizes b ON b.doc_id = c.y
+    WHERE 100 * c.n >= 75 * (a.n + b.n - c.n)),
+reach AS (
+    SELECT x AS doc_id, y AS other FROM links
+    UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.other),
+least_of AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT d.doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, least(d.doc_id, coalesce(r.other, d.doc_id)) AS component_id,
+    d.doc_id = least(d.doc_id, coalesce(r.other, d.doc_id)) AS kept
+FROM documents d LEFT JOIN sizes s ON s.doc_id = d.doc_id LEFT JOIN least_of r ON r.doc_id = d.doc_id
+""",
+    "op8_nearest": """
+WITH vectors AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings WHERE vec_id IS NOT NULL),
+good AS MATERIALIZED (
+    SELECT vec_id, min(v) AS v FROM vectors
+    WHERE len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(v, lambda x: x <> 0)) > 0
+    GROUP BY vec_id),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v) AS score
+    FROM good q JOIN good c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v))
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id))::INTEGER AS rank, vec_id, score
+FROM scores QUALIFY rank <= 20
+""",
     "op7_exact_dedup": """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
     doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256

@@ -225,7 +225,7 @@ def test_nearest(spark):
     other = [(400, [1.0, 2.0], 0), (401, [3.0, 4.0], 0)]
     df = spark.createDataFrame(rows + bad + other, "vec_id bigint, embedding array<float>, label int").withColumn("dim", F.lit("x"))
     found = {}
-    for r in nearest.nearest(df, query_rows=4, candidate_rows=32).collect():
+    for r in nearest.nearest(df, query_bytes=100, candidate_bytes=800).collect():
         found.setdefault(r.query_id, []).append((r["rank"], r.vec_id, r.score))
     assert sorted(found) == [*range(0, 230, 20), 400]
     assert found[400] == [(1, 401, 11.0)]
