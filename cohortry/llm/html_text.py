@@ -2,9 +2,14 @@
 
 A page becomes a flat list of text blocks: whatever lies between two block-level tags, with
 character references decoded and white space collapsed. A block's features are its words
-and link density, those of the blocks before and after it, whether it is a heading or
-reads like a notice, and the container around it (article, boilerplate, neither). A
-decision tree, fitted by Spark ML on the small labelled table below, keeps or drops it.
+and link density, those of the blocks before and after it, the long text before it in the
+same container, whether it is a heading, a sentence of a paragraph or reads like a notice,
+the element around it (article, boilerplate, neither), and what class, id and role names
+around it hint at. A hint is weak or strong and never ends the search: long text without
+links under a weak one can be main text, and so can an article inside. A decision tree,
+fitted by Spark ML on a small labelled table (the blocks of the pages below, marked by
+hand, and a grid of feature values marked by rule, which covers the cases between), keeps
+or drops each block.
 
 Defined results: null html and pages without main text give an empty text; every block is
 kept or dropped whole; unclosed and stray tags are tolerated; repeated rows give repeated
@@ -39,23 +44,40 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "d
           "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "tr": ({"tr"}, {"table"}),
           "option": ({"option"}, {"select"})}
 
-# Words in class, id and role that tell what a container is for.
+# Words in class, id and role names that tell what a container is for.
 ARTICLE_HINTS = set("article articlebody content main post entry story maincontent".split())
-SIDE_HINTS = set(
+# These also tell it as the last word of a longer name ("post-comments", "main-menu").
+STRONG_HINTS = set(
     "nav navbar navigation menu submenu sidebar aside complementary breadcrumb breadcrumbs ad ads adv advert adverts "
-    "advertisement advertising adsense banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices "
-    "notification alert popup modal overlay newsletter subscribe subscription signup login social share sharing sharebar "
-    "related recommended recommendations widget widgets toolbar pagination pager search footer contentinfo copyright masthead "
-    "comment comments commentlist respond reply replies disqus discussion form toc skip hidden"
+    "advertisement advertising adsense banner cookie cookies consent gdpr newsletter sharebar pagination pager footer "
+    "contentinfo copyright masthead comment comments commentlist respond replies disqus discussion toc"
+    .split()
+)
+SIDE_HINTS = STRONG_HINTS | set(
+    "sponsor sponsored promo promotion notice notices notification alert popup modal overlay subscribe subscription signup "
+    "login social share sharing related recommended recommendations widget widgets toolbar search reply form skip hidden"
     .split()
 )
 HEADER_HINTS = {"header", "topbar"}
+# Words that say nothing about a purpose, and words that turn a name into one of the page's layout.
+NEUTRAL_HINTS = set("a the my site page area block box container wrapper wrap inner outer section list item items left right top bottom group bar region posts articles stories links".split())
+LAYOUT_HINTS = set("has no with without hide show is".split())
 NOTICE = re.compile(
     r"©|\bcookies?\b|all rights reserved|\bcopyright\b|\bnewsletter\b|\bsubscribe\b|\badvertisement\b|\bsponsored\b|"
     r"privacy policy|terms of (?:use|service)|\b(?:sign|log) ?(?:in|up)\b",
     re.I,
 )
 NOTICE_WORDS = 40
+# What is a notice inside an article too.
+APPEAL = re.compile(
+    r"\b(?:we|site|website|page|pages) uses? cookies\b|\baccept (?:all )?cookies\b|\bcookie (?:policy|settings|preferences)\b|"
+    r"\bsubscribe (?:now|today|here)?\s*(?:to|for) (?:our|the|my)\b.*\b(?:newsletter|updates|channel|mailing list)\b|"
+    r"\bsign up (?:for|to) (?:our|the)\b.*\bnewsletter\b|^(?:advertisement|sponsored(?: content)?)\W*$",
+    re.I | re.S,
+)
+APPEAL_WORDS = 25
+SENTENCE = re.compile(r"[.!?…][\"'”’»)\]]*$")
+LONG_WORDS = 14
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -64,59 +86,74 @@ _TOKEN = re.compile(
     r"|<(?P<end2>/?)(?P<tag2>[a-zA-Z][^\s/>]*)[^>]*>",
     re.S | re.I,
 )
-_HINT = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_HINT = re.compile(r"(?<![\w:.-])(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+CONTAINERS = set("address article aside body center details dialog div fieldset figure footer form header main nav section table td th".split())
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:[\s=]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
-ARTICLE, NEITHER, SIDE, SKIP = 1, 0, -1, -2
-FEATURES = ("place", "words", "links", "words_before", "links_before", "words_after", "links_after", "heading", "notice")
-# The labelled table: features in the order above, then 1 for main text. Link densities are shares of words.
-LABELLED = (
-    # inside an article: paragraphs of any length, headings; lists of links and notices are not part of it
-    (1, 120, 0.0, 80, 0.0, 90, 0.0, 0, 0, 1), (1, 60, 0.05, 7, 0.0, 75, 0.0, 0, 0, 1), (1, 25, 0.0, 40, 0.0, 3, 0.0, 0, 0, 1),
-    (1, 1, 0.0, 60, 0.0, 55, 0.0, 0, 0, 1), (1, 2, 0.0, 1, 0.0, 2, 0.0, 0, 0, 1), (1, 5, 0.0, 9, 0.0, 0, 0.0, 0, 0, 1),
-    (1, 1, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (1, 3, 0.0, 6, 1.0, 120, 0.0, 0, 0, 1), (1, 8, 0.0, 12, 0.0, 6, 0.4, 0, 0, 1),
-    (1, 9, 0.0, 4, 1.0, 80, 0.0, 1, 0, 1), (1, 3, 0.0, 70, 0.0, 60, 0.0, 1, 0, 1), (1, 4, 0.0, 2, 0.0, 2, 0.0, 1, 0, 1),
-    (1, 40, 0.2, 50, 0.1, 45, 0.0, 0, 0, 1), (1, 15, 0.3, 30, 0.0, 20, 0.0, 0, 0, 1), (1, 200, 0.0, 1, 0.0, 9, 0.3, 0, 0, 1),
-    (1, 12, 0.4, 25, 0.1, 33, 0.0, 0, 0, 1), (1, 33, 0.0, 30, 0.0, 25, 0.1, 0, 1, 1), (1, 90, 0.01, 60, 0.0, 70, 0.0, 0, 1, 1),
-    (1, 4, 1.0, 5, 1.0, 6, 1.0, 0, 0, 0), (1, 6, 1.0, 60, 0.0, 5, 1.0, 0, 0, 0), (1, 12, 0.9, 40, 0.0, 10, 0.9, 0, 0, 0),
-    (1, 3, 1.0, 70, 0.0, 0, 0.0, 0, 0, 0), (1, 20, 0.8, 15, 0.9, 18, 0.85, 0, 0, 0), (1, 2, 1.0, 3, 1.0, 80, 0.0, 0, 0, 0),
-    # neither: length and neighbours decide
-    (0, 80, 0.0, 60, 0.0, 70, 0.0, 0, 0, 1), (0, 45, 0.05, 6, 0.0, 50, 0.0, 0, 0, 1), (0, 30, 0.0, 2, 1.0, 40, 0.0, 0, 0, 1),
-    (0, 120, 0.1, 3, 1.0, 4, 1.0, 0, 0, 1), (0, 22, 0.0, 35, 0.0, 2, 1.0, 0, 0, 1), (0, 18, 0.1, 28, 0.0, 26, 0.0, 0, 0, 1),
-    (0, 6, 0.0, 50, 0.0, 60, 0.0, 0, 0, 1), (0, 3, 0.0, 40, 0.0, 35, 0.0, 0, 0, 1), (0, 9, 0.0, 30, 0.0, 25, 0.1, 0, 0, 1),
-    (0, 7, 0.0, 3, 1.0, 60, 0.0, 1, 0, 1), (0, 5, 0.0, 45, 0.0, 40, 0.0, 1, 0, 1), (0, 10, 0.0, 0, 0.0, 80, 0.0, 1, 0, 1),
-    (0, 60, 0.0, 0, 0.0, 0, 0.0, 0, 0, 1), (0, 200, 0.02, 40, 0.0, 6, 0.8, 0, 0, 1), (0, 90, 0.0, 40, 0.0, 50, 0.0, 0, 1, 1),
-    (0, 3, 1.0, 2, 1.0, 4, 1.0, 0, 0, 0), (0, 1, 1.0, 0, 0.0, 1, 1.0, 0, 0, 0), (0, 8, 0.8, 6, 0.9, 7, 1.0, 0, 0, 0),
-    (0, 30, 0.7, 12, 0.8, 20, 0.9, 0, 0, 0), (0, 4, 0.0, 3, 1.0, 5, 1.0, 0, 0, 0), (0, 6, 0.0, 4, 0.5, 2, 1.0, 0, 0, 0),
-    (0, 5, 0.0, 2, 0.0, 3, 0.0, 0, 0, 0), (0, 2, 0.0, 0, 0.0, 1, 1.0, 0, 0, 0), (0, 8, 0.1, 60, 0.0, 3, 1.0, 0, 0, 0),
-    (0, 3, 0.0, 2, 1.0, 4, 1.0, 1, 0, 0), (0, 4, 0.0, 5, 1.0, 6, 0.9, 1, 0, 0), (0, 7, 0.0, 50, 0.0, 0, 0.0, 0, 1, 0),
-    (0, 14, 0.2, 5, 1.0, 0, 0.0, 0, 1, 0), (0, 25, 0.1, 3, 1.0, 4, 0.6, 0, 1, 0), (0, 5, 1.0, 60, 0.0, 55, 0.0, 0, 0, 0),
-    (0, 12, 0.0, 40, 0.0, 0, 0.0, 0, 1, 0), (0, 20, 0.0, 60, 0.0, 50, 0.0, 0, 1, 0), (0, 4, 0.0, 3, 1.0, 3, 0.0, 0, 0, 0),
+ARTICLE, NEITHER, SIDE, SKIP, HEAD = 1, 0, -1, -2, -3
+NO_HINT, WEAK, STRONG = 0, 1, 2
+FEATURES = (
+    "place", "hint", "words", "links", "long_before", "words_before", "links_before", "words_after", "links_after", "heading", "sentence", "notice",
 )
-# Inside boilerplate nothing is main text, and inside an article all text without many links is,
-# whatever its length and its neighbours: examples by rule.
-LABELLED += tuple(
-    (place, words, links, *before, *after, heading, notice, int(place == ARTICLE))
-    for place, link_shares in ((SIDE, (0.0, 0.3, 1.0)), (ARTICLE, (0.0, 0.3)))
-    for i, words in enumerate((1, 4, 9, 16, 30, 60, 150, 400))
-    for links in link_shares
-    for before, after in (((0, 0.0), (70, 0.0)), ((60, 0.0), (0, 0.0)), ((5, 1.0), (40, 0.0)), ((3, 0.2), (6, 1.0)))
-    for heading, notice in ((i % 2, 0), (0, i % 2))
-)
-# Elsewhere: links never are; text of a sentence or more is, unless it is a notice; a shorter block is if both
-# neighbours are, a heading if the next block is.
-LABELLED += tuple(
-    (NEITHER, words, links, *before, *after, heading, notice,
-     int(links < 0.5 and not notice and (words >= 14 or (after[0] >= 14 and after[1] < 0.5 and (heading or (before[0] >= 14 and before[1] < 0.5))))))
-    for words in (1, 3, 6, 11, 15, 22, 28, 36, 70, 200)
-    for links in (0.0, 0.2, 0.8, 1.0)
-    for before in ((0, 0.0), (3, 1.0), (6, 0.1), (18, 0.1), (30, 0.9), (60, 0.0))
-    for after in ((0, 0.0), (3, 1.0), (6, 0.1), (18, 0.1), (30, 0.9), (60, 0.0))
-    for heading, notice in ((0, 0), (1, 0), (0, 1))
-    if not (heading and words > 20) and not (notice and words > 30)
+TREE_DEPTH = 16
+
+_LONG = "It was a long way from the old harbour to the house on the hill, and nobody who had walked it in winter cared to walk it again before spring. "
+# Pages whose blocks are marked by hand: + is main text, - is not.
+LABELLED_PAGES = (
+    f"""<body class="no-sidebar"><header><h1>- The Daily Page</h1><p>- All the news of the hill</p></header><nav><ul><li><a>- Home</a><li><a>- News</a></ul></nav>
+    <article><header><h1>+ A winter walk</h1><span>- by Someone</span></header><p>+ {_LONG}<p>+ Yes.<p>+ {_LONG * 2}<ul><li>+ boots<li>+ a warm hat</ul>
+    <p><a>+ The whole of this paragraph is a link to another walk.</a><ul><li><a>- Another walk</a><li><a>- A third walk</a></ul>
+    <p>- We use cookies to make this page better for you.<p>- Subscribe to our newsletter today<p>+ Take care.</article><footer>- Copyright 2020 The Daily Page</footer>""",
+    f"""<div class="site-header">- Hill and harbour</div><div class="main-menu"><a>- Home</a> <a>- Walks</a></div><div id="wrap"><h1>+ The house on the hill</h1>
+    <p>+ {_LONG}<p>+ No.<p>+ Yes, always.<h2>+ Later</h2><p>+ {_LONG * 3}<p>+ That was all.</div><div>- Home of good walks</div><p>- All rights reserved.""",
+    f"""<main class="has-sidebar"><h1>+ Tides</h1><p>+ {_LONG}<p>+ They turn.<p>+ {_LONG}</main><div class="sidebar"><p>- {_LONG}</div>""",
+    f"""<article class="post search-result"><h2>+ Found</h2><p>+ {_LONG}<p>+ It ends here.</article><div class="related-posts"><p>- {_LONG}<a>- More</a></div>""",
+    f"""<div class="content-social"><p>+ {_LONG * 2}<a>- Share</a><p>- Tell friends</div><div class="social"><p>- {_LONG}</div>""",
+    f"""<div data-id="comment"><p>+ {_LONG}<p>+ {_LONG}<p>+ The end.</div><div class="post-comments"><article><p>- {_LONG}<p>- Great!</article></div>""",
+    f"""<div class="promo-grid"><article><p>+ {_LONG}<p>+ And on.</article><p>- Buy now</div><aside><p>- {_LONG * 2}</aside><div class="ad">- {_LONG}</div>""",
+    f"""<div id="cookie-notice"><p>- {_LONG}</div><div role="main"><p>+ Short start.<p>+ {_LONG}<blockquote>+ Said nobody.</blockquote></div><div role="navigation">- Up Down</div>""",
+    f"""<table><tr><td><a>- One</a> <a>- Two</a><td><p>+ {_LONG}<p>+ {_LONG}<td><a>- {_LONG}</a></table><p>- 12 readers<p>- Next""",
 )
-TREE_DEPTH = 12
+
+
+def _by_rule(place, hint, words, links, long_before, words_before, links_before, words_after, links_after, heading, sentence, notice) -> int:
+    """The mark of a grid point. It gives labels only; pages are judged by the tree."""
+    if place == SIDE or hint == STRONG or notice == 2:
+        return 0
+    if place == ARTICLE and hint == NO_HINT:
+        return int(links < 0.5 or (sentence and words >= 6))
+    if links >= 0.5 or notice:
+        return 0
+    if words >= LONG_WORDS:
+        return 1
+    before, after = words_before >= LONG_WORDS and links_before < 0.5, words_after >= LONG_WORDS and links_after < 0.5
+    return int(hint == NO_HINT and (long_before >= LONG_WORDS or (after and (heading or before))))
+
+
+def _grid() -> list[tuple[float, ...]]:
+    around = [(0, 0.0), (13, 0.1), (14, 0.1), (60, 0.9)]
+    kinds = [(0, 0, 0), (0, 1, 0), (1, 0, 0), (0, 0, 1), (0, 1, 1), (0, 0, 2), (0, 1, 2)]
+    few = [(0, *around[0], *around[3]), (0, *around[1], *around[2]), (60, *around[2], *around[2]), (0, *around[2], *around[2])]
+    every = [(long, *before, *after) for long in (0, 14) for before in around for after in around]
+    points = []
+    for place, hint in ((SIDE, 0), (SIDE, 1), (SIDE, 2), (NEITHER, 2), (ARTICLE, 2), (ARTICLE, 0), (ARTICLE, 1), (NEITHER, 1), (NEITHER, 0)):
+        for words in (1, 5, 6, 13, 14, 25, 400):
+            for links in (0.0, 0.45, 0.55, 1.0):
+                for kind in kinds:
+                    if not (kind[2] and words > NOTICE_WORDS) and not (kind[2] == 2 and words > APPEAL_WORDS):
+                        near = every if (place, hint) == (NEITHER, 0) and words in (1, 6, 13) and links == 0.45 else few
+                        points += [(place, hint, words, links, *n, *kind) for n in near]
+    return [(*point, _by_rule(*point)) for point in points]
+
+
+def labelled_table() -> list[tuple[float, ...]]:
+    """Features of the labelled blocks, then 1 for main text."""
+    out = []
+    for page in LABELLED_PAGES:
+        blocks = blocks_of(page)
+        out += [(*row, int(b.text.startswith("+"))) for b, row in zip(blocks, features(blocks)) if b.text[0] in "+-"]
+    return out + _grid()
 
 
 @dataclass
@@ -126,51 +163,81 @@ class Block:
     words: int
     links: float
     heading: int
+    hint: int = NO_HINT
+    container: int = 0
+    paragraph: bool = False
 
     @property
     def notice(self) -> int:
+        if self.words <= APPEAL_WORDS and APPEAL.search(self.text):
+            return 2
         return int(self.words <= NOTICE_WORDS and NOTICE.search(self.text) is not None)
 
-
-def _place_of(tag: str, rest: str, parent: int) -> tuple[int, bool]:
-    """What a container is for, and whether nothing inside can be main text again."""
+    @property
+    def sentence(self) -> int:
+        return int(self.paragraph and SENTENCE.search(self.text) is not None)
+
+
+def _hint_of(name: str) -> tuple[int, bool, bool]:
+    """What one class, id or role name hints at: boilerplate (none, weak, strong), an article, a header."""
+    words = [w.lower() for w in _WORDS.findall(name)]
+    if not words or words[0] in LAYOUT_HINTS:
+        return NO_HINT, False, False
+    words = [w for w in words if w not in NEUTRAL_HINTS]
+    if not words:
+        return NO_HINT, False, False
+    if all(w in SIDE_HINTS for w in words) or words[-1] in STRONG_HINTS:
+        return STRONG, False, False
+    if words[-1] in HEADER_HINTS:
+        return NO_HINT, False, True
+    weak = any(w in SIDE_HINTS for w in words)
+    return (WEAK if weak else NO_HINT), all(w in ARTICLE_HINTS for w in words), False
+
+
+def _place_of(tag: str, rest: str, parent: int, around: int) -> tuple[int, bool, int]:
+    """What a container is for, whether nothing inside can be main text again, and the hint in force."""
     if tag in SKIPPED or (rest and _HIDDEN.search(rest)):
-        return SKIP, True
+        return SKIP, True, around
     if tag in ("nav", "aside", "footer", "search", "dialog", "menu"):
-        return SIDE, True
-    hints = set()
+        return SIDE, True, around
+    hint, article, header = NO_HINT, False, tag == "header"
     if rest and tag not in ("html", "body"):
         for found in _HINT.finditer(rest):
-            hints |= {w.lower() for w in _WORDS.findall(found[1] or found[2] or found[3] or "")}
-    if hints & SIDE_HINTS:
-        return SIDE, True
-    if tag == "header" or hints & HEADER_HINTS:
-        return (SIDE, False) if parent != ARTICLE else (-3, False)  # an article's own header keeps its headings
+            for name in (found[1] or found[2] or found[3] or "").split():
+                kind, names_article, names_header = _hint_of(name)
+                hint, article, header = max(hint, kind), article or names_article, header or names_header
+    if hint == STRONG and tag != "main":
+        return parent, False, STRONG
+    if header:
+        return (SIDE if parent != ARTICLE else HEAD), False, max(hint, around)  # an article's own header keeps its headings
     if tag == "form":
-        return SIDE, False
-    if tag in ("article", "main") or hints & ARTICLE_HINTS:
-        return ARTICLE, False
-    return parent, False
+        return SIDE, False, max(hint, around)
+    if tag in ("article", "main") or article:
+        # An article leaves weak hints behind, the page's main element any.
+        return ARTICLE, False, around if around == STRONG and tag != "main" else NO_HINT
+    return parent, False, max(hint, around)
 
 
 def blocks_of(source: str) -> list[Block]:
     """The page's text blocks in order."""
     out: list[Block] = []
-    stack: list[tuple[str, int, bool]] = [("", NEITHER, False)]
+    # Open elements: tag, place, whether the place is final, hint in force, number of the container.
+    stack: list[tuple[str, int, bool, int, int]] = [("", NEITHER, False, NO_HINT, 0)]
+    containers = 0
     pieces: list[tuple[str, bool]] = []
 
     def flush() -> None:
         if not pieces:
             return
-        place = stack[-1][1]
+        tag, place, _, hint, container = stack[-1]
         heading = int(any(tag in HEADINGS for tag, *_ in stack[-3:]))
-        if place == -3:
+        if place == HEAD:
             place = ARTICLE if heading else SIDE
         text = " ".join(html.unescape("".join(p for p, _ in pieces)).split())
         if text and place != SKIP:
             words = len(text.split(" "))
             linked = sum(len(html.unescape(p).split()) for p, inside in pieces if inside)
-            out.append(Block(text, place, words, min(1.0, linked / words), heading))
+            out.append(Block(text, place, words, min(1.0, linked / words), heading, hint, container, tag == "p"))
         pieces.clear()
 
     def close(names: set[str], scope: set[str] | None = None) -> None:
@@ -205,7 +272,7 @@ def blocks_of(source: str) -> list[Block]:
             else:
                 hinted = stack[-1][0] == tag
                 if hinted:
-                    if stack[-1][1] in (SKIP, SIDE):
+                    if stack[-1][1] in (SKIP, SIDE) or stack[-1][3]:
                         flush()
                     close({tag})
         else:
@@ -219,12 +286,15 @@ def blocks_of(source: str) -> list[Block]:
                     close(*CLOSES[tag])
             if tag in VOID or rest.endswith("/") and tag not in BLOCK:
                 continue
-            _, parent, final = stack[-1]
-            place, ends = (parent, final) if final else _place_of(tag, rest, parent)
-            if block or tag in SKIPPED or place != parent:
-                if not block and place != parent:
+            _, parent, final, around, container = stack[-1]
+            place, ends, hint = (parent, final, around) if final else _place_of(tag, rest, parent, around)
+            if block or tag in SKIPPED or (place, hint) != (parent, around):
+                if not block and (place, hint) != (parent, around):
                     flush()
-                stack.append((tag, place, ends))
+                if tag in CONTAINERS:
+                    containers += 1
+                    container = containers
+                stack.append((tag, place, ends, hint, container))
     if at < len(source):
         pieces.append((source[at:], links > 0))
     flush()
@@ -233,24 +303,27 @@ def blocks_of(source: str) -> list[Block]:
 
 def features(blocks: list[Block]) -> list[tuple[float, ...]]:
     rows = []
+    long_before: dict[int, int] = {}
     for i, b in enumerate(blocks):
         before = blocks[i - 1] if i else None
         after = blocks[i + 1] if i + 1 < len(blocks) else None
         rows.append((
-            b.place, b.words, b.links,
+            b.place, b.hint, b.words, b.links, long_before.get(b.container, 0),
             before.words if before else 0, before.links if before else 0.0,
             after.words if after else 0, after.links if after else 0.0,
-            b.heading, b.notice,
+            b.heading, b.sentence, b.notice,
         ))
+        if b.words >= LONG_WORDS and b.links < 0.5 and not b.notice:
+            long_before[b.container] = long_before.get(b.container, 0) + b.words
     return rows
 
 
 Tree = tuple  # (feature, threshold, left, right) or (label,)
 
 
-def fit_tree(spark: SparkSession, labelled: tuple = LABELLED) -> Tree:
+def fit_tree(spark: SparkSession, labelled: list[tuple[float, ...]] | None = None) -> Tree:
     """Fit the decision tree on the labelled table and take its nodes."""
-    rows = [(Vectors.dense(*row[:-1]), float(row[-1])) for row in labelled]
+    rows = [(Vectors.dense(*row[:-1]), float(row[-1])) for row in (labelled if labelled is not None else labelled_table())]
     data = spark.createDataFrame(rows, ["features", "label"]).coalesce(1)
     model = DecisionTreeClassifier(maxDepth=TREE_DEPTH, maxBins=256, seed=1).fit(data)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import html
 import random
 import sys
 from pathlib import Path
@@ -276,7 +277,7 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>v
 
 def test_html(spark):
     tree = html_text.fit_tree(spark)
-    assert all(html_text.decide(tree, r[:-1]) == r[-1] for r in html_text.LABELLED)
+    assert all(html_text.decide(tree, r[:-1]) == r[-1] for r in html_text.labelled_table())
     rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (3, "", ""), (4, "u", "<nav><a>x</a></nav>"), (5, "u", "<article><p>" + "word " * 50_000), (6, "u", "<script>never closed <p>")]
     pages = spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("text", F.lit("clash"))
     got = {r.page_id: (r.text, r.n_chars) for r in html_text.extract_text(pages, tree).collect()}
@@ -286,6 +287,63 @@ def test_html(spark):
     assert got[5][1] == 5 * 50_000 - 1
 
 
+LONG = "a sentence of the main text that is long enough to stand by itself, without any link in it at all."
+
+
+@pytest.mark.parametrize("source, expected", [
+    (f'<main class="has-sidebar"><p>{LONG}</main>', [LONG]),
+    (f'<article class="post search-result"><p>{LONG}<p>End.</article>', [LONG, "End."]),
+    (f'<div class="content-social"><p>{LONG}</div>', [LONG]),
+    (f'<div data-id="comment"><p>{LONG}</div>', [LONG]),
+    (f"<div><p>{LONG}<p>Yes.<p>No.<p>{LONG}<p>That was all there.</div>", [LONG, "Yes.", "No.", LONG, "That was all there."]),
+    (f"<article><p>{LONG}<p>We use cookies on this site.<p>Subscribe to our newsletter today<p>{LONG}</article>", [LONG, LONG]),
+    (f"<article><p><a href=1>{LONG}</a><p>{LONG}</article>", [LONG, LONG]),
+    (f"<article><p>She baked cookies.<p>{LONG}</article>", ["She baked cookies.", LONG]),
+    (f'<div class="post-comments"><article><p>{LONG}</article></div><article><p>{LONG} x</article>', [LONG + " x"]),
+    (f'<div class="page sidebar-left"><p>{LONG}</div><div class="promo-grid"><article><p>Here.</article><p>Buy</div>', ["Here."]),
+    (f'<form class="page"><article><p>{LONG}</article><p>Send</form>', [LONG]),
+    (f'<div id="related-posts"><p>{LONG}</div><div class="main-menu">{LONG}</div><div role="navigation">{LONG}</div>', []),
+    (f'<div class="sidebar"><main><p>{LONG}</main></div>', [LONG]),
+    (f'<ul class="menu"><li>{LONG}</ul><p hidden>{LONG}<p>{LONG}', [LONG]),
+])
+def test_html_kinds_of_page(html_tree, source, expected):
+    assert html_text.main_text(f"<html><body>{source}</body></html>", html_tree) == "\n\n".join(expected)
+
+
+@pytest.fixture(scope="module")
+def html_tree(spark):
+    return html_text.fit_tree(spark)
+
+
+def test_html_of_made_up_pages(html_tree):
+    """Pages composed of known blocks, against the blocks that belong to the article."""
+    rng = random.Random(11)
+    words = "tree house über naïve <3 & x > y walk 'q' \"r\" harbour ß".split()
+
+    def prose(n):
+        return " ".join(rng.choice(words) for _ in range(n))
+
+    noise = [
+        lambda t: f"<nav><ul><li><a href='/x'>{t}</a></ul></nav>", lambda t: f"<div class='ad'>{t}</div>", lambda t: f"<aside><p>{t}</p></aside>",
+        lambda t: f"<section id=comments><p>{t}<p>{t}</section>", lambda t: f"<script>var a='{t}';</script>", lambda t: f"<!-- {t} -->",
+        lambda t: f"<form><label>{t}</label><input></form>", lambda t: f"<div class='cookie-notice'>{t}</div>", lambda t: f"<p style='display:none'>{t}</p>",
+    ]
+    for _ in range(150):
+        page, expected = [], []
+        for kind in rng.choices(["noise", "p", "h2", "li", "br"], k=rng.randint(1, 25)):
+            text = prose(rng.randint(1, 40))
+            escaped = html.escape(text)
+            if kind == "noise":
+                page.append(rng.choice(noise)(escaped))
+                continue
+            expected.append(text)
+            spaced = escaped.replace(" ", rng.choice([" ", "\n\t ", "<br>", " <b>", "&nbsp;"]))
+            page.append(f"<ul><li>{spaced}</ul>" if kind == "li" else f"<p>{spaced}" if kind == "br" else f"<{kind}>{spaced}</{kind}>")
+        outside = [rng.choice(noise)(html.escape(prose(20))) for _ in range(3)]
+        source = f"<html><head><title>t</title></head><body>{''.join(outside)}<article>{''.join(page)}</article><footer>{prose(30)}</footer></body></html>"
+        assert html_text.main_text(source, html_tree) == "\n\n".join(expected)
+
+
 def test_language_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     remainder = language_id.remainder(4)
