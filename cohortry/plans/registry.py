@@ -13,8 +13,8 @@ from cohortry.operators import (
 from cohortry.plans import study
 from cohortry.plans.study import STAND_IN as C
 from cohortry.sources import reference, scratch
-from cohortry.sources.respondents import KEY, PREDICTORS, TARGET, respondents
-from cohortry.sources.tables import read_csv, read_table, write_csv, write_report, write_table
+from cohortry.sources.respondents import KEY, PREDICTORS, SOURCE_TABLES, TARGET, respondents
+from cohortry.sources.tables import read_csv, read_table, source_state, write_csv, write_report, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,18 +55,19 @@ def prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
     return study.prepare(respondents(spark, sf_dir), C, reference.bmi_bands(spark))
 
 
-_STORED: dict[tuple[str, str, str], str] = {}
+_STORED: dict[tuple[str, str, str], tuple[int, str]] = {}
 
 
 def stored_prepared(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Written by part to scratch storage, once per application and source; later queries read it."""
+    """Written by part to scratch storage, once per application and state of the source; later queries read it."""
     key = (spark.sparkContext.applicationId, scratch.scratch_root(spark), sf_dir)
+    state = source_state(spark, *(f"{sf_dir}/{name}.parquet" for name in SOURCE_TABLES))
     table = prepared(spark, sf_dir)
-    if key not in _STORED or not scratch.is_stored(spark, _STORED[key]):
+    if key not in _STORED or _STORED[key][0] != state or not scratch.is_stored(spark, _STORED[key][1]):
         path = scratch.scratch_path(spark, "prepared")
         write_table(table, path, splitting.SPLIT_COLUMN)
-        _STORED[key] = path
-    return spark.read.schema(table.schema).parquet(_STORED[key]).select(*table.columns)
+        _STORED[key] = (state, path)
+    return spark.read.schema(table.schema).parquet(_STORED[key][1]).select(*table.columns)
 
 
 def training(df: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from cohortry.sources.tables import read_table
 
+SOURCE_TABLES = ("orders", "customer")
 KEY = "id"
 TARGET = "target"
 PREDICTORS = [

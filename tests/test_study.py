@@ -104,3 +104,15 @@ def test_recomputing_agrees_with_imputed_answers(spark):
     df = study.recompute_constructed(registry.imputed(spark, SF), study.STAND_IN, reference.bmi_bands(spark))
     assert df.where("risk_points is null or (risk_flag = 1) <> (risk_points >= 5)").count() == 0
     assert df.where("bmi >= 30 and bmi_band <> 4").count() == 0
+
+
+def test_rewritten_source_is_read_again(spark, tmp_path):
+    for name in ("orders", "customer"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    first = registry.stored_prepared(spark, str(tmp_path))
+    n = first.count()
+    again = registry.stored_prepared(spark, str(tmp_path))
+    assert n > 0 and first.inputFiles() == again.inputFiles()
+    some = spark.read.parquet("/root/testdata/sf0.001/orders.parquet").where(F.col("o_orderkey") % 2 == 0)
+    some.write.mode("overwrite").parquet(str(tmp_path / "orders.parquet"))
+    assert 0 < registry.stored_prepared(spark, str(tmp_path)).count() < n
