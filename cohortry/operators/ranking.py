@@ -33,6 +33,8 @@ ROWS_PER_TASK = 1_000_000
 # Runs are cut finer than that, so that tasks balance.
 RUNS_PER_TASK = 4
 MAX_RUNS = 65_536
+# Up to so many tasks sort the runs one by one; beyond that a task sorts several runs in a row.
+LEAST_TASKS = 256
 
 RANKABLE = (NumericType, BooleanType, StringType, DateType, TimestampType, TimestampNTZType)
 
@@ -109,12 +111,20 @@ def running(
 
 
 def sorted_runs(rows: DataFrame, group: list[str], order: list[Column], n: int, rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
-    """The rows in stored sorted runs, with the number of the run and the place in it."""
-    runs = min(MAX_RUNS, max(2, math.ceil(n * RUNS_PER_TASK / rows_per_task)))
+    """The rows in stored sorted runs, with the number of the run and the place in it.
+
+    Every task costs the driver a hundred sampled rows, a result and a file, so short runs of a long table are not
+    sorted one by one: a task sorts a longer stretch, whose places are then cut into runs of the length asked for.
+    """
+    runs = max(2, math.ceil(n * RUNS_PER_TASK / rows_per_task))
+    tasks = max(2, min(runs, MAX_RUNS // 2, max(LEAST_TASKS, math.ceil(n * RUNS_PER_TASK / ROWS_PER_TASK))))
     by = [*[F.col(g) for g in group], *order]
-    ordered = rows.repartitionByRange(runs, *by).sortWithinPartitions(*by)
+    ordered = rows.repartitionByRange(tasks, *by).sortWithinPartitions(*by)
     ordered = stored(ordered.withColumn("_at", F.monotonically_increasing_id()), "sorted-runs")
-    return ordered.select(*rows.columns, F.shiftright("_at", 33).alias(RUN), F.col("_at").bitwiseAND((1 << 33) - 1).alias(PLACE))
+    # Ids hold the task above bit 33 and the place in it below. Where tasks are runs nothing else is cut; otherwise
+    # the upper bits of the place number the task's runs, and all runs together stay within MAX_RUNS.
+    bits = 33 if tasks == runs else math.ceil(math.log2(max(1, n / min(runs, max(1, MAX_RUNS - tasks)))))
+    return ordered.select(*rows.columns, F.shiftright("_at", bits).alias(RUN), F.col("_at").bitwiseAND((1 << bits) - 1).alias(PLACE))
 
 
 def global_rank(

@@ -222,3 +222,15 @@ def test_unknown_types_are_rejected_at_every_size(spark):
     for options in ({"strategy": "auto"}, BUCKETS):
         with pytest.raises(ValueError, match="can't be ranked"):
             ranking.global_rank(df, "score", "id", "y", **options)
+
+
+def test_short_runs_of_a_long_table_share_tasks(spark, monkeypatch):
+    """Runs are as short as asked for, but the tasks that sort them, and so the files, are bounded."""
+    monkeypatch.setattr(ranking, "LEAST_TASKS", 4)
+    df = frame(spark, table("third", 2_000))
+    runs = ranking.sorted_runs(df, [], ranking._rank_order("score", "id"), 2_000, 40)
+    sizes = [r["count"] for r in runs.groupBy(ranking.RUN).count().collect()]
+    assert len(sizes) >= 2_000 / 40 and max(sizes) <= 40
+    assert runs.select(F.input_file_name()).distinct().count() <= 4
+    ranked = [{r["id"]: (r["rank"], r["cum_positives"]) for r in ranking.global_rank(df, "score", "id", "y", **o).collect()} for o in ({"strategy": "window"}, BUCKETS)]
+    assert ranked[0] == ranked[1]
