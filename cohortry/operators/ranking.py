@@ -183,20 +183,21 @@ def answers(
     at_goal = [(F.col("pos_before") < g) & (F.col("pos_before") + F.col("pos") >= g) for g in goals]
     asked = [c.alias(f"q{i}") for i, c in enumerate([*at_rank, *at_goal])]
     ends = groups.select("*", *asked).groupBy("model").agg(
-        *[F.max_by(F.struct("score", "n_before", "pos_before"), f"q{i}").alias(f"b{i}") for i in range(len(asked))],
+        *[F.max_by(F.struct("score", "n_before", "pos_before", "n"), f"q{i}").alias(f"b{i}") for i in range(len(asked))],
         *[F.max(f"q{i}").alias(f"q{i}") for i in range(len(asked))],
         F.sum("n").alias("n"), F.sum("pos").alias("pos"), *[c.alias(f"sum_{name}") for name, c in sums.items()],
     )
     ends = {r["model"]: r for r in ends.collect()}
     # One boundary per model and question at most: its score's rows are numbered by key.
     bounds = [(f"{m}", i, *r[f"b{i}"]) for m, r in ends.items() for i in range(len(asked)) if r[f"q{i}"]]
+    ordered = sum(b[-1] for b in bounds)
     found: dict[tuple[str, int], int] = {}
     if bounds:
         kind = long.schema["score"].dataType.simpleString()
-        table = long.sparkSession.createDataFrame(bounds, f"_model string, _question int, _score {kind}, _n bigint, _pos bigint")
+        table = long.sparkSession.createDataFrame([b[:-1] for b in bounds], f"_model string, _question int, _score {kind}, _n bigint, _pos bigint")
         met = (F.col("model") == F.col("_model")) & F.col("score").eqNullSafe(F.col("_score"))
         rows = long.join(F.broadcast(table), met).select("_model", "_question", "_n", "_pos", "key", "pos")
-        rows = running(rows, ["_model", "_question"], [F.col("key").asc()], ["pos"], None if n is None else n * len(bounds), rows_per_task)
+        rows = running(rows, ["_model", "_question"], [F.col("key").asc()], ["pos"], None if n is None else ordered, rows_per_task)
         rank, cumulated = F.col("_n") + F.col("place") + 1, F.col("_pos") + F.col("pos_before") + F.col("pos")
         question = F.col("_question")
         each = [F.max(F.when((question == i) & (rank <= k), cumulated)) for i, k in enumerate(ranks)]

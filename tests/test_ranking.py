@@ -80,6 +80,17 @@ def test_scores_that_share_a_double_are_cut(spark):
     assert ranks[0] == ranks[1]
 
 
+def test_only_rows_that_decide_are_counted_for_runs(spark, monkeypatch):
+    """The tasks of a figure follow the rows it orders, not all rows times its questions."""
+    given, running = [], ranking.running
+    monkeypatch.setattr(ranking, "running", lambda rows, group, order, sums, n, *rest: given.append((group, n, rows.count())) or running(rows, group, order, sums, n, *rest))
+    curve = ranking.gains_curve(frame(spark, table("points")), "score", "id", "y", **BUCKETS).collect()
+    asked = [(n, count) for group, n, count in given if "_question" in group]
+    assert len(asked) == 1 and asked[0][0] == asked[0][1]
+    monkeypatch.undo()
+    assert curve == ranking.gains_curve(frame(spark, table("points")), "score", "id", "y", strategy="window").collect()
+
+
 def test_rank_ignores_partitioning(spark):
     rows = table("third")
     one = ranking.global_rank(frame(spark, rows, 1), "score", "id", **BUCKETS).orderBy("rank").collect()
