@@ -8,8 +8,8 @@ merged position, its live neighbour before it, and the one swallowed), so it cos
 logarithm of the piece's length, and a piece of a million letters takes n log n steps.
 
 Pieces repeat, so every Python worker keeps a bounded table of short ones it has met. Those
-it has not met yet are merged together: their trees are the rows of one matrix and every
-step merges once in each row. Long texts are cut where a piece must begin anyway (before a
+it has not met yet are merged together: their ranks are the columns of one matrix, whose
+least values are found in one pass, and every step merges once in each piece. Long texts are cut where a piece must begin anyway (before a
 single blank between two characters that aren't white space), so that pieces in memory are
 bounded, while a text's ids are whole.
 
@@ -42,6 +42,8 @@ SHORT = 64
 SEGMENT = 1 << 16
 AT_ONCE = 1 << 20
 _NEVER = 1 << 62
+# An odd number near 2^64 over the golden ratio: products spread neighbouring codes over all slots.
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)
 _CUT = regex.compile(r"(?<=\S) (?=\S)")
 
 
@@ -108,39 +110,72 @@ def segments(text: str, size: int = SEGMENT) -> Iterator[str]:
 
 
 class PairTable:
-    """Pairs of token ids and the ids that they merge into; the least id merges first."""
+    """Pairs of token ids and the ids that they merge into; the least id merges first.
+
+    A pair is found from the slot that its code hashes to, or one of the next few.
+    """
 
     def __init__(self, codes: dict[int, int]):
-        self.codes = np.array(sorted(codes), np.int64)
-        self.made = np.array([codes[c] for c in self.codes.tolist()], np.int64)
+        given = np.fromiter(codes.keys(), np.int64, len(codes))
+        bits = max(4, (4 * len(codes)).bit_length())
+        self._shift = np.uint64(64 - bits)
+        self.codes = np.full(1 << bits, -1, np.int64)
+        self.made = np.full(1 << bits, -1, np.int64)
+        at = self._slots(given)
+        waiting = np.arange(len(given))
+        while len(waiting):
+            free = waiting[self.codes[at[waiting]] < 0]
+            taken, first = np.unique(at[free], return_index=True)  # one pair per free slot
+            self.codes[taken] = given[free[first]]
+            waiting = waiting[self.codes[at[waiting]] != given[waiting]]
+            at[waiting] = (at[waiting] + 1) & (len(self.codes) - 1)
+        kept = self.codes >= 0
+        self.made[kept] = [codes[c] for c in self.codes[kept].tolist()]
+
+    def _slots(self, code: np.ndarray) -> np.ndarray:
+        return ((code.astype(np.uint64) * _SPREAD) >> self._shift).astype(np.int64)
 
     def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The id that each pair makes, or -1."""
         code = (left << 32) | right
-        at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
-        return np.where(self.codes[at] == code, self.made[at], -1)
+        at = self._slots(code)
+        met = self.codes[at]
+        out = np.where(met == code, self.made[at], -1)
+        others = np.flatnonzero((met != code) & (met >= 0))
+        while len(others):
+            at[others] = (at[others] + 1) & (len(self.codes) - 1)
+            met = self.codes[at[others]]
+            found = met == code[others]
+            out[others[found]] = self.made[at[others[found]]]
+            others = others[~found & (met >= 0)]
+        return out
 
 
 def merge_rows(ids: np.ndarray, sizes: np.ndarray, pairs: PairTable) -> list[bytes]:
     """Packed ids of pieces given as rows of first ids, of which ``sizes`` count: row by row what ``merge`` does to one.
 
-    Rows are as wide as a power of two of 2 at least; ids are merged in place.
+    Rows are as wide as a power of two of 2 at least; ids are merged in place. Each row's least pair is the least of its
+    column of keys, (rank, place) in one number, so one pass over the keys finds those of all rows.
     """
     rows, width = ids.shape
     levels, place = width.bit_length() - 1, np.arange(width)
     live = place < sizes[:, None]
     rank = pairs.of(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(rows, width - 1)
     rank[place[1:] >= sizes[:, None]] = -1
-    tree = np.full((rows, 2 * width), _NEVER, np.int64)
-    tree[:, width:-1] = np.where(rank < 0, _NEVER, rank * width + place[:-1])
-    for level in range(levels - 1, -1, -1):
-        below = tree[:, 2 << level : 4 << level]
-        tree[:, 1 << level : 2 << level] = np.minimum(below[:, ::2], below[:, 1::2])
+    keys = np.full((width, rows), _NEVER, np.int64)
+    keys[:-1] = np.where(rank < 0, _NEVER, rank * width + place[:-1]).T
     after = np.tile(np.arange(1, width + 2), (rows, 1))
     before = np.tile(np.arange(-1, width), (rows, 1))
-    active = np.flatnonzero(tree[:, 1] != _NEVER)
-    while len(active):
-        least = tree[active, 1]
+    held = np.arange(rows)  # the row of each column of keys
+    while True:
+        least = keys.min(axis=0)
+        on = np.flatnonzero(least != _NEVER)
+        if not len(on):
+            break
+        least = least[on]
+        if 2 * len(on) <= len(held):  # rows that are done leave
+            keys, held, on = keys[:, on], held[on], np.arange(len(on))
+        active = held[on]
         i = least & (width - 1)
         j = after[active, i]
         k = after[active, j]
@@ -151,16 +186,10 @@ def merge_rows(ids: np.ndarray, sizes: np.ndarray, pairs: PairTable) -> list[byt
         inner, first = k < sizes[active], h >= 0
         right = np.where(inner, pairs.of(made, ids[active, np.minimum(k, width - 1)]), -1)
         left = np.where(first, pairs.of(ids[active, np.maximum(h, 0)], made), -1)
-        # The leaf swallowed, the merged one, and the one before it (again the merged one where there is none).
-        h = np.where(first, h, i)
-        left = np.where(first, left, right)
-        for position, rank in ((j, None), (i, right), (h, left)):
-            node = position + width
-            tree[active, node] = _NEVER if rank is None else np.where(rank < 0, _NEVER, rank * width + position)
-            for _ in range(levels):
-                node = node >> 1
-                tree[active, node] = np.minimum(tree[active, 2 * node], tree[active, 2 * node + 1])
-        active = active[tree[active, 1] != _NEVER]
+        keys[j, on] = _NEVER
+        keys[i, on] = np.where(right < 0, _NEVER, right * width + i)
+        on, h, left = on[first], h[first], left[first]
+        keys[h, on] = np.where(left < 0, _NEVER, left * width + h)
     packed = ids[live].astype("<u4").tobytes()
     ends = (4 * live.sum(axis=1).cumsum()).tolist()
     return [packed[a:b] for a, b in zip([0, *ends], ends)]

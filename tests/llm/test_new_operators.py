@@ -57,6 +57,28 @@ def test_rows_merge_like_one_tree(text):
         assert ids(codec.vocabulary.merge_rows([piece, b"zz"], max(width, 2))[0]) == byte_bpe.merge(piece, codec.vocabulary.ranks)
 
 
+def test_pairs_are_found_in_a_few_steps():
+    """Every pair is in the slot its code hashes to or close behind; pairs that merge into nothing are told apart."""
+    pairs = codec.vocabulary.pairs
+    code = pairs.codes[pairs.codes >= 0]
+    steps = (np.flatnonzero(pairs.codes >= 0) - pairs._slots(code)) & (len(pairs.codes) - 1)
+    assert steps.mean() < 0.5 and steps.max() < 32 and len(np.unique(code)) == len(code)
+    assert (pairs.of(code >> 32, code & 0xFFFFFFFF) == pairs.made[pairs.codes >= 0]).all()
+    rng = np.random.default_rng(5)
+    left, right = rng.integers(0, 50_000, (2, 20_000))
+    known = dict(zip(code.tolist(), pairs.made[pairs.codes >= 0].tolist()))
+    assert pairs.of(left, right).tolist() == [known.get(c, -1) for c in ((left << 32) | right).tolist()]
+    assert byte_bpe.PairTable({}).of(left, right).max() == -1
+
+
+def test_many_rows_merge_like_one_each():
+    rng = np.random.default_rng(7)
+    for width in (2, 4, 16, 64):
+        pieces = [bytes(rng.choice([*b"etaonr"], rng.integers(2, width + 1)).tolist()) for _ in range(300)]
+        merged = codec.vocabulary.merge_rows(pieces, width)
+        assert [ids(m) for m in merged] == [byte_bpe.merge(p, codec.vocabulary.ranks) for p in pieces]
+
+
 def test_long_pieces_and_segments():
     long = ["a" * 50_000, "abcdefghij" * 3_000, " " * 10_000, "word " * 40_000]
     assert [ids(p) for p in codec.encode(long)] == [library.encode_ordinary(t) for t in long]
