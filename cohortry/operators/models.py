@@ -9,8 +9,10 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LogisticRegression,
+    RandomForestClassificationModel,
     RandomForestClassifier,
 )
+from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,6 +33,12 @@ SETTINGS = {
 
 SENSITIVITY_TREES = (50, 200)
 
+# Spark ML keeps a number per row and tree in memory while it fits a forest. Beyond so many numbers the memory of a
+# cluster doesn't hold them, and trees are fitted in batches of at most so many over the same rows.
+BAG_NUMBERS = 1 << 28
+BATCH_TREES = 25
+BATCH_SEEDS = 1_000_003
+
 ESTIMATORS = {
     "lr": LogisticRegression,
     "dt": DecisionTreeClassifier,
@@ -46,6 +54,42 @@ def classifier(name: str, label: str, features: str = "features", weight: str |
     return ESTIMATORS[name](featuresCol=features, labelCol=label, **settings)
 
 
+def tree_batches(rows: int, trees: int) -> list[int]:
+    """Trees of each batch that a forest is fitted in: all at once, or even batches of several trees."""
+    if rows * trees <= BAG_NUMBERS:
+        return [trees]
+    n = -(-trees // BATCH_TREES)
+    return [trees // n + (i < trees % n) for i in range(n)]
+
+
+def fit_one(estimator, rows: DataFrame):
+    """Fit a model on persisted rows; the trees of a forest over many rows are fitted in batches.
+
+    Every batch sees all rows under the same settings, with bootstrap draws and feature subsets by a seed of its own,
+    so the joined forest is one of as many independent trees.
+    """
+    if not isinstance(estimator, RandomForestClassifier):
+        return estimator.fit(rows)
+    batches = tree_batches(rows.count(), estimator.getNumTrees())
+    if len(batches) == 1:
+        return estimator.fit(rows)
+    seed = estimator.getSeed()
+    parts = [
+        estimator.copy({estimator.numTrees: trees, estimator.seed: seed + i * BATCH_SEEDS}).fit(rows)
+        for i, trees in enumerate(batches)
+    ]
+    trees = [tree._java_obj for part in parts for tree in part.trees]
+    package = "org.apache.spark.ml.classification"
+    kind = getattr(rows.sparkSession.sparkContext._jvm, f"{package}.DecisionTreeClassificationModel")
+    joined = JavaWrapper._new_java_obj(
+        f"{package}.RandomForestClassificationModel",
+        parts[0].uid, JavaWrapper._new_java_array(trees, kind), parts[0].numFeatures, parts[0].numClasses,
+    )
+    model = estimator._copyValues(RandomForestClassificationModel(joined))
+    model._transfer_params_to_java()  # the number of trees and the columns, which a saved model states
+    return model
+
+
 def fit_classifiers(
     train: DataFrame,
     label: str,
@@ -64,7 +108,7 @@ def fit_classifiers(
     narrow = narrow.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return {
-            name: classifier(name, label, features, **(overrides or {}).get(name, {})).fit(narrow)
+            name: fit_one(classifier(name, label, features, **(overrides or {}).get(name, {})), narrow)
             for name in names
         }
     finally:
@@ -105,7 +149,7 @@ def forest_sensitivity(
     try:
         for n in trees:
             settings = {"numTrees": n, "maxDepth": max_depth, "minInstancesPerNode": 1, "featureSubsetStrategy": "auto"}
-            model = {"rf": classifier("rf", label, features, **settings).fit(narrow)}
+            model = {"rf": fit_one(classifier("rf", label, features, **settings), narrow)}
             scored = score_models(test.select(features, label), model)
             records.append(auc(scored, label, "rf_score").select(F.lit(n).alias("n_trees"), "auc"))
     finally:

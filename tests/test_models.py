@@ -10,7 +10,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from cohortry.operators import clusters, metrics, models
+from cohortry.operators import clusters, metrics, model_tables, models
 from cohortry.plans import registry, study
 
 SF = "/root/testdata/sf0.01"
@@ -55,6 +55,28 @@ def test_refit_is_the_same(parts):
     assert runs[0] == runs[1]
 
 
+def test_trees_over_many_rows_are_fitted_in_batches(spark, parts, monkeypatch):
+    """A number per row and tree must fit in memory; the joined forest has all trees, and its score is their mean."""
+    assert models.tree_batches(1_000_000, 200) == [200]
+    assert models.tree_batches(30_000_000, 200) == [25] * 8 and models.tree_batches(30_000_000, 51) == [17] * 3
+    small = {"rf": {"numTrees": 7, "maxDepth": 4, "minInstancesPerNode": 5}}
+    whole = models.fit_classifiers(parts.train, LABEL, ("rf",), overrides=small)
+    monkeypatch.setattr(models, "BAG_NUMBERS", 1)
+    monkeypatch.setattr(models, "BATCH_TREES", 3)
+    fitted = models.fit_classifiers(parts.train, LABEL, ("rf",), overrides=small)
+    trees = fitted["rf"].trees
+    assert fitted["rf"].getNumTrees == len(trees) == 7
+    assert len({t.toDebugString.split("\n", 1)[1] for t in trees}) == 7
+    scored = models.score_models(parts.test, fitted).cache()
+    aucs = [metrics.auc(models.score_models(parts.test, m), LABEL, "rf_score").first()["auc"] for m in (whole, fitted)]
+    assert aucs[0] == pytest.approx(aucs[1], abs=0.03)
+    table = model_tables.node_table(spark, fitted["rf"])
+    assert {r[0] for r in table.select("tree").distinct().collect()} == set(range(7))
+    ours = model_tables.score_nodes(scored, table, "features", "ours")
+    assert ours.agg(F.max(F.abs(F.col("ours") - F.col("rf_score")))).first()[0] < 1e-9
+    assert scored.where((F.col("rf_score") > 0.5) != (F.col("rf_prediction") == 1)).count() == 0
+
+
 def test_settings_of_the_full_study():
     forest = models.classifier("rf", "y")
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed()) == (200, 8, 42)
