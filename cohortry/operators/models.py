@@ -9,14 +9,13 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier,
     GBTClassifier,
     LogisticRegression,
-    RandomForestClassificationModel,
     RandomForestClassifier,
 )
-from pyspark.ml.wrapper import JavaWrapper
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortry.functions.expressions import positive_score
+from cohortry.operators.forests import fit_forest
 from cohortry.operators.metrics import auc
 from cohortry.operators.splitting import apply_weights, class_weights
 
@@ -33,11 +32,10 @@ SETTINGS = {
 
 SENSITIVITY_TREES = (50, 200)
 
-# Spark ML keeps a number per row and tree in memory while it fits a forest. Beyond so many numbers the memory of a
-# cluster doesn't hold them, and trees are fitted in batches of at most so many over the same rows.
+# Spark ML keeps a number per row and tree in memory while it fits a forest, and walks every row through every tree. Beyond so
+# many numbers a forest is grown from counts (see ``forests``); a task then counts at most so many trees over its rows.
 BAG_NUMBERS = 1 << 28
 BATCH_TREES = 25
-BATCH_SEEDS = 1_000_003
 
 ESTIMATORS = {
     "lr": LogisticRegression,
@@ -55,7 +53,7 @@ def classifier(name: str, label: str, features: str = "features", weight: str |
 
 
 def tree_batches(rows: int, trees: int) -> list[int]:
-    """Trees of each batch that a forest is fitted in: all at once, or even batches of several trees."""
+    """Trees of each batch that a forest is fitted in: all at once by Spark ML, or even batches of several trees."""
     if rows * trees <= BAG_NUMBERS:
         return [trees]
     n = -(-trees // BATCH_TREES)
@@ -63,31 +61,15 @@ def tree_batches(rows: int, trees: int) -> list[int]:
 
 
 def fit_one(estimator, rows: DataFrame):
-    """Fit a model on persisted rows; the trees of a forest over many rows are fitted in batches.
+    """Fit a model on persisted rows; a forest over many rows is grown from counts of blocks of them.
 
-    Every batch sees all rows under the same settings, with bootstrap draws and feature subsets by a seed of its own,
-    so the joined forest is one of as many independent trees.
+    Every tree sees all rows under the same settings, with bootstrap draws and feature subsets of its own, so either way it is
+    a forest of as many independent trees.
     """
     if not isinstance(estimator, RandomForestClassifier):
         return estimator.fit(rows)
     batches = tree_batches(rows.count(), estimator.getNumTrees())
-    if len(batches) == 1:
-        return estimator.fit(rows)
-    seed = estimator.getSeed()
-    parts = [
-        estimator.copy({estimator.numTrees: trees, estimator.seed: seed + i * BATCH_SEEDS}).fit(rows)
-        for i, trees in enumerate(batches)
-    ]
-    trees = [tree._java_obj for part in parts for tree in part.trees]
-    package = "org.apache.spark.ml.classification"
-    kind = getattr(rows.sparkSession.sparkContext._jvm, f"{package}.DecisionTreeClassificationModel")
-    joined = JavaWrapper._new_java_obj(
-        f"{package}.RandomForestClassificationModel",
-        parts[0].uid, JavaWrapper._new_java_array(trees, kind), parts[0].numFeatures, parts[0].numClasses,
-    )
-    model = estimator._copyValues(RandomForestClassificationModel(joined))
-    model._transfer_params_to_java()  # the number of trees and the columns, which a saved model states
-    return model
+    return estimator.fit(rows) if len(batches) == 1 else fit_forest(estimator, rows, batches)
 
 
 def fit_classifiers(

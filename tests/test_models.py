@@ -10,8 +10,9 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from cohortry.operators import clusters, metrics, model_tables, models
+from cohortry.operators import clusters, forests, metrics, model_tables, models
 from cohortry.plans import registry, study
+from cohortry.sources import scratch
 
 SF = "/root/testdata/sf0.01"
 LABEL = study.STAND_IN.target
@@ -77,6 +78,76 @@ def test_trees_over_many_rows_are_fitted_in_batches(spark, parts, monkeypatch):
     assert scored.where((F.col("rf_score") > 0.5) != (F.col("rf_prediction") == 1)).count() == 0
 
 
+def survey_like(spark, n=3000):
+    """Codes, a rare code, copies, a continuous column of many values and a constant one; a weight per class."""
+    rng = random.Random(5)
+    rows = []
+    for _ in range(n):
+        x = [rng.randrange(13), rng.gauss(28, 6), float(rng.random() < 0.01), rng.randrange(5), 1.0]
+        rows.append((Vectors.dense(x), float(rng.random() < 1 / (1 + math.exp(4 - 0.3 * x[0] - 0.05 * x[1])))))
+    df = spark.createDataFrame(rows + rows[:50], ["features", "y"])
+    return df.withColumn("w", F.when(F.col("y") == 1, 1.7).otherwise(0.6)).repartition(3).persist()
+
+
+@pytest.mark.parametrize("settings", [{}, {"impurity": "entropy", "minInfoGain": 0.004, "minWeightFractionPerNode": 0.05}, {"maxDepth": 0}])
+def test_counted_tree_is_that_of_spark(spark, settings, monkeypatch):
+    """Without draws nothing is random: the same nodes, thresholds and class weights, in blocks and passes of any size."""
+    monkeypatch.setattr(forests, "BLOCK_ROWS", 700)
+    monkeypatch.setattr(forests, "PASS_NODES", 6)
+    df = survey_like(spark)
+    settings = {"maxDepth": 6, "minInstancesPerNode": 25, "numTrees": 1, "bootstrap": False, "featureSubsetStrategy": "all"} | settings
+    estimator = models.RandomForestClassifier(labelCol="y", weightCol="w", seed=7, **settings)
+    theirs, ours = estimator.fit(df), forests.fit_forest(estimator, df, [1])
+    body = lambda m: m.toDebugString.split("\n", 1)[1]
+    assert body(ours) == body(theirs)
+    assert ours.totalNumNodes == theirs.totalNumNodes and (ours.totalNumNodes > 5 or settings["maxDepth"] == 0)
+    pairs = zip(*(m.transform(df.select("features")).select("rawPrediction", "prediction").collect() for m in (theirs, ours)))
+    for a, b in pairs:
+        assert a["prediction"] == b["prediction"] and a["rawPrediction"].toArray() == pytest.approx(b["rawPrediction"].toArray(), abs=1e-12)
+    params = lambda m: {p.name: v for p, v in m.extractParamMap().items()}
+    assert params(ours) == params(theirs)
+
+
+def test_forest_over_many_rows_walks_no_row_through_spark_ml(spark, monkeypatch):
+    """Its time grew with Spark ML's walk of every row through every tree, batch by batch."""
+    df = survey_like(spark)
+    estimator = models.RandomForestClassifier(labelCol="y", weightCol="w", seed=7, numTrees=8, maxDepth=5, minInstancesPerNode=20)
+    whole = estimator.fit(df)
+    monkeypatch.setattr(models, "BAG_NUMBERS", 1)
+    monkeypatch.setattr(models, "BATCH_TREES", 3)
+    monkeypatch.setattr(forests, "BLOCK_ROWS", 700)
+    monkeypatch.setattr(models.RandomForestClassifier, "fit", lambda *_: pytest.fail("fitted by Spark ML"))
+    forest = models.fit_one(estimator, df)
+    assert forest.getNumTrees == 8 and 0.7 < forest.totalNumNodes / whole.totalNumNodes < 1.4
+    nodes = {}
+    path = scratch.scratch_path(spark, "forest")
+    forest.write().save(path)
+    for r in spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect():
+        nodes[r["treeID"], r["id"]] = r
+    drawn = [nodes[t, 0]["rawCount"] for t in range(8)]
+    assert len(set(drawn)) > 1 and all(abs(n - 3050) < 6 * 3050**0.5 for n in drawn)  # Poisson of all rows
+    for (tree, _), r in nodes.items():
+        assert r["rawCount"] >= 20
+        if r["leftChild"] >= 0:
+            sides = [nodes[tree, r[side]] for side in ("leftChild", "rightChild")]
+            assert sum(s["rawCount"] for s in sides) == r["rawCount"]
+            assert [sum(s) for s in zip(*(s["impurityStats"] for s in sides))] == pytest.approx(r["impurityStats"])
+    assert models.fit_one(estimator, df).toDebugString == forest.toDebugString
+
+
+def test_features_tried_at_a_node():
+    sizes = [forests.subset_size(s, 200, 12) for s in ("auto", "sqrt", "all", "log2", "onethird", "5", "40", "0.3")]
+    assert sizes == [4, 4, 12, 4, 4, 5, 12, 4] and forests.subset_size("auto", 1, 12) == 12
+
+
+def test_counted_forest_takes_whole_rows_only(spark):
+    estimator = models.RandomForestClassifier(labelCol="y", weightCol="w", numTrees=2)
+    good = [(Vectors.dense(float(i), 1.0), float(i % 2), 1.0) for i in range(40)]
+    for bad in ((Vectors.dense(math.nan, 1.0), 0.0, 1.0), (None, 0.0, 1.0), (good[0][0], None, 1.0), (good[0][0], 0.0, 2.0)):
+        with pytest.raises(Exception, match="must be"):
+            forests.fit_forest(estimator, spark.createDataFrame([*good, bad], ["features", "y", "w"]), [2])
+
+
 def test_settings_of_the_full_study():
     forest = models.classifier("rf", "y")
     assert (forest.getNumTrees(), forest.getMaxDepth(), forest.getSeed()) == (200, 8, 42)
