@@ -67,6 +67,11 @@ class Rules:
     def bin_type(self) -> type:
         return np.uint8 if self.bins <= 256 else np.uint16 if self.bins <= 1 << 16 else np.uint32
 
+    @property
+    def cell_type(self) -> np.dtype:
+        """Of a bin and class in one number, ``bin * classes + class``."""
+        return np.min_scalar_type(self.bins * len(self.weights) - 1)
+
 
 @dataclass
 class Tree:
@@ -89,9 +94,10 @@ class Tree:
             self.counts.append(counts)
         return first, first + 1
 
-    def arrays(self, bin_type: type) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        last = np.iinfo(bin_type).max  # no bin lies above it, so a leaf's rows stay
-        cut = np.array([last if c < 0 else c for c in self.cut], bin_type)
+    def arrays(self, rules: Rules) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Features, last cells below the cuts and left children of the nodes."""
+        last, n_classes = np.iinfo(rules.cell_type).max, len(rules.weights)  # no cell lies above it, so a leaf's rows stay
+        cut = np.array([last if c < 0 else (c + 1) * n_classes - 1 for c in self.cut], rules.cell_type)
         return np.array(self.feature, np.intp), cut, np.array(self.left, np.intp)
 
 
@@ -171,30 +177,37 @@ def _drawn(rng: np.random.Generator, n: int, rules: Rules) -> np.ndarray:
     return np.ones(n, np.intp) if rules.rate == 1 else (rng.random(n) < rules.rate).astype(np.intp)
 
 
+def _cells(bins: bytes, classes: bytes, rules: Rules) -> np.ndarray:
+    """Bin and class of a block's rows in one number, feature by feature, so that a feature's rows lie side by side."""
+    of_class = np.frombuffer(classes, np.uint8)
+    by_feature = np.frombuffer(bins, rules.bin_type).reshape(len(of_class), -1).T
+    return (by_feature.astype(rules.cell_type) * rules.cell_type.type(len(rules.weights)) + of_class).astype(rules.cell_type).ravel()
+
+
 def _tree_counts(tree: int, blocks: list, grown: tuple, level: int, slots: np.ndarray, tried: np.ndarray, rules: Rules) -> np.ndarray:
     """Drawn rows by tried feature, slot, bin and class. ``slots``: place of a node in this pass, or -1."""
     feature, cut, left = grown
-    n_classes, n_slots = len(rules.weights), len(tried)
-    cells = rules.bins * n_classes
-    counts = np.zeros((tried.shape[1], n_slots * cells))
-    for block, bins, classes, width in blocks:
+    n_slots, width = len(tried), rules.bins * len(rules.weights)
+    counts = np.zeros((tried.shape[1], n_slots * width))
+    partial = slots.min() < 0
+    for block, n, cells in blocks:
         rng = np.random.Generator(np.random.SFC64([rules.seed, tree, block]))
-        times = _drawn(rng, len(classes), rules)
-        rows = np.flatnonzero(times)
-        first = rows * width
+        times = _drawn(rng, n, rules)
+        rows = np.flatnonzero(times > 0)
+        start = feature * n
         node = np.zeros(len(rows), np.intp)
         for _ in range(level):
-            above = bins.take(first + feature.take(node)) > cut.take(node)
+            above = cells.take(start.take(node) + rows) > cut.take(node)
             node = left.take(node) + above
         slot = slots.take(node)
-        if slots.min() < 0:
+        if partial:
             kept = np.flatnonzero(slot >= 0)
-            rows, first, slot = rows.take(kept), first.take(kept), slot.take(kept)
+            rows, slot = rows.take(kept), slot.take(kept)
         weight = times.take(rows).astype(float)
-        base = slot * cells + classes.take(rows)
+        base, starts = slot * width, tried * n
         for j in range(tried.shape[1]):
-            cell = bins.take(first + tried[:, j].take(slot)).astype(np.intp) * n_classes + base
-            counts[j] += np.bincount(cell, weight, minlength=n_slots * cells)
+            cell = base + cells.take(starts[:, j].take(slot) + rows)
+            counts[j] += np.bincount(cell, weight, minlength=n_slots * width)
     return counts
 
 
@@ -205,9 +218,7 @@ def _count_pass(grown: list, level: int, slots: list, tried: list, batch_of: np.
         held: dict[int, list] = {}
         for part in batches:
             for row in part.to_pylist():
-                bins = np.frombuffer(row["bins"], rules.bin_type)
-                block = (row["id"], bins, np.frombuffer(row["classes"], np.uint8).astype(np.intp), len(bins) // row["n"])
-                held.setdefault(row["batch"], []).append(block)
+                held.setdefault(row["batch"], []).append((row["id"], row["n"], _cells(row["bins"], row["classes"], rules)))
         for batch, blocks in held.items():
             for tree in np.flatnonzero(batch_of == batch).tolist():
                 if len(tried[tree]):
@@ -257,7 +268,7 @@ def grow(blocks: DataFrame, batches: list[int], depth: int, n_features: int, rul
     trees = [Tree() for _ in batch_of]
     active: list[list[int]] = [[0] for _ in trees]
     for level in range(max(depth, 1)):
-        grown = [t.arrays(rules.bin_type) for t in trees]
+        grown = [t.arrays(rules) for t in trees]
         following: list[list[int]] = [[] for _ in trees]
         for start in range(0, max(map(len, active)), PASS_NODES):
             nodes = [a[start : start + PASS_NODES] for a in active]

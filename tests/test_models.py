@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.linalg import Vectors
@@ -135,6 +136,31 @@ def test_forest_over_many_rows_walks_no_row_through_spark_ml(spark, monkeypatch)
     assert models.fit_one(estimator, df).toDebugString == forest.toDebugString
 
 
+@pytest.mark.parametrize(("bins", "classes"), [(2, 2), (32, 2), (128, 2), (200, 3), (256, 256), (70_000, 2)])
+def test_counted_cells_of_any_width(bins, classes):
+    """A bin and class share one number, as narrow as they allow; the counts are those of a plain walk, row by row."""
+    rng = np.random.default_rng(bins)
+    rules = forests.Rules(7, bins, 2, tuple(range(1, classes + 1)), "gini", 1, 0.0, 0.0, True, 0.8)
+    tree = forests.Tree()
+    tree.split(0, 1, 0, 0.1, ([1], [1]))
+    tree.split(2, 2, bins - 2, 0.1, ([1], [1]))
+    slots, tried = np.array([-1, 0, -1, 1, -1]), np.array([[0, 2], [1, 0]])
+    blocks, wanted = [], np.zeros((2, 2, bins, classes))
+    for block, n in enumerate((1, 300)):
+        x, y = rng.integers(0, bins, (n, 3)).astype(rules.bin_type), rng.integers(0, classes, n).astype(np.uint8)
+        x[: n // 3, 1], x[-1] = 0, bins - 1
+        blocks.append((block, n, forests._cells(x.tobytes(), y.tobytes(), rules)))
+        times = forests._drawn(np.random.Generator(np.random.SFC64([7, 4, block])), n, rules)
+        for row, c, k in zip(x, y, times):
+            node = 0
+            while tree.left[node] != node:
+                node = tree.left[node] + int(row[tree.feature[node]] > tree.cut[node])
+            for j, f in enumerate(tried[slots[node]] if slots[node] >= 0 else ()):
+                wanted[j, slots[node], row[f], c] += k
+    counts = forests._tree_counts(4, blocks, tree.arrays(rules), 2, slots, tried, rules)
+    assert wanted.sum() > 100 and (counts == wanted.reshape(2, -1)).all()
+
+
 def test_features_tried_at_a_node():
     sizes = [forests.subset_size(s, 200, 12) for s in ("auto", "sqrt", "all", "log2", "onethird", "5", "40", "0.3")]
     assert sizes == [4, 4, 12, 4, 4, 5, 12, 4] and forests.subset_size("auto", 1, 12) == 12
